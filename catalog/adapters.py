@@ -28,18 +28,23 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("origin_airport"),
         F.when(F.col("event_type") == HOME, AWAY).otherwise(HOME).alias("toward"),
     )
-    arrivals = stops.select(aircraft, F.col("event_type").alias("toward"), "ts")
+    arrivals = stops.select(
+        aircraft, F.col("event_type").alias("toward"), times.epoch_micros("ts").alias("micros")
+    )
     flown = asof(
-        departures,
+        departures.withColumn("micros", times.epoch_micros("departure_time")),
         arrivals,
         key=["ICAO24", "toward"],
-        time="departure_time",
-        state_time="ts",
+        time="micros",
+        state_time="micros",
         later=True,
-        found_time="arrival_time",
+        found_time="landed",
+    )
+    return flown.withColumn("arrival_time", times.from_micros("landed")).select(
+        *[c for c in departures.columns if c != "toward"],
+        "arrival_time",
+        F.when(F.col("landed").isNotNull(), F.col("toward")).alias("destination_airport"),
     )
-    landed = F.col("arrival_time").isNotNull()
-    return flown.withColumn("destination_airport", F.when(landed, F.col("toward"))).drop("toward")
 
 
 LEGS = """legs AS (

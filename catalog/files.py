@@ -8,7 +8,7 @@ from catalog import adapters
 from catalog.adapters import ZONE
 from catalog.registry import query, table
 from legtrail import schemas
-from legtrail.functions import names
+from legtrail.functions import names, times
 from legtrail.operators import nested
 from legtrail.session import new_folder
 from legtrail.sources import csv_files, store
@@ -73,42 +73,45 @@ def csv_value_roundtrip(spark, sf_dir):
     return csv_files.scan_same_header(spark, path, rows.schema)
 
 
-@query("""
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate::DATE AS order_day,
-       o_orderdate::DATE AS day FROM orders""")
+_EVENT_DAYS = """
+SELECT event_id, ts, user_id, event_type, value,
+       (ts AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Zurich')::DATE AS event_date
+FROM events"""
+
+
+def _event_days(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value",
+        times.local_date("ts", ZONE).alias("event_date"),
+    )
+
+
+@query(f"SELECT *, event_date AS day FROM ({_EVENT_DAYS})")
 def sink_by_day_roundtrip(spark, sf_dir):
     path = new_folder(spark, "by-day")
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        "o_custkey",
-        "o_orderstatus",
-        "o_totalprice",
-        F.col("o_orderdate").cast("date").alias("order_day"),
-    )
-    store.write_by_day(orders, path, "order_day")
-    return store.read_days(spark, path, orders.schema)
+    events = _event_days(spark, sf_dir)
+    store.write_by_day(events, path, "event_date")
+    return store.read_days(spark, path, events.schema)
 
 
-@query("""
-WITH o AS (SELECT o_orderkey, o_totalprice, o_orderdate::DATE AS order_day FROM orders),
-old AS (SELECT * FROM o WHERE o_totalprice < 250000),
-new AS (SELECT * FROM o WHERE o_totalprice >= 250000),
-winners AS (SELECT order_day FROM (SELECT order_day, count(*) AS n FROM new GROUP BY 1) a
-            LEFT JOIN (SELECT order_day, count(*) AS n FROM old GROUP BY 1) b USING (order_day)
+@query(f"""
+WITH e AS ({_EVENT_DAYS}),
+old AS (SELECT * FROM e WHERE value < 34.65),
+new AS (SELECT * FROM e WHERE value >= 34.65),
+winners AS (SELECT event_date FROM (SELECT event_date, count(*) AS n FROM new GROUP BY 1) a
+            LEFT JOIN (SELECT event_date, count(*) AS n FROM old GROUP BY 1) b USING (event_date)
             WHERE a.n > coalesce(b.n, 0))
-SELECT *, order_day AS day FROM new WHERE order_day IN (FROM winners)
+SELECT *, event_date AS day FROM new WHERE event_date IN (FROM winners)
 UNION ALL
-SELECT *, order_day AS day FROM old WHERE order_day NOT IN (FROM winners)""")
+SELECT *, event_date AS day FROM old WHERE event_date NOT IN (FROM winners)""")
 def upsert_keep_larger(spark, sf_dir):
-    # Two fetches of the same days: the cheaper orders are stored, the dearer ones come in.
+    # Two fetches of the same days: the low readings are stored, the high ones come in.
     path = new_folder(spark, "upsert")
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("order_day")
-    )
-    stored = F.col("o_totalprice") < 250_000
-    store.write_by_day(orders.filter(stored), path, "order_day")
-    store.upsert_by_day(orders.filter(~stored), path, "order_day")
-    return store.read_days(spark, path, orders.schema)
+    events = _event_days(spark, sf_dir)
+    stored = F.col("value") < 34.65
+    store.write_by_day(events.filter(stored), path, "event_date")
+    store.upsert_by_day(events.filter(~stored), path, "event_date")
+    return store.read_days(spark, path, events.schema)
 
 
 @query("""

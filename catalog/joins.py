@@ -149,7 +149,13 @@ def trajectory_grid_asof(spark, sf_dir):
         tie="event_id",
     )
     return points.select(
-        "leg_id", "grid_step", "grid_time", "state_time", "event_id", "velocity", "geo_altitude"
+        "leg_id",
+        "grid_step",
+        times.from_micros("grid_micros").alias("grid_time"),
+        times.from_micros("state_micros").alias("state_time"),
+        "event_id",
+        "velocity",
+        "geo_altitude",
     )
 
 

@@ -77,7 +77,7 @@ def day_bounds(spark, sf_dir):
         "o_orderkey",
         start.alias("day_start"),
         end.alias("day_end"),
-        (F.floor(length / times.MICROS_PER_SECOND) + 1).cast("bigint").alias("seconds"),
+        (times.whole_slices(length, times.MICROS_PER_SECOND) + 1).alias("seconds"),
     )
 
 

@@ -14,11 +14,13 @@ def _col(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def utc_clock(instant) -> Column:
     """UTC clock reading (TIMESTAMP_NTZ) of a TIMESTAMP, in any session zone."""
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + seconds_interval(
-        F.unix_micros(_col(instant)) / F.lit(MICROS_PER_SECOND).cast("decimal(18,0)")
-    )
+    return from_micros(F.unix_micros(_col(instant)))
 
 
 def local_time(utc, zone: str) -> Column:
@@ -48,36 +50,49 @@ def day_start(day, zone: str) -> Column:
 
 def day_end(day, zone: str) -> Column:
     """UTC instant of 23:59:59 on a date in ``zone``."""
-    last_second = seconds_interval(F.lit(24 * 3600 - 1))
-    return to_utc(_col(day).cast("timestamp_ntz") + last_second, zone)
-
-
-def seconds_interval(seconds) -> Column:
-    zero = F.lit(0)
-    return F.make_dt_interval(zero, zero, zero, _col(seconds).cast("decimal(18,6)"))
+    return to_utc(plus_seconds(_col(day).cast("timestamp_ntz"), 24 * 3600 - 1), zone)
 
 
 def plus_seconds(time, seconds) -> Column:
-    return _col(time) + seconds_interval(F.lit(seconds) if isinstance(seconds, (int, float)) else seconds)
+    """Time shifted by a whole number of seconds, negative to go back."""
+    count = F.lit(seconds) if isinstance(seconds, int) else seconds
+    return _col(time) + F.expr("INTERVAL '1' SECOND") * count
 
 
 def epoch_micros(utc) -> Column:
     """Microseconds since 1970 of a UTC instant held as TIMESTAMP_NTZ."""
-    time = _col(utc)
-    days = F.datediff(time.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
-    minutes = days * 1440 + F.hour(time) * 60 + F.minute(time)
-    second_micros = F.extract(F.lit("SECOND"), time) * MICROS_PER_SECOND
-    return minutes * (60 * MICROS_PER_SECOND) + second_micros.cast("bigint")
+    elapsed = (_col(utc) - _epoch()).cast("interval second").cast("decimal(18,6)")
+    return (elapsed * MICROS_PER_SECOND).cast("bigint")
 
 
-def epoch_seconds(utc) -> Column:
+def from_micros(micros) -> Column:
+    """UTC instant of a number of microseconds since 1970."""
+    return _epoch() + F.expr("INTERVAL '0.000001' SECOND") * _col(micros)
+
+
+def micros_to_seconds(micros) -> Column:
     """Seconds since 1970 as double, the unit of ``requested_time``."""
-    return epoch_micros(utc) / F.lit(float(MICROS_PER_SECOND))
+    return _col(micros) / F.lit(float(MICROS_PER_SECOND))
+
+
+def epoch_seconds(utc) -> Column:
+    return micros_to_seconds(epoch_micros(utc))
+
+
+def whole_slices(number, width: int) -> Column:
+    """Number of the ``width``-wide slice a whole number lies in, also below zero."""
+    number = _col(number)
+    return F.call_function("div", number - F.pmod(number, F.lit(width)), F.lit(width))
 
 
 def time_slice(utc, seconds: int) -> Column:
     """Number of the ``seconds``-wide slice of time an instant lies in; grows with time."""
-    return F.floor(epoch_micros(utc) / F.lit(seconds * MICROS_PER_SECOND)).cast("bigint")
+    return whole_slices(epoch_micros(utc), seconds * MICROS_PER_SECOND)
+
+
+def floor_to(utc, seconds: int) -> Column:
+    """Start of the ``seconds``-wide slice of time an instant lies in."""
+    return plus_seconds(_epoch(), time_slice(utc, seconds) * seconds)
 
 
 def days_before(day, days: int) -> Column:
@@ -92,9 +107,3 @@ def date_sequence(first, last) -> Column:
 def look_back(as_of, days: int) -> Column:
     """Array of the ``days`` dates that end the day before ``as_of``."""
     return date_sequence(days_before(as_of, days), days_before(as_of, 1))
-
-
-def floor_to(utc, seconds: int) -> Column:
-    """Start of the ``seconds``-wide slice of time an instant lies in."""
-    start = time_slice(utc, seconds) * seconds
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + seconds_interval(start)

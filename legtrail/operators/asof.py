@@ -1,4 +1,7 @@
-"""Nearest earlier or later state of a key at given instants."""
+"""Nearest earlier or later state of a key at given times.
+
+Times are whole numbers of any unit, such as :func:`legtrail.functions.times.epoch_micros`.
+"""
 
 from collections.abc import Sequence
 
@@ -28,27 +31,27 @@ def asof(
     values: Sequence[str] = (),
     tie: str | None = None,
     later: bool = False,
-    slice_seconds: int = 86_400,
+    slice_width: int = 86_400 * times.MICROS_PER_SECOND,
     found_time: str = "found_time",
 ) -> DataFrame:
     """Each probe row with the last state of its key at or before its time (``later``: the first
     at or after). Adds ``found_time`` and ``values``, null if there is no such state.
 
-    States of one key and instant are reduced to the one with the greatest ``tie`` before they
-    move, so copies cost nothing. The rest is split by key and slice of time: no task gets a whole
-    key. A slice starts from the state carried over from the slices before it; the carrying looks
-    at one row per key and non-empty slice.
+    States of one key and time are reduced to the one with the greatest ``tie`` before they move,
+    so copies cost nothing. The rest is split by key and slice of time: no task gets a whole key.
+    A slice starts from the state carried over from the slices before it; the carrying looks at
+    one row per key and non-empty slice. Values of fixed size keep the reduction in a hash table.
     """
     single = _one_state_per_instant(states, key, state_time, values, tie)
     states = single.select(
         *key,
         F.col(state_time).alias("_time"),
-        times.time_slice(state_time, slice_seconds).alias("_slice"),
+        times.whole_slices(state_time, slice_width).alias("_slice"),
         F.struct(F.col(state_time).alias(found_time), *values).alias(_STATE),
     )
     probes = (
         probes.withColumn("_time", F.col(time))
-        .withColumn("_slice", times.time_slice(time, slice_seconds))
+        .withColumn("_slice", times.whole_slices(time, slice_width))
     )
     toward = F.desc if later else F.asc
 

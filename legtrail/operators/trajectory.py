@@ -16,23 +16,26 @@ def grid(
     step: int,
     departure: str = "departure_time",
     arrival: str = "arrival_time",
-    grid_time: str = "grid_time",
-    grid_step: str = "grid_step",
 ) -> DataFrame:
-    """Flights with one row per grid time; flights without both ends in order give none."""
+    """Flights with one row per grid time: ``grid_step`` from 0 and ``grid_micros`` since 1970.
+
+    Flights without both ends in order give none. Only whole-number arithmetic per grid row.
+    """
     micros = step * times.MICROS_PER_SECOND
-    span = times.epoch_micros(arrival) - times.epoch_micros(departure)
     first = F.col("_block") * BLOCK
     return (
         flights.filter(F.col(arrival) >= F.col(departure))
-        .withColumn("_last", F.floor(span / F.lit(micros)).cast("bigint"))
-        .withColumn("_block", F.explode(F.sequence(F.lit(0), F.floor(F.col("_last") / BLOCK))))
+        .withColumn("_from", times.epoch_micros(departure))
+        .withColumn("_last", times.whole_slices(times.epoch_micros(arrival) - F.col("_from"), micros))
+        .withColumn(
+            "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), times.whole_slices("_last", BLOCK)))
+        )
         .withColumn(
-            grid_step,
+            "grid_step",
             F.explode(F.sequence(first, F.least(F.col("_last"), first + (BLOCK - 1)))),
         )
-        .withColumn(grid_time, times.plus_seconds(departure, F.col(grid_step) * step))
-        .drop("_last", "_block")
+        .withColumn("grid_micros", F.col("_from") + F.col("grid_step") * micros)
+        .drop("_from", "_last", "_block")
     )
 
 
@@ -45,18 +48,20 @@ def sample_exact(
     departure: str = "departure_time",
     arrival: str = "arrival_time",
 ) -> DataFrame:
-    """Telemetry rows that lie on a flight's grid, with the flight's columns.
+    """Telemetry rows that lie on a flight's grid, with the flight's columns and ``grid_time``.
 
     Laying out the grid turns the interval join into an equality on (aircraft, time): no range
     condition, no buckets with edges, and a join key so fine that no aircraft is a hot key. A grid
     time without telemetry gives no row.
     """
     grid_rows = grid(flights, step, departure, arrival)
-    states = telemetry.withColumnsRenamed({aircraft: "_aircraft", time: "_time"})
+    states = telemetry.withColumnsRenamed({aircraft: "_aircraft", time: "grid_time"}).withColumn(
+        "_micros", times.epoch_micros("grid_time")
+    )
     return grid_rows.join(
         states,
-        (F.col(aircraft) == F.col("_aircraft")) & (F.col("grid_time") == F.col("_time")),
-    ).drop("_aircraft", "_time")
+        (F.col(aircraft) == F.col("_aircraft")) & (F.col("grid_micros") == F.col("_micros")),
+    ).drop("_aircraft", "_micros")
 
 
 def sample_asof(
@@ -71,19 +76,22 @@ def sample_asof(
     arrival: str = "arrival_time",
     slice_seconds: int = 86_400,
 ) -> DataFrame:
-    """The last state at or before each grid time, for telemetry that is not on the grid.
+    """The last state at or before each grid time, with its ``state_micros``, for telemetry that is
+    not on the grid.
 
     A grid time before the aircraft's first state gives no row.
     """
+    tied = [tie] if tie and tie not in values else []
+    states = telemetry.select(aircraft, times.epoch_micros(time).alias("_micros"), *values, *tied)
     found = asof(
         grid(flights, step, departure, arrival),
-        telemetry.select(F.col(aircraft), time, *values, *([tie] if tie and tie not in values else [])),
+        states,
         key=[aircraft],
-        time="grid_time",
-        state_time=time,
+        time="grid_micros",
+        state_time="_micros",
         values=values,
         tie=tie,
-        slice_seconds=slice_seconds,
-        found_time="state_time",
+        slice_width=slice_seconds * times.MICROS_PER_SECOND,
+        found_time="state_micros",
     )
-    return found.filter(F.col("state_time").isNotNull())
+    return found.filter(F.col("state_micros").isNotNull())

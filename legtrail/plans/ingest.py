@@ -44,15 +44,19 @@ def sampled(
     ``telemetry`` has ICAO24, time and state columns; states it lacks become null.
     """
     telemetry = of_these_aircraft(telemetry, flights)
-    missing = [name for name in schemas.STATE_FIELDS if name not in telemetry.columns]
-    telemetry = telemetry.withColumns(
-        {name: F.lit(None).cast(schemas.STATE_VECTORS[name].dataType) for name in missing}
-    )
+    present = [name for name in schemas.STATE_FIELDS if name in telemetry.columns]
     if exact:
         points = trajectory.sample_exact(flights, telemetry, step)
     else:
-        points = trajectory.sample_asof(flights, telemetry, step, schemas.STATE_FIELDS, tie)
-    return points.withColumn("requested_time", times.epoch_seconds("grid_time"))
+        points = trajectory.sample_asof(flights, telemetry, step, present, tie)
+    absent = {
+        name: F.lit(None).cast(schemas.STATE_VECTORS[name].dataType)
+        for name in schemas.STATE_FIELDS
+        if name not in present
+    }
+    return points.withColumns(
+        {**absent, "requested_time": times.micros_to_seconds("grid_micros")}
+    )
 
 
 def points_of(flights: DataFrame, telemetry: DataFrame, **sampling) -> DataFrame:
