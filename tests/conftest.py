@@ -36,7 +36,7 @@ def plan():
 
         out = io.StringIO()
         with contextlib.redirect_stdout(out):
-            df.explain()
+            df.explain("formatted")
         return out.getvalue()
 
     return explain
