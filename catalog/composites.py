@@ -57,23 +57,21 @@ def _between(column: str, start: str, end: str) -> str:
 
 
 def _stored_days(spark, folder):
-    frames = []
-    for family in schemas.FAMILIES:
-        schema = schemas.family_schema(family)
-        rows = store.read_days(spark, f"{folder}/{family}", schema)
-        cents = F.lit(0)
-        if "velocity" in schema.names:
-            cents = F.sum(F.round(F.col("velocity") * 100).cast("bigint"))
-        frames.append(
-            rows.groupBy("day")
-            .agg(
-                F.count("*").alias("n"),
-                F.count_distinct("id").alias("n_ids"),
-                cents.cast("bigint").alias("cents"),
-            )
-            .withColumn("family", F.lit(family))
+    flights = store.read_partitions(
+        spark, ingest.flights_path(folder), schemas.FLIGHTS, ingest.PARTITIONS
+    )
+    points = store.read_partitions(
+        spark, ingest.points_path(folder), schemas.STATE_VECTORS, ingest.PARTITIONS
+    )
+    cents = F.round(F.col("velocity") * 100).cast("bigint")
+    return union(
+        rows.groupBy("family", "day").agg(
+            F.count("*").alias("n"),
+            F.count_distinct("id").alias("n_ids"),
+            total.cast("bigint").alias("cents"),
         )
-    return union(frames)
+        for rows, total in ((flights, F.max(F.lit(0))), (points, F.sum(cents)))
+    )
 
 
 _ALL_TIME = ("2023-12-01 00:00:00", "2024-02-29 23:59:59")
@@ -232,16 +230,13 @@ def explore_latest_day(spark, sf_dir):
         exact=False,
         tie="tie",
     )
-    both = found.nested_departures.withColumn("direction", F.lit("departure")).unionByName(
-        found.nested_arrivals.withColumn("direction", F.lit("arrival"))
-    )
     cents = F.aggregate(
         "state_vectors",
         F.lit(0).cast("bigint"),
         lambda total, point: total + F.round(point.velocity * 100).cast("bigint"),
     )
     first = F.round(F.col("state_vectors")[0].requested_time * 1_000_000).cast("bigint")
-    return both.select(
+    return found.nested.select(
         "direction",
         "id",
         "departure_time",

@@ -10,7 +10,7 @@ from catalog.registry import query, table
 from legtrail import schemas
 from legtrail.functions import names, times
 from legtrail.operators import nested
-from legtrail.session import new_folder
+from legtrail.session import new_folder, staged
 from legtrail.sources import csv_files, store
 
 
@@ -90,8 +90,8 @@ def _event_days(spark, sf_dir):
 def sink_by_day_roundtrip(spark, sf_dir):
     path = new_folder(spark, "by-day")
     events = _event_days(spark, sf_dir)
-    store.write_by_day(events, path, "event_date")
-    return store.read_days(spark, path, events.schema)
+    store.write_partitions(events.withColumn("day", F.col("event_date")), path)
+    return store.read_partitions(spark, path, events.schema)
 
 
 @query(f"""
@@ -108,10 +108,11 @@ def upsert_keep_larger(spark, sf_dir):
     # Two fetches of the same days: the low readings are stored, the high ones come in.
     path = new_folder(spark, "upsert")
     events = _event_days(spark, sf_dir)
+    dated = events.withColumn("day", F.col("event_date"))
     stored = F.col("value") < 34.65
-    store.write_by_day(events.filter(stored), path, "event_date")
-    store.upsert_by_day(events.filter(~stored), path, "event_date")
-    return store.read_days(spark, path, events.schema)
+    store.write_partitions(dated.filter(stored), path)
+    store.upsert_larger(dated.filter(~stored), path)
+    return store.read_partitions(spark, path, events.schema)
 
 
 @query("""
@@ -131,7 +132,7 @@ def write_daily_files(spark, sf_dir, path: str) -> None:
     Departures up to the 10th of a month have the full header, up to the 20th another order, and
     later ones no destination column; arrivals up to the 15th have the origin last.
     """
-    flights = nested.flatten_flights(adapters.legs(spark, sf_dir), ZONE)
+    flights = staged(nested.flatten_flights(adapters.legs(spark, sf_dir), ZONE), "flights")
     reached = flights.filter(F.col("destination_airport_ICAO").isNotNull())
     points = adapters.point_rows(spark, sf_dir)
     full = schemas.FLIGHTS.names

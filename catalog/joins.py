@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from catalog import adapters
 from catalog.registry import query, table
 from legtrail.functions import times
+from legtrail.functions.rows import BLOCK
 from legtrail.operators import enrich, nested, ordinal, quality, trajectory
 
 HOUR = 3600
@@ -20,7 +21,7 @@ def _nested_orders(spark, sf_dir):
         ["id"],
         order=["line"],
         fields=["copies"],
-        block=F.floor((F.col("line") - 1) / trajectory.BLOCK),
+        block=times.whole_slices(F.col("line").cast("bigint") - 1, BLOCK),
     )
 
 
@@ -109,7 +110,8 @@ WITH {adapters.LEGS}, {adapters.TELEMETRY}
 SELECT leg_id, time AS grid_time, tie AS event_id, velocity
 FROM (SELECT leg_id, ICAO24, date_trunc('hour', departure_time) AS dep,
              date_trunc('hour', arrival_time) AS arr FROM legs) l
-JOIN (SELECT ICAO24, date_trunc('hour', time) AS time, tie, velocity FROM telemetry) t
+JOIN (SELECT ICAO24, date_trunc('hour', time) AS time, max(tie) AS tie,
+             arg_max(velocity, tie) AS velocity FROM telemetry GROUP BY ALL) t
   ON l.ICAO24 = t.ICAO24 AND t.time BETWEEN l.dep AND l.arr""")
 def trajectory_grid_exact(spark, sf_dir):
     legs = adapters.legs(spark, sf_dir).select(
@@ -124,8 +126,10 @@ def trajectory_grid_exact(spark, sf_dir):
         F.col("tie").alias("event_id"),
         "velocity",
     )
-    points = trajectory.sample_exact(legs, states, step=HOUR)
-    return points.select("leg_id", "grid_time", "event_id", "velocity")
+    points = trajectory.sample_exact(legs, states, HOUR, ["event_id", "velocity"], "event_id")
+    return points.select(
+        "leg_id", times.from_micros("grid_micros").alias("grid_time"), "event_id", "velocity"
+    )
 
 
 @query(f"""

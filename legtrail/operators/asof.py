@@ -12,10 +12,18 @@ from legtrail.functions import times
 _STATE = "_state"
 
 
-def _one_state_per_instant(states, key, time, values, tie):
+def one_state_per_time(
+    states: DataFrame,
+    key: Sequence[str],
+    time: str,
+    values: Sequence[str],
+    tie: str | None = None,
+) -> DataFrame:
+    """States reduced to one per key and time: the one with the greatest ``tie``, or without it the
+    greatest values. Reduced before the shuffle; fixed-size values stay in a hash table."""
     grouped = states.groupBy(*key, time)
     if not values:
-        return grouped.agg(F.count("*").alias("_copies")).drop("_copies")
+        return states.select(*key, time).distinct()
     if tie is None:
         whole = F.struct(*values)
         return grouped.agg(F.max(whole).alias("_v")).select(*key, time, "_v.*")
@@ -42,7 +50,7 @@ def asof(
     A slice starts from the state carried over from the slices before it; the carrying looks at
     one row per key and non-empty slice. Values of fixed size keep the reduction in a hash table.
     """
-    single = _one_state_per_instant(states, key, state_time, values, tie)
+    single = one_state_per_time(states, key, state_time, values, tie)
     states = single.select(
         *key,
         F.col(state_time).alias("_time"),

@@ -33,10 +33,11 @@ def attach_dates(
     flights: DataFrame,
     id: str = "id",
     columns: Sequence[str] = ("arrival_date", "departure_date"),
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Points with the dates of their flight. Points of unknown flights stay; a point whose id
+    """Points with the dates of their flight (of the same ``by``). Points of unknown flights stay; a point whose id
     stands for several flight rows comes once per row."""
-    return left_join_null_safe(points, flights, [id], columns)
+    return left_join_null_safe(points, flights, [*by, id], columns)
 
 
 def airport_metadata(

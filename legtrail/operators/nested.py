@@ -4,7 +4,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from legtrail import schemas
 from legtrail.functions import names, times
 
 
@@ -85,7 +84,3 @@ def nest_trajectories(
 def trajectories(flights: DataFrame, key: Sequence[str], series: str = "state_vectors") -> DataFrame:
     """Only key, block and series of nested flights."""
     return flights.select(*key, "block", series)
-
-
-def empty_flights(spark) -> DataFrame:
-    return spark.createDataFrame([], schemas.FLIGHTS)

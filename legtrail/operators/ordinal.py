@@ -4,6 +4,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from legtrail.functions.rows import repeat
+
 
 def with_ordinal(
     rows: DataFrame,
@@ -45,7 +47,6 @@ def with_ordinal(
         .rowsBetween(W.unboundedPreceding, -1)
     )
     numbered = together.withColumn("_before", F.sum("_n").over(earlier_rows)).filter("_kind = 1")
-    return numbered.select(
-        *columns,
-        F.explode(F.sequence(F.col("_before") + 1, F.col("_before") + F.col("_n"))).alias(name),
+    return repeat(numbered, F.col("_n"), "_copy").select(
+        *columns, (F.col("_before") + F.col("_copy") + 1).alias(name)
     )

@@ -1,6 +1,7 @@
 """Completeness and integrity checks."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -39,14 +40,24 @@ def missing_dates(
     )
 
 
-def orphans(points: DataFrame, flights: DataFrame, id: str = "id", flight_id: str = "id") -> DataFrame:
-    """Ids of points that no flight has, with their number of points; null counts as an id.
+def orphans(
+    points: DataFrame,
+    flights: DataFrame,
+    id: str = "id",
+    flight_id: str = "id",
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Ids of points that no flight (of the same ``by``) has, with their number of points.
 
-    Points are counted per id before the join, so long trajectories do not move.
+    Null counts as an id. Points are counted per id before the join, so long trajectories do not
+    move.
     """
-    counted = points.groupBy(F.col(id).alias("id")).agg(F.count("*").alias("n_points"))
-    known = flights.select(F.col(flight_id).alias("_known")).distinct()
-    return counted.join(known, F.col("id").eqNullSafe(F.col("_known")), "left_anti")
+    counted = points.groupBy(*by, F.col(id).alias("id")).agg(F.count("*").alias("n_points"))
+    known = flights.select(
+        *[F.col(c).alias(f"_{c}") for c in by], F.col(flight_id).alias("_id")
+    ).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*by, "id")]
+    return counted.join(known, reduce(Column.__and__, same), "left_anti")
 
 
 def multi_date_chunks(rows: DataFrame, chunk: str, date: str) -> DataFrame:

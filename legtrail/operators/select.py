@@ -1,5 +1,7 @@
 """Which movements: by airport and time range, latest day, rolling months."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from legtrail.functions import times
@@ -10,30 +12,46 @@ def in_local_range(time: str, start: str, end: str, zone: str) -> Column:
     return F.col(time).between(times.local_bound(start, zone), times.local_bound(end, zone))
 
 
-def airport_departures(
-    flights: DataFrame,
+def departs(
     airport: str,
     start: str,
     end: str,
     zone: str,
     origin: str = "origin_airport",
     time: str = "departure_time",
-) -> DataFrame:
-    """Flights that left ``airport`` between ``start`` and ``end``, local time, both included."""
-    return flights.filter((F.col(origin) == airport) & in_local_range(time, start, end, zone))
+) -> Column:
+    """Condition: left ``airport`` between ``start`` and ``end``, local time, both included."""
+    return (F.col(origin) == airport) & in_local_range(time, start, end, zone)
 
 
-def airport_arrivals(
-    flights: DataFrame,
+def arrives(
     airport: str,
     start: str,
     end: str,
     zone: str,
     destination: str = "destination_airport",
     time: str = "arrival_time",
-) -> DataFrame:
-    """Flights that reached ``airport`` between ``start`` and ``end``, local time, both included."""
-    return flights.filter((F.col(destination) == airport) & in_local_range(time, start, end, zone))
+) -> Column:
+    """Condition: reached ``airport`` between ``start`` and ``end``, local time, both included."""
+    return (F.col(destination) == airport) & in_local_range(time, start, end, zone)
+
+
+def airport_departures(flights: DataFrame, *range_, **columns) -> DataFrame:
+    """Flights that meet :func:`departs`."""
+    return flights.filter(departs(*range_, **columns))
+
+
+def airport_arrivals(flights: DataFrame, *range_, **columns) -> DataFrame:
+    """Flights that meet :func:`arrives`."""
+    return flights.filter(arrives(*range_, **columns))
+
+
+def movements(records: DataFrame, families: dict[str, Column], family: str = "family") -> DataFrame:
+    """Several selections in one pass: a row comes once per family whose condition it meets."""
+    met = [F.when(condition, F.lit(name)) for name, condition in families.items()]
+    return records.filter(reduce(Column.__or__, families.values())).withColumn(
+        family, F.explode(F.array_compact(F.array(*met)))
+    )
 
 
 def on_days(rows: DataFrame, days: DataFrame, time: str, zone: str, day: str = "day") -> DataFrame:

@@ -5,11 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from legtrail.functions import times
-from legtrail.operators.asof import asof
-
-#: Grid steps per array; longer flights are laid out in several.
-BLOCK = 1024
-
+from legtrail.functions.rows import repeat
+from legtrail.operators.asof import asof, one_state_per_time
 
 def grid(
     flights: DataFrame,
@@ -22,46 +19,43 @@ def grid(
     Flights without both ends in order give none. Only whole-number arithmetic per grid row.
     """
     micros = step * times.MICROS_PER_SECOND
-    first = F.col("_block") * BLOCK
+    start, span = F.col("_from"), times.epoch_micros(arrival) - F.col("_from")
+    flown = flights.filter(F.col(arrival) >= F.col(departure)).withColumn(
+        "_from", times.epoch_micros(departure)
+    )
     return (
-        flights.filter(F.col(arrival) >= F.col(departure))
-        .withColumn("_from", times.epoch_micros(departure))
-        .withColumn("_last", times.whole_slices(times.epoch_micros(arrival) - F.col("_from"), micros))
-        .withColumn(
-            "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), times.whole_slices("_last", BLOCK)))
-        )
-        .withColumn(
-            "grid_step",
-            F.explode(F.sequence(first, F.least(F.col("_last"), first + (BLOCK - 1)))),
-        )
-        .withColumn("grid_micros", F.col("_from") + F.col("grid_step") * micros)
-        .drop("_from", "_last", "_block")
+        repeat(flown, times.whole_slices(span, micros) + 1, "grid_step")
+        .withColumn("grid_micros", start + F.col("grid_step") * micros)
+        .drop("_from")
     )
 
 
+def _states(telemetry, aircraft, time, values, tie):
+    tied = [tie] if tie and tie not in values else []
+    return telemetry.select(aircraft, times.epoch_micros(time).alias("grid_micros"), *values, *tied)
+
+
 def sample_exact(
     flights: DataFrame,
     telemetry: DataFrame,
     step: int,
+    values: Sequence[str],
+    tie: str | None = None,
     aircraft: str = "ICAO24",
     time: str = "time",
     departure: str = "departure_time",
     arrival: str = "arrival_time",
 ) -> DataFrame:
-    """Telemetry rows that lie on a flight's grid, with the flight's columns and ``grid_time``.
+    """The state at each grid time, for telemetry that lies on the grid.
 
     Laying out the grid turns the interval join into an equality on (aircraft, time): no range
     condition, no buckets with edges, and a join key so fine that no aircraft is a hot key. A grid
     time without telemetry gives no row.
     """
-    grid_rows = grid(flights, step, departure, arrival)
-    states = telemetry.withColumnsRenamed({aircraft: "_aircraft", time: "grid_time"}).withColumn(
-        "_micros", times.epoch_micros("grid_time")
+    states = one_state_per_time(
+        _states(telemetry, aircraft, time, values, tie), [aircraft], "grid_micros", values, tie
     )
-    return grid_rows.join(
-        states,
-        (F.col(aircraft) == F.col("_aircraft")) & (F.col("grid_micros") == F.col("_micros")),
-    ).drop("_aircraft", "_micros")
+    return grid(flights, step, departure, arrival).join(states, [aircraft, "grid_micros"])
 
 
 def sample_asof(
@@ -81,14 +75,12 @@ def sample_asof(
 
     A grid time before the aircraft's first state gives no row.
     """
-    tied = [tie] if tie and tie not in values else []
-    states = telemetry.select(aircraft, times.epoch_micros(time).alias("_micros"), *values, *tied)
     found = asof(
         grid(flights, step, departure, arrival),
-        states,
+        _states(telemetry, aircraft, time, values, tie),
         key=[aircraft],
         time="grid_micros",
-        state_time="_micros",
+        state_time="grid_micros",
         values=values,
         tie=tie,
         slice_width=slice_seconds * times.MICROS_PER_SECOND,

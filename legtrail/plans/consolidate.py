@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from legtrail import schemas
 from legtrail.functions import names
 from legtrail.operators import select
+from legtrail.plans import ingest
 from legtrail.sources import csv_files, store
 
 #: Sort of each dataset; the columns after the first only make the order total.
@@ -41,11 +42,15 @@ def daily_files(
 def daily_store(
     spark: SparkSession, folder: str, family: str, as_of: date, days: int = 120, fmt: str = "parquet"
 ) -> DataFrame:
-    """One family of a day-partitioned store; of point families only the folders of recent months."""
-    rows = store.read_days(spark, f"{folder}/{family}", schemas.family_schema(family), fmt)
-    if family in _POINT_DAY:
-        rows = select.rolling_months(rows, "day", F.lit(as_of), days)
-    return rows.drop("day")
+    """One family of an ingest store; of point families only the folders of recent months."""
+    is_points = family in _POINT_DAY
+    path = ingest.points_path(folder) if is_points else ingest.flights_path(folder)
+    rows = store.read_partitions(
+        spark, path, schemas.family_schema(family), ingest.PARTITIONS, fmt
+    ).filter(F.col(store.FAMILY) == family)
+    if is_points:
+        rows = select.rolling_months(rows, store.DAY, F.lit(as_of), days)
+    return rows.drop(*ingest.PARTITIONS)
 
 
 def consolidate_datasets(daily: dict[str, DataFrame], out: str, fmt: str = "parquet") -> dict[str, str]:

@@ -5,7 +5,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from legtrail.functions import times
-from legtrail.operators import enrich, nested, quality, select, trajectory
+from legtrail.functions.rows import BLOCK
+from legtrail.operators import enrich, nested, quality, select
 from legtrail.plans.ingest import sampled
 from legtrail.session import staged
 
@@ -18,8 +19,7 @@ class LatestDay(NamedTuple):
     agreement: DataFrame
     departures: DataFrame
     arrivals: DataFrame
-    nested_departures: DataFrame
-    nested_arrivals: DataFrame
+    nested: DataFrame
 
 
 def with_trajectories(flights: DataFrame, telemetry: DataFrame, **sampling) -> DataFrame:
@@ -33,7 +33,7 @@ def with_trajectories(flights: DataFrame, telemetry: DataFrame, **sampling) -> D
         FLIGHT_KEY,
         order=["grid_step"],
         fields=["requested_time", "longitude", "latitude", "geo_altitude", "velocity"],
-        block=F.floor(F.col("grid_step") / trajectory.BLOCK),
+        block=times.whole_slices("grid_step", BLOCK),
     )
 
 
@@ -51,7 +51,7 @@ def explore_latest_day(
     details: tuple[str, ...] = (),
     **sampling,
 ) -> LatestDay:
-    """Recent movements, those of the latest day, and the latter with trajectories.
+    """Movements of the latest day, plain and with trajectories inside (column ``direction``).
 
     The latest day is the last departure date among recent arrivals.
     """
@@ -65,18 +65,24 @@ def explore_latest_day(
     )
     day = recent_arrivals.agg(F.max("departure_date")).scalar()
 
-    def whole_day(rows, time):
-        bounds = F.col(time).between(times.day_start(day, zone), times.day_end(day, zone))
-        flights = nested.flatten_flights(rows.filter(bounds), zone)
-        if airports is not None:
-            ends = {"departure_airport_ICAO": "origin_", "destination_airport_ICAO": "destination_"}
-            flights = enrich.airport_metadata(flights, airports, code, details, ends)
-        return with_trajectories(flights, telemetry, step=step, **sampling)
+    def that_day(time):
+        return F.col(time).between(times.day_start(day, zone), times.day_end(day, zone))
 
+    chosen = select.movements(
+        records,
+        {
+            "departure": (F.col("origin_airport") == airport) & that_day("departure_time"),
+            "arrival": (F.col("destination_airport") == airport) & that_day("arrival_time"),
+        },
+        "direction",
+    )
+    flights = nested.flatten_flights(chosen, zone, keep=["direction"])
+    if airports is not None:
+        ends = {"departure_airport_ICAO": "origin_", "destination_airport_ICAO": "destination_"}
+        flights = enrich.airport_metadata(flights, airports, code, details, ends)
     return LatestDay(
         agreement=quality.latest_day_agreement(recent_departures, recent_arrivals),
         departures=recent_departures.filter(F.col("departure_date") == day),
         arrivals=recent_arrivals.filter(F.col("arrival_date") == day),
-        nested_departures=whole_day(leaving, "departure_time"),
-        nested_arrivals=whole_day(reaching, "arrival_time"),
+        nested=with_trajectories(flights, telemetry, step=step, **sampling),
     )

@@ -1,13 +1,18 @@
-"""Movements of an airport and their trajectories into day-partitioned stores."""
+"""Movements of an airport and their trajectories into a store partitioned by family and day.
+
+Both directions go through together: one pass over the flight records, one over the telemetry, one
+write per store. A flight that is in both families is sampled once.
+"""
 
 from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from legtrail import schemas
 from legtrail.functions import times
+from legtrail.functions.rows import repeat
 from legtrail.operators import enrich, nested, quality, select, trajectory
 from legtrail.session import staged
 from legtrail.sources import store
@@ -15,9 +20,25 @@ from legtrail.sources import store
 #: Most aircraft that are broadcast to thin out telemetry before it is shuffled.
 MAX_BROADCAST_AIRCRAFT = 500_000
 
+PARTITIONS = (store.FAMILY, store.DAY)
+
 _POINT_KEYS = ("ICAO24", "departure_time", "arrival_time", "id")
 
 
+def flights_path(folder: str) -> str:
+    return f"{folder}/flights"
+
+
+def points_path(folder: str) -> str:
+    return f"{folder}/points"
+
+
+def _day() -> Column:
+    """Departure date of departures, arrival date of arrivals."""
+    is_departure = F.col(store.FAMILY) == schemas.DEPARTURES
+    return F.when(is_departure, F.col("departure_date")).otherwise(F.col("arrival_date"))
+
+
 def of_these_aircraft(telemetry: DataFrame, flights: DataFrame) -> DataFrame:
     """Telemetry of the aircraft that fly, up to the last arrival.
 
@@ -38,17 +59,15 @@ def sampled(
     exact: bool = True,
     tie: str | None = None,
 ) -> DataFrame:
-    """Grid points of flights with the flight's keys and ``grid_step``.
+    """Grid points of flights with the flight's columns and ``grid_step``.
 
     ``exact``: telemetry lies on the grid; otherwise the last state before each grid time counts.
     ``telemetry`` has ICAO24, time and state columns; states it lacks become null.
     """
     telemetry = of_these_aircraft(telemetry, flights)
     present = [name for name in schemas.STATE_FIELDS if name in telemetry.columns]
-    if exact:
-        points = trajectory.sample_exact(flights, telemetry, step)
-    else:
-        points = trajectory.sample_asof(flights, telemetry, step, present, tie)
+    sample = trajectory.sample_exact if exact else trajectory.sample_asof
+    points = sample(flights, telemetry, step, present, tie)
     absent = {
         name: F.lit(None).cast(schemas.STATE_VECTORS[name].dataType)
         for name in schemas.STATE_FIELDS
@@ -60,37 +79,51 @@ def sampled(
 
 
 def points_of(flights: DataFrame, telemetry: DataFrame, **sampling) -> DataFrame:
-    """State-vector rows of flights. Copies of a flight are sampled once and then repeated."""
-    once = flights.groupBy(*_POINT_KEYS).agg(F.count("*").cast("int").alias("_copies"))
-    points = sampled(once, telemetry, **sampling)
-    repeated = points.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    """State-vector rows of flights, for each family.
+
+    Copies of a flight, in one family or both, are sampled once. Their points are repeated last,
+    after the dates are attached.
+    """
+    families = (schemas.DEPARTURES, schemas.ARRIVALS)
+    once = flights.groupBy(*_POINT_KEYS).agg(
+        F.array(
+            *[
+                F.struct(F.lit(name).alias("name"), F.count_if(F.col(store.FAMILY) == name).alias("n"))
+                for name in families
+            ]
+        ).alias("_in")
+    )
+    points = (
+        sampled(once, telemetry, **sampling)
+        .withColumn("_in", F.explode(F.filter("_in", lambda member: member.n > 0)))
+        .withColumn(store.FAMILY, F.col("_in.name"))
+    )
     series = [name for name in schemas.STATE_VECTORS.names if not name.endswith("_date")]
-    return enrich.attach_dates(repeated.select(*series), flights)
+    dated = enrich.attach_dates(
+        points.select(*series, store.FAMILY, F.col("_in.n").alias("_n")),
+        flights,
+        by=[store.FAMILY],
+    )
+    return repeat(dated, F.col("_n"), "_copy").select(*schemas.STATE_VECTORS.names, store.FAMILY)
 
 
 def save(
-    families: dict[str, tuple[DataFrame, str]],
-    telemetry: DataFrame,
-    folder: str,
-    fmt: str = "parquet",
-    **sampling,
+    flights: DataFrame, telemetry: DataFrame, folder: str, fmt: str = "parquet", **sampling
 ) -> DataFrame:
-    """Upsert flights and their points for each family ``name: (flights, date column)``.
+    """Upsert flight rows with their family, and the points of these flights.
 
-    All days go in one job per dataset. Gives the decision per family and day.
+    Gives the decision per family and day.
     """
-    decisions = []
-    for family, (flights, day) in families.items():
-        flights = staged(flights, "flights")
-        points = staged(points_of(flights, telemetry, **sampling), "points")
-        if not quality.orphans(points, flights).isEmpty():
-            raise ValueError(f"{family}: points of unknown flights")
-        for name, rows in ((family, flights), (f"{family}_SV", points)):
-            decided = store.upsert_by_day(
-                rows, f"{folder}/{name}", day, schemas.family_schema(name), fmt, is_staged=True
-            )
-            decisions.append(decided.withColumn("family", F.lit(name)))
-    return reduce(DataFrame.unionByName, decisions)
+    flights = staged(flights.withColumn(store.DAY, _day()), "flights")
+    points = staged(points_of(flights, telemetry, **sampling), "points")
+    if not quality.orphans(points, flights, by=[store.FAMILY]).isEmpty():
+        raise ValueError("points of unknown flights")
+    points = points.withColumn(store.DAY, _day()).withColumn(
+        store.FAMILY, F.concat(store.FAMILY, F.lit("_SV"))
+    )
+    return store.upsert_larger(
+        flights, flights_path(folder), PARTITIONS, fmt, is_staged=True
+    ).unionByName(store.upsert_larger(points, points_path(folder), PARTITIONS, fmt, is_staged=True))
 
 
 def ingest_movements(
@@ -105,30 +138,35 @@ def ingest_movements(
     **options,
 ) -> DataFrame:
     """Departures and arrivals of ``airport`` between two local times, with trajectories."""
-    departures = select.airport_departures(records, airport, start, end, zone)
-    arrivals = select.airport_arrivals(records, airport, start, end, zone)
-    families = {
-        schemas.DEPARTURES: (nested.flatten_flights(departures, zone), "departure_date"),
-        schemas.ARRIVALS: (nested.flatten_flights(arrivals, zone), "arrival_date"),
-    }
-    return save(families, telemetry, folder, step=step, **options)
+    chosen = select.movements(
+        records,
+        {
+            schemas.DEPARTURES: select.departs(airport, start, end, zone),
+            schemas.ARRIVALS: select.arrives(airport, start, end, zone),
+        },
+    )
+    flights = nested.flatten_flights(chosen, zone, keep=[store.FAMILY])
+    return save(flights, telemetry, folder, step=step, **options)
 
 
 def stored_counts(spark, folder: str, days: DataFrame, fmt: str = "parquet") -> DataFrame:
     """``(day, family, n)`` of all families of a store on some days; other days are not read."""
     bounds = days.agg(F.min("day").alias("first"), F.max("day").alias("last"))
     first, last = bounds.select("first").scalar(), bounds.select("last").scalar()
-    per_family = [
+    counts = [
         quality.family_counts(
-            store.read_days(spark, f"{folder}/{family}", schemas.family_schema(family), fmt).filter(
-                F.col("day").between(first, last)
+            store.read_partitions(spark, path, schema, PARTITIONS, fmt).filter(
+                F.col(store.DAY).between(first, last)
             ),
-            "day",
-            F.lit(family),
+            store.DAY,
+            store.FAMILY,
+        )
+        for path, schema in (
+            (flights_path(folder), schemas.FLIGHTS),
+            (points_path(folder), schemas.STATE_VECTORS),
         )
-        for family in schemas.FAMILIES
     ]
-    return reduce(DataFrame.unionByName, per_family)
+    return reduce(DataFrame.unionByName, counts)
 
 
 def backfill_missing_days(
@@ -152,14 +190,15 @@ def backfill_missing_days(
     wanted = quality.spine(spark.range(1), times.look_back(F.lit(as_of), days))
     counts = stored_counts(spark, folder, wanted, fmt)
     missing = staged(quality.missing_dates(wanted, counts, families), "missing")
-    departures = select.on_days(
-        records.filter(F.col("origin_airport") == airport), missing, "departure_time", zone
+    either = select.movements(
+        records,
+        {
+            schemas.DEPARTURES: F.col("origin_airport") == airport,
+            schemas.ARRIVALS: F.col("destination_airport") == airport,
+        },
     )
-    arrivals = select.on_days(
-        records.filter(F.col("destination_airport") == airport), missing, "arrival_time", zone
-    )
-    selected = {
-        schemas.DEPARTURES: (nested.flatten_flights(departures, zone), "departure_date"),
-        schemas.ARRIVALS: (nested.flatten_flights(arrivals, zone), "arrival_date"),
-    }
-    return save(selected, telemetry, folder, fmt, step=step, **options)
+    is_departure = F.col(store.FAMILY) == schemas.DEPARTURES
+    moved = F.when(is_departure, F.col("departure_time")).otherwise(F.col("arrival_time"))
+    chosen = select.on_days(either.withColumn("moved", moved), missing, "moved", zone)
+    flights = nested.flatten_flights(chosen, zone, keep=[store.FAMILY])
+    return save(flights, telemetry, folder, fmt, step=step, **options)

@@ -3,7 +3,8 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -> SparkSession:
@@ -46,3 +47,9 @@ def staged(df: DataFrame, purpose: str = "staged") -> DataFrame:
     path = new_folder(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, but typed."""
+    nothing = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
+    return spark.range(0).select(*nothing)

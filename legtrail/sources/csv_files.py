@@ -1,6 +1,7 @@
 """Typed CSV whose header order and column set differ from file to file."""
 
 from collections import defaultdict
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
@@ -13,6 +14,8 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from legtrail.session import empty
+
 # Null text and instant format of the CSV files.
 NULL_TEXT = "NA"
 INSTANT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]'Z'"
@@ -100,18 +103,28 @@ def scan(
     """
     by_header = defaultdict(list)
     anchor = anchor or schema.names[0]
-    for row in file_headers(spark, path, anchor, name_regex, part).toLocalIterator():
+    for row in file_headers(spark, path, anchor, name_regex, part).collect():
         if row.header is None:
             raise ValueError(f"no header with a column {anchor!r} in {row.file}")
         by_header[tuple(row.header)].append(row.file)
 
-    result = spark.createDataFrame([], schema)
     known = {field.name: field for field in schema}
+    parts = []
     for header, files in sorted(by_header.items()):
         fields = [known.get(name, StructField(name, StringType())) for name in header]
         part_scan = scan_same_header(spark, sorted(files), StructType(fields))
-        result = result.unionByName(part_scan, allowMissingColumns=True)
-    return result
+        parts.append(
+            part_scan.select(
+                *[
+                    F.col(name) if name in header else F.lit(None).cast(field.dataType).alias(name)
+                    for name, field in known.items()
+                ],
+                *[name for name in header if name not in known],
+            )
+        )
+    if not parts:
+        return empty(spark, schema)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def text_column(field: StructField) -> Column:

@@ -1,38 +1,54 @@
-"""Day-partitioned stores and consolidated sorted datasets."""
+"""Partitioned stores and consolidated sorted datasets.
+
+A store has one folder per day, or per family and day. Its partition columns are not in the files;
+the date a day was taken from stays in them.
+"""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from legtrail.session import staged
+from legtrail.session import empty, staged
 from legtrail.sources import csv_files
 
-#: Partition column of a store; the date column it repeats stays in the files.
+# Partition columns.
 DAY = "day"
+FAMILY = "family"
+#: Most files whose row counts are broadcast, about 100 bytes each.
+MAX_BROADCAST_FILES = 200_000
+_PARTITION_TYPES = {DAY: DateType(), FAMILY: StringType()}
 
 
-def write_by_day(df: DataFrame, path: str, day: str, fmt: str = "parquet") -> None:
-    """Write one folder per date of column ``day``, replacing only the days present in ``df``.
+def write_partitions(
+    df: DataFrame, path: str, by: Sequence[str] = (DAY,), fmt: str = "parquet"
+) -> None:
+    """Write one folder per value of the columns ``by``, replacing only folders present in ``df``.
 
     The rebalance lets AQE split a day that holds most rows over several tasks and files, and put
-    small days together. A null date gets a folder of its own.
+    small days together. A null day gets a folder of its own.
     """
     if fmt == "csv":
-        rows = csv_files.csv_text(df).withColumn(DAY, F.col(day))
-        writer = csv_files.csv_writer(rows.hint("rebalance", DAY))
+        writer = csv_files.csv_writer(csv_files.csv_text(df).hint("rebalance", *by))
     else:
-        writer = df.withColumn(DAY, F.col(day)).hint("rebalance", DAY).write.format(fmt)
-    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).save(path)
+        writer = df.hint("rebalance", *by).write.format(fmt)
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).save(path)
 
 
-def read_days(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
-    """Rows of a store with their day, empty but typed if nothing was written yet.
+def read_partitions(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    by: Sequence[str] = (DAY,),
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Rows of a store, empty but typed if nothing was written yet; ``schema`` is without ``by``.
 
-    Filters on the day column prune folders.
+    Filters on the partition columns prune folders.
     """
-    full = StructType(list(schema.fields) + [StructField(DAY, DateType())])
+    full = StructType([*schema.fields, *[StructField(c, _PARTITION_TYPES[c]) for c in by]])
     reader = spark.read.schema(full)
     if fmt == "csv":
         reader = reader.options(**csv_files.READ_OPTIONS)
@@ -41,12 +57,12 @@ def read_days(spark: SparkSession, path: str, schema: StructType, fmt: str = "pa
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], full)
+        return empty(spark, full)
 
 
-def day_counts(df: DataFrame, day: str = DAY) -> DataFrame:
-    """``(day, n)``: number of rows per date."""
-    return df.groupBy(F.col(day).alias(DAY)).agg(F.count("*").alias("n"))
+def row_counts(df: DataFrame, by: Sequence[str] = (DAY,)) -> DataFrame:
+    """Number of rows ``n`` per partition."""
+    return df.groupBy(*by).agg(F.count("*").alias("n"))
 
 
 def keep_larger(n_new, n_old) -> Column:
@@ -54,38 +70,42 @@ def keep_larger(n_new, n_old) -> Column:
     return F.coalesce(n_new, F.lit(0)) > F.coalesce(n_old, F.lit(0))
 
 
-def upsert_by_day(
+def _same(by: Sequence[str], prefix: str) -> Column:
+    return reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(prefix + c)) for c in by])
+
+
+def upsert_larger(
     incoming: DataFrame,
     path: str,
-    day: str,
-    schema: StructType | None = None,
+    by: Sequence[str] = (DAY,),
     fmt: str = "parquet",
     is_staged: bool = False,
 ) -> DataFrame:
-    """Replace each day of a store for which ``incoming`` has more rows than the store holds.
+    """Replace each partition of a store for which ``incoming`` has more rows than the store holds.
 
-    Incoming rows are written to the shared folder once (``is_staged``: they already are); from the store only counts are read. The
-    winning days are fixed before any is overwritten, so a repeated task cannot change its mind.
-    Gives ``(day, n_new, n_old, replaced)``, one row per incoming day.
+    Incoming rows are written to the shared folder once (``is_staged``: they already are); from the
+    store only counts are read. The winning partitions are fixed before any is overwritten, so a
+    repeated task cannot change its mind, and the store is never source and target of rows at once.
+    Gives ``by, n_new, n_old, replaced``, one row per incoming partition.
     """
     spark = incoming.sparkSession
-    schema = schema or incoming.schema
     incoming = incoming if is_staged else staged(incoming, "incoming")
-    old = day_counts(read_days(spark, path, schema, fmt)).withColumnRenamed("n", "n_old")
-    new = day_counts(incoming, day).withColumnRenamed("n", "n_new")
+    schema = StructType([field for field in incoming.schema if field.name not in by])
+    old = row_counts(read_partitions(spark, path, schema, by, fmt), by).withColumnsRenamed(
+        {"n": "n_old", **{c: f"old_{c}" for c in by}}
+    )
+    new = row_counts(incoming, by).withColumnRenamed("n", "n_new")
     decision = staged(
-        new.join(old.withColumnRenamed(DAY, "old_day"), F.col(DAY).eqNullSafe(F.col("old_day")), "left")
-        .select(
-            DAY,
+        new.join(old, _same(by, "old_"), "left").select(
+            *by,
             "n_new",
             F.coalesce("n_old", F.lit(0)).alias("n_old"),
             keep_larger(F.col("n_new"), F.col("n_old")).alias("replaced"),
         ),
         "decision",
     )
-    winners = decision.filter("replaced").select(F.col(DAY).alias("won_day"))
-    rows = incoming.join(winners, F.col(day).eqNullSafe(F.col("won_day")), "left_semi")
-    write_by_day(rows, path, day, fmt)
+    winners = decision.filter("replaced").select(*[F.col(c).alias(f"won_{c}") for c in by])
+    write_partitions(incoming.join(winners, _same(by, "won_"), "left_semi"), path, by, fmt)
     return decision
 
 
@@ -108,9 +128,10 @@ def with_position(spark: SparkSession, path: str, name: str = "position") -> Dat
     """Rows of a compacted Parquet dataset with their 1-based position in it.
 
     The position is the row's place in its file plus the lengths of the files before it; only one
-    row per file goes through the running sum.
+    row per file goes through the running sum, and is broadcast if the files are not too many.
     """
-    rows = spark.read.parquet(path).select(
+    dataset = spark.read.parquet(path)
+    rows = dataset.select(
         "*",
         F.col("_metadata.file_name").alias("_file"),
         F.col("_metadata.row_index").alias("_row"),
@@ -124,6 +145,8 @@ def with_position(spark: SparkSession, path: str, name: str = "position") -> Dat
         .agg(F.count("*").alias("_n"))
         .select("_file", F.coalesce(F.sum("_n").over(in_order), F.lit(0)).alias("_before"))
     )
+    if len(dataset.inputFiles()) <= MAX_BROADCAST_FILES:
+        before = F.broadcast(before)
     return rows.join(before, "_file").select(
         *[c for c in rows.columns if c not in ("_file", "_row")],
         (F.col("_before") + F.col("_row") + 1).alias(name),

@@ -137,21 +137,21 @@ def test_exact_sampling_has_no_row_for_a_gap(spark, rows):
     # On the grid at 0, 180 and 540; 200 is off it; 360 is missing; 720 is after arrival.
     telemetry = spark.createDataFrame(
         [("a", START + timedelta(seconds=s), float(s) if s else None) for s in (0, 180, 200, 540, 720)]
-        + [("b", START, 5.0)],
+        + [("b", START, 5.0)] + [("a", START + timedelta(seconds=180), 180.0)] * 50,  # copies
         "ICAO24 string, time timestamp_ntz, longitude double",
     )
     flights = flights_of(spark, flight("a", 600), flight("a", 400, 180), flight("c", 600))
-    got = trajectory.sample_exact(flights, telemetry, 180)
+    got = trajectory.sample_exact(flights, telemetry, 180, ["longitude"])
     assert rows(got, "id", "grid_step", "longitude") == [
         ("a-0", 0, None), ("a-0", 1, 180.0), ("a-0", 3, 540.0), ("a-180", 0, 180.0), ("a-180", 2, 540.0)
     ]
 
 
 def test_exact_sampling_is_an_equality_join(spark, plan):
-    telemetry = spark.createDataFrame([("a", START)], "ICAO24 string, time timestamp_ntz")
+    telemetry = spark.createDataFrame([("a", START, 1.0)], "ICAO24 string, time timestamp_ntz, v double")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(trajectory.sample_exact(flights_of(spark, flight("a", 600)), telemetry, 180))
+        text = plan(trajectory.sample_exact(flights_of(spark, flight("a", 600)), telemetry, 180, ["v"]))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in text and "NestedLoop" not in text and "Cartesian" not in text

@@ -52,7 +52,11 @@ def telemetry(spark):
 
 
 def stored(spark, folder, family, fmt="parquet"):
-    return store.read_days(spark, f"{folder}/{family}", schemas.family_schema(family), fmt)
+    where = ingest.points_path if family.endswith("SV") else ingest.flights_path
+    rows = store.read_partitions(
+        spark, where(str(folder)), schemas.family_schema(family), ingest.PARTITIONS, fmt
+    )
+    return rows.filter(F.col("family") == family)
 
 
 def sizes(spark, folder, fmt="parquet"):
@@ -90,7 +94,7 @@ def test_ingest(spark, records, telemetry, tmp_path, exact, fmt):
     assert overnight[0].longitude is None and overnight[0].velocity == 0.0
     assert {b.requested_time - a.requested_time for a, b in zip(overnight, overnight[1:])} == {180.0}
     assert overnight[0].id == "c_2022-11-12 23:54:00"
-    assert points.columns == [*schemas.STATE_VECTORS.names, "day"]
+    assert points.columns == [*schemas.STATE_VECTORS.names, "family", "day"]
 
 
 def test_all_telemetry_beyond_the_broadcast_limit(spark, records, telemetry, tmp_path, monkeypatch):
@@ -155,10 +159,13 @@ def test_explore_latest_day(spark, records, telemetry):
     # Arrivals left on the 12th and 13th, so the latest day is the 13th.
     assert [row.ICAO24 for row in found.departures.collect()] == ["e"]
     assert sorted(row.ICAO24 for row in found.arrivals.collect()) == ["c", "f"]
-    row = found.nested_departures.first()
+    row = found.nested.filter("direction = 'departure'").first()
     assert (row.ICAO24, row.origin_latitude, row.destination_latitude) == ("e", 46.5, 47.0)
     assert [p.grid_step for p in row.state_vectors] == [0, 1, 2, 3, 4, 5, 6]
-    assert {r.ICAO24: len(r.state_vectors) for r in found.nested_arrivals.collect()} == {"c": 31, "f": 7}
+    assert {
+        r.ICAO24: len(r.state_vectors)
+        for r in found.nested.filter("direction = 'arrival'").collect()
+    } == {"c": 31, "f": 7}
     assert not found.agreement.first().agree
 
 

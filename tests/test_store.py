@@ -3,63 +3,67 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
 from legtrail.sources import store
 
 SCHEMA = "d date, k string, v int"
+FIELDS = StructType(
+    [StructField("d", DateType()), StructField("k", StringType()), StructField("v", IntegerType())]
+)
 D1, D2, D3 = date(2022, 11, 1), date(2022, 11, 2), date(2022, 11, 3)
 
 
 def frame(spark, *rows):
-    return spark.createDataFrame(list(rows), SCHEMA)
+    return spark.createDataFrame(list(rows), SCHEMA).withColumn("day", F.col("d"))
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_keep_larger_day_by_day(spark, tmp_path, rows, fmt):
     path = str(tmp_path / "s")
     old = frame(spark, (D1, "old", 1), (D1, "old", 2), (D2, "old", 1), (D2, "old", 2))
-    store.write_by_day(old, path, "d", fmt)
+    store.write_partitions(old, path, fmt=fmt)
     # D1: a tie keeps the old rows; D2: more rows win; D3: nothing stored yet.
     new = frame(
         spark, (D1, "new", 1), (D1, "new", 2), (D2, "new", 1), (D2, "new", 2), (D2, "new", 3), (D3, "new", 1)
     )
-    decision = store.upsert_by_day(new, path, "d", fmt=fmt)
+    decision = store.upsert_larger(new, path, fmt=fmt)
     assert rows(decision, "day", "n_new", "n_old", "replaced") == [
         (D1, 2, 2, False), (D2, 3, 2, True), (D3, 1, 0, True)
     ]
-    once = rows(store.read_days(spark, path, new.schema, fmt))
+    once = rows(store.read_partitions(spark, path, FIELDS, fmt=fmt))
     assert Counter((d, k) for d, k, _, day in once) == {(D1, "old"): 2, (D2, "new"): 3, (D3, "new"): 1}
     assert all(d == day for d, _, _, day in once)
 
-    again = store.upsert_by_day(new, path, "d", fmt=fmt)
+    again = store.upsert_larger(new, path, fmt=fmt)
     assert not again.filter("replaced").count()
-    assert rows(store.read_days(spark, path, new.schema, fmt)) == once
+    assert rows(store.read_partitions(spark, path, FIELDS, fmt=fmt)) == once
 
 
 def test_first_write_and_null_day(spark, tmp_path, rows):
     path = str(tmp_path / "s")
     new = frame(spark, (D1, "a", 1), (None, "b", 2))
-    assert store.read_days(spark, path, new.schema).isEmpty()
-    store.upsert_by_day(new, path, "d")
-    assert rows(store.read_days(spark, path, new.schema), "day", "k") == [(None, "b"), (D1, "a")]
-    decision = store.upsert_by_day(frame(spark, (None, "c", 1), (None, "c", 2)), path, "d")
+    assert store.read_partitions(spark, path, FIELDS).isEmpty()
+    store.upsert_larger(new, path)
+    assert rows(store.read_partitions(spark, path, FIELDS), "day", "k") == [(None, "b"), (D1, "a")]
+    decision = store.upsert_larger(frame(spark, (None, "c", 1), (None, "c", 2)), path)
     assert rows(decision, "day", "n_new", "n_old", "replaced") == [(None, 2, 1, True)]
-    assert rows(store.read_days(spark, path, new.schema), "day", "k") == [
+    assert rows(store.read_partitions(spark, path, FIELDS), "day", "k") == [
         (None, "c"), (None, "c"), (D1, "a")
     ]
 
 
 def test_empty_incoming_changes_nothing(spark, tmp_path, rows):
     path = str(tmp_path / "s")
-    store.write_by_day(frame(spark, (D1, "a", 1)), path, "d")
-    assert store.upsert_by_day(frame(spark), path, "d").isEmpty()
-    assert rows(store.read_days(spark, path, frame(spark).schema), "k") == [("a",)]
+    store.write_partitions(frame(spark, (D1, "a", 1)), path)
+    assert store.upsert_larger(frame(spark), path).isEmpty()
+    assert rows(store.read_partitions(spark, path, FIELDS), "k") == [("a",)]
 
 
 def test_day_filter_prunes_folders(spark, tmp_path, plan):
     path = str(tmp_path / "s")
-    store.write_by_day(frame(spark, (D1, "a", 1), (D2, "b", 2)), path, "d")
-    text = plan(store.read_days(spark, path, frame(spark).schema).filter(F.col("day") >= D2).select("k"))
+    store.write_partitions(frame(spark, (D1, "a", 1), (D2, "b", 2)), path)
+    text = plan(store.read_partitions(spark, path, FIELDS).filter(F.col("day") >= D2).select("k"))
     assert "PartitionFilters: [isnotnull(day" in text and "ReadSchema: struct<k:string>" in text
 
 
@@ -72,7 +76,7 @@ def test_a_day_with_most_rows_is_split_over_files(spark, tmp_path):
             F.sha2(F.col("id").cast("string"), 256).alias("k"),
             F.col("id").cast("int").alias("v"),
         ).repartition(8)
-        store.write_by_day(hot, str(tmp_path / "s"), "d")
+        store.write_partitions(hot.withColumn("day", F.col("d")), str(tmp_path / "s"))
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
     files = list((tmp_path / "s" / "day=2022-11-01").glob("*.parquet"))
@@ -96,7 +100,7 @@ def test_compaction_keeps_rows_and_order(spark, tmp_path, rows):
 
 
 def test_compaction_of_repeated_rows_to_csv(spark, tmp_path):
-    df = frame(spark, (D1, "a", 1), (D1, "a", 1), (None, "b", 2))
+    df = frame(spark, (D1, "a", 1), (D1, "a", 1), (None, "b", 2)).drop("day")
     store.compact(df, str(tmp_path / "all"), ["d", "k"], fmt="csv")
     lines = [
         line
@@ -104,3 +108,13 @@ def test_compaction_of_repeated_rows_to_csv(spark, tmp_path):
         for line in part.read_text().splitlines()[1:]
     ]
     assert lines == ["2022-11-01,a,1", "2022-11-01,a,1", "NA,b,2"]
+
+
+def test_family_and_day(spark, tmp_path, rows):
+    path, by = str(tmp_path / "s"), ["family", "day"]
+    old = frame(spark, (D1, "old", 1), (D1, "old", 2)).withColumn("family", F.lit("a"))
+    store.write_partitions(old, path, by)
+    new = frame(spark, (D1, "new", 1)).withColumn("family", F.explode(F.array(F.lit("a"), F.lit("b"))))
+    store.upsert_larger(new, path, by)
+    got = store.read_partitions(spark, path, FIELDS, by)
+    assert rows(got, "family", "k") == [("a", "old"), ("a", "old"), ("b", "new")]
