@@ -81,30 +81,31 @@ def sampled(
 def points_of(flights: DataFrame, telemetry: DataFrame, **sampling) -> DataFrame:
     """State-vector rows of flights, for each family.
 
-    Copies of a flight, in one family or both, are sampled once. Their points are repeated last,
-    after the dates are attached.
+    Every flight row gets its series, and every point comes once per flight row of its family and
+    id, with that row's dates. Both are settled among the flights: copies of a flight, in one
+    family or both, are sampled once, and no join moves the points again.
     """
-    families = (schemas.DEPARTURES, schemas.ARRIVALS)
-    once = flights.groupBy(*_POINT_KEYS).agg(
-        F.array(
-            *[
-                F.struct(F.lit(name).alias("name"), F.count_if(F.col(store.FAMILY) == name).alias("n"))
-                for name in families
-            ]
-        ).alias("_in")
+    members = flights.groupBy(*_POINT_KEYS, store.FAMILY).agg(F.count("*").alias("_n"))
+    dates = flights.groupBy("id", store.FAMILY, "arrival_date", "departure_date").agg(
+        F.count("*").alias("_m")
     )
-    points = (
-        sampled(once, telemetry, **sampling)
-        .withColumn("_in", F.explode(F.filter("_in", lambda member: member.n > 0)))
-        .withColumn(store.FAMILY, F.col("_in.name"))
-    )
-    series = [name for name in schemas.STATE_VECTORS.names if not name.endswith("_date")]
     dated = enrich.attach_dates(
-        points.select(*series, store.FAMILY, F.col("_in.n").alias("_n")),
-        flights,
-        by=[store.FAMILY],
+        members, dates, columns=["arrival_date", "departure_date", "_m"], by=[store.FAMILY]
+    )
+    times_each = (F.col("_n") * F.col("_m")).alias("n")
+    once = staged(
+        dated.groupBy(*_POINT_KEYS).agg(
+            F.collect_list(
+                F.struct(store.FAMILY, "arrival_date", "departure_date", times_each)
+            ).alias("_rows")
+        ),
+        "flown",
     )
-    return repeat(dated, F.col("_n"), "_copy").select(*schemas.STATE_VECTORS.names, store.FAMILY)
+    points = sampled(once, telemetry, **sampling).withColumn("_row", F.explode("_rows"))
+    columns = [name for name in schemas.STATE_VECTORS.names if not name.endswith("_date")]
+    return repeat(
+        points.select(*columns, "_row.*"), F.col("n"), "_copy"
+    ).select(*schemas.STATE_VECTORS.names, store.FAMILY)
 
 
 def save(

@@ -40,8 +40,8 @@ def _named(df: DataFrame, name_regex: str | None, part: str) -> DataFrame:
         return df
     if part == "file":
         return df.filter(F.col("_metadata.file_name").rlike(name_regex))
-    folder = F.regexp_extract(FILE_PATH, "(?:[^/=]*=)?([^/=]+)/[^/]+$", 1)
-    return df.filter(folder.rlike(name_regex))
+    folder = F.substring_index(F.substring_index(FILE_PATH, "/", -2), "/", 1)
+    return df.filter(F.substring_index(folder, "=", -1).rlike(name_regex))
 
 
 def scan_same_header(
@@ -76,8 +76,7 @@ def file_headers(
         F.split(F.regexp_replace("value", '["\r\ufeff]', ""), ","), lambda cell: F.trim(cell)
     )
     headers = (
-        _named(text, name_regex, part)
-        .filter(F.col("value").contains(anchor))
+        _named(text.filter(F.col("value").contains(anchor)), name_regex, part)
         .select(F.col(FILE_PATH).alias("file"), cells.alias("header"))
         .filter(F.array_contains("header", anchor))
         .distinct()
