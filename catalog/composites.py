@@ -94,7 +94,7 @@ def ingest_movements(spark, sf_dir):
         ZONE,
         step=HOUR,
         exact=False,
-        tie="tie",
+        has_tie=True,
     )
     return _stored_days(spark, folder)
 
@@ -126,7 +126,7 @@ FROM first_run a FULL JOIN second_run b USING (family, day)""")
 def backfill_missing_days(spark, sf_dir):
     folder = new_folder(spark, "movements")
     legs, telemetry = adapters.legs(spark, sf_dir), adapters.telemetry(spark, sf_dir)
-    sampling = dict(step=HOUR, exact=False, tie="tie")
+    sampling = dict(step=HOUR, exact=False, has_tie=True)
     ingest.ingest_movements(legs, telemetry, folder, HOME, *_FIRST_DAYS, ZONE, **sampling)
     ingest.backfill_missing_days(legs, telemetry, folder, HOME, _AS_OF, ZONE, **sampling)
     return _stored_days(spark, folder)
@@ -228,7 +228,7 @@ def explore_latest_day(spark, sf_dir):
         airports=airports,
         details=("n_events",),
         exact=False,
-        tie="tie",
+        has_tie=True,
     )
     cents = F.aggregate(
         "state_vectors",

@@ -5,8 +5,10 @@ write per store. A flight that is in both families is sampled once.
 """
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
+from math import ceil
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,6 +19,8 @@ from legtrail.operators import enrich, nested, quality, select, trajectory
 from legtrail.session import staged
 from legtrail.sources import store
 
+#: Grid points one task lays out.
+GRID_POINTS_PER_TASK = 500_000
 #: Most aircraft that are broadcast to thin out telemetry before it is shuffled.
 MAX_BROADCAST_AIRCRAFT = 500_000
 
@@ -39,17 +43,61 @@ def _day() -> Column:
     return F.when(is_departure, F.col("departure_date")).otherwise(F.col("arrival_date"))
 
 
-def of_these_aircraft(telemetry: DataFrame, flights: DataFrame) -> DataFrame:
-    """Telemetry of the aircraft that fly, up to the last arrival.
+class Extent(NamedTuple):
+    """What flights will need: number of aircraft and grid points, first and last microsecond."""
 
-    The aircraft are counted first. Few are broadcast, so that other telemetry never moves; beyond
-    the limit all telemetry goes on, and the join that follows sorts it out.
+    aircraft: int
+    points: int
+    first: int | None
+    last: int | None
+
+
+def extent(flights: DataFrame, step: int) -> Extent:
+    departure, arrival = times.epoch_micros("departure_time"), times.epoch_micros("arrival_time")
+    steps = times.whole_slices(arrival - departure, step * times.MICROS_PER_SECOND) + 1
+    row = (
+        flights.filter(F.col("arrival_time") >= F.col("departure_time"))
+        .groupBy("ICAO24")
+        .agg(
+            F.sum(steps).alias("points"),
+            F.min(departure).alias("first"),
+            F.max(arrival).alias("last"),
+        )
+        .agg(
+            F.count("*"),
+            F.coalesce(F.sum("points"), F.lit(0)),
+            F.min("first"),
+            F.max("last"),
+        )
+        .first()
+    )
+    return Extent(*row)
+
+
+def telemetry_for(
+    flights: DataFrame, telemetry: DataFrame, needs: Extent, exact: bool
+) -> DataFrame:
+    """The telemetry that can matter to flights, thinned out before anything is shuffled.
+
+    Bounds are constants, so they reach the scan. Few aircraft are broadcast; beyond the limit all
+    telemetry goes on, and the join that follows sorts it out. What lies before the first departure
+    is reduced to the last state of each aircraft, within each task first.
     """
-    telemetry = telemetry.filter(F.col("time") <= flights.agg(F.max("arrival_time")).scalar())
-    aircraft = flights.select("ICAO24").distinct()
-    if aircraft.count() > MAX_BROADCAST_AIRCRAFT:
-        return telemetry
-    return telemetry.join(F.broadcast(aircraft), "ICAO24", "left_semi")
+    if needs.aircraft == 0:
+        return telemetry.filter(F.lit(False))
+    first, last = times.from_micros(F.lit(needs.first)), times.from_micros(F.lit(needs.last))
+    telemetry = telemetry.filter(F.col("time") <= last)
+    if needs.aircraft <= MAX_BROADCAST_AIRCRAFT:
+        aircraft = flights.select("ICAO24").distinct()
+        telemetry = telemetry.join(F.broadcast(aircraft), "ICAO24", "left_semi")
+    during = telemetry.filter(F.col("time") >= first)
+    if exact:
+        return during
+    others = [name for name in telemetry.columns if name not in ("ICAO24", "time", "tie")]
+    tied = [name for name in telemetry.columns if name == "tie"]
+    latest = F.max(F.struct("time", *tied, *others)).alias("_latest")
+    before = telemetry.filter(F.col("time") < first).groupBy("ICAO24").agg(latest)
+    return during.unionByName(before.select("ICAO24", "_latest.*"))
 
 
 def sampled(
@@ -57,15 +105,23 @@ def sampled(
     telemetry: DataFrame,
     step: int,
     exact: bool = True,
-    tie: str | None = None,
+    has_tie: bool = False,
 ) -> DataFrame:
     """Grid points of flights with the flight's columns and ``grid_step``.
 
     ``exact``: telemetry lies on the grid; otherwise the last state before each grid time counts.
-    ``telemetry`` has ICAO24, time and state columns; states it lacks become null.
+    ``telemetry`` has ICAO24, time and state columns, those it lacks become null; with ``has_tie``
+    also a number ``tie``, the greatest of which decides between states of one aircraft and time.
     """
-    telemetry = of_these_aircraft(telemetry, flights)
+    needs = extent(flights, step)
+    tie = "tie" if has_tie else None
     present = [name for name in schemas.STATE_FIELDS if name in telemetry.columns]
+    telemetry = telemetry.select("ICAO24", "time", *present, *([tie] if tie else []))
+    telemetry = telemetry_for(flights, telemetry, needs, exact)
+    # A task lays out the grid of its flights: spread them by what they grow to, not by their size.
+    tasks = ceil(needs.points / GRID_POINTS_PER_TASK)
+    if tasks > 1:
+        flights = flights.repartition(tasks, *_POINT_KEYS)
     sample = trajectory.sample_exact if exact else trajectory.sample_asof
     points = sample(flights, telemetry, step, present, tie)
     absent = {
@@ -150,14 +206,14 @@ def ingest_movements(
     return save(flights, telemetry, folder, step=step, **options)
 
 
-def stored_counts(spark, folder: str, days: DataFrame, fmt: str = "parquet") -> DataFrame:
-    """``(day, family, n)`` of all families of a store on some days; other days are not read."""
-    bounds = days.agg(F.min("day").alias("first"), F.max("day").alias("last"))
-    first, last = bounds.select("first").scalar(), bounds.select("last").scalar()
+def stored_counts(
+    spark, folder: str, first: date, last: date, fmt: str = "parquet"
+) -> DataFrame:
+    """``(day, family, n)`` of a store from ``first`` to ``last``; other days are not read."""
     counts = [
         quality.family_counts(
             store.read_partitions(spark, path, schema, PARTITIONS, fmt).filter(
-                F.col(store.DAY).between(first, last)
+                F.col(store.DAY).between(F.lit(first), F.lit(last))
             ),
             store.DAY,
             store.FAMILY,
@@ -189,7 +245,8 @@ def backfill_missing_days(
     """
     spark = records.sparkSession
     wanted = quality.spine(spark.range(1), times.look_back(F.lit(as_of), days))
-    counts = stored_counts(spark, folder, wanted, fmt)
+    first, last = as_of - timedelta(days=days), as_of - timedelta(days=1)
+    counts = stored_counts(spark, folder, first, last, fmt)
     missing = staged(quality.missing_dates(wanted, counts, families), "missing")
     either = select.movements(
         records,

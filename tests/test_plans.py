@@ -80,7 +80,7 @@ FIRST_DAY = {
 def test_ingest(spark, records, telemetry, tmp_path, exact, fmt):
     run = lambda: ingest.ingest_movements(
         records, telemetry, str(tmp_path), "HOME", "2022-11-12 00:00:00", "2022-11-13 02:00:00",
-        ZONE, exact=exact, tie=None if exact else "tie", fmt=fmt,
+        ZONE, exact=exact, has_tie=not exact, fmt=fmt,
     )
     decisions = run()
     assert sizes(spark, tmp_path, fmt) == FIRST_DAY
@@ -105,6 +105,37 @@ def test_all_telemetry_beyond_the_broadcast_limit(spark, records, telemetry, tmp
     assert sizes(spark, tmp_path) == FIRST_DAY
 
 
+def test_grid_spread_over_tasks_and_old_states(spark, records, telemetry, tmp_path, monkeypatch):
+    """Small tasks, and aircraft whose only state lies before the first departure."""
+    monkeypatch.setattr(ingest, "GRID_POINTS_PER_TASK", 2)
+    old = spark.createDataFrame(
+        [("h", DAY - timedelta(days=d), float(d), None, d) for d in (9, 40)], telemetry.schema
+    )
+    ingest.ingest_movements(
+        records, telemetry.unionByName(old), str(tmp_path), "HOME",
+        "2022-11-12 00:00:00", "2022-11-15 00:00:00", ZONE, exact=False, has_tie=True,
+    )
+    points = stored(spark, tmp_path, "bl_dep_SV").filter("ICAO24 = 'h'").collect()
+    assert [p.velocity for p in points] == [9.0, 9.0, 9.0]
+    assert stored(spark, tmp_path, "bl_dep_SV").count() == 27 + 3 + 3
+
+
+def test_no_flights_at_all(spark, records, telemetry, tmp_path):
+    decisions = ingest.ingest_movements(
+        records, telemetry, str(tmp_path), "NOWHERE", "2022-11-12 00:00:00", "2022-11-15 00:00:00", ZONE
+    )
+    assert decisions.isEmpty()
+    assert all(stored(spark, tmp_path, family).isEmpty() for family in schemas.FAMILIES)
+
+
+def test_counts_read_only_the_wanted_days(spark, records, telemetry, tmp_path, plan):
+    ingest.ingest_movements(
+        records, telemetry, str(tmp_path), "HOME", "2022-11-12 00:00:00", "2022-11-15 00:00:00", ZONE
+    )
+    text = plan(ingest.stored_counts(spark, str(tmp_path), date(2022, 11, 13), date(2022, 11, 14)))
+    assert text.count("(day#") >= 2 and "2022-11-13" in text and "ReadSchema: struct<>" in text
+
+
 def test_backfill_takes_missing_days_only(spark, records, telemetry, tmp_path):
     args = (records, telemetry, str(tmp_path), "HOME")
     ingest.ingest_movements(*args, "2022-11-12 00:00:00", "2022-11-13 02:00:00", ZONE)
