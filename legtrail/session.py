@@ -25,9 +25,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors reach: ``spark.checkpoint.dir``, or a temporary one if unset (tests)."""
+    """Folder all executors reach: ``spark.checkpoint.dir``.
+
+    A local session (tests) that has none is given a temporary one; on a cluster that is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
         folder = tempfile.mkdtemp(prefix="legtrail-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
