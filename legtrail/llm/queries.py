@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from legtrail.llm import bpe, simhash
+from legtrail.llm import bpe, secrets, simhash
 from legtrail.llm.common import table
 from legtrail.llm.registry import ORACLES, QUERIES, query
 
@@ -18,3 +18,9 @@ def op1_byte_bpe(spark, sf_dir):
 @query()
 def op2_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=4, distance=4)
+
+
+@query()
+def op3_secrets(spark, sf_dir):
+    versions = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "key")
+    return secrets.digest(secrets.scan(versions, secrets.new_ledger(spark)))
