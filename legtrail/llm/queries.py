@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from legtrail.llm import bpe, secrets, simhash
+from legtrail.llm import bpe, quality, secret_scan, simhash
 from legtrail.llm.common import table
 from legtrail.llm.registry import ORACLES, QUERIES, query
 
@@ -23,4 +23,9 @@ def op2_simhash(spark, sf_dir):
 @query()
 def op3_secrets(spark, sf_dir):
     versions = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "key")
-    return secrets.digest(secrets.scan(versions, secrets.new_ledger(spark)))
+    return secret_scan.digest(secret_scan.scan(versions, secret_scan.new_ledger(spark)))
+
+
+@query()
+def op4_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
