@@ -1,8 +1,9 @@
 """One query for each operator, over its whole table and with production parameters."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from legtrail.llm import bpe, quality, secret_scan, simhash
+from legtrail.llm import bpe, line_runs, quality, secret_scan, simhash
 from legtrail.llm.common import table
 from legtrail.llm.registry import ORACLES, QUERIES, query
 
@@ -29,3 +30,16 @@ def op3_secrets(spark, sf_dir):
 @query()
 def op4_quality(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op5_line_dedup(spark, sf_dir):
+    rows = line_runs.deduplicated(table(spark, sf_dir, "documents"))
+    span = lambda s: F.concat_ws("-", s["first"].cast("string"), s["last"].cast("string"))
+    return rows.select(
+        "doc_id",
+        F.col("n_lines").cast("bigint").alias("n_lines"),
+        F.col("n_removed").cast("bigint").alias("n_removed"),
+        F.array_join(F.transform("removed", span), ",").alias("removed"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
