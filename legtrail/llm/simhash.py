@@ -178,3 +178,21 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, distance: int =
     named = rooted.select("print", "root").join(named, "root").select("print", "component_id")
     hexed = F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint")
     return marks.join(named, "print").select("doc_id", hexed, "component_id")
+
+
+def one_of_each(docs: DataFrame, words_per_shingle: int = 4, distance: int = 4) -> DataFrame:
+    """``docs``, all columns, without the rows that have a component with another, smaller id.
+
+    Rows that repeat the smallest id are reduced to one: the one with the smallest text hash. Rows with null ids stay
+    only if their component has no id, then also as one row.
+    """
+    near = near_duplicates(docs, words_per_shingle, distance)
+    kept = near.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k")).distinct()
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    keys = rows.groupBy("id", "hash").agg(F.count("*").alias("n"))
+    keys = keys.join(kept, F.col("id").eqNullSafe(F.col("k")), "left_semi")
+    chosen = keys.groupBy("id").agg(F.min(F.struct("hash", "n")).alias("one")).select("id", "one.*")
+    chosen = chosen.select(F.col("id").alias("i"), F.col("hash").alias("h"), "n")
+    found = rows.join(chosen, F.col("id").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("h")))
+    repeated = found.filter("n > 1").dropDuplicates(["id"])
+    return found.filter("n = 1").select("doc.*").unionByName(repeated.select("doc.*"))
