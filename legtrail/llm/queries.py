@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from legtrail.llm import bpe, line_runs, mixing, quality, secret_scan, simhash
+from legtrail.llm import bpe, line_runs, minhash, mixing, quality, secret_scan, simhash, topk
 from legtrail.llm.common import table
 from legtrail.llm.registry import ORACLES, QUERIES, query
 
@@ -48,6 +48,11 @@ def op5_line_dedup(spark, sf_dir):
     )
 
 
+@query()
+def op6_fingerprints(spark, sf_dir):
+    return minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 MIXING_SQL = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, md5(coalesce(text, '')) AS h, source, count(*) AS copies,
@@ -88,3 +93,22 @@ def op8_mixing(spark, sf_dir):
     rows = mixing.mixture(table(spark, sf_dir, "documents"), repeats=MOST_REPEATS)
     copy = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
     return rows.withColumn("copy", copy).select("doc_id", "source", "tokens", "weight", "epoch")
+
+
+TOP_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+@query(TOP_SQL)
+def op9_top_k(spark, sf_dir):
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
