@@ -7,7 +7,6 @@ the agreement that chance gives to so few bits is taken out again.
 """
 
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,14 +54,23 @@ def shingle_hashes(text: str, hashes: dict[str, int]) -> np.ndarray:
     return mixed(joined)
 
 
-@lru_cache(maxsize=64)
-def donors(turn: int, bins: int) -> np.ndarray:
-    """For each bin the bins it asks in this turn, in order."""
-    return np.random.default_rng(SEED + turn).integers(0, bins, (bins, TRIES))
+class Donors(dict):
+    """For each turn and bin the bins it asks for a value, in order; a few turns fill all bins."""
 
+    def __init__(self, bins: int = BINS):
+        super().__init__()
+        self.bins = bins
 
-def fingerprint(hashes: np.ndarray, bins: int = BINS, low_bits: int = LOW_BITS) -> np.ndarray:
+    def __missing__(self, turn: int) -> np.ndarray:
+        asked = np.random.default_rng(SEED + turn).integers(0, self.bins, (self.bins, TRIES))
+        if turn < 64:
+            self[turn] = asked
+        return asked
+
+
+def fingerprint(hashes: np.ndarray, donors: Donors, low_bits: int = LOW_BITS) -> np.ndarray:
     """Low bits of the value of each bin."""
+    bins = donors.bins
     ordered = np.sort(hashes)
     place = (ordered >> np.uint64(64 - (bins - 1).bit_length())).astype(np.int64)
     first = np.append(0, np.flatnonzero(place[1:] != place[:-1]) + 1)
@@ -73,7 +81,7 @@ def fingerprint(hashes: np.ndarray, bins: int = BINS, low_bits: int = LOW_BITS)
     source = np.arange(bins)
     empty, turn = np.flatnonzero(~filled), 0
     while len(empty):
-        asked = donors(turn, bins)[empty]
+        asked = donors[turn][empty]
         hit = filled[asked]
         done = hit.any(axis=1)
         source[empty[done]] = asked[done, hit[done].argmax(axis=1)]
@@ -147,14 +155,14 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches):
-        hashes, waiting, out, done = WordHashes(), None, [], False
+        hashes, donors, waiting, out, done = WordHashes(), Donors(), None, [], False
         for part in pieces(batches):
             for doc_id, text, lead in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist()):
                 if done:
                     continue  # further rows that repeat the lead
-                prints = fingerprint(shingle_hashes(text, hashes))
+                prints = fingerprint(shingle_hashes(text, hashes), donors)
                 if waiting:
-                    out.append(compared(hashes, *waiting, text, prints))
+                    out.append(compared(hashes, donors, *waiting, text, prints))
                 waiting, done = (doc_id, text, prints), lead
             if len(out) >= 256:
                 yield as_batch(out)
@@ -162,10 +170,10 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         if out:
             yield as_batch(out)
 
-    def compared(hashes, doc_id, text, prints, next_text, next_prints):
+    def compared(hashes, donors, doc_id, text, prints, next_text, next_prints):
         half = len(text) // 2
         edited = text[: len(text) - half] + next_text[:half]
-        edited_prints = fingerprint(shingle_hashes(edited, hashes))
+        edited_prints = fingerprint(shingle_hashes(edited, hashes), donors)
         digest = hashlib.sha256(edited.encode()).hexdigest()
         near = likeness(prints, edited_prints), likeness(prints, next_prints)
         return doc_id, len(text), digest, packed(prints), packed(edited_prints), *near
