@@ -18,9 +18,8 @@ from pyspark.sql import DataFrame
 
 from legtrail.llm.common import pieces, texts_of
 
-#: Entries a worker keeps of pieces and of prefixes it has seen; beyond it starts anew.
-KEPT_PIECES = 250_000
-KEPT_PREFIXES = 600_000
+#: Pieces of text a worker keeps with their ids; beyond it starts anew.
+KEPT_PIECES = 400_000
 
 
 def read_ranks(lines: bytes) -> list[bytes]:
@@ -40,25 +39,56 @@ class Prefixes:
         self.append(data)
 
     def append(self, more: bytes) -> None:
-        coder, start, self.data = self.coder, len(self.data), self.data + more
-        for end in range(start + 1, len(self.data) + 1):
-            for begin in range(max(0, end - coder.longest), end):
-                token = coder.ranks.get(self.data[begin:end])
-                if token is not None and (coder.stands(token) if begin == 0 else coder.fits(self.last[begin - 1], token)):
-                    self.last.append(token)
-                    break
-            else:
-                raise ValueError("a byte has no token")
+        """One step for each byte. Only one token fits, so the order of trying is free: the last token, a byte
+        longer, then the shortest tokens first."""
+        coder = self.coder
+        token_of, apart, longest, last, sizes = coder.ranks.get, coder.apart.get, coder.longest, self.last, coder.sizes
+        start, self.data = len(self.data), self.data + more
+        data = self.data
+        for end in range(start + 1, len(data) + 1):
+            begin = likely = end - 1 - sizes[last[-1]] if last else 0
+            while True:
+                token = token_of(data[begin:end])
+                if token is not None:
+                    if begin:
+                        pair = last[begin - 1] << 32 | token
+                        fits = apart(pair)
+                        if fits is None:
+                            fits = coder.stay_apart(last[begin - 1], token)
+                    else:
+                        fits = coder.stands(token)
+                    if fits:
+                        last.append(token)
+                        break
+                begin = end - 1 if begin == likely else begin - 1
+                if begin == likely:
+                    begin -= 1
+                if begin < 0 or end - begin > longest:
+                    raise ValueError("a byte has no token")
+
+    def become(self, data: bytes) -> None:
+        """The same as a new table of ``data``; steps are taken only beyond the common prefix."""
+        old, same, most = self.data, 0, min(len(self.data), len(data))
+        if data[:most] == old[:most]:
+            same = most
+        else:
+            while data[same] == old[same]:
+                same += 1
+        del self.last[same:]
+        self.data = data[:same]
+        self.append(data[same:])
 
     def cut(self, length: int) -> None:
         self.data, self.last = self.data[:length], self.last[:length]
 
     def ids(self) -> list[int]:
-        found, end = [], len(self.data)
+        found, end, last, size = [], len(self.data), self.last, self.coder.sizes
         while end:
-            found.append(self.last[end - 1])
-            end -= len(self.coder.tokens[found[-1]])
-        return found[::-1]
+            token = last[end - 1]
+            found.append(token)
+            end -= size[token]
+        found.reverse()
+        return found
 
 
 class Coder:
@@ -69,13 +99,14 @@ class Coder:
         self.ranks = {token: i for i, token in enumerate(tokens)}
         self.split = regex.compile(pattern).findall
         self.matches = regex.compile(pattern).finditer
-        self.longest = max(map(len, tokens), default=0)
+        self.sizes = list(map(len, tokens))
+        self.longest = max(self.sizes, default=0)
         self.never = len(tokens)
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.apart: dict[int, bool] = {}
         self.made_of: dict[int, tuple[int, int] | None] = {}
-        self.prefixes: dict[bytes, int] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.known_text: dict[str, str] = {}
+        self.table = Prefixes(self)
+        self.decimal = list(map(str, range(len(tokens))))
+        self.known: dict[str, tuple[list[int], str, bytes]] = {}
 
     def parts(self, data: bytes, stop: int = 1) -> list[bytes]:
         """Plain merging, lowest rank first, until ``stop`` parts are left; for the few bytes of a token."""
@@ -123,80 +154,34 @@ class Coder:
                 until, b = b, self.halves(b)[0]
             else:
                 until, a = a, self.halves(a)[1]
-        self.apart[left, right] = ok
+        self.apart[left << 32 | right] = ok
         return ok
 
-    def fits(self, left: int, right: int) -> bool:
-        found = self.apart.get((left, right))
-        return self.stay_apart(left, right) if found is None else found
-
-    def last_token(self, data: bytes, end: int, known: dict[bytes, int]) -> int:
-        """The last token of ``data[:end]``, given those of all shorter prefixes."""
-        ranks, apart = self.ranks, self.apart
-        for start in range(max(0, end - self.longest), end):
-            token = ranks.get(data[start:end])
-            if token is None:
-                continue
-            if start == 0:
-                if self.stands(token):
-                    return token
-                continue
-            pair = (known[data[:start]], token)
-            fits = apart.get(pair)
-            if fits is None:
-                fits = self.stay_apart(*pair)
-            if fits:
-                return token
-        raise ValueError("a byte has no token")
-
     def encode_piece(self, piece: bytes) -> list[int]:
-        """Ids of one match of the pattern; only prefixes not met before need a step."""
+        """Ids of one match of the pattern; a token as a whole is taken as it is."""
         if piece in self.ranks:
             return [self.ranks[piece]]
-        if len(piece) > 64:
-            return Prefixes(self, piece).ids()
-        if len(self.prefixes) > KEPT_PREFIXES:
-            self.prefixes.clear()
-        known, have = self.prefixes, len(piece)
-        while have and piece[:have] not in known:
-            have -= 1
-        for end in range(have + 1, len(piece) + 1):
-            known[piece[:end]] = self.last_token(piece, end, known)
-        found, end = [], len(piece)
-        while end:
-            token = known[piece[:end]]
-            found.append(token)
-            end -= len(self.tokens[token])
-        return found[::-1]
+        self.table.become(piece)
+        return self.table.ids()
 
     def learn(self, missing: Iterable[str]) -> None:
-        if len(self.known) > KEPT_PIECES:
+        """Keeps for each piece of text its ids, the same in decimal, and the bytes that the ids decode to."""
+        decimal = self.decimal
+        for piece in sorted(missing):  # neighbours share prefixes
+            ids = self.encode_piece(piece.encode())
+            self.known[piece] = ids, ",".join([decimal[i] for i in ids]), self.decode(ids)
+
+    def coded_pieces(self, texts: list[str]) -> list[list[tuple[list[int], str, bytes]]]:
+        """What is known of each match of the pattern, text by text."""
+        found = list(map(self.split, texts))
+        different = set().union(*found)
+        if len(self.known) + len(different) > KEPT_PIECES:
             self.known.clear()
-            self.known_text.clear()
-        for piece in missing:
-            ids = tuple(self.encode_piece(piece.encode()))
-            self.known[piece] = ids
-            self.known_text[piece] = ",".join(map(str, ids))
-
-    def pieces_of(self, text: str) -> list[str]:
-        """Matches of the pattern, each known afterwards."""
-        found = self.split(text)
-        missing = set(found).difference(self.known)
-        if missing:
-            before = len(self.known)
-            self.learn(missing)
-            if len(self.known) < before:
-                self.learn(set(found).difference(self.known))
-        return found
+        self.learn(different.difference(self.known))
+        return [list(map(self.known.__getitem__, pieces_)) for pieces_ in found]
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.known.__getitem__, self.pieces_of(text))))
-
-    def ids_text(self, text: str) -> tuple[list[int], str]:
-        """Ids, and the same in decimal, joined by commas."""
-        found = self.pieces_of(text)
-        ids = list(chain.from_iterable(map(self.known.__getitem__, found)))
-        return ids, ",".join(map(self.known_text.__getitem__, found))
+        return list(chain.from_iterable(piece[0] for piece in self.coded_pieces([text])[0]))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -252,13 +237,12 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: b
         coder = Coder(read_ranks(content.value), pattern)
         for part in pieces(batches):
             counts, hashes, decoded, all_ids = [], [], [], []
-            for text in part.column(1).to_pylist():
-                ids, as_text = coder.ids_text(text)
-                counts.append(len(ids))
-                hashes.append(hashlib.sha256(as_text.encode()).hexdigest())
-                decoded.append(hashlib.sha256(coder.decode(ids)).hexdigest())
+            for coded in coder.coded_pieces(part.column(1).to_pylist()):
+                counts.append(sum([len(piece[0]) for piece in coded]))
+                hashes.append(hashlib.sha256(",".join([piece[1] for piece in coded]).encode()).hexdigest())
+                decoded.append(hashlib.sha256(b"".join([piece[2] for piece in coded])).hexdigest())
                 if with_ids:
-                    all_ids.append(ids)
+                    all_ids.append(list(chain.from_iterable([piece[0] for piece in coded])))
             columns = [part.column(0), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
