@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from legtrail.llm import bpe, line_runs, minhash, mixing, quality, secret_scan, simhash, topk
+from legtrail.llm import bpe, language, line_runs, minhash, mixing, quality, secret_scan, simhash, topk
 from legtrail.llm.common import table
 from legtrail.llm.registry import ORACLES, QUERIES, query
 
@@ -112,3 +112,8 @@ FROM s QUALIFY rank <= 5
 @query(TOP_SQL)
 def op9_top_k(spark, sf_dir):
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query()
+def op10_language(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
