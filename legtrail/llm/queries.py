@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from legtrail.llm import bpe, language, line_runs, minhash, mixing, quality, secret_scan, simhash, topk
+from legtrail.llm import bpe, language, line_runs, minhash, mixing, quality, secret_scan, simhash, topk, toxicity
 from legtrail.llm.common import table
 from legtrail.llm.registry import ORACLES, QUERIES, query
 
@@ -117,3 +117,8 @@ def op9_top_k(spark, sf_dir):
 @query()
 def op10_language(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_toxicity(spark, sf_dir):
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
