@@ -33,8 +33,10 @@ LOOK_ALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i",
 }
-# Log probabilities of the channel: a look-alike, a repeated letter, a sign (a digit) within a word, one between words.
-AS_LOOK_ALIKE, AS_REPEAT, AS_NOISE, AS_NOISE_DIGIT, AS_GAP = -1.0, -1.0, -1.5, -4.0, -2.5
+# Log probabilities of the channel: a look-alike, a repeated letter; a sign within a word and between words; a digit so.
+AS_LOOK_ALIKE, AS_REPEAT = -1.0, -1.0
+AS_NOISE, AS_GAP = -1.5, -3.5
+DIGIT_AS_NOISE, DIGIT_AS_GAP = -8.0, -6.0
 
 
 class LetterModel:
@@ -76,7 +78,8 @@ def readings(written: str, at: int) -> list[tuple[str, float]]:
     found = [(letter, AS_LOOK_ALIKE) for letter in LOOK_ALIKES.get(char, "")]
     if at and written[at - 1] == char:
         found.append(("", AS_REPEAT))
-    return [*found, ("", AS_NOISE_DIGIT if char.isdigit() else AS_NOISE), (" ", AS_GAP)]
+    noise, gap = (DIGIT_AS_NOISE, DIGIT_AS_GAP) if char.isdigit() else (AS_NOISE, AS_GAP)
+    return [*found, ("", noise), (" ", gap)]
 
 
 def restored(written: str, model: LetterModel) -> str:
@@ -207,15 +210,19 @@ class Model:
 
 
 def letter_model(sample: DataFrame) -> LetterModel | None:
-    """From the plain words of the sample, each kind counted once in a part of the sample."""
+    """From the plain words of the sample, each once for every document that has it."""
 
     def run(batches):
         counts: Counter = Counter()
         for part in pieces(batches):
-            tokens = set().union(*map(tokens_of, part.column(0).to_pylist())) if part.num_rows else set()
-            for core in {core_of(token) for token in tokens}:
+            tokens: Counter = Counter()
+            for text in part.column(0).to_pylist():
+                tokens.update(tokens_of(text))
+            for token, n in tokens.items():
+                core = core_of(token)
                 if len(core) > 1 and plain(core):
-                    counts.update(trigrams(core))
+                    for letters in trigrams(core):
+                        counts[letters] += n
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["letters", "n"])
 
     counted = sample.select("_text").mapInArrow(run, "letters string, n bigint").groupBy("letters").agg(F.sum("n").alias("n"))
