@@ -26,7 +26,7 @@ def op2_simhash(spark, sf_dir):
 
 @query()
 def op3_secrets(spark, sf_dir):
-    versions = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "key")
+    versions = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("key"), "text")
     return secret_scan.digest(secret_scan.scan(versions, secret_scan.new_ledger(spark)))
 
 

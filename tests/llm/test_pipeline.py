@@ -1,0 +1,69 @@
+"""The stages against plain versions, over the smallest given tables."""
+
+import hashlib
+from pathlib import Path
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+import __spark_entry__ as repo
+import corpus_pipeline
+from legtrail.llm import bpe, quality
+from tests.llm.test_line_runs import plain_removed
+from tests.llm.test_simhash import plain_components, plain_print
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="given tables not there")
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    columns, kept = docs.columns, docs
+    results = []
+    for name, stage in corpus_pipeline.STAGES:
+        kept = corpus_pipeline.staged(stage(spark, kept, SF_DIR), name)
+        results.append([r.asDict() for r in kept.collect()])
+        if name != "bpe":
+            assert kept.columns == columns
+    good, lines, near, mixed, coded = results
+    first = [r.asDict() for r in docs.collect()]
+    scores = quality.classify(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+    assert sorted(r["doc_id"] for r in good) == sorted(r.doc_id for r in scores.filter("predicted = 1").collect())
+    assert all(r in first for r in good)
+
+    gone = plain_removed([(r["doc_id"], r["text"]) for r in good], 8)
+    expected = {}
+    for r in good:
+        rest = [line for i, line in enumerate((r["text"] or "").split("\n")) if i not in gone.get(r["doc_id"], ())]
+        if r["doc_id"] not in gone or "".join(rest).strip():
+            expected[r["doc_id"]] = "\n".join(rest)
+    assert {r["doc_id"]: r["text"] or "" for r in lines} == expected
+    assert all(r["n_chars"] == len(r["text"]) for r in lines if r["doc_id"] in gone)
+
+    lines.sort(key=lambda r: r["doc_id"])
+    roots = plain_components([plain_print(r["text"] or "") for r in lines], 4)
+    assert sorted(r["doc_id"] for r in near) == [lines[i]["doc_id"] for i in sorted(set(roots))]
+
+    assert {r["doc_id"] for r in mixed} == {r["doc_id"] for r in near} and len(mixed) >= len(near)
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+        ranks = {token: i for i, token in enumerate(bpe.read_ranks(file.read()))}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = {r["doc_id"]: r["text"] or "" for r in mixed}
+    assert len(coded) == len(mixed)
+    for r in coded:
+        assert r["ids"] == library.encode_ordinary(texts[r["doc_id"]])
+        assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_registered(spark):
+    names = repo.queries()
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and set(repo.oracle_sql()) <= set(names)
+
+
+def test_edges(spark, edges):
+    docs = edges
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.staged(stage(spark, docs, SF_DIR), name)
+    assert docs.count() >= 3

@@ -1,0 +1,82 @@
+import numpy as np
+import pytest
+
+from legtrail.llm import quality, trees
+
+
+def separable(n=600, seed=0):
+    draw = np.random.default_rng(seed)
+    x = draw.normal(size=(n, 4))
+    return x, ((x[:, 1] > 0.3) ^ (x[:, 3] > 0)).astype(float)
+
+
+def test_trees_learn_an_interaction():
+    x, y = separable()
+    model = trees.fit(x, y)
+    other, truth = separable(seed=1)
+    assert ((model.scores(other) > 0.5) == truth).mean() > 0.93
+
+
+def test_flat_traversal_is_walking_each_tree():
+    x, y = separable(200)
+    model = trees.fit(x, y, trees=9, depth=3)
+    for row, score in zip(x[:20], model.scores(x[:20])):
+        margin = model.base
+        for feature, threshold, leaf in zip(model.feature, model.threshold, model.leaf):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (1 if row[feature[node]] <= threshold[node] else 2)
+            margin += leaf[node - len(feature)]
+        assert score == pytest.approx(1 / (1 + np.exp(-margin)))
+
+
+def test_no_rows_and_one_class():
+    assert trees.fit(np.zeros((0, 3)), np.zeros(0)).scores(np.zeros((2, 3))).tolist() == pytest.approx([1, 1])
+    assert trees.fit(np.zeros((9, 3)), np.zeros(9)).scores(np.zeros((1, 3)))[0] == pytest.approx(0.1)
+
+
+@pytest.mark.parametrize("text", ["", " \n", "a", "a a a a", "é" * 5000, "x\n" * 300])
+def test_statistics_are_finite(text):
+    found = quality.statistics(text)
+    assert len(found) == quality.STATISTICS and np.isfinite(found).all()
+
+
+@pytest.fixture
+def marked(documents, labels_of):
+    good = [(i, f"This is sentence {i} of a plain text. It goes on, and on.\nIt ends here {i * 7}.") for i in range(0, 400, 2)]
+    bad = [(i, f"BUY*** {i} NOW!!! $$$ ### cheap | cheap | cheap %%%") for i in range(1, 400, 2)]
+    docs = sorted(good + bad)
+    labels = [(i, int(i % 2 == 0), 0) for i, _ in docs] + [(9, 0, 0), (9, None, 0), (10, 1, 0), (10, 0, 0), (None, 1, 1)]
+    return documents(docs), labels_of(labels)
+
+
+def test_classify(marked):
+    rows = quality.classify(*marked).collect()
+    assert len(rows) == 400 and {r.held_out for r in rows} == {True, False}
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
+    assert all(r.predicted == int(r.doc_id % 2 == 0) for r in rows if r.held_out)
+
+
+def test_held_out_labels_are_not_learned(marked, labels_of):
+    docs, labels = marked
+    from pyspark.sql import functions as F
+
+    from legtrail.llm.common import remainder
+
+    turned = labels.withColumn("quality", F.when(remainder(F.col("doc_id"), 4) == 2, 1 - F.col("quality")).otherwise(F.col("quality")))
+    one = sorted(tuple(r) for r in quality.classify(docs, labels).collect())
+    assert one == sorted(tuple(r) for r in quality.classify(docs, turned).collect())
+
+
+def test_keep_good_keeps_columns(marked):
+    rows = quality.keep_good(*marked)
+    assert rows.columns == marked[0].columns
+    assert sorted(r.doc_id for r in rows.collect()) == list(range(0, 400, 2))
+
+
+def test_edges(edges, nothing, labels_of):
+    none = labels_of([])
+    rows = quality.classify(edges, none).collect()
+    assert len(rows) == 10 and all(r.score > 0.99 and r.predicted == 1 for r in rows)
+    assert quality.classify(nothing, none).collect() == []
+    assert quality.keep_good(edges, none).count() == 10

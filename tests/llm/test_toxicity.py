@@ -1,0 +1,67 @@
+import random
+
+import pytest
+
+from legtrail.llm import toxicity
+
+WORDS = "the and that with from house water small river garden window letter morning people number other".split()
+FOUL = ["gronk", "blarg", "snivo"]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    draw, docs, labels = random.Random(3), [], []
+    for i in range(600):
+        words, toxic = draw.choices(WORDS, k=draw.randint(10, 40)), int(i % 4 == 0)
+        if toxic:
+            for _ in range(draw.randint(1, 3)):
+                words.insert(draw.randrange(len(words)), draw.choice(FOUL))
+        docs.append((i, " ".join(words).capitalize() + "."))
+        labels.append((i, 1, toxic))
+    return docs, labels
+
+
+DISGUISED = ["gr0nk", "bl@rg!", "s n i v o", "g.r.o.n.k", "blaaarrrg", "SN1VO", "b-l-a-r-g", "gr*onk"]
+
+
+def test_disguised_words_are_found(documents, labels_of, rows):
+    docs, labels = rows
+    new = [(1000 + i, f"the house and {word} with water from the river") for i, word in enumerate(DISGUISED)]
+    clean = [(2000 + i, text) for i, text in enumerate(["the house, and water", "a b c d of the river", "t.h.e w4ter", "", None, "!!! 123"])]
+    found = {r.doc_id: r for r in toxicity.classify(documents(docs + new + clean), labels_of(labels)).collect()}
+    assert {i for i, *_ in new if not found[i].predicted} == set()
+    assert {i for i, *_ in clean if found[i].predicted} == set()
+    held = [found[i].predicted == toxic for i, _, toxic in labels if found[i].held_out]
+    assert held and all(held)
+
+
+def test_viterbi_is_the_best_of_all_readings():
+    model = toxicity.LetterModel({t: 5.0 for word in ["gronk", "the"] for t in toxicity.trigrams(word)})
+
+    def all_paths(written, at, text, score):
+        if at == len(written):
+            yield score + (0.0 if text[-1:] in ("", " ") else model(("  " + text)[-2:], " ")), text
+            return
+        for reading, channel in toxicity.readings(written, at):
+            if reading == "" or reading == " " and text[-1:] in ("", " "):
+                yield from all_paths(written, at + 1, text, score + channel)
+            else:
+                before = ("  " + text)[-2:] if text[-1:] != " " else "  "
+                yield from all_paths(written, at + 1, text + reading, score + channel + model(before, reading))
+
+    for written in ("gr0nk", "1t-h3", "gg.r0", "th e"):
+        best = max(all_paths(written, 0, "", 0.0))
+        assert toxicity.restored(written, model).strip() == best[1].strip()
+
+
+def test_long_disguised_text_stays_linear():
+    model = toxicity.LetterModel({t: 1.0 for t in toxicity.trigrams("gronk")})
+    assert toxicity.restored("gr0nk" * 4000, model).startswith("gronk")
+
+
+def test_edges(edges, nothing, labels_of):
+    found = toxicity.classify(edges, labels_of([])).collect()
+    assert len(found) == 10 and {r.predicted for r in found} == {0}
+    assert toxicity.classify(nothing, labels_of([])).collect() == []
+    one = toxicity.classify(edges, labels_of([(1, 1, 0), (2, 1, 0)])).collect()
+    assert {r.predicted for r in one} == {0}
