@@ -1,5 +1,6 @@
 """CSV scans, day-partitioned stores, upsert and compaction, each through a fresh folder."""
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -43,20 +44,35 @@ def scan_schema_drift(spark, sf_dir):
     path = new_folder(spark, "drift")
     events = table(spark, sf_dir, "events")
     reordered = ["event_id", "props", "value", "event_type", "user_id", "ts"]
-    variants = {
-        "full": (["click", "view"], events.columns),
-        "reordered": (["signup", "purchase"], reordered),
-        "without_props": (["error"], [c for c in events.columns if c != "props"]),
-    }
-    for types, columns in variants.values():
-        csv_files.write_csv(events.filter(F.col("event_type").isin(types)).select(columns), path)
+    kind = F.col("event_type")
+    variants = [
+        (kind.isin("signup", "purchase"), reordered),
+        (kind == "error", [c for c in events.columns if c != "props"]),
+        (~kind.isin("signup", "purchase", "error"), events.columns),
+    ]
+    for rows, columns in variants:
+        csv_files.write_csv(events.filter(rows).select(columns), path)
     return csv_files.scan(spark, path, events.schema)
 
 
+@query("SELECT event_id, event_type FROM events WHERE event_type LIKE '%i%'")
+def scan_file_regex(spark, sf_dir):
+    # The files themselves are chosen: one is written for each pattern of type.
+    path = new_folder(spark, "named-files")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    holds = F.col("event_type").contains("i")
+    csv_files.write_csv(events.filter(~holds), path)
+    others = {row.file for row in csv_files.file_headers(spark, path, "event_id").select("file").collect()}
+    csv_files.write_csv(events.filter(holds), path)
+    names_ = "|".join(sorted(re.escape(name.rsplit("/", 1)[-1]) for name in others)) or "-"
+    return csv_files.scan(spark, path, events.schema, f"^(?!({names_})$)")
+
+
 @query("""
 SELECT event_id, ts, value, value > 50 AS large,
        CASE WHEN event_type <> 'error' THEN event_type END AS kind,
-       CASE WHEN event_type <> 'view' THEN ts::DATE END AS day, props
+       CASE WHEN event_type <> 'view' THEN ts::DATE END AS day, props,
+       'event_id,ts' || chr(10) || '"' || event_type || '", ' || event_id AS note
 FROM events""")
 def csv_value_roundtrip(spark, sf_dir):
     path = new_folder(spark, "values")
@@ -68,9 +84,10 @@ def csv_value_roundtrip(spark, sf_dir):
         F.when(F.col("event_type") != "error", F.col("event_type")).alias("kind"),
         F.when(F.col("event_type") != "view", F.col("ts").cast("date")).alias("day"),
         "props",
+        F.concat(F.lit('event_id,ts\n"'), "event_type", F.lit('", '), "event_id").alias("note"),
     )
     csv_files.write_csv(rows, path)
-    return csv_files.scan_same_header(spark, path, rows.schema)
+    return csv_files.scan(spark, path, rows.schema)
 
 
 _EVENT_DAYS = """
@@ -115,6 +132,26 @@ def upsert_keep_larger(spark, sf_dir):
     return store.read_partitions(spark, path, events.schema)
 
 
+@query("""
+SELECT event_id, ts, user_id, event_type, value, event_date, event_date AS day FROM ("""
+       + _EVENT_DAYS + """) WHERE day(event_date) % 2 = 0 OR value < 34.65
+UNION ALL
+SELECT event_id, ts, user_id, event_type, value, event_date, event_date FROM ("""
+       + _EVENT_DAYS + """) WHERE day(event_date) % 2 = 1 AND value >= 34.65
+  AND event_date NOT IN (SELECT event_date FROM (""" + _EVENT_DAYS + """) WHERE value < 34.65)""")
+def csv_store_roundtrip(spark, sf_dir):
+    # Days come with different column orders; odd days are stored in part, and offered again in a smaller part.
+    path = new_folder(spark, "csv-store")
+    events = _event_days(spark, sf_dir).withColumn("day", F.col("event_date"))
+    low, even = F.col("value") < 34.65, F.dayofmonth("event_date") % 2 == 0
+    mixed_up = ["value", "event_type", "day", "user_id", "event_date", "ts", "event_id"]
+    store.write_partitions(events.filter(low & ~even), path, fmt="csv")
+    store.upsert_larger(events.filter(even).select(mixed_up), path, fmt="csv")
+    none_stored = events.filter(~low & ~even).join(events.filter(low).select("day").distinct(), "day", "left_anti")
+    store.upsert_larger(none_stored.select(mixed_up), path, fmt="csv")
+    return store.read_partitions(spark, path, events.drop("day").schema, fmt="csv")
+
+
 @query("""
 SELECT o_orderkey, o_orderdate, o_totalprice,
        row_number() OVER (ORDER BY o_orderdate NULLS LAST, o_orderkey) AS position

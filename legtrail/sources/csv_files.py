@@ -25,6 +25,7 @@ READ_OPTIONS = {
     "header": True,
     "nullValue": NULL_TEXT,
     "escape": '"',
+    "multiLine": True,  # a quoted text may hold line breaks; daily files are small enough not to be split
     "timestampNTZFormat": INSTANT_FORMAT,
     "dateFormat": DATE_FORMAT,
     "ignoreLeadingWhiteSpace": True,
@@ -66,24 +67,26 @@ def file_headers(
     name_regex: str | None = None,
     part: str = "file",
 ) -> DataFrame:
-    """``(file, header)``, one row per non-empty file; header is null where none was found.
+    """``(file, header)``, one row per non-empty file; header is null if the first line lacks ``anchor``.
 
-    A line is a header if one of its cells is the name ``anchor``, the column every file has.
-    Line order is not needed, so large files are read in parallel.
+    The header is the first line of the file, so whatever the rows hold cannot be taken for one. Lines
+    of a file's first part keep their order, of which one row per file is left within each task.
     """
     text = spark.read.option("recursiveFileLookup", True).text(path)
     cells = F.transform(
-        F.split(F.regexp_replace("value", '["\r\ufeff]', ""), ","), lambda cell: F.trim(cell)
+        F.split(F.regexp_replace("line", '["\r\ufeff]', ""), ","), lambda cell: F.trim(cell)
     )
-    headers = (
-        _named(text.filter(F.col("value").contains(anchor)), name_regex, part)
-        .select(F.col(FILE_PATH).alias("file"), cells.alias("header"))
-        .filter(F.array_contains("header", anchor))
-        .distinct()
+    first = (
+        _named(text.filter("_metadata.file_block_start = 0"), name_regex, part)
+        .select(
+            F.col(FILE_PATH).alias("file"),
+            F.struct(F.monotonically_increasing_id().alias("at"), F.col("value").alias("line")).alias("one"),
+        )
+        .groupBy("file")
+        .agg(F.min("one").alias("one"))
+        .select("file", F.col("one.line").alias("line"))
     )
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    files = _named(listing, name_regex, part).filter("length > 0").select(F.col(FILE_PATH).alias("file"))
-    return files.join(headers, "file", "left")
+    return first.select("file", F.when(F.array_contains(cells, anchor), cells).alias("header"))
 
 
 def scan(

@@ -27,11 +27,13 @@ def write_partitions(
 ) -> None:
     """Write one folder per value of the columns ``by``, replacing only folders present in ``df``.
 
-    The rebalance lets AQE split a day that holds most rows over several tasks and files, and put
+    CSV files have their columns in order of name, whatever the order of ``df``, so that all files of a
+    store have one header. The rebalance lets AQE split a day that holds most rows over several tasks and files, and put
     small days together. A null day gets a folder of its own.
     """
     if fmt == "csv":
-        writer = csv_files.csv_writer(csv_files.csv_text(df).hint("rebalance", *by))
+        columns = [*sorted(c for c in df.columns if c not in by), *by]
+        writer = csv_files.csv_writer(csv_files.csv_text(df.select(columns)).hint("rebalance", *by))
     else:
         writer = df.hint("rebalance", *by).write.format(fmt)
     writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).save(path)
@@ -46,23 +48,25 @@ def read_partitions(
 ) -> DataFrame:
     """Rows of a store, empty but typed if nothing was written yet; ``schema`` is without ``by``.
 
-    Filters on the partition columns prune folders.
+    Filters on the partition columns prune folders. A CSV file with another header than that of
+    ``schema`` in order of name fails the read, it is never taken by position.
     """
     full = StructType([*schema.fields, *[StructField(c, _PARTITION_TYPES[c]) for c in by]])
-    reader = spark.read.schema(full)
+    fields = sorted(schema.fields, key=lambda field: field.name) if fmt == "csv" else schema.fields
+    reader = spark.read.schema(StructType([*fields, *full.fields[len(schema.fields):]]))
     if fmt == "csv":
-        reader = reader.options(**csv_files.READ_OPTIONS)
+        reader = reader.options(**csv_files.READ_OPTIONS, enforceSchema=False)
     try:
-        return reader.format(fmt).load(path)
+        return reader.format(fmt).load(path).select(full.names)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty(spark, full)
 
 
-def row_counts(df: DataFrame, by: Sequence[str] = (DAY,)) -> DataFrame:
-    """Number of rows ``n`` per partition."""
-    return df.groupBy(*by).agg(F.count("*").alias("n"))
+def row_counts(df: DataFrame, by: Sequence[str] = (DAY,), weight: str | None = None) -> DataFrame:
+    """Number of rows ``n`` per partition; with ``weight``, the sum of that column."""
+    return df.groupBy(*by).agg((F.sum(weight) if weight else F.count("*")).alias("n"))
 
 
 def keep_larger(n_new, n_old) -> Column:
@@ -80,21 +84,27 @@ def upsert_larger(
     by: Sequence[str] = (DAY,),
     fmt: str = "parquet",
     is_staged: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """Replace each partition of a store for which ``incoming`` has more rows than the store holds.
 
     Incoming rows are written to the shared folder once (``is_staged``: they already are); from the
-    store only counts are read. The winning partitions are fixed before any is overwritten, so a
+    store only counts are read, of the days between the first and the last incoming one. ``weight``
+    names a column that says how many rows a row stands for. The winning partitions are fixed before any is overwritten, so a
     repeated task cannot change its mind, and the store is never source and target of rows at once.
     Gives ``by, n_new, n_old, replaced``, one row per incoming partition.
     """
     spark = incoming.sparkSession
     incoming = incoming if is_staged else staged(incoming, "incoming")
     schema = StructType([field for field in incoming.schema if field.name not in by])
-    old = row_counts(read_partitions(spark, path, schema, by, fmt), by).withColumnsRenamed(
+    stored = read_partitions(spark, path, schema, by, fmt)
+    if DAY in by:
+        first, last = incoming.agg(F.min(DAY), F.max(DAY)).first()
+        stored = stored.filter(F.col(DAY).between(F.lit(first), F.lit(last)) | F.col(DAY).isNull())
+    old = row_counts(stored, by, weight).withColumnsRenamed(
         {"n": "n_old", **{c: f"old_{c}" for c in by}}
     )
-    new = row_counts(incoming, by).withColumnRenamed("n", "n_new")
+    new = row_counts(incoming, by, weight).withColumnRenamed("n", "n_new")
     decision = staged(
         new.join(old, _same(by, "old_"), "left").select(
             *by,

@@ -16,7 +16,7 @@ LACKING = FULL.replace("destination_airport_ICAO,", "")
 
 
 def flight(aircraft, *tail, day="2022-10-26"):
-    return ",".join([aircraft, "CALL1", f"{day}T08:52:09Z", day, f"{day}T09:30:14Z", day, *tail])
+    return ",".join([aircraft, "CALL1", f"{day}T07:11:05Z", day, f"{day}T08:40:50Z", day, *tail])
 
 
 @pytest.fixture
@@ -29,8 +29,8 @@ def daily(tmp_path):
     write("bl_dep_2022_10_29.csv", LACKING, flight("a4", "HOME", "k4"))
     write("bl_arr_2022_10_26.csv", FULL, flight("a5", "NA", "HOME", "k5"))
     write("bl_dep_SV_2022_10_26.csv", ",".join(schemas.STATE_VECTORS.names),
-          "a3,NA,NA,1668246132,NA,42.3784466600287,FALSE,NA,k3,2022-10-26,2022-10-26",
-          "a3,6.5,46.7,1668246312,1280.16,63.6,TRUE,NA,k3,2022-10-26,2022-10-26")
+          "a3,NA,NA,1650000120,NA,40.1234567890125,FALSE,NA,k3,2022-10-26,2022-10-26",
+          "a3,6.5,46.7,1650000300,1000.5,60.25,TRUE,NA,k3,2022-10-26,2022-10-26")
     write("bl_dep_all.csv", FULL, flight("zz", "HOME", "AWAY", "old"))
     return str(tmp_path)
 
@@ -45,7 +45,7 @@ def test_union_by_name_over_three_headers(spark, daily, rows):
         ("a4", "k4", "HOME", None),
     ]
     first = df.filter("id = 'k1'").first()
-    assert first.departure_time == datetime(2022, 10, 26, 8, 52, 9)
+    assert first.departure_time == datetime(2022, 10, 26, 7, 11, 5)
     assert first.departure_date == date(2022, 10, 26)
 
 
@@ -57,8 +57,8 @@ def test_name_pattern_leaves_out_points_and_consolidated(spark, daily, rows):
 def test_points_keep_rows_without_position(spark, daily, rows):
     df = consolidate.daily_files(spark, daily, "bl_dep_SV", date(2022, 11, 1))
     assert rows(df, "requested_time", "longitude", "velocity", "special_purpose_indicator", "origin_country") == [
-        (1668246132.0, None, 42.3784466600287, False, None),
-        (1668246312.0, 6.5, 63.6, True, None),
+        (1650000120.0, None, 40.1234567890125, False, None),
+        (1650000300.0, 6.5, 60.25, True, None),
     ]
     assert consolidate.daily_files(spark, daily, "bl_dep_SV", date(2023, 4, 26)).isEmpty()
 
@@ -97,13 +97,13 @@ def test_quoted_headers_are_found(spark, tmp_path, rows):
 
 def test_csv_text_format(spark, tmp_path):
     df = spark.sql(
-        "SELECT timestamp_ntz'2022-10-26 08:52:09' AS t, date'2022-10-26' AS d, 1668246132D AS whole,"
-        " 42.3784466600287D AS part, true AS yes, false AS no, cast(null AS double) AS nothing,"
+        "SELECT timestamp_ntz'2022-10-26 07:11:05' AS t, date'2022-10-26' AS d, 1650000120D AS whole,"
+        " 40.1234567890125D AS part, true AS yes, false AS no, cast(null AS double) AS nothing,"
         " ' padded' AS s"
     )
     csv_files.write_csv(df, str(tmp_path / "out"))
     text = "".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*.csv")))
-    assert text.splitlines()[1] == "2022-10-26T08:52:09Z,2022-10-26,1668246132,42.3784466600287,TRUE,FALSE,NA, padded"
+    assert text.splitlines()[1] == "2022-10-26T07:11:05Z,2022-10-26,1650000120,40.1234567890125,TRUE,FALSE,NA, padded"
 
 
 def test_round_trip_by_folder(spark, tmp_path, rows):
@@ -111,3 +111,10 @@ def test_round_trip_by_folder(spark, tmp_path, rows):
     csv_files.write_csv(df, str(tmp_path / "out"), F.concat(F.lit("name_"), "k"))
     back = csv_files.scan(spark, str(tmp_path / "out"), df.schema, "^name_a", part="folder")
     assert rows(back) == [("a", 'say "x", y')]
+
+
+def test_line_breaks_quotes_and_header_names_in_texts(spark, tmp_path, rows):
+    texts = ["a\nb", 'say "x"\n\n"y"', "ICAO24", "ICAO24,k\nICAO24", "plain"]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "ICAO24 string, k int")
+    csv_files.write_csv(df, str(tmp_path / "out"))
+    assert rows(csv_files.scan(spark, str(tmp_path / "out"), df.schema), "k", "ICAO24") == list(enumerate(texts))

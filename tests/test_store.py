@@ -118,3 +118,27 @@ def test_family_and_day(spark, tmp_path, rows):
     store.upsert_larger(new, path, by)
     got = store.read_partitions(spark, path, FIELDS, by)
     assert rows(got, "family", "k") == [("a", "old"), ("a", "old"), ("b", "new")]
+
+
+def test_csv_store_is_read_by_name(spark, tmp_path, rows):
+    path = str(tmp_path / "s")
+    first = spark.createDataFrame([("a", "1", date(2024, 1, 1))], "k string, v string, day date")
+    second = spark.createDataFrame([("2", "b", date(2024, 1, 2))], "v string, k string, day date")
+    store.upsert_larger(first, path, fmt="csv")
+    store.upsert_larger(second, path, fmt="csv")
+    back = store.read_partitions(spark, path, first.drop("day").schema, fmt="csv")
+    assert rows(back, "k", "v") == [("a", "1"), ("b", "2")]
+    other = spark.createDataFrame([], "v string, z string").schema
+    with pytest.raises(Exception, match="(?i)header"):
+        store.read_partitions(spark, path, other, fmt="csv").collect()
+
+
+def test_upsert_counts_only_incoming_days(spark, tmp_path):
+    path = str(tmp_path / "s")
+    days = spark.createDataFrame([(i, date(2024, 1, i)) for i in range(1, 9)], "n int, day date")
+    store.write_partitions(days, path)
+    for folder in (tmp_path / "s").glob("day=2024-01-0[1-4]"):
+        for file in folder.glob("*.parquet"):
+            file.write_bytes(b"unreadable")
+    found = store.upsert_larger(days.filter("n = 6").unionByName(days.filter("n = 6")), path).collect()
+    assert [(r.n_new, r.n_old, r.replaced) for r in found] == [(2, 1, True)]
