@@ -4,35 +4,36 @@ from pyspark.sql import functions as F
 
 from catalog import adapters
 from catalog.registry import query, table
+from legtrail import schemas
 from legtrail.functions import times
-from legtrail.functions.rows import BLOCK
 from legtrail.operators import enrich, nested, ordinal, quality, trajectory
 
 HOUR = 3600
 
 
+#: Fields of a line, in the order in which the points of a flight are sorted; ties are whole lines that are equal.
+_LINE = ["line", "part", "price"]
+
+
 def _nested_orders(spark, sf_dir):
-    """Orders with their lines inside; lines that differ only in other columns count once."""
-    lines = adapters.point_lines(spark, sf_dir)
-    points = lines.groupBy("id", "line").agg(F.count("*").alias("copies"))
+    """Orders with all their lines inside."""
     return nested.nest_trajectories(
         adapters.flight_orders(spark, sf_dir).select("id", "day"),
-        points,
+        adapters.point_lines(spark, sf_dir),
         ["id"],
-        order=["line"],
-        fields=["copies"],
-        block=times.whole_slices(F.col("line").cast("bigint") - 1, BLOCK),
+        order=_LINE,
+        fields=[],
     )
 
 
 @query(f"""
-WITH {adapters.FLIGHT_ORDERS}, {adapters.POINT_LINES},
-points AS (SELECT id, line, count(*) AS copies FROM point_lines GROUP BY id, line)
+WITH {adapters.FLIGHT_ORDERS}, {adapters.POINT_LINES}
 SELECT o.id, any_value(o.day) AS day, count(line) AS n_points,
-       string_agg(line || 'x' || copies, ',' ORDER BY line) AS points
-FROM flight_orders o LEFT JOIN points p ON o.id = p.id GROUP BY o.id""")
+       string_agg(line || ':' || part || ':' || round(p.price * 100)::BIGINT, ',' ORDER BY line, part, p.price) AS points
+FROM flight_orders o LEFT JOIN point_lines p ON o.id = p.id GROUP BY o.id""")
 def nested_trajectories(spark, sf_dir):
-    text = F.transform("state_vectors", lambda p: F.concat(p.line, F.lit("x"), p.copies))
+    cents = lambda p: F.round(p.price * 100).cast("bigint")
+    text = F.transform("state_vectors", lambda p: F.concat_ws(":", p.line, p.part, cents(p)))
     return _nested_orders(spark, sf_dir).select(
         "id",
         "day",
@@ -42,13 +43,25 @@ def nested_trajectories(spark, sf_dir):
 
 
 @query(f"""
-WITH {adapters.POINT_LINES},
-points AS (SELECT id, line, count(*) AS copies FROM point_lines GROUP BY id, line)
-SELECT id, row_number() OVER (PARTITION BY id ORDER BY line)::INTEGER AS idx, line, copies
-FROM points WHERE id IN (SELECT o_orderkey FROM orders)""")
+WITH {adapters.FLIGHT_ORDERS}, {adapters.POINT_LINES}
+SELECT id, row_number() OVER (PARTITION BY id ORDER BY line, part, price)::INTEGER AS idx, line, part, price
+FROM point_lines WHERE id IN (SELECT o_orderkey FROM orders)""")
 def explode_trajectory(spark, sf_dir):
-    flights = _nested_orders(spark, sf_dir)
-    return nested.explode_trajectory(flights, "state_vectors", ["id"], ["line", "copies"])
+    return nested.explode_trajectory(_nested_orders(spark, sf_dir), "state_vectors", ["id"], _LINE)
+
+
+@query(f"""
+WITH {adapters.LEGS}
+SELECT ICAO24, row_number() OVER (PARTITION BY ICAO24 ORDER BY leg_id)::INTEGER AS idx, call_sign, departure_time
+FROM legs""")
+def fetch_ordinal(spark, sf_dir):
+    # One list of records per aircraft, in the order of fetching (leg_id); each flight keeps its place in it.
+    legs = adapters.legs(spark, sf_dir)
+    fields = [name for name in schemas.RAW_FLIGHT.names if name != "state_vectors"]
+    fetched = F.array_sort(F.collect_list(F.struct("leg_id", *fields)))
+    lists = legs.groupBy(F.col("ICAO24").alias("aircraft")).agg(fetched.alias("records"))
+    flights = nested.flatten_lists(lists, "records", adapters.ZONE, idx="idx")
+    return flights.select("ICAO24", "idx", "call_sign", "departure_time")
 
 
 def _numbered_orders(spark, sf_dir):

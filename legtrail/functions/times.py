@@ -60,9 +60,12 @@ def plus_seconds(time, seconds) -> Column:
 
 
 def epoch_micros(utc) -> Column:
-    """Microseconds since 1970 of a UTC instant held as TIMESTAMP_NTZ."""
-    elapsed = (_col(utc) - _epoch()).cast("interval second").cast("decimal(18,6)")
-    return (elapsed * MICROS_PER_SECOND).cast("bigint")
+    """Microseconds since 1970 of a UTC instant held as TIMESTAMP_NTZ; whole-number arithmetic from its parts."""
+    utc = _col(utc)
+    days = F.date_diff(utc.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    minutes = (days * 24 + F.hour(utc)) * 60 + F.minute(utc)
+    second = (F.extract(F.lit("SECOND"), utc) * MICROS_PER_SECOND).cast("bigint")
+    return minutes * (60 * MICROS_PER_SECOND) + second
 
 
 def from_micros(micros) -> Column:

@@ -19,15 +19,13 @@ def one_state_per_time(
     values: Sequence[str],
     tie: str | None = None,
 ) -> DataFrame:
-    """States reduced to one per key and time: the one with the greatest ``tie``, or without it the
-    greatest values. Reduced before the shuffle; fixed-size values stay in a hash table."""
-    grouped = states.groupBy(*key, time)
+    """States reduced to one per key and time: the one with the greatest ``tie`` (nulls lowest), of equal ones the one
+    with the greatest values. A state stays whole, nulls included. Reduced before the shuffle."""
     if not values:
         return states.select(*key, time).distinct()
-    if tie is None:
-        whole = F.struct(*values)
-        return grouped.agg(F.max(whole).alias("_v")).select(*key, time, "_v.*")
-    return grouped.agg(*[F.max_by(value, tie).alias(value) for value in values])
+    whole = F.struct(*([F.col(tie).alias("_tie")] if tie else []), *values)
+    one = states.groupBy(*key, time).agg(F.max(whole).alias("_v"))
+    return one.select(*key, time, *[F.col(f"_v.{value}").alias(value) for value in values])
 
 
 def asof(
@@ -43,14 +41,15 @@ def asof(
     found_time: str = "found_time",
 ) -> DataFrame:
     """Each probe row with the last state of its key at or before its time (``later``: the first
-    at or after). Adds ``found_time`` and ``values``, null if there is no such state.
+    at or after). Adds ``found_time`` and ``values``, null if there is no such state. A null key is
+    no key: such states match nothing, and such probes find nothing.
 
     States of one key and time are reduced to the one with the greatest ``tie`` before they move,
     so copies cost nothing. The rest is split by key and slice of time: no task gets a whole key.
     A slice starts from the state carried over from the slices before it; the carrying looks at
     one row per key and non-empty slice. Values of fixed size keep the reduction in a hash table.
     """
-    single = one_state_per_time(states, key, state_time, values, tie)
+    single = one_state_per_time(states.dropna(subset=list(key)), key, state_time, values, tie)
     states = single.select(
         *key,
         F.col(state_time).alias("_time"),

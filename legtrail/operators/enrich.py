@@ -36,8 +36,8 @@ def attach_dates(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Points with the dates of their flight (of the same ``by``). Points of unknown flights stay; a point whose id
-    stands for several flight rows comes once per row."""
-    return left_join_null_safe(points, flights, [*by, id], columns)
+    stands for several flight rows comes once per row. A null id names no flight: such points stay without dates."""
+    return left_join_null_safe(points, flights.filter(F.col(id).isNotNull()), [*by, id], columns)
 
 
 def airport_metadata(

@@ -29,14 +29,17 @@ def flatten_flights(records: DataFrame, zone: str, keep: Sequence[str] = ()) ->
     return records.select(*keep, *flight_columns(None, zone))
 
 
-def flatten_lists(lists: DataFrame, column: str, zone: str, keep: Sequence[str] = ()) -> DataFrame:
+def flatten_lists(
+    lists: DataFrame, column: str, zone: str, keep: Sequence[str] = (), idx: str | None = None
+) -> DataFrame:
     """Flight rows of a table with a list of raw flight records per row; empty lists give none.
 
-    All columns of the contract are always there, whatever fields are null in a record. Order is
-    for whoever writes or numbers the rows.
+    All columns of the contract are always there, whatever fields are null in a record. ``idx``
+    names a column for the place of the flight in its list, from 1: the order of fetching.
     """
-    records = lists.select(*keep, F.explode(column).alias("record"))
-    return records.select(*keep, *flight_columns("record", zone))
+    records = lists.select(*keep, F.posexplode(column).alias("_at", "record"))
+    number = [(F.col("_at") + 1).alias(idx)] if idx else []
+    return records.select(*keep, *number, *flight_columns("record", zone))
 
 
 def explode_trajectory(
@@ -62,9 +65,9 @@ def nest_points(
 ) -> DataFrame:
     """Points gathered into one sorted array per key and block.
 
-    ``block`` numbers stretches of a trajectory, such as 1024 grid steps each, so that an array
-    holds at most a block's points however long the trajectory is. Whatever does not fit into
-    block 0 follows in further rows; nothing is cut off.
+    Without ``block`` a key has one array, as long as its span and step make it. ``block`` numbers
+    stretches of a trajectory, such as 1024 grid steps each; an array then holds at most a block's
+    points, and a key has a row for each block. Nothing is cut off.
     """
     block = F.lit(0).cast("bigint") if block is None else block
     point = F.struct(*order, *[name for name in fields if name not in order])

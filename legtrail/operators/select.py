@@ -7,9 +7,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from legtrail.functions import times
 
 
-def in_local_range(time: str, start: str, end: str, zone: str) -> Column:
-    """Closed interval between two clock readings in ``zone``; constants, so scans can use it."""
-    return F.col(time).between(times.local_bound(start, zone), times.local_bound(end, zone))
+def in_local_range(time: str, start: str, end: str, zone: str, day: str | None = None) -> Column:
+    """Closed interval between two clock readings in ``zone``.
+
+    A bound on a time prunes no file by itself. ``day`` names a partition column with the UTC date of
+    ``time``: its bounds are constants, so only folders of those days are read.
+    """
+    first, last = times.local_bound(start, zone), times.local_bound(end, zone)
+    inside = F.col(time).between(first, last)
+    return inside & F.col(day).between(first.cast("date"), last.cast("date")) if day else inside
 
 
 def departs(
@@ -19,9 +25,10 @@ def departs(
     zone: str,
     origin: str = "origin_airport",
     time: str = "departure_time",
+    day: str | None = None,
 ) -> Column:
     """Condition: left ``airport`` between ``start`` and ``end``, local time, both included."""
-    return (F.col(origin) == airport) & in_local_range(time, start, end, zone)
+    return (F.col(origin) == airport) & in_local_range(time, start, end, zone, day)
 
 
 def arrives(
@@ -31,9 +38,10 @@ def arrives(
     zone: str,
     destination: str = "destination_airport",
     time: str = "arrival_time",
+    day: str | None = None,
 ) -> Column:
     """Condition: reached ``airport`` between ``start`` and ``end``, local time, both included."""
-    return (F.col(destination) == airport) & in_local_range(time, start, end, zone)
+    return (F.col(destination) == airport) & in_local_range(time, start, end, zone, day)
 
 
 def airport_departures(flights: DataFrame, *range_, **columns) -> DataFrame:

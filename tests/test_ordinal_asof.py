@@ -167,3 +167,13 @@ def test_asof_sampling_takes_the_last_state_of_the_same_aircraft(spark, rows):
     assert rows(got, "id", "grid_step", "velocity") == [
         ("a-0", 0, -90_000.0), ("a-0", 1, 180.0), ("a-0", 2, 190.0)
     ]
+
+
+def test_a_state_stays_whole_with_null_and_equal_ties(spark, rows):
+    states = spark.createDataFrame(
+        [("a", 1, None, 1.0, "x"), ("a", 1, None, 2.0, None), ("b", 1, 5, None, "p"), ("b", 1, 5, 3.0, None), (None, 1, 9, 9.0, "q")],
+        "k string, t long, tie int, v double, w string",
+    )
+    probes = spark.createDataFrame([("a", 2), ("b", 2), (None, 2)], "k string, at long")
+    got = asof(probes, states, ["k"], "at", "t", ["v", "w"], "tie", slice_width=10)
+    assert rows(got, "k", "found_time", "v", "w") == [(None, None, None, None), ("a", 1, 2.0, None), ("b", 1, 3.0, None)]
