@@ -46,7 +46,7 @@ def daily_store(
     is_points = family in _POINT_DAY
     path = ingest.points_path(folder) if is_points else ingest.flights_path(folder)
     rows = store.read_partitions(
-        spark, path, schemas.family_schema(family), ingest.PARTITIONS, fmt
+        spark, path, schemas.stored_schema(family), ingest.PARTITIONS, fmt
     ).filter(F.col(store.FAMILY) == family)
     if is_points:
         rows = select.rolling_months(rows, store.DAY, F.lit(as_of), days)

@@ -5,7 +5,6 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from legtrail.functions import times
-from legtrail.functions.rows import BLOCK
 from legtrail.operators import enrich, nested, quality, select
 from legtrail.plans.ingest import sampled
 from legtrail.session import staged
@@ -22,8 +21,15 @@ class LatestDay(NamedTuple):
     nested: DataFrame
 
 
-def with_trajectories(flights: DataFrame, telemetry: DataFrame, **sampling) -> DataFrame:
-    """Flights with their sampled trajectory inside, in arrays of at most one block of the grid."""
+class NotReady(ValueError):
+    """The latest day is not known: nothing recent, or departures and arrivals disagree."""
+
+
+def with_trajectories(
+    flights: DataFrame, telemetry: DataFrame, block_steps: int | None = None, **sampling
+) -> DataFrame:
+    """Flights with their sampled trajectory inside: one row per flight, or with ``block_steps`` one
+    for each stretch of so many grid steps."""
     flights = staged(flights, "flights")
     once = flights.select("ICAO24", *FLIGHT_KEY).distinct()
     points = sampled(once, telemetry, **sampling)
@@ -33,7 +39,7 @@ def with_trajectories(flights: DataFrame, telemetry: DataFrame, **sampling) -> D
         FLIGHT_KEY,
         order=["grid_step"],
         fields=["requested_time", "longitude", "latitude", "geo_altitude", "velocity"],
-        block=times.whole_slices("grid_step", BLOCK),
+        block=times.whole_slices("grid_step", block_steps) if block_steps else None,
     )
 
 
@@ -49,11 +55,15 @@ def explore_latest_day(
     airports: DataFrame | None = None,
     code: str = "code",
     details: tuple[str, ...] = (),
+    guard: bool = True,
     **sampling,
 ) -> LatestDay:
     """Movements of the latest day, plain and with trajectories inside (column ``direction``).
 
-    The latest day is the last departure date among recent arrivals.
+    The latest day is the last departure date among recent arrivals. It is fetched, one value, so that
+    the scan of that day has constant bounds. ``guard``: raises :class:`NotReady` if there are no recent
+    departures or arrivals, or if the last arrival date among departures is another day; without it
+    the result may be empty.
     """
     leaving = records.filter(F.col("origin_airport") == airport)
     reaching = records.filter(F.col("destination_airport") == airport)
@@ -63,7 +73,13 @@ def explore_latest_day(
     recent_arrivals = nested.flatten_flights(
         select.around_now(reaching, "arrival_time", now, back, ahead), zone
     )
-    day = recent_arrivals.agg(F.max("departure_date")).scalar()
+    agreement = quality.latest_day_agreement(recent_departures, recent_arrivals)
+    found = agreement.first()
+    if guard and (found.arrivals_latest is None or found.departures_latest is None):
+        raise NotReady("no recent arrivals, or no recent departures that have arrived")
+    if guard and not found.agree:
+        raise NotReady(f"latest days differ: {found.arrivals_latest}, {found.departures_latest}")
+    day = F.lit(found.arrivals_latest).cast("date")
 
     def that_day(time):
         return F.col(time).between(times.day_start(day, zone), times.day_end(day, zone))
@@ -81,7 +97,7 @@ def explore_latest_day(
         ends = {"departure_airport_ICAO": "origin_", "destination_airport_ICAO": "destination_"}
         flights = enrich.airport_metadata(flights, airports, code, details, ends)
     return LatestDay(
-        agreement=quality.latest_day_agreement(recent_departures, recent_arrivals),
+        agreement=agreement,
         departures=recent_departures.filter(F.col("departure_date") == day),
         arrivals=recent_arrivals.filter(F.col("arrival_date") == day),
         nested=with_trajectories(flights, telemetry, step=step, **sampling),

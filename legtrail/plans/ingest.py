@@ -14,14 +14,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from legtrail import schemas
 from legtrail.functions import times
-from legtrail.functions.rows import repeat
 from legtrail.operators import enrich, nested, quality, select, trajectory
-from legtrail.session import staged
+from legtrail.session import scratch
 from legtrail.sources import store
 
-#: Grid points one task lays out.
+#: Grid points one task lays out, and most tasks that do; beyond them a task has more points.
 GRID_POINTS_PER_TASK = 500_000
-#: Most aircraft that are broadcast to thin out telemetry before it is shuffled.
+MAX_GRID_TASKS = 10_000
+#: Most aircraft that are broadcast to thin out telemetry before it is shuffled (under 50 MB). Beyond it the
+#: join that samples does the same work later; results do not depend on it.
 MAX_BROADCAST_AIRCRAFT = 500_000
 
 PARTITIONS = (store.FAMILY, store.DAY)
@@ -52,11 +53,17 @@ class Extent(NamedTuple):
     last: int | None
 
 
+def flown(flights: DataFrame) -> DataFrame:
+    """Flights that have a grid: a known aircraft and both ends in order."""
+    in_order = F.col("arrival_time") >= F.col("departure_time")
+    return flights.filter(F.col("ICAO24").isNotNull() & in_order)
+
+
 def extent(flights: DataFrame, step: int) -> Extent:
     departure, arrival = times.epoch_micros("departure_time"), times.epoch_micros("arrival_time")
     steps = times.whole_slices(arrival - departure, step * times.MICROS_PER_SECOND) + 1
     row = (
-        flights.filter(F.col("arrival_time") >= F.col("departure_time"))
+        flown(flights)
         .groupBy("ICAO24")
         .agg(
             F.sum(steps).alias("points"),
@@ -75,20 +82,24 @@ def extent(flights: DataFrame, step: int) -> Extent:
 
 
 def telemetry_for(
-    flights: DataFrame, telemetry: DataFrame, needs: Extent, exact: bool
+    flights: DataFrame, telemetry: DataFrame, needs: Extent, exact: bool, day: str | None = None
 ) -> DataFrame:
     """The telemetry that can matter to flights, thinned out before anything is shuffled.
 
-    Bounds are constants, so they reach the scan. Few aircraft are broadcast; beyond the limit all
-    telemetry goes on, and the join that follows sorts it out. What lies before the first departure
-    is reduced to the last state of each aircraft, within each task first.
+    A state without aircraft matters to none. ``day`` names a partition column with the UTC date of
+    ``time``; bounds on it are constants, so other folders are not read. What lies before the first
+    departure is reduced to the last state of each aircraft, within each task first.
     """
     if needs.aircraft == 0:
         return telemetry.filter(F.lit(False))
     first, last = times.from_micros(F.lit(needs.first)), times.from_micros(F.lit(needs.last))
-    telemetry = telemetry.filter(F.col("time") <= last)
+    telemetry = telemetry.filter((F.col("time") <= last) & F.col("ICAO24").isNotNull())
+    if day:
+        telemetry = telemetry.filter(F.col(day) <= last.cast("date"))
+        telemetry = telemetry.filter(F.col(day) >= first.cast("date")) if exact else telemetry
+        telemetry = telemetry.drop(day)
     if needs.aircraft <= MAX_BROADCAST_AIRCRAFT:
-        aircraft = flights.select("ICAO24").distinct()
+        aircraft = flown(flights).select("ICAO24").distinct()
         telemetry = telemetry.join(F.broadcast(aircraft), "ICAO24", "left_semi")
     during = telemetry.filter(F.col("time") >= first)
     if exact:
@@ -106,20 +117,23 @@ def sampled(
     step: int,
     exact: bool = True,
     has_tie: bool = False,
+    telemetry_day: str | None = None,
 ) -> DataFrame:
     """Grid points of flights with the flight's columns and ``grid_step``.
 
     ``exact``: telemetry lies on the grid; otherwise the last state before each grid time counts.
     ``telemetry`` has ICAO24, time and state columns, those it lacks become null; with ``has_tie``
     also a number ``tie``, the greatest of which decides between states of one aircraft and time.
+    ``telemetry_day`` names its partition column with the UTC date of ``time``, if there is one.
     """
     needs = extent(flights, step)
     tie = "tie" if has_tie else None
     present = [name for name in schemas.STATE_FIELDS if name in telemetry.columns]
-    telemetry = telemetry.select("ICAO24", "time", *present, *([tie] if tie else []))
-    telemetry = telemetry_for(flights, telemetry, needs, exact)
+    extra = [name for name in (tie, telemetry_day) if name]
+    telemetry = telemetry.select("ICAO24", "time", *present, *extra)
+    telemetry = telemetry_for(flights, telemetry, needs, exact, telemetry_day)
     # A task lays out the grid of its flights: spread them by what they grow to, not by their size.
-    tasks = ceil(needs.points / GRID_POINTS_PER_TASK)
+    tasks = min(MAX_GRID_TASKS, ceil(needs.points / GRID_POINTS_PER_TASK))
     if tasks > 1:
         flights = flights.repartition(tasks, *_POINT_KEYS)
     sample = trajectory.sample_exact if exact else trajectory.sample_asof
@@ -134,34 +148,31 @@ def sampled(
     )
 
 
-def points_of(flights: DataFrame, telemetry: DataFrame, **sampling) -> DataFrame:
-    """State-vector rows of flights, for each family.
+def flown_once(flights: DataFrame) -> DataFrame:
+    """Each flight that has an id once, with ``_rows``: family, dates and number of copies of its points.
 
-    Every flight row gets its series, and every point comes once per flight row of its family and
-    id, with that row's dates. Both are settled among the flights: copies of a flight, in one
-    family or both, are sampled once, and no join moves the points again.
+    Every flight row gets its series, and every point counts once per flight row of its family and id, with that
+    row's dates. Both are settled among the flights as counts: copies of a flight, in one family or both, are
+    sampled once and never written out. A flight without id has no aircraft or no departure, so no points.
     """
-    members = flights.groupBy(*_POINT_KEYS, store.FAMILY).agg(F.count("*").alias("_n"))
-    dates = flights.groupBy("id", store.FAMILY, "arrival_date", "departure_date").agg(
+    known = flights.filter(F.col("id").isNotNull())
+    members = known.groupBy(*_POINT_KEYS, store.FAMILY).agg(F.count("*").alias("_n"))
+    dates = known.groupBy("id", store.FAMILY, "arrival_date", "departure_date").agg(
         F.count("*").alias("_m")
     )
     dated = enrich.attach_dates(
         members, dates, columns=["arrival_date", "departure_date", "_m"], by=[store.FAMILY]
     )
-    times_each = (F.col("_n") * F.col("_m")).alias("n")
-    once = staged(
-        dated.groupBy(*_POINT_KEYS).agg(
-            F.collect_list(
-                F.struct(store.FAMILY, "arrival_date", "departure_date", times_each)
-            ).alias("_rows")
-        ),
-        "flown",
-    )
+    copies = (F.col("_n") * F.col("_m")).alias("copies")
+    row = F.struct(store.FAMILY, "arrival_date", "departure_date", copies)
+    return dated.groupBy(*_POINT_KEYS).agg(F.collect_list(row).alias("_rows"))
+
+
+def points_of(once: DataFrame, telemetry: DataFrame, **sampling) -> DataFrame:
+    """State-vector rows of :func:`flown_once` flights for each family, with their number of ``copies``."""
     points = sampled(once, telemetry, **sampling).withColumn("_row", F.explode("_rows"))
     columns = [name for name in schemas.STATE_VECTORS.names if not name.endswith("_date")]
-    return repeat(
-        points.select(*columns, "_row.*"), F.col("n"), "_copy"
-    ).select(*schemas.STATE_VECTORS.names, store.FAMILY)
+    return points.select(*columns, "_row.*").select(*schemas.STORED_POINTS.names, store.FAMILY)
 
 
 def save(
@@ -169,18 +180,25 @@ def save(
 ) -> DataFrame:
     """Upsert flight rows with their family, and the points of these flights.
 
-    Gives the decision per family and day.
+    Gives the decision per family and day. Points are replaced first: after a failure in between, the flights
+    of the day still count as the smaller ones, so the next run replaces them.
     """
-    flights = staged(flights.withColumn(store.DAY, _day()), "flights")
-    points = staged(points_of(flights, telemetry, **sampling), "points")
-    if not quality.orphans(points, flights, by=[store.FAMILY]).isEmpty():
-        raise ValueError("points of unknown flights")
-    points = points.withColumn(store.DAY, _day()).withColumn(
-        store.FAMILY, F.concat(store.FAMILY, F.lit("_SV"))
-    )
-    return store.upsert_larger(
-        flights, flights_path(folder), PARTITIONS, fmt, is_staged=True
-    ).unionByName(store.upsert_larger(points, points_path(folder), PARTITIONS, fmt, is_staged=True))
+    with scratch(flights.sparkSession) as kept:
+        flights = kept.staged(flights.withColumn(store.DAY, _day()), "flights")
+        once = kept.staged(flown_once(flights), "flown")
+        ids = once.select("id", F.explode("_rows").alias("_row")).select("id", "_row.family")
+        if not quality.orphans(ids, flights, by=[store.FAMILY]).isEmpty():
+            raise ValueError("points of unknown flights")
+        points = points_of(once, telemetry, **sampling).withColumn(store.DAY, _day())
+        family = F.concat(store.FAMILY, F.lit("_SV"))
+        points = kept.staged(points.withColumn(store.FAMILY, family), "points")
+        of_points = store.upsert_larger(
+            points, points_path(folder), PARTITIONS, fmt, is_staged=True, weight="copies"
+        )
+        of_flights = store.upsert_larger(
+            flights, flights_path(folder), PARTITIONS, fmt, is_staged=True
+        )
+        return of_flights.unionByName(of_points)
 
 
 def ingest_movements(
@@ -192,14 +210,20 @@ def ingest_movements(
     end: str,
     zone: str,
     step: int = 180,
+    departure_day: str | None = None,
+    arrival_day: str | None = None,
     **options,
 ) -> DataFrame:
-    """Departures and arrivals of ``airport`` between two local times, with trajectories."""
+    """Departures and arrivals of ``airport`` between two local times, with trajectories.
+
+    ``departure_day``, ``arrival_day`` and ``telemetry_day`` name partition columns with the UTC date of the time, if
+    there are such: then only folders of the range are read.
+    """
     chosen = select.movements(
         records,
         {
-            schemas.DEPARTURES: select.departs(airport, start, end, zone),
-            schemas.ARRIVALS: select.arrives(airport, start, end, zone),
+            schemas.DEPARTURES: select.departs(airport, start, end, zone, day=departure_day),
+            schemas.ARRIVALS: select.arrives(airport, start, end, zone, day=arrival_day),
         },
     )
     flights = nested.flatten_flights(chosen, zone, keep=[store.FAMILY])
@@ -220,7 +244,7 @@ def stored_counts(
         )
         for path, schema in (
             (flights_path(folder), schemas.FLIGHTS),
-            (points_path(folder), schemas.STATE_VECTORS),
+            (points_path(folder), schemas.STORED_POINTS),
         )
     ]
     return reduce(DataFrame.unionByName, counts)
@@ -237,6 +261,8 @@ def backfill_missing_days(
     step: int = 180,
     fmt: str = "parquet",
     families: Sequence[str] = schemas.FAMILIES,
+    departure_day: str | None = None,
+    arrival_day: str | None = None,
     **options,
 ) -> DataFrame:
     """Ingest those of the last ``days`` days before ``as_of`` for which any family has no rows.
@@ -247,16 +273,18 @@ def backfill_missing_days(
     wanted = quality.spine(spark.range(1), times.look_back(F.lit(as_of), days))
     first, last = as_of - timedelta(days=days), as_of - timedelta(days=1)
     counts = stored_counts(spark, folder, first, last, fmt)
-    missing = staged(quality.missing_dates(wanted, counts, families), "missing")
+    span = (f"{first} 00:00:00", f"{last} 23:59:59", zone)
     either = select.movements(
         records,
         {
-            schemas.DEPARTURES: F.col("origin_airport") == airport,
-            schemas.ARRIVALS: F.col("destination_airport") == airport,
+            schemas.DEPARTURES: select.departs(airport, *span, day=departure_day),
+            schemas.ARRIVALS: select.arrives(airport, *span, day=arrival_day),
         },
     )
     is_departure = F.col(store.FAMILY) == schemas.DEPARTURES
     moved = F.when(is_departure, F.col("departure_time")).otherwise(F.col("arrival_time"))
-    chosen = select.on_days(either.withColumn("moved", moved), missing, "moved", zone)
-    flights = nested.flatten_flights(chosen, zone, keep=[store.FAMILY])
-    return save(flights, telemetry, folder, fmt, step=step, **options)
+    with scratch(spark) as kept:
+        missing = kept.staged(quality.missing_dates(wanted, counts, families), "missing")
+        chosen = select.on_days(either.withColumn("moved", moved), missing, "moved", zone)
+        flights = nested.flatten_flights(chosen, zone, keep=[store.FAMILY])
+        return save(flights, telemetry, folder, fmt, step=step, **options)

@@ -5,6 +5,7 @@ from pyspark.sql.types import (
     BooleanType,
     DateType,
     DoubleType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -49,6 +50,9 @@ STATE_VECTORS = _schema(
     departure_date=DateType(),
 )
 
+#: State vectors as the store holds them: ``copies`` says how often the point is there.
+STORED_POINTS = StructType([*STATE_VECTORS.fields, StructField("copies", LongType(), False)])
+
 #: The part of a state vector that comes from the aircraft.
 STATE_FIELDS = (
     "longitude",
@@ -79,3 +83,8 @@ RAW_FLIGHT = _schema(
 
 def family_schema(family: str) -> StructType:
     return FLIGHTS if family in (DEPARTURES, ARRIVALS) else STATE_VECTORS
+
+
+def stored_schema(family: str) -> StructType:
+    """Rows of a family in an ingest store."""
+    return FLIGHTS if family in (DEPARTURES, ARRIVALS) else STORED_POINTS

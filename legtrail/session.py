@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -55,6 +57,31 @@ def staged(df: DataFrame, purpose: str = "staged") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """A folder under the shared one for tables that only one run needs."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.tables = spark, new_folder(spark, "scratch"), 0
+
+    def staged(self, df: DataFrame, purpose: str) -> DataFrame:
+        """As :func:`staged`, inside this folder."""
+        self.tables += 1
+        path = f"{self.folder}/{purpose}-{self.tables}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """A :class:`Scratch` whose folder is removed at the end, also after a failure."""
+    held = Scratch(spark)
+    try:
+        yield held
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(held.folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     """No rows, but typed."""
     nothing = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]

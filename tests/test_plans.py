@@ -54,16 +54,18 @@ def telemetry(spark):
 def stored(spark, folder, family, fmt="parquet"):
     where = ingest.points_path if family.endswith("SV") else ingest.flights_path
     rows = store.read_partitions(
-        spark, where(str(folder)), schemas.family_schema(family), ingest.PARTITIONS, fmt
+        spark, where(str(folder)), schemas.stored_schema(family), ingest.PARTITIONS, fmt
     )
     return rows.filter(F.col("family") == family)
 
 
 def sizes(spark, folder, fmt="parquet"):
-    return {
-        family: Counter(str(row.day) for row in stored(spark, folder, family, fmt).collect())
-        for family in schemas.FAMILIES
-    }
+    """Rows per family and day, points as often as they have copies."""
+    found = {family: Counter() for family in schemas.FAMILIES}
+    for family, days in found.items():
+        for row in stored(spark, folder, family, fmt).collect():
+            days[str(row.day)] += row.copies if family.endswith("SV") else 1
+    return found
 
 
 FIRST_DAY = {
@@ -94,7 +96,7 @@ def test_ingest(spark, records, telemetry, tmp_path, exact, fmt):
     assert overnight[0].longitude is None and overnight[0].velocity == 0.0
     assert {b.requested_time - a.requested_time for a, b in zip(overnight, overnight[1:])} == {180.0}
     assert overnight[0].id == "c_2022-11-12 23:54:00"
-    assert points.columns == [*schemas.STATE_VECTORS.names, "family", "day"]
+    assert points.columns == [*schemas.STORED_POINTS.names, "family", "day"]
 
 
 def test_all_telemetry_beyond_the_broadcast_limit(spark, records, telemetry, tmp_path, monkeypatch):
@@ -117,7 +119,7 @@ def test_grid_spread_over_tasks_and_old_states(spark, records, telemetry, tmp_pa
     )
     points = stored(spark, tmp_path, "bl_dep_SV").filter("ICAO24 = 'h'").collect()
     assert [p.velocity for p in points] == [9.0, 9.0, 9.0]
-    assert stored(spark, tmp_path, "bl_dep_SV").count() == 27 + 3 + 3
+    assert sizes(spark, tmp_path)["bl_dep_SV"].total() == 27 + 3 + 3
 
 
 def test_no_flights_at_all(spark, records, telemetry, tmp_path):
@@ -163,11 +165,12 @@ def test_consolidate_store_and_files(spark, records, telemetry, tmp_path):
     paths = consolidate.consolidate_datasets(daily, out)
     departures = store.with_position(spark, paths["bl_dep"]).orderBy("position").collect()
     assert [row.ICAO24 for row in departures] == ["a", "a", "b", "d", "e", "h"]
-    assert spark.read.parquet(paths["bl_dep_SV"]).count() == 30
+    assert spark.read.parquet(paths["bl_dep_SV"]).agg(F.sum("copies")).first()[0] == 30
     later = consolidate.daily_store(spark, folder, "bl_dep_SV", date(2023, 1, 31), days=20)
     assert later.isEmpty()
 
     files = str(tmp_path / "files")
+    daily = {family: rows.drop("copies") for family, rows in daily.items()}
     for family, rows in daily.items():
         csv_files.write_csv(rows, files, F.lit(f"{family}_2022_11_12"))
     for family, rows in daily.items():
@@ -185,7 +188,7 @@ def test_explore_latest_day(spark, records, telemetry):
     airports = spark.createDataFrame([("HOME", 46.5), ("AWAY", 47.0)], "code string, latitude double")
     now = F.lit(DAY + timedelta(days=2)).cast("timestamp_ntz")
     found = explore.explore_latest_day(
-        records, telemetry, "HOME", now, ZONE, airports=airports, details=("latitude",)
+        records, telemetry, "HOME", now, ZONE, airports=airports, details=("latitude",), guard=False
     )
     # Arrivals left on the 12th and 13th, so the latest day is the 13th.
     assert [row.ICAO24 for row in found.departures.collect()] == ["e"]
@@ -209,3 +212,80 @@ def test_explore_keeps_flights_without_points_and_copies(spark, records, telemet
     assert got.count() == len(LEGS)
     series = {r.ICAO24: r.state_vectors for r in got.collect()}
     assert series["h"] is None and len(series["a"]) == 13
+
+
+def test_explore_stops_on_disagreement_and_on_nothing(spark, records, telemetry):
+    now = F.lit(DAY + timedelta(days=2)).cast("timestamp_ntz")
+    with pytest.raises(explore.NotReady, match="differ"):
+        explore.explore_latest_day(records, telemetry, "HOME", now, ZONE)
+    with pytest.raises(explore.NotReady, match="no recent"):
+        explore.explore_latest_day(records, telemetry, "NOWHERE", now, ZONE)
+
+
+@pytest.mark.parametrize("block_steps, rows", [(None, 1), (1024, 2)])
+def test_a_long_flight_is_one_row_unless_blocks_are_asked_for(spark, block_steps, rows):
+    flight = spark.createDataFrame([leg("z", 0, 18 * 60, "HOME", "AWAY")], schemas.RAW_FLIGHT)
+    states = spark.createDataFrame([("z", DAY, 1.0, 1)], "ICAO24 string, time timestamp_ntz, velocity double, tie long")
+    from legtrail.operators import nested
+
+    flat = nested.flatten_flights(flight, ZONE)
+    got = explore.with_trajectories(flat, states, block_steps, step=60, exact=False, has_tie=True).collect()
+    assert len(got) == rows and sum(len(r.state_vectors) for r in got) == 18 * 60 + 1
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_unknown_aircraft_match_nothing_at_any_limit(spark, records, telemetry, tmp_path, monkeypatch, exact):
+    unknown = spark.createDataFrame([leg(None, 8, 12, "HOME", "AWAY")] * 3, schemas.RAW_FLIGHT)
+    states = spark.createDataFrame([(None, DAY + timedelta(hours=8), 1.0, None, 1)] * 4, telemetry.schema)
+    found = []
+    for limit in (0, 500_000):
+        monkeypatch.setattr(ingest, "MAX_BROADCAST_AIRCRAFT", limit)
+        folder = tmp_path / str(limit)
+        ingest.ingest_movements(
+            records.unionByName(unknown), telemetry.unionByName(states), str(folder), "HOME",
+            "2022-11-12 00:00:00", "2022-11-13 02:00:00", ZONE, exact=exact, has_tie=True,
+        )
+        found.append(sizes(spark, folder))
+    assert found[0] == found[1]
+    assert found[0] == {**FIRST_DAY, "bl_dep": {"2022-11-12": 4 + 3}}
+
+
+def test_copies_are_counted_not_written(spark, telemetry, tmp_path):
+    many = spark.createDataFrame([leg("a", 8, 12, "HOME", "AWAY")] * 50, schemas.RAW_FLIGHT)
+    ingest.ingest_movements(many, telemetry, str(tmp_path), "HOME", "2022-11-12 00:00:00", "2022-11-13 02:00:00", ZONE)
+    rows = stored(spark, tmp_path, "bl_dep_SV").collect()
+    assert [r.copies for r in rows] == [2500] * 5
+
+
+def test_nothing_is_left_of_a_run(spark, records, telemetry, tmp_path, monkeypatch):
+    from legtrail import session
+
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path / "shared"))
+    ingest.ingest_movements(
+        records, telemetry, str(tmp_path / "out"), "HOME", "2022-11-12 00:00:00", "2022-11-13 02:00:00", ZONE
+    )
+    left = sorted(p.name.rsplit("-", 1)[0] for p in (tmp_path / "shared").iterdir())
+    assert left == ["legtrail-decision", "legtrail-decision"]  # the result
+
+
+def test_days_are_read_by_folder(spark, records, telemetry, tmp_path, plan):
+    """Partition columns with the UTC date bound what is read; results are the same."""
+    for name, rows, time in (("records", records, "departure_time"), ("telemetry", telemetry, "time")):
+        rows.withColumn("utc_day", F.col(time).cast("date")).write.partitionBy("utc_day").parquet(str(tmp_path / name))
+    stored_records, states = (spark.read.parquet(str(tmp_path / n)) for n in ("records", "telemetry"))
+    from legtrail.operators import select
+
+    chosen = stored_records.filter(
+        select.departs("HOME", "2022-11-12 00:00:00", "2022-11-12 23:59:59", ZONE, day="utc_day")
+    )
+    scan = plan(chosen)
+    assert "2022-11-11" in scan.split("PartitionFilters: ")[1].split("\n")[0]
+    folder = tmp_path / "out"
+    ingest.ingest_movements(
+        stored_records, states, str(folder), "HOME", "2022-11-12 00:00:00", "2022-11-13 02:00:00", ZONE,
+        departure_day="utc_day", telemetry_day="utc_day",
+    )
+    assert sizes(spark, folder)["bl_dep_SV"] == FIRST_DAY["bl_dep_SV"]
+    needs = ingest.Extent(1, 1, 1_668_210_000_000_000, 1_668_210_900_000_000)
+    some = spark.createDataFrame([leg("a", 8, 12, "HOME", "AWAY")], schemas.RAW_FLIGHT)
+    assert "PartitionFilters: [isnotnull(utc_day" in plan(ingest.telemetry_for(some, states, needs, True, "utc_day"))
