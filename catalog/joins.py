@@ -66,8 +66,7 @@ def fetch_ordinal(spark, sf_dir):
 
 def _numbered_orders(spark, sf_dir):
     flights = adapters.flight_orders(spark, sf_dir).select("day", "id")
-    slot = F.floor(F.col("id") / 65_536)
-    return ordinal.with_ordinal(flights, by=["day"], order=["id"], slot=slot)
+    return ordinal.with_ordinal(flights, by=["day"], order=["id"])
 
 
 @query(f"""

@@ -54,7 +54,6 @@ def flight_ordinal(spark, sf_dir):
         flights.select("leg_id", "departure_date", "departure_time"),
         by=["departure_date"],
         order=["departure_time", "leg_id"],
-        slot=times.time_slice("departure_time", 60),
     )
 
 

@@ -1,52 +1,46 @@
 """Row numbers within a group that may hold most of the table."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from legtrail.functions.rows import repeat
+from legtrail.session import staged
+
+#: Bits of an increasing id below those of its partition.
+_ROW_BITS = 33
 
 
 def with_ordinal(
-    rows: DataFrame,
-    by: Sequence[str],
-    order: Sequence[str],
-    slot: Column,
-    name: str = "idx",
+    rows: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "idx"
 ) -> DataFrame:
     """Number rows from 1 within ``by`` in the order of ``order``, nulls last.
 
-    ``slot`` is any expression that does not decrease along ``order`` inside a group, such as the
-    minute of a time. It splits a large group: each task numbers one slot, and starts where the
-    slots before it end. Only one row per slot goes through the running sum over a whole group.
-    Identical rows travel as one row with a count, so copies do not gather in one task either.
+    One sort over all groups by ranges, so a large group lies in as many partitions as its rows need,
+    copies of one row included. The sorted rows are written down with their place; a row's number is its
+    place within its partition's part of the group, plus the lengths of the parts before. Only one row per group
+    and partition goes through a running sum.
     """
     columns = rows.columns
-    packed = rows.withColumn("_slot", slot).groupBy(*columns, "_slot").agg(F.count("*").alias("_n"))
-
-    earlier_slots = (
-        W.partitionBy(*by)
-        .orderBy(F.asc_nulls_last("_slot"))
-        .rowsBetween(W.unboundedPreceding, -1)
+    keys = [F.asc_nulls_last(column) for column in (*by, *order)]
+    salted = rows.withColumn("_salt", F.rand(7))
+    ranged = salted.repartitionByRange(*keys, "_salt").sortWithinPartitions(*keys)
+    placed = staged(
+        ranged.select(*columns, F.monotonically_increasing_id().alias("_at")), "ordered"
     )
-    starts = (
-        packed.groupBy(*by, "_slot")
-        .agg(F.sum("_n").alias("_total"))
+    part = F.shiftright("_at", _ROW_BITS).alias("_part")
+    earlier = W.partitionBy(*by).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    parts = (
+        placed.groupBy(*by, part)
+        .agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
         .select(
-            *by,
-            "_slot",
-            F.coalesce(F.sum("_total").over(earlier_slots), F.lit(0)).alias("_n"),
-            F.lit(0).alias("_kind"),
+            *[F.col(column).alias(f"_by_{column}") for column in by],
+            "_part",
+            (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
         )
     )
-    # The start of a slot enters the running sum as its first row: no join back is needed.
-    together = packed.withColumn("_kind", F.lit(1)).unionByName(starts, allowMissingColumns=True)
-    earlier_rows = (
-        W.partitionBy(*by, "_slot")
-        .orderBy("_kind", *[F.asc_nulls_last(column) for column in order])
-        .rowsBetween(W.unboundedPreceding, -1)
-    )
-    numbered = together.withColumn("_before", F.sum("_n").over(earlier_rows)).filter("_kind = 1")
-    return repeat(numbered, F.col("_n"), "_copy").select(
-        *columns, (F.col("_before") + F.col("_copy") + 1).alias(name)
+    same = [F.col(column).eqNullSafe(F.col(f"_by_{column}")) for column in by]
+    here = F.shiftright("_at", _ROW_BITS) == F.col("_part")
+    return placed.join(parts, reduce(Column.__and__, same, here)).select(
+        *columns, (F.col("_at") + F.col("_shift")).alias(name)
     )

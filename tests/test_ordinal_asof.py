@@ -35,7 +35,7 @@ def skewed(spark):
 
 def test_ordinal_equals_brute_force(spark, skewed):
     df = spark.createDataFrame(skewed, "day string, t int, k string").repartition(6)
-    got = ordinal.with_ordinal(df, ["day"], ["t", "k"], slot=F.floor(F.col("t") / 100)).collect()
+    got = ordinal.with_ordinal(df, ["day"], ["t", "k"]).collect()
     order = lambda row: (row[1] is None, row[1] or 0, row[2])
     expected = []
     by_day = sorted(skewed, key=lambda row: (row[0] is not None, row[0] or "", *order(row)))
@@ -44,11 +44,28 @@ def test_ordinal_equals_brute_force(spark, skewed):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
 
 
-def test_ordinal_task_sizes(spark, skewed):
-    """The window never sees a whole hot day: at most one slot of distinct rows."""
+def test_ordinal_spreads_a_hot_group(spark, skewed):
+    """Half of the hot day is copies of one row; its rows still lie in many partitions."""
     df = spark.createDataFrame(skewed, "day string, t int, k string")
-    slots = df.distinct().groupBy("day", F.floor(F.col("t") / 100)).count().agg(F.max("count")).first()[0]
-    assert slots < df.filter("day = 'hot'").count() / 10
+    seen = []
+
+    def staged(rows, purpose):
+        kept = rows.cache()
+        sizes = kept.filter("day = 'hot'").groupBy(F.shiftright("_at", 33)).count().collect()
+        seen.extend(row["count"] for row in sizes)
+        return kept
+
+    kept, ordinal.staged = ordinal.staged, staged
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        ordinal.with_ordinal(df, ["day"], ["t", "k"]).count()
+    finally:
+        ordinal.staged = kept
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(seen) > 8 and max(seen) < sum(seen) / 6
 
 
 def brute_asof(probes, states, later):
