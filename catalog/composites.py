@@ -1,14 +1,18 @@
-"""Whole runs: ingest, backfill, consolidate, explore. Results are summed up per day or block."""
+"""Whole runs: ingest, backfill, consolidate, explore.
+
+Results are summed up per family and day, with a digest that every column of every row goes into.
+"""
 
 from datetime import date
 
-from pyspark.sql import functions as F
+from pyspark.sql import Column, functions as F
 
 from catalog import adapters
 from catalog.adapters import HOME, ZONE
 from catalog.files import union, write_daily_files
 from catalog.registry import query, table
 from legtrail import schemas
+from legtrail.functions import times
 from legtrail.plans import consolidate, explore, ingest
 from legtrail.session import new_folder
 from legtrail.sources import store
@@ -24,23 +28,39 @@ _POINTS = """grid AS (
          unnest(generate_series(departure_time, arrival_time, INTERVAL {step})) AS grid_time
   FROM flights WHERE arrival_time IS NOT NULL),
 points AS (
-  SELECT grid.*, velocity FROM grid ASOF JOIN telemetry
+  SELECT grid.*, velocity, geo_altitude FROM grid ASOF JOIN telemetry
     ON grid.ICAO24 = telemetry.ICAO24 AND grid_time >= time)"""
 
 _DEP = "departure_airport_ICAO = 'signup'"
 _ARR = "destination_airport_ICAO = 'signup'"
 
 
+# Text of a row and sum of a number made from it, the same in both languages; nulls are left out of the text.
+_FLIGHT_TEXT = """concat_ws('|', ICAO24, call_sign, epoch_us(departure_time), departure_date, epoch_us(arrival_time),
+  arrival_date, departure_airport_ICAO, destination_airport_ICAO, id)"""
+_POINT_TEXT = """concat_ws('|', ICAO24, epoch_us(grid_time), round(geo_altitude * 100)::BIGINT,
+  round(velocity * 100)::BIGINT, id, arrival_date, departure_date)"""
+_DIGEST = "sum(('0x' || substr(md5({}), 1, 8))::BIGINT)::BIGINT"
+
+
+def _row_number(*columns) -> Column:
+    """The number that goes into a digest for a row of these columns."""
+    text = F.concat_ws("|", *[column.cast("string") for column in columns])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+
 def _four_families(dep: str, arr: str, of_days: str = "true") -> str:
-    """SQL of ``(family, day, n, n_ids, cents)`` for the movements that meet two conditions."""
-    flights = """SELECT '{family}' AS family, {day} AS day, count(*) AS n,
-         count(DISTINCT id) AS n_ids, 0::BIGINT AS cents
-       FROM flights WHERE {where} GROUP BY {day}"""
+    """SQL of ``(family, day, n, n_ids, digest)`` for the movements that meet two conditions."""
+    flights = f"""SELECT '{{family}}' AS family, {{day}} AS day, count(*) AS n,
+         count(DISTINCT id) AS n_ids, {_DIGEST.format(_FLIGHT_TEXT)} AS digest
+       FROM flights WHERE {{where}} GROUP BY {{day}}"""
     # A point repeats once per flight row of its id, in its family.
-    points = """SELECT '{family}' AS family, f.{day} AS day, count(*) AS n,
-         count(DISTINCT p.id) AS n_ids, sum(round(velocity * 100)::BIGINT)::BIGINT AS cents
-       FROM (SELECT * FROM points WHERE {where}) p
-       JOIN (SELECT id, {day} FROM flights WHERE {where}) f USING (id) GROUP BY f.{day}"""
+    points = f"""SELECT '{{family}}' AS family, day, count(*) AS n,
+         count(DISTINCT id) AS n_ids, {_DIGEST.format(_POINT_TEXT)} AS digest
+       FROM (SELECT p.* EXCLUDE (arrival_date, departure_date), f.arrival_date, f.departure_date, f.{{day}} AS day
+             FROM (SELECT * FROM points WHERE {{where}}) p
+             JOIN (SELECT id, arrival_date, departure_date FROM flights WHERE {{where}}) f USING (id))
+       GROUP BY day"""
     return " UNION ALL ".join(
         template.format(family=family, day=day, where=where)
         for template, family, day, where in (
@@ -63,16 +83,26 @@ def _stored_days(spark, folder):
     points = store.read_partitions(
         spark, ingest.points_path(folder), schemas.STORED_POINTS, ingest.PARTITIONS
     )
-    cents = F.round(F.col("velocity") * 100).cast("bigint") * F.col("copies")
+    c = F.col
+    hundredths = lambda name: F.round(c(name) * 100).cast("bigint")
+    of_flight = _row_number(
+        c("ICAO24"), c("call_sign"), times.epoch_micros("departure_time"), c("departure_date"),
+        times.epoch_micros("arrival_time"), c("arrival_date"), c("departure_airport_ICAO"),
+        c("destination_airport_ICAO"), c("id"),
+    )
+    of_point = _row_number(
+        c("ICAO24"), F.round(c("requested_time") * 1_000_000).cast("bigint"), hundredths("geo_altitude"),
+        hundredths("velocity"), c("id"), c("arrival_date"), c("departure_date"),
+    )
     return union(
         rows.groupBy("family", "day").agg(
             n.alias("n"),
             F.count_distinct("id").alias("n_ids"),
-            total.cast("bigint").alias("cents"),
+            total.alias("digest"),
         )
         for rows, n, total in (
-            (flights, F.count("*"), F.max(F.lit(0))),
-            (points, F.sum("copies"), F.sum(cents)),
+            (flights, F.count("*"), F.sum(of_flight)),
+            (points, F.sum("copies"), F.sum(of_point * c("copies"))),
         )
     )
 
@@ -102,6 +132,36 @@ def ingest_movements(spark, sf_dir):
     return _stored_days(spark, folder)
 
 
+@query(f"""
+WITH {adapters.FLIGHTS.replace("FROM legs)", "FROM (SELECT * REPLACE (date_trunc('hour', departure_time) AS departure_time, date_trunc('hour', arrival_time) AS arrival_time) FROM legs))")}, {adapters.TELEMETRY},
+hourly AS (SELECT ICAO24, date_trunc('hour', time) AS grid_time, arg_max(velocity, tie) AS velocity,
+                  arg_max(geo_altitude, tie) AS geo_altitude FROM telemetry GROUP BY ALL),
+points AS (
+  SELECT f.*, grid_time, velocity, geo_altitude
+  FROM (SELECT DISTINCT id, ICAO24, departure_airport_ICAO, destination_airport_ICAO, departure_time, arrival_time,
+                        departure_date, arrival_date, leg_id FROM flights) f
+  JOIN hourly h ON f.ICAO24 = h.ICAO24 AND grid_time BETWEEN departure_time AND arrival_time)
+{_four_families(f"{_DEP} AND {_between('departure_time', *_ALL_TIME)}",
+                f"{_ARR} AND {_between('arrival_time', *_ALL_TIME)}")}""")
+def ingest_exact(spark, sf_dir):
+    # Legs and states on whole hours, so that the grid of every flight has states; the last of an hour counts.
+    folder = new_folder(spark, "movements")
+    hour = lambda time: times.floor_to(time, HOUR)
+    legs = adapters.legs(spark, sf_dir)
+    legs = legs.withColumns({t: hour(t) for t in ("departure_time", "arrival_time")})
+    ingest.ingest_movements(
+        legs,
+        adapters.telemetry(spark, sf_dir).withColumn("time", hour("time")),
+        folder,
+        HOME,
+        *_ALL_TIME,
+        ZONE,
+        step=HOUR,
+        has_tie=True,
+    )
+    return _stored_days(spark, folder)
+
+
 _ON_MISSING = (
     "EXISTS (FROM missing WHERE {time} BETWEEN day::TIMESTAMP "
     + _LOCAL
@@ -124,7 +184,7 @@ second_run AS ({_four_families(f"{_DEP} AND {_ON_MISSING.format(time='departure_
 SELECT family, day,
        CASE WHEN b.n > coalesce(a.n, 0) THEN b.n ELSE a.n END AS n,
        CASE WHEN b.n > coalesce(a.n, 0) THEN b.n_ids ELSE a.n_ids END AS n_ids,
-       CASE WHEN b.n > coalesce(a.n, 0) THEN b.cents ELSE a.cents END AS cents
+       CASE WHEN b.n > coalesce(a.n, 0) THEN b.digest ELSE a.digest END AS digest
 FROM first_run a FULL JOIN second_run b USING (family, day)""")
 def backfill_missing_days(spark, sf_dir):
     folder = new_folder(spark, "movements")
@@ -136,7 +196,12 @@ def backfill_missing_days(spark, sf_dir):
 
 
 @query(f"""
-WITH {adapters.FLIGHTS}, {adapters.POINT_ROWS},
+WITH {adapters.FLIGHTS}, {adapters.POINT_ROWS.replace("point_rows AS", "all_points AS")},
+point_rows AS (SELECT * FROM (
+  SELECT * REPLACE (
+    (departure_date + INTERVAL (ICAO24::BIGINT % 4) MONTH)::DATE AS departure_date,
+    (arrival_date + INTERVAL (ICAO24::BIGINT % 4) MONTH)::DATE AS arrival_date) FROM all_points)),
+recent AS (SELECT DATE '2024-03-01' AS first, DATE '2024-07-31' AS last),
 positions AS (
   SELECT 'bl_dep' AS family, departure_date AS day,
          row_number() OVER (ORDER BY departure_time, id) AS position,
@@ -149,18 +214,19 @@ positions AS (
   FROM flights WHERE destination_airport_ICAO IS NOT NULL
   UNION ALL
   SELECT 'bl_dep_SV', departure_date, row_number() OVER (ORDER BY departure_date, id, requested_time),
-         NULL, NULL FROM point_rows
+         NULL, NULL FROM point_rows, recent WHERE departure_date BETWEEN first AND last
   UNION ALL
   SELECT 'bl_arr_SV', arrival_date, row_number() OVER (ORDER BY arrival_date, id, requested_time),
-         NULL, NULL FROM point_rows WHERE arrival_date IS NOT NULL)
+         NULL, NULL FROM point_rows, recent WHERE arrival_date BETWEEN first AND last)
 SELECT family, day, count(*) AS n, min(position) AS first_position, max(position) AS last_position,
        count(origin) AS n_origins, count(destination) AS n_destinations
 FROM positions GROUP BY family, day""")
 def consolidate_datasets(spark, sf_dir):
+    # Points lie in January to April; of the 120 days up to July, the months from March on count.
     raw, out = new_folder(spark, "daily"), new_folder(spark, "consolidated")
-    write_daily_files(spark, sf_dir, raw)
+    write_daily_files(spark, sf_dir, raw, months=F.col("ICAO24").cast("int") % 4)
     daily = {
-        family: consolidate.daily_files(spark, raw, family, _AS_OF, part="folder")
+        family: consolidate.daily_files(spark, raw, family, date(2024, 7, 5), part="folder")
         for family in schemas.FAMILIES
     }
     days = {schemas.ARRIVAL_POINTS: "arrival_date"}

@@ -3,7 +3,7 @@
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from catalog import adapters
 from catalog.adapters import ZONE
@@ -163,15 +163,19 @@ def compact_sorted(spark, sf_dir):
     return store.with_position(spark, path)
 
 
-def write_daily_files(spark, sf_dir, path: str) -> None:
+def write_daily_files(spark, sf_dir, path: str, months: Column) -> None:
     """Legs and events as daily CSV of the four families, with the header drift of such files.
 
+    The days of points are moved on by ``months``.
+
     Departures up to the 10th of a month have the full header, up to the 20th another order, and
     later ones no destination column; arrivals up to the 15th have the origin last.
     """
     flights = staged(nested.flatten_flights(adapters.legs(spark, sf_dir), ZONE), "flights")
     reached = flights.filter(F.col("destination_airport_ICAO").isNotNull())
     points = adapters.point_rows(spark, sf_dir)
+    moved = {day: F.add_months(day, months) for day in ("departure_date", "arrival_date")}
+    points = points.withColumns(moved)
     full = schemas.FLIGHTS.names
     swapped = [*full[:7], full[8], full[7]]
     no_destination = [*full[:7], full[8]]
