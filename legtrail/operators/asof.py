@@ -7,9 +7,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from legtrail.functions import times
+from legtrail.session import staged
 
 _STATE = "_state"
+#: Bits of an increasing id below those of its partition.
+PLACE_BITS = 33
 
 
 def one_state_per_time(
@@ -37,67 +39,46 @@ def asof(
     values: Sequence[str] = (),
     tie: str | None = None,
     later: bool = False,
-    slice_width: int = 86_400 * times.MICROS_PER_SECOND,
     found_time: str = "found_time",
 ) -> DataFrame:
     """Each probe row with the last state of its key at or before its time (``later``: the first
     at or after). Adds ``found_time`` and ``values``, null if there is no such state. A null key is
-    no key: such states match nothing, and such probes find nothing.
+    no key: such states match nothing, and such probes find nothing. Of states of one time that with the
+    greatest ``tie`` counts (nulls lowest), then that with the greatest values; a state stays whole.
 
-    States of one key and time are reduced to the one with the greatest ``tie`` before they move,
-    so copies cost nothing. The rest is split by key and slice of time: no task gets a whole key.
-    A slice starts from the state carried over from the slices before it; the carrying looks at
-    one row per key and non-empty slice. Values of fixed size keep the reduction in a hash table.
+    States and probes are sorted together by ranges of key and time, so that a hot key, day or minute
+    lies in many partitions, copies too. The sorted rows are written down with their place; each
+    partition starts from the last state of the partitions before it, for which one row per key and
+    partition is looked at.
     """
-    single = one_state_per_time(states.dropna(subset=list(key)), key, state_time, values, tie)
-    states = single.select(
-        *key,
-        F.col(state_time).alias("_time"),
-        times.whole_slices(state_time, slice_width).alias("_slice"),
-        F.struct(F.col(state_time).alias(found_time), *values).alias(_STATE),
-    )
-    probes = (
-        probes.withColumn("_time", F.col(time))
-        .withColumn("_slice", times.whole_slices(time, slice_width))
-    )
     toward = F.desc if later else F.asc
-
-    # One row per key and slice: its outermost state, if any, to carry to the slices that follow.
-    extreme, extreme_by = (F.min, F.min_by) if later else (F.max, F.max_by)
-    carried_from = (
-        states.select(*key, "_slice", f"{_STATE}.*")
-        .unionByName(probes.select(*key, "_slice").distinct(), allowMissingColumns=True)
-        .groupBy(*key, "_slice")
-        .agg(
-            extreme(found_time).alias(found_time),
-            *[extreme_by(value, found_time).alias(value) for value in values],
-        )
+    state = F.struct(F.col(state_time).alias(found_time), *values)
+    rank = F.struct(*([F.col(tie).alias("_tie")] if tie else []), *values, F.lit(0).alias("_same"))
+    known = states.dropna(subset=list(key)).select(
+        *key, F.col(state_time).alias("_time"), state.alias(_STATE), rank.alias("_rank"), F.lit(1).alias("_kind")
     )
-    earlier_slices = (
-        W.partitionBy(*key).orderBy(toward("_slice")).rowsBetween(W.unboundedPreceding, -1)
+    together = probes.withColumns({"_time": F.col(time), "_kind": F.lit(2)}).unionByName(
+        known, allowMissingColumns=True
     )
-    packed = F.when(F.col(found_time).isNotNull(), F.struct(found_time, *values))
-    carried = carried_from.select(
-        *key,
-        "_slice",
-        F.last(packed, ignorenulls=True).over(earlier_slices).alias(_STATE),
-        F.lit(0).alias("_kind"),
-    ).filter(F.col(_STATE).isNotNull())
+    order = [*key, toward("_time"), "_kind", F.asc_nulls_first("_rank")]
+    ranged = together.withColumn("_salt", F.rand(7)).repartitionByRange(*order, "_salt")
+    placed = ranged.sortWithinPartitions(*order).drop("_rank", "_time", "_salt")
+    placed = staged(placed.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    placed = placed.withColumn("_part", F.shiftright("_at", PLACE_BITS))
 
-    # Carried state first, then states and probes by time; at equal times the state comes first.
-    together = (
-        probes.withColumn("_kind", F.lit(2))
-        .unionByName(states.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
-        .unionByName(carried, allowMissingColumns=True)
-    )
-    so_far = (
-        W.partitionBy(*key, "_slice")
-        .orderBy(F.col("_kind") > 0, toward("_time"), "_kind")
-        .rowsBetween(W.unboundedPreceding, 0)
+    earlier = W.partitionBy(*key).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    last_of_part = F.max_by(_STATE, F.when(F.col("_kind") == 1, F.col("_at")))
+    carried = (
+        placed.groupBy(*key, "_part")
+        .agg(last_of_part.alias(_STATE))
+        .withColumn(_STATE, F.last(_STATE, ignorenulls=True).over(earlier))
+        .filter(F.col(_STATE).isNotNull())
+        .withColumns({"_kind": F.lit(0), "_at": F.lit(-1).cast("bigint")})
     )
-    kept = [column for column in probes.columns if column not in ("_time", "_slice")]
+    so_far = W.partitionBy(*key, "_part").orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
     return (
-        together.withColumn("_found", F.last(_STATE, ignorenulls=True).over(so_far))
+        placed.unionByName(carried, allowMissingColumns=True)
+        .withColumn("_found", F.last(_STATE, ignorenulls=True).over(so_far))
         .filter("_kind = 2")
-        .select(*kept, *[F.col(f"_found.{name}").alias(name) for name in (found_time, *values)])
+        .select(*probes.columns, *[F.col(f"_found.{name}").alias(name) for name in (found_time, *values)])
     )

@@ -5,11 +5,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from legtrail.operators.asof import PLACE_BITS
 from legtrail.session import staged
 
-#: Bits of an increasing id below those of its partition.
-_ROW_BITS = 33
-
 
 def with_ordinal(
     rows: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "idx"
@@ -28,7 +26,7 @@ def with_ordinal(
     placed = staged(
         ranged.select(*columns, F.monotonically_increasing_id().alias("_at")), "ordered"
     )
-    part = F.shiftright("_at", _ROW_BITS).alias("_part")
+    part = F.shiftright("_at", PLACE_BITS).alias("_part")
     earlier = W.partitionBy(*by).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     parts = (
         placed.groupBy(*by, part)
@@ -40,7 +38,7 @@ def with_ordinal(
         )
     )
     same = [F.col(column).eqNullSafe(F.col(f"_by_{column}")) for column in by]
-    here = F.shiftright("_at", _ROW_BITS) == F.col("_part")
+    here = F.shiftright("_at", PLACE_BITS) == F.col("_part")
     return placed.join(parts, reduce(Column.__and__, same, here)).select(
         *columns, (F.col("_at") + F.col("_shift")).alias(name)
     )

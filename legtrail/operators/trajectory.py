@@ -68,7 +68,6 @@ def sample_asof(
     time: str = "time",
     departure: str = "departure_time",
     arrival: str = "arrival_time",
-    slice_seconds: int = 86_400,
 ) -> DataFrame:
     """The last state at or before each grid time, with its ``state_micros``, for telemetry that is
     not on the grid.
@@ -83,7 +82,6 @@ def sample_asof(
         state_time="grid_micros",
         values=values,
         tie=tie,
-        slice_width=slice_seconds * times.MICROS_PER_SECOND,
         found_time="state_micros",
     )
     return found.filter(F.col("state_micros").isNotNull())

@@ -83,10 +83,10 @@ def brute_asof(probes, states, later):
     return found
 
 
-def run_asof(spark, probes, states, later, width):
+def run_asof(spark, probes, states, later):
     p = spark.createDataFrame(probes, "key string, t long, n int")
     s = spark.createDataFrame(states, "key string, t long, tie long, v double")
-    got = asof(p, s, ["key"], "t", "t", ["v"], tie="tie", later=later, slice_width=width)
+    got = asof(p, s, ["key"], "t", "t", ["v"], tie="tie", later=later)
     return [tuple(row) for row in got.select("key", "t", "n", "found_time", "v").collect()]
 
 
@@ -100,7 +100,7 @@ def test_asof_with_a_hot_key(spark, later):
     states += [("hot", 777, 1, 1.0)] * 2000  # copies of one state
     probes = [(key(), int(random.integers(-800, 6000)), n) for n in range(4000)]
     probes.append(("unknown", 3, 9999))
-    got = run_asof(spark, probes, states, later, 250)
+    got = run_asof(spark, probes, states, later)
     assert sorted(got, key=str) == sorted(brute_asof(probes, states, later), key=str)
 
 
@@ -112,15 +112,39 @@ small = st.integers(-6, 6)
     probes=st.lists(st.tuples(st.sampled_from("ab"), small), min_size=1, max_size=8),
     states=st.lists(st.tuples(st.sampled_from("ab"), small, st.booleans()), min_size=1, max_size=8),
     later=st.booleans(),
-    width=st.sampled_from([1, 3, 100]),
 )
-def test_asof_at_any_edge(spark, probes, states, later, width):
+def test_asof_at_any_edge(spark, probes, states, later):
     probes = [(k, t, n) for n, (k, t) in enumerate(probes)]
     states = [(k, t, n, None if null else float(n)) for n, (k, t, null) in enumerate(states)]
-    got = run_asof(spark, probes, states, later, width)
+    got = run_asof(spark, probes, states, later)
     assert sorted(got, key=str) == sorted(brute_asof(probes, states, later), key=str)
 
 
+def test_asof_spreads_a_hot_minute(spark, monkeypatch):
+    """All states of one key, most in one instant; no partition of the sort has more than its share."""
+    import legtrail.operators.asof as module
+
+    sizes, staged = [], module.staged
+
+    def watched(rows, purpose):
+        kept = staged(rows, purpose)
+        sizes.extend(r["count"] for r in kept.groupBy(F.shiftright("_at", 33)).count().collect())
+        return kept
+
+    monkeypatch.setattr(module, "staged", watched)
+    states = [("hot", 777 if n % 4 else n, n, float(n)) for n in range(6000)]
+    probes = [("hot", n, n) for n in range(0, 6000, 3)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        got = run_asof(spark, probes, states, False)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sorted(got, key=str) == sorted(brute_asof(probes, states, False), key=str)
+    assert len(sizes) >= 18 and max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
 START = datetime(2022, 12, 3, 19, 0)
 
 
@@ -192,5 +216,5 @@ def test_a_state_stays_whole_with_null_and_equal_ties(spark, rows):
         "k string, t long, tie int, v double, w string",
     )
     probes = spark.createDataFrame([("a", 2), ("b", 2), (None, 2)], "k string, at long")
-    got = asof(probes, states, ["k"], "at", "t", ["v", "w"], "tie", slice_width=10)
+    got = asof(probes, states, ["k"], "at", "t", ["v", "w"], "tie")
     assert rows(got, "k", "found_time", "v", "w") == [(None, None, None, None), ("a", 1, 2.0, None), ("b", 1, 3.0, None)]
