@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from legtrail.session import empty, new_folder
+from legtrail.session import empty, new_folder, staged
 
 SPANS = "array<struct<first: int, last: int>>"
 FINDINGS = f"array<struct<rule: string, spans: {SPANS}>>"
@@ -122,6 +122,7 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> D
     findings = open_ledger(spark, ledger).select("blob", F.filter("findings", hits).alias("findings"))
     findings = findings.filter(F.size("findings") > 0).groupBy("blob")
     findings = findings.agg(F.array_distinct(F.flatten(F.collect_list("findings"))).alias("findings"))
+    findings = staged(findings, "findings")  # apart from the join, whose large groups Spark can then split
     found = F.coalesce("findings", F.array().cast(FINDINGS)).alias("findings")
     return named.select("key", "blob").join(findings, "blob", "left").select("key", "blob", found)
 
