@@ -186,6 +186,7 @@ def later_copies(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     place = F.struct("d", "t", "pos")
     same = ["level", "key", "end_key", "size"]
     firsts = runs.groupBy(*same).agg(F.min(place).alias("origin"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    firsts = staged(firsts, "origins")  # apart from the join, whose large groups Spark can then split
     copies = runs.join(firsts, same).filter(F.col("origin") < place).select("d", "t", "pos", "size")
     order = Window.partitionBy("d", "t").orderBy("pos")
     begins = F.row_number().over(order) == 1
