@@ -1,0 +1,21 @@
+"""A table of events like the given one, but with a third of the rows from one user and a sixth in one minute."""
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+
+def events(spark: SparkSession, rows: int) -> DataFrame:
+    at = F.col("id")
+    draw = lambda seed, n: F.pmod(F.xxhash64(at, F.lit(seed)), F.lit(n))
+    user = F.when(at % 3 == 0, F.lit(1)).otherwise(draw(1, max(1, rows // 10)) + 2)
+    month = 29 * 86_400 * 1_000_000
+    micros = F.when(at % 6 == 1, F.lit(86_400 * 1_000_000 * 14) + draw(2, 60_000_000)).otherwise(draw(3, month))
+    kinds = F.array(*[F.lit(kind) for kind in ("click", "view", "signup", "purchase", "error")])
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    return spark.range(rows).select(
+        at.alias("event_id"),
+        (start + F.expr("INTERVAL '0.000001' SECOND") * micros).alias("ts"),
+        user.cast("bigint").alias("user_id"),
+        kinds[draw(4, 5).cast("int")].alias("event_type"),
+        (draw(5, 10_000) / 100).alias("value"),
+        F.concat(F.lit('{"k": '), draw(6, 100).cast("string"), F.lit("}")).alias("props"),
+    )

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as repo
 from catalog import ORACLES, QUERIES
+from tests import skewed
 
 SF_DIR = Path("/root/testdata/sf0.001")
 
@@ -48,3 +49,15 @@ def test_entry(spark):
     df = repo.entry(spark)
     assert df.columns[:5] == ["ICAO24", "requested_time", "velocity", "geo_altitude", "id"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["ingest_movements", "flight_ordinal", "trajectory_grid_asof"])
+def test_skewed_events(spark, tmp_path, name):
+    """A third of the rows from one user, a sixth in one minute."""
+    skewed.events(spark, 6000).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS FROM '{tmp_path}/events.parquet/*.parquet'")
+    result = con.execute(ORACLES[name])
+    expected = by_name([column[0] for column in result.description], result.fetchall())
+    df = QUERIES[name](spark, str(tmp_path))
+    assert by_name(df.columns, df.collect()) == expected
