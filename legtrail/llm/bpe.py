@@ -16,10 +16,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from legtrail.llm.common import pieces, texts_of
+from legtrail.llm.common import pieces_of_size, texts_of
 
 #: Pieces of text a worker keeps with their ids; beyond it starts anew.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 500_000
+#: Bytes of text whose new pieces are encoded together, in order, so that neighbours share prefixes.
+BYTES_AT_ONCE = 4_000_000
 
 
 def read_ranks(lines: bytes) -> list[bytes]:
@@ -42,21 +44,25 @@ class Prefixes:
         """One step for each byte. Only one token fits, so the order of trying is free: the last token, a byte
         longer, then the shortest tokens first."""
         coder = self.coder
-        token_of, apart, longest, last, sizes = coder.ranks.get, coder.apart.get, coder.longest, self.last, coder.sizes
-        start, self.data = len(self.data), self.data + more
+        token_of, apart, alone = coder.ranks.get, coder.apart.get, coder.alone.get
+        longest, last, sizes = coder.longest, self.last, coder.sizes
+        end, self.data = len(self.data), self.data + more
         data = self.data
-        for end in range(start + 1, len(data) + 1):
+        while end < len(data):
+            end += 1
             begin = likely = end - 1 - sizes[last[-1]] if last else 0
             while True:
                 token = token_of(data[begin:end])
                 if token is not None:
                     if begin:
-                        pair = last[begin - 1] << 32 | token
-                        fits = apart(pair)
+                        left = last[begin - 1]
+                        fits = apart(left << 32 | token)
                         if fits is None:
-                            fits = coder.stay_apart(last[begin - 1], token)
+                            fits = coder.stay_apart(left, token)
                     else:
-                        fits = coder.stands(token)
+                        fits = alone(token)
+                        if fits is None:
+                            fits = coder.stands(token)
                     if fits:
                         last.append(token)
                         break
@@ -103,6 +109,7 @@ class Coder:
         self.longest = max(self.sizes, default=0)
         self.never = len(tokens)
         self.apart: dict[int, bool] = {}
+        self.alone: dict[int, bool] = {}
         self.made_of: dict[int, tuple[int, int] | None] = {}
         self.table = Prefixes(self)
         self.decimal = list(map(str, range(len(tokens))))
@@ -130,7 +137,8 @@ class Coder:
 
     def stands(self, token: int) -> bool:
         """Whether merging the token's own bytes gives the token."""
-        return len(self.tokens[token]) == 1 or self.halves(token) is not None
+        found = self.alone[token] = len(self.tokens[token]) == 1 or self.halves(token) is not None
+        return found
 
     def stay_apart(self, left: int, right: int) -> bool:
         """Whether the two tokens next to each other are the encoding of their bytes.
@@ -235,7 +243,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: b
 
     def run(batches):
         coder = Coder(read_ranks(content.value), pattern)
-        for part in pieces(batches):
+        for part in pieces_of_size(batches, 1, BYTES_AT_ONCE):
             counts, hashes, decoded, all_ids = [], [], [], []
             for coded in coder.coded_pieces(part.column(1).to_pylist()):
                 counts.append(sum([len(piece[0]) for piece in coded]))

@@ -2,7 +2,9 @@
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Rows of a batch that are turned into Python objects at a time.
@@ -25,11 +27,34 @@ def pieces(batches) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, ROWS_AT_ONCE)
 
 
+def pieces_of_size(batches, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Batches whose texts in ``column`` have about ``size`` bytes together, more only for a single long one."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(lengths) // size
+        starts = np.append(0, np.flatnonzero(part[1:] != part[:-1]) + 1) if len(part) else []
+        for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+            yield batch.slice(int(start), int(end - start))
+
+
 def remainder(key: Column, divisor: int) -> Column:
     """crc32 of the key's text, modulo ``divisor``; null for a null key."""
     return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(divisor))
 
 
+def smallest_hashes(rows: DataFrame, key: str, bound: int) -> DataFrame:
+    """At most ``bound`` rows, those whose key has the smallest hashes.
+
+    Rows are counted first and those far beyond the bound left out by their hash, so that what is put in order is a small
+    multiple of the bound, however many partitions there are.
+    """
+    share = min(1.0, (2 * bound + 1000) / max(1, rows.count()))
+    hashed = F.xxhash64(key)
+    if share < 1:
+        rows = rows.filter(hashed < F.lit(int(-(2**63) + share * 2**64)))
+    return rows.orderBy(hashed, key).limit(bound)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column, bound: int) -> DataFrame:
     """(doc_id, _text, _label) of at most ``bound`` labelled documents for which ``keep`` holds.
 
@@ -43,7 +68,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
         .agg(F.min("_label").alias("_label"), F.max("_label").alias("_other"))
         .filter("_label = _other")
         .drop("_other")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(bound)
     )
+    chosen = smallest_hashes(chosen, "doc_id", bound)
     return texts_of(docs, "doc_id").join(F.broadcast(chosen), "doc_id")

@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from legtrail.llm.common import pieces, remainder, texts_of
+from legtrail.llm.common import pieces, remainder, smallest_hashes, texts_of
 from legtrail.llm.gru import Network, label_positions, train
 
 #: Documents that the network learns from, and words of each, at most: those with the smallest hashes.
@@ -68,6 +68,14 @@ class Labeller:
                 np.add.at(sums, numbers[at : at + 4096], found)
         self.sums = np.concatenate([self.sums, sums])
 
+    def positions(self, text: str) -> list[tuple[str, list[str]]]:
+        """Each word of a text with the label of each of its bytes (and of the spaces around it)."""
+        found = []
+        for word in words_of(text):
+            rows = [label_positions(self.net, np.frombuffer(data, np.uint8)[None])[0] for data in sequences(word)]
+            found.append((word, [self.net.labels[i] for i in np.concatenate(rows).argmax(axis=1)]))
+        return found
+
     def pooled(self, texts: list[str]) -> list[tuple[str, float]]:
         """Label and its share of all positions' probability; unknown for a text without letters."""
         split = [words_of(text) for text in texts]
@@ -89,7 +97,7 @@ def learn(docs: DataFrame, documents: int = DOCUMENTS) -> Network | None:
     What comes to the driver is at most ``WORDS_OF_EACH`` words of each. None if there is nothing to learn from.
     """
     keep = (remainder(F.col("doc_id"), 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull()
-    keys = docs.filter(keep).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
+    keys = smallest_hashes(docs.filter(keep).select("doc_id").distinct(), "doc_id", documents)
     chosen = texts_of(docs.filter(keep).join(F.broadcast(keys), "doc_id", "left_semi"), "lang")
 
     def run(batches):

@@ -78,3 +78,14 @@ def test_no_documents(nothing):
 def test_ranks_with_gaps_are_refused():
     with pytest.raises(ValueError):
         bpe.read_ranks(b"YQ== 0\nYg== 2\n")
+
+
+def test_batches_by_size_hold_every_row():
+    import pyarrow as pa
+
+    from legtrail.llm.common import pieces_of_size
+
+    texts = ["a" * n for n in (0, 3, 9, 1, 1, 40, 0, 2)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    parts = [part.column(0).to_pylist() for part in pieces_of_size([batch, batch.slice(0, 0)], 0, 10)]
+    assert sum(parts, []) == texts and len(parts) == 3

@@ -78,3 +78,9 @@ def test_cache_starts_anew(monkeypatch):
     labeller = language.Labeller(net)
     found = [labeller.pooled([text])[0] for text in ("one two three", "four five", "one two three")]
     assert found[0] == found[2]
+
+
+def test_every_position_has_a_label():
+    net = gru.new_network(["a", "b"], 8, 2)
+    found = language.Labeller(net).positions("Ünder " + "y" * 40)
+    assert [(word, len(labels)) for word, labels in found] == [("ünder", 8), ("y" * 40, 42)]
