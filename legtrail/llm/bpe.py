@@ -16,10 +16,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from legtrail.llm.common import pieces_of_size, texts_of
+from legtrail.llm.common import KEPT_CHARACTERS, pieces_of_size, texts_of
 
-#: Pieces of text a worker keeps with their ids; beyond it starts anew.
-KEPT_PIECES = 500_000
 #: Bytes of text whose new pieces are encoded together, in order, so that neighbours share prefixes.
 BYTES_AT_ONCE = 4_000_000
 
@@ -114,6 +112,7 @@ class Coder:
         self.table = Prefixes(self)
         self.decimal = list(map(str, range(len(tokens))))
         self.known: dict[str, tuple[list[int], str, bytes]] = {}
+        self.characters = 0
 
     def parts(self, data: bytes, stop: int = 1) -> list[bytes]:
         """Plain merging, lowest rank first, until ``stop`` parts are left; for the few bytes of a token."""
@@ -183,9 +182,12 @@ class Coder:
         """What is known of each match of the pattern, text by text."""
         found = list(map(self.split, texts))
         different = set().union(*found)
-        if len(self.known) + len(different) > KEPT_PIECES:
+        new = different.difference(self.known)
+        self.characters += sum(map(len, new))
+        if self.characters > KEPT_CHARACTERS:
             self.known.clear()
-        self.learn(different.difference(self.known))
+            self.characters, new = sum(map(len, different)), different
+        self.learn(new)
         return [list(map(self.known.__getitem__, pieces_)) for pieces_ in found]
 
     def encode(self, text: str) -> list[int]:

@@ -11,6 +11,29 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 ROWS_AT_ONCE = 256
 
 
+#: Characters of text that a worker's cache holds as keys; beyond them it starts anew.
+KEPT_CHARACTERS = 5_000_000
+
+
+class Kept(dict):
+    """Values by text, made when first asked for; bounded by the length of the texts, not by their number."""
+
+    def __init__(self):
+        super().__init__()
+        self.characters = 0
+
+    def made(self, text: str):
+        raise NotImplementedError
+
+    def __missing__(self, text: str):
+        self.characters += len(text)
+        if self.characters > KEPT_CHARACTERS:
+            self.clear()
+            self.characters = len(text)
+        found = self[text] = self.made(text)
+        return found
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

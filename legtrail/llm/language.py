@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from legtrail.llm.common import pieces, remainder, smallest_hashes, texts_of
+from legtrail.llm.common import KEPT_CHARACTERS, pieces, remainder, smallest_hashes, texts_of
 from legtrail.llm.gru import Network, label_positions, train
 
 #: Documents that the network learns from, and words of each, at most: those with the smallest hashes.
@@ -17,8 +17,6 @@ DOCUMENTS = 6_000
 WORDS_OF_EACH = 40
 #: Longest byte sequence; longer words are cut and the network starts again at each cut.
 LONGEST = 32
-#: Words whose labels a worker keeps; beyond it starts anew.
-KEPT_WORDS = 400_000
 UNKNOWN = "und"
 
 
@@ -49,14 +47,16 @@ class Labeller:
     """Adds up the label probabilities of all positions, word by word."""
 
     def __init__(self, net: Network):
-        self.net, self.places = net, {}
+        self.net, self.places, self.characters = net, {}, 0
         self.sums = np.zeros((0, len(net.labels)))
 
     def learn(self, words: set[str]) -> None:
-        if len(self.places) + len(words) > KEPT_WORDS:
-            self.places.clear()
-            self.sums = self.sums[:0]
         new = [word for word in words if word not in self.places]
+        self.characters += sum(map(len, new))
+        if self.characters > KEPT_CHARACTERS:
+            self.places.clear()
+            self.sums, new = self.sums[:0], list(words)
+            self.characters = sum(map(len, new))
         start = len(self.places)
         self.places.update((word, start + i) for i, word in enumerate(new))
         sums = np.zeros((len(new), len(self.net.labels)))

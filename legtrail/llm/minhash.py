@@ -13,24 +13,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from legtrail.llm.common import pieces
+from legtrail.llm.common import Kept, pieces
 
 WORDS_PER_SHINGLE = 5
 BINS = 512
 LOW_BITS = 4
 SEED = 42
-#: Words whose hashes a worker keeps; beyond it starts anew.
-KEPT_WORDS = 400_000
 #: Donors that are looked up at a time for each empty bin.
 TRIES = 64
 
 
-class WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) > KEPT_WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word, SEED)
-        return found
+class WordHashes(Kept):
+    def made(self, word: str) -> int:
+        return xxhash.xxh64_intdigest(word, SEED)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

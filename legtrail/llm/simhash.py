@@ -26,7 +26,7 @@ TILE = 2048
 SMALL = 6
 
 
-def fingerprint(text: str, words_per_shingle: int, distance_seed: int = SEED) -> int:
+def fingerprint(text: str, words_per_shingle: int) -> int:
     """SimHash of the shingles of a text, words split at ASCII white space, A-Z lower-cased; 0 without words."""
     words = text.encode().lower().split()
     if not words:
@@ -37,7 +37,7 @@ def fingerprint(text: str, words_per_shingle: int, distance_seed: int = SEED) ->
     starts = ends - lengths
     digest = xxhash.xxh64_intdigest
     spans = zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())
-    hashes = np.array([digest(joined[a:b], distance_seed) for a, b in spans], np.uint64)
+    hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64)
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65536):
         bits = np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from legtrail.llm.common import labelled_sample, pieces, remainder, texts_of
+from legtrail.llm.common import Kept, labelled_sample, pieces, remainder, texts_of
 from legtrail.session import staged
 
 #: Labelled documents that the language model, the marks and the weights are learned from, at most.
@@ -25,8 +25,6 @@ TOXIC = 0.7
 BEGINNINGS = range(4, 9)
 #: A mark is in so many toxic documents at least, and this much likelier there (log), beyond chance (likelihood ratio).
 LEAST_TOXIC, LEAST_WEIGHT, LEAST_RATIO = 4, 3.0, 25.0
-#: Words whose restored form and weight a worker keeps; beyond it starts anew.
-KEPT_WORDS = 400_000
 
 # Letters that digits and signs stand for.
 LOOK_ALIKES = {
@@ -119,25 +117,20 @@ def core_of(token: str) -> str:
     return token[start:end]
 
 
-class Words(dict):
+class Words(Kept):
     """The words behind each token as it is written."""
 
     def __init__(self, model: LetterModel | None):
         super().__init__()
         self.model = model
 
-    def __missing__(self, token: str) -> tuple[str, ...]:
-        if len(self) > KEPT_WORDS:
-            self.clear()
+    def made(self, token: str) -> tuple[str, ...]:
         core = core_of(token)
         if plain(core):
-            found = (core,)
-        elif not any(map(str.isalpha, token)) or self.model is None:
-            found = ()
-        else:
-            found = tuple(restored(token, self.model).split())
-        self[token] = found
-        return found
+            return (core,)
+        if not any(map(str.isalpha, token)) or self.model is None:
+            return ()
+        return tuple(restored(token, self.model).split())
 
 
 def spaced(tokens: list[str]) -> list[str]:
@@ -161,19 +154,15 @@ def marks_of(word: str) -> list[str]:
     return [f"{word}$", *(word[:n] for n in BEGINNINGS if n <= len(word))]
 
 
-class Weights(dict):
+class Weights(Kept):
     """For each token the weight of its strongest mark, 0 without one."""
 
     def __init__(self, words: Words, marks: dict[str, float]):
         super().__init__()
         self.words, self.marks = words, marks
 
-    def __missing__(self, token: str) -> float:
-        if len(self) > KEPT_WORDS:
-            self.clear()
-        found = max([self.marks.get(mark, 0.0) for word in self.words[token] for mark in marks_of(word)], default=0.0)
-        self[token] = found
-        return found
+    def made(self, token: str) -> float:
+        return max([self.marks.get(mark, 0.0) for word in self.words[token] for mark in marks_of(word)], default=0.0)
 
     def evidence(self, tokens: set[str]) -> list[float]:
         hits = [weight for weight in map(self.__getitem__, tokens) if weight]

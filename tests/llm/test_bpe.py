@@ -54,7 +54,7 @@ def test_edits_give_the_ids_of_the_new_text(coder, library):
 
 
 def test_cache_starts_anew(coder, library, monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT_PIECES", 3)
+    monkeypatch.setattr(bpe, "KEPT_CHARACTERS", 12)
     texts = ["one two three four five", "six seven eight", "one nine"]
     found = coder.coded_pieces(texts)
     assert [[i for piece in row for i in piece[0]] for row in found] == [library.encode_ordinary(t) for t in texts]

@@ -16,3 +16,14 @@ def test_contradicting_and_null_labels_are_left_out(documents, labels_of):
     labels = labels_of([(0, 1, 0), (1, 0, 0), (1, 1, 0), (2, None, 0), (3, 0, 0), (3, 0, 0), (None, 1, 0), (99, 1, 0)])
     rows = labelled_sample(docs, labels, "quality", F.lit(True), 10).collect()
     assert sorted((r.doc_id, r._text, r._label) for r in rows) == [(0, "text 0", 1), (3, "text 3", 0)]
+
+
+def test_caches_are_bounded_by_characters(monkeypatch):
+    from legtrail.llm import common, minhash
+
+    monkeypatch.setattr(common, "KEPT_CHARACTERS", 10)
+    hashes = minhash.WordHashes()
+    first = [hashes[word] for word in ("abc", "defg", "hij")]
+    assert len(hashes) == 3
+    assert hashes["a" * 50] and len(hashes) == 1
+    assert [hashes[word] for word in ("abc", "defg", "hij")] == first

@@ -73,7 +73,7 @@ def test_nothing_to_learn_from(edges, nothing):
 
 
 def test_cache_starts_anew(monkeypatch):
-    monkeypatch.setattr(language, "KEPT_WORDS", 4)
+    monkeypatch.setattr(language, "KEPT_CHARACTERS", 15)
     net = gru.new_network(["a", "b"], 8, 2)
     labeller = language.Labeller(net)
     found = [labeller.pooled([text])[0] for text in ("one two three", "four five", "one two three")]
