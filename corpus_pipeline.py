@@ -4,15 +4,12 @@ Each stage reads what the one before it wrote. All but the last give rows with t
 """
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from legtrail.llm import bpe, line_runs, mixing, quality, simhash
 from legtrail.llm.common import table
 from legtrail.session import staged
 
-#: How often the mixture may show the most repeated source.
-MOST_REPEATS = 2.0
-
 #: The stages train trees and cut lines, which SQL does not express; tests hold run() against a plain version.
 ORACLE_SQL = None
 
@@ -34,7 +31,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture of their sources has them, each at least once."""
-    return mixing.mixed(docs, repeats=MOST_REPEATS)
+    return mixing.mixed(docs, repeats=mixing.MOST_REPEATS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

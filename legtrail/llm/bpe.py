@@ -253,7 +253,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: b
                 decoded.append(hashlib.sha256(b"".join([piece[2] for piece in coded])).hexdigest())
                 if with_ids:
                     all_ids.append(list(chain.from_iterable([piece[0] for piece in coded])))
-            columns = [part.column(0), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())]
+            columns = [part.column(0), pa.array(counts, pa.int64())]
+            columns += [pa.array(hashes, pa.string()), pa.array(decoded, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
                 columns.append(pa.array(all_ids, pa.list_(pa.int32())))

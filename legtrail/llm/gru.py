@@ -24,8 +24,10 @@ class Network:
 def new_network(labels: list[str], hidden: int, seed: int) -> Network:
     rng = np.random.default_rng(seed)
     draw = lambda *shape: rng.normal(0, 1 / np.sqrt(hidden), shape).astype(np.float32)
-    cells = [{"byte": draw(256, 3 * hidden), "state": draw(hidden, 3 * hidden), "add": np.zeros(3 * hidden, np.float32)} for _ in "fb"]
-    return Network(labels, cells, draw(2 * hidden, len(labels)), np.zeros(len(labels), np.float32))
+    none = lambda n: np.zeros(n, np.float32)
+    wide = 3 * hidden
+    cells = [{"byte": draw(256, wide), "state": draw(hidden, wide), "add": none(wide)} for _ in "fb"]
+    return Network(labels, cells, draw(2 * hidden, len(labels)), none(len(labels)))
 
 
 def logistic(x: np.ndarray) -> np.ndarray:
@@ -104,7 +106,15 @@ def loss_gradients(net: Network, data: np.ndarray, target: np.ndarray) -> tuple[
     return loss, [*ahead, *behind, d_out, d.sum(axis=(0, 1))]
 
 
-def train(groups: dict[int, tuple[np.ndarray, np.ndarray]], labels: list[str], hidden=16, steps=500, batch=512, rate=0.02, seed=7) -> Network:
+def train(
+    groups: dict[int, tuple[np.ndarray, np.ndarray]],
+    labels: list[str],
+    hidden: int = 16,
+    steps: int = 500,
+    batch: int = 512,
+    rate: float = 0.02,
+    seed: int = 7,
+) -> Network:
     """Adam over batches of sequences; ``groups`` holds (bytes, label numbers) by length of sequence.
 
     A batch has one length, chosen by the bytes that its group holds, and as many sequences of each label as of others.

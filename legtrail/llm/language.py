@@ -87,7 +87,8 @@ class Labeller:
             at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
             total = self.sums[at].sum(axis=0)
             best = int(total.argmax()) if len(total) else 0
-            found.append((self.net.labels[best], float(total[best] / total.sum())) if total.sum() > 0 else (UNKNOWN, 0.0))
+            known = total.sum() > 0
+            found.append((self.net.labels[best], float(total[best] / total.sum())) if known else (UNKNOWN, 0.0))
         return found
 
 
@@ -105,8 +106,10 @@ def learn(docs: DataFrame, documents: int = DOCUMENTS) -> Network | None:
             rows = []
             for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 words = {word[:200] for word in words_of(text) if any(map(str.isalpha, word))}
-                rows += [(lang, word) for word in sorted(words, key=lambda w: (xxhash.xxh64_intdigest(w), w))[:WORDS_OF_EACH]]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(2)], ["lang", "word"])
+                ordered = sorted(words, key=lambda word: (xxhash.xxh64_intdigest(word), word))
+                rows += [(lang, word) for word in ordered[:WORDS_OF_EACH]]
+            columns = [pa.array([row[i] for row in rows], pa.string()) for i in range(2)]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "word"])
 
     found = chosen.mapInArrow(run, "lang string, word string").toArrow()
     rows = sorted(zip(found["lang"].to_pylist(), found["word"].to_pylist()))
@@ -131,8 +134,9 @@ def identify(docs: DataFrame) -> DataFrame:
         for part in pieces(batches):
             texts = part.column(2).to_pylist()
             found = labeller.pooled(texts) if labeller else [(UNKNOWN, 0.0)] * len(texts)
-            langs, scores = pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), langs, scores], ["doc_id", "held_out", "lang_pred", "score"])
+            columns = [part.column(0), part.column(1)]
+            columns += [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "lang_pred", "score"])
 
     key = docs.schema["doc_id"].dataType.simpleString()
     out = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out")

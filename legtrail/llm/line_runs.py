@@ -238,7 +238,11 @@ def without_copies(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
     """
     rows = with_removed(docs, least_words)
     text = remaining(F.col("doc.text"), F.col("removed"))
-    cut = rows.select("doc", "removed", F.when(F.col("removed").isNull(), F.col("doc.text")).otherwise(text).alias("left"))
-    cut = cut.filter(F.col("removed").isNull() | (F.trim(F.regexp_replace("left", r"\s+", "")) != ""))
-    fresh = {"text": F.col("left"), "n_chars": F.when(F.col("removed").isNull(), F.col("doc.n_chars")).otherwise(F.char_length("left"))} if "n_chars" in docs.columns else {"text": F.col("left")}
-    return cut.select(*[fresh.get(c, F.col("doc")[c]).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+    whole = F.col("removed").isNull()
+    cut = rows.select("doc", "removed", F.when(whole, F.col("doc.text")).otherwise(text).alias("left"))
+    cut = cut.filter(whole | F.col("left").rlike(r"\S"))
+    fresh = {"text": F.col("left")}
+    if "n_chars" in docs.columns:
+        fresh["n_chars"] = F.when(whole, F.col("doc.n_chars")).otherwise(F.char_length("left"))
+    columns = [fresh.get(name, F.col("doc")[name]) for name in docs.columns]
+    return cut.select(*[column.cast(f.dataType).alias(f.name) for column, f in zip(columns, docs.schema)])

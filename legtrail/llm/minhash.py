@@ -119,7 +119,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     cuts = sorted(set(cuts), reverse=True)
     if cuts:
         bounds = F.array(*[F.lit(cut) for cut in cuts])
-        part = F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(F.size(F.filter(bounds, lambda c: c >= F.col("doc_id"))))
+        above = F.size(F.filter(bounds, lambda cut: cut >= F.col("doc_id")))
+        part = F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(above)
     else:
         part = F.lit(0)
     rows = rows.withColumn("part", part.cast("int"))
@@ -152,7 +153,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     def run(batches):
         hashes, donors, waiting, out, done = WordHashes(), Donors(), None, [], False
         for part in pieces(batches):
-            for doc_id, text, lead in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist()):
+            for doc_id, text, lead in zip(*[column.to_pylist() for column in part.columns]):
                 if done:
                     continue  # further rows that repeat the lead
                 prints = fingerprint(shingle_hashes(text, hashes), donors)

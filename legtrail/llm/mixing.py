@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from legtrail.session import staged
 
+#: How often the mixture of the query and the pipeline may show the most repeated source.
+MOST_REPEATS = 2.0
 #: Steps of the bisection; each halves the interval of the exponent.
 STEPS = 50
 #: Hexadecimal digits of the hash that cut a permutation into parts, so that no task needs a whole source in order.
@@ -147,9 +149,10 @@ def mixture(
 
 def mixed(docs: DataFrame, repeats: float) -> DataFrame:
     """The rows of ``docs``, all columns, as often as the mixture has them; every document at least once."""
-    times = mixture(docs, repeats=repeats).groupBy("doc_id", "text_hash", "source").agg(F.count("*").cast("int").alias("times"))
-    times = times.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), F.col("source").alias("_s"), "times")
+    seen = mixture(docs, repeats=repeats).groupBy("doc_id", "text_hash", "source")
+    times = seen.agg(F.count("*").cast("int").alias("times"))
+    times = times.withColumnsRenamed({"doc_id": "_d", "text_hash": "_t", "source": "_s"})
     rows = docs.select(F.struct("*").alias("doc")).withColumn("hash", text_hash(F.col("doc.text")))
-    same = F.col("doc.doc_id").eqNullSafe(F.col("_d")) & F.col("doc.source").eqNullSafe(F.col("_s")) & (F.col("hash") == F.col("_t"))
-    rows = rows.join(times, same).select("doc", F.explode(F.sequence(F.lit(1), "times")))
+    same_document = F.col("doc.doc_id").eqNullSafe(F.col("_d")) & (F.col("hash") == F.col("_t"))
+    rows = rows.join(times, same_document & F.col("doc.source").eqNullSafe(F.col("_s"))).select("doc", F.explode(F.sequence(F.lit(1), "times")))
     return rows.select("doc.*")

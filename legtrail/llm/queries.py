@@ -3,15 +3,13 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from legtrail.llm import bpe, language, line_runs, minhash, mixing, quality, secret_scan, simhash, topk, toxicity
+from legtrail.llm import bpe, language, line_runs, minhash, mixing, oracles, quality, secret_scan, simhash, topk
+from legtrail.llm import toxicity
 from legtrail.llm.common import table
 from legtrail.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
 
-#: How often the mixture may show the most repeated source.
-MOST_REPEATS = 2.0
-
 
 @query()
 def op1_byte_bpe(spark, sf_dir):
@@ -24,7 +22,7 @@ def op2_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=4, distance=4)
 
 
-@query()
+@query(oracles.SECRETS)
 def op3_secrets(spark, sf_dir):
     versions = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("key"), "text")
     return secret_scan.digest(secret_scan.scan(versions, secret_scan.new_ledger(spark)))
@@ -35,7 +33,7 @@ def op4_quality(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query()
+@query(oracles.LINE_DEDUP)
 def op5_line_dedup(spark, sf_dir):
     rows = line_runs.deduplicated(table(spark, sf_dir, "documents"))
     span = lambda s: F.concat_ws("-", s["first"].cast("string"), s["last"].cast("string"))
@@ -53,63 +51,14 @@ def op6_fingerprints(spark, sf_dir):
     return minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
-MIXING_SQL = f"""
-WITH RECURSIVE d AS (
-  SELECT doc_id, md5(coalesce(text, '')) AS h, source, count(*) AS copies,
-    any_value(len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\r\\n]+'))) AS tokens
-  FROM documents GROUP BY doc_id, md5(coalesce(text, '')), source),
-s AS (SELECT source, sum(tokens * copies)::BIGINT AS st FROM d GROUP BY source HAVING sum(tokens * copies) > 0),
-steps AS (
-  SELECT 0 AS i, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
-  UNION ALL
-  SELECT i + 1, if(fits, low, middle), if(fits, middle, high) FROM (
-    SELECT i, low, high, (low + high) / 2 AS middle, max(w / st) / min(w / st) <= {MOST_REPEATS} AS fits FROM (
-      SELECT i, low, high, st, pow(st / top, (low + high) / 2) AS w
-      FROM steps, s, (SELECT max(st)::DOUBLE AS top FROM s) WHERE i < 50)
-    GROUP BY i, low, high)),
-e AS (SELECT round((low + high) / 2, 9) AS exponent FROM steps WHERE i = 50),
-w AS (
-  SELECT source, st, w / sum(w) OVER () AS weight
-  FROM (SELECT source, st, pow(st / (SELECT max(st) FROM s), exponent) AS w FROM s, e)),
-p AS (
-  SELECT source, st, weight, greatest(round(weight * max(st / weight) OVER ()), st)::BIGINT AS target FROM w),
-plan AS (SELECT *, target // st AS whole, target % st AS rest FROM p),
-r AS (SELECT d.*, weight, whole, rest FROM d LEFT JOIN plan ON d.source IS NOT DISTINCT FROM plan.source),
-last AS (
-  SELECT *, sum(tokens * copies) OVER (
-    PARTITION BY source ORDER BY md5(concat_ws(':', doc_id, h, whole)), doc_id, h) - tokens * copies AS begin
-  FROM r WHERE tokens > 0),
-epochs AS (
-  SELECT doc_id, source, tokens, weight, copies, 0 AS epoch FROM r WHERE tokens = 0
-  UNION ALL SELECT doc_id, source, tokens, weight, copies, unnest(range(whole)) FROM r WHERE tokens > 0
-  UNION ALL SELECT doc_id, source, tokens, weight, copies, whole FROM last WHERE begin < rest)
-SELECT doc_id, source, tokens, round(weight, 9) AS weight, epoch::INTEGER AS epoch
-FROM (SELECT *, unnest(range(copies)) FROM epochs)
-"""
-
-
-@query(MIXING_SQL)
+@query(oracles.MIXING)
 def op8_mixing(spark, sf_dir):
-    rows = mixing.mixture(table(spark, sf_dir, "documents"), repeats=MOST_REPEATS)
+    rows = mixing.mixture(table(spark, sf_dir, "documents"), repeats=mixing.MOST_REPEATS)
     copy = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
     return rows.withColumn("copy", copy).select("doc_id", "source", "tokens", "weight", "epoch")
 
 
-TOP_SQL = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-    list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
-  FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
-SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
-FROM s QUALIFY rank <= 5
-"""
-
-
-@query(TOP_SQL)
+@query(oracles.TOP_K)
 def op9_top_k(spark, sf_dir):
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 

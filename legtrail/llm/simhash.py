@@ -145,7 +145,9 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
         sizes = np.bincount(group)
         size = sizes[group]
         for gap in range(1, SMALL):
-            left = np.flatnonzero((group[:-gap] == group[gap:]) & (size[gap:] <= SMALL)) if gap < len(rows) else np.array([], int)
+            if gap >= len(rows):
+                break
+            left = np.flatnonzero((group[:-gap] == group[gap:]) & (size[gap:] <= SMALL))
             hit = linked(prints_, table, left, left + gap, distance)
             yield from pairs(prints_[left[hit]], prints_[left[hit] + gap])
         ends = np.cumsum(sizes)

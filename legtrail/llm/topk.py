@@ -47,7 +47,8 @@ def packs(rows: DataFrame, size: int, names: tuple[str, str, str]) -> DataFrame:
     def one(dim, held_ids, held):
         matrix = np.array(held, np.float64).reshape(len(held), dim)
         largest = float(np.abs(matrix).max()) if matrix.size else 0.0
-        arrays = [pa.array([dim], pa.int32()), pa.array([held_ids], pa.list_(pa.int64())), pa.array([matrix.tobytes()]), pa.array([largest])]
+        arrays = [pa.array([dim], pa.int32()), pa.array([held_ids], pa.list_(pa.int64()))]
+        arrays += [pa.array([matrix.tobytes()]), pa.array([largest])]
         return pa.RecordBatch.from_arrays(arrays, ["dim", ids, data, f"{data}_largest"])
 
     packed = rows.mapInArrow(run, f"dim int, {ids} array<bigint>, {data} binary, {data}_largest double")
@@ -87,9 +88,10 @@ def tile(batch: pa.RecordBatch, k: int):
         out_v.append(v_ids[at])
         out_s.append(line[at])
     columns = [np.concatenate(x) for x in (out_q, out_v, out_s)]
-    arrays = [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2].tolist(), pa.int64())]
-    n = len(columns[0])
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(np.full(n, row["shard"]), pa.int64())], ["query_id", "vec_id", "score", "part"])
+    columns[2] = columns[2].tolist()  # may hold Python's integers
+    columns.append(np.full(len(columns[0]), row["shard"]))
+    names = ["query_id", "vec_id", "score", "part"]
+    return pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in columns], names)
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:

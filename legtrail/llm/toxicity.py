@@ -41,7 +41,8 @@ class LetterModel:
     """Probability of a letter after two others; a space stands before and after a word."""
 
     def __init__(self, counts: dict[str, float]):
-        self.three, self.two, self.one, self.pairs, self.singles = Counter(counts), Counter(), Counter(), Counter(), Counter()
+        self.three, self.two, self.one = Counter(counts), Counter(), Counter()
+        self.pairs, self.singles = Counter(), Counter()
         for letters, n in counts.items():
             self.two[letters[1:]] += n
             self.one[letters[2]] += n
@@ -212,17 +213,20 @@ def letter_model(sample: DataFrame) -> LetterModel | None:
                 if len(core) > 1 and plain(core):
                     for letters in trigrams(core):
                         counts[letters] += n
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["letters", "n"])
+        columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["letters", "n"])
 
-    counted = sample.select("_text").mapInArrow(run, "letters string, n bigint").groupBy("letters").agg(F.sum("n").alias("n"))
-    counts = counted.toArrow().to_pydict()
+    counted = sample.select("_text").mapInArrow(run, "letters string, n bigint")
+    counts = counted.groupBy("letters").agg(F.sum("n").alias("n")).toArrow().to_pydict()
     return LetterModel(dict(zip(counts["letters"], map(float, counts["n"])))) if counts["letters"] else None
 
 
 def find_marks(words: DataFrame) -> dict[str, float]:
     """Marks and their weights from (label, words): only those frequent in toxic documents are counted in the others."""
-    kinds = F.concat(F.array(F.concat("word", F.lit("$"))), *[F.when(F.char_length("word") >= n, F.array(F.substring("word", 1, n))).otherwise(F.array().cast("array<string>")) for n in BEGINNINGS])
-    rows = words.select("id", "label", F.explode("words").alias("word")).select("id", "label", F.explode(kinds).alias("mark"))
+    beginnings = [F.when(F.char_length("word") >= n, F.substring("word", 1, n)) for n in BEGINNINGS]
+    kinds = F.array_compact(F.array(F.concat("word", F.lit("$")), *beginnings))
+    rows = words.select("id", "label", F.explode("words").alias("word"))
+    rows = rows.select("id", "label", F.explode(kinds).alias("mark"))
     frequent = rows.filter("label = 1").distinct().groupBy("mark").count().filter(F.col("count") >= LEAST_TOXIC)
     frequent = staged(frequent.select("mark"), "frequent-marks")
     counted = rows.join(F.broadcast(frequent), "mark").distinct().groupBy("mark")
@@ -233,7 +237,9 @@ def find_marks(words: DataFrame) -> dict[str, float]:
     for mark, t, n in zip(counted["mark"], counted["t"], counted["n"]):
         other = n - t
         weight = log((t + 0.5) / (toxic + 1)) - log((other + 0.5) / (total - toxic + 1))
-        ratio = 2 * (t * log(t / (n * share)) + (other * log(other / (n * (1 - share))) if other else 0.0)) if 0 < share < 1 else 0.0
+        ratio = 0.0
+        if 0 < share < 1:
+            ratio = 2 * t * log(t / (n * share)) + (2 * other * log(other / (n * (1 - share))) if other else 0.0)
         if weight >= LEAST_WEIGHT and ratio >= LEAST_RATIO:
             found[mark] = weight
     return found
@@ -250,8 +256,10 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, bound: int = LABELLE
     def split(batches):
         words = Words(letters)
         for part in pieces(batches):
-            found = [sorted({w for token in tokens_of(text) for w in words[token]}) for text in part.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.list_(pa.string()))], ["id", "label", "words"])
+            texts = part.column(2).to_pylist()
+            found = [sorted({word for token in tokens_of(text) for word in words[token]}) for text in texts]
+            columns = [part.column(0), part.column(1), pa.array(found, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "label", "words"])
 
     keyed = sample.select(F.xxhash64("doc_id", "_text").alias("id"), F.col("_label").cast("int").alias("label"), "_text")
     words = staged(keyed.mapInArrow(split, "id bigint, label int, words array<string>"), "restored")
@@ -261,7 +269,8 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, bound: int = LABELLE
         weights = Weights(Words(None), marks)
         for part in pieces(batches):
             rows = [weights.evidence(set(found)) for found in part.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(rows, pa.list_(pa.float64()))], ["id", "label", "x"])
+            columns = [part.column(0), part.column(1), pa.array(rows, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "label", "x"])
 
     rows = words.mapInArrow(weigh, "id bigint, label int, x array<double>").toArrow()
     order = np.argsort(rows["id"].to_numpy(), kind="stable")
