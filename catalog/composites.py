@@ -132,8 +132,12 @@ def ingest_movements(spark, sf_dir):
     return _stored_days(spark, folder)
 
 
+_HOURLY_LEGS = """SELECT * REPLACE (date_trunc('hour', departure_time) AS departure_time,
+                                    date_trunc('hour', arrival_time) AS arrival_time) FROM legs"""
+
+
 @query(f"""
-WITH {adapters.FLIGHTS.replace("FROM legs)", "FROM (SELECT * REPLACE (date_trunc('hour', departure_time) AS departure_time, date_trunc('hour', arrival_time) AS arrival_time) FROM legs))")}, {adapters.TELEMETRY},
+WITH {adapters.FLIGHTS.replace("FROM legs)", f"FROM ({_HOURLY_LEGS}))")}, {adapters.TELEMETRY},
 hourly AS (SELECT ICAO24, date_trunc('hour', time) AS grid_time, arg_max(velocity, tie) AS velocity,
                   arg_max(geo_altitude, tie) AS geo_altitude FROM telemetry GROUP BY ALL),
 points AS (
