@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from legtrail.llm import bpe, line_runs, mixing, quality, simhash
 from legtrail.llm.common import table
-from legtrail.session import staged
+from legtrail.session import Scratch
 
 #: The stages train trees and cut lines, which SQL does not express; tests hold run() against a plain version.
 ORACLE_SQL = None
@@ -50,8 +50,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents, each written to the shared folder and read again.
+
+    What a stage wrote is removed when the next one has written.
+    """
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        held = Scratch(spark)
+        docs = held.staged(stage(spark, docs, sf_dir), name)
+        if last:
+            last.remove()
+        last = held
     return STAGES[-1][1](spark, docs, sf_dir)

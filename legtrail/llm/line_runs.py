@@ -10,11 +10,13 @@ A run counts if it holds ``least_words`` words. It is covered by the shortest ru
 end at its lines, so doubling stops at the longest of those, however long the copies are.
 """
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from legtrail.session import staged
+from legtrail.session import Scratch, scratch, staged
 
 #: Words that a repeated run must hold, so that short lines that meet by chance stay.
 LEAST_WORDS = 8
@@ -46,10 +48,10 @@ def ranked(keys: DataFrame, *columns: str) -> DataFrame:
     return ordered.select(*columns, F.monotonically_increasing_id().alias("place"))
 
 
-def repeated_lines(lines: DataFrame) -> DataFrame:
+def repeated_lines(lines: DataFrame, kept: Scratch) -> DataFrame:
     """(d, t, pos, words, rank) of the lines whose text occurs more than once."""
     often = lines.groupBy("a", "b").count().filter("count > 1")
-    names = staged(ranked(often.select("a", "b"), "a", "b"), "line-names")
+    names = kept.staged(ranked(often.select("a", "b"), "a", "b"), "line-names")
     return lines.join(names, ["a", "b"]).select("d", "t", "pos", "words", F.col("place").alias("rank"))
 
 
@@ -61,14 +63,14 @@ def in_order(suffixes: DataFrame) -> DataFrame:
     return marked.withColumn("begins", F.coalesce(F.col("before") < F.col("pos") - 1, F.lit(True))).drop("before")
 
 
-def doubled(suffixes: DataFrame, h: int) -> DataFrame:
+def doubled(suffixes: DataFrame, h: int, kept: Scratch) -> DataFrame:
     """Ranks by 2h lines from ranks by h lines."""
     stretch = Window.partitionBy("d", "t").orderBy("pos")
     rows = in_order(suffixes).withColumn("stretch", F.sum(F.col("begins").cast("int")).over(stretch))
     ahead = Window.partitionBy("d", "t", "stretch").orderBy("pos").rangeBetween(h, h)
     rows = rows.withColumn("next", F.coalesce(F.max("rank").over(ahead), F.lit(-1).cast("bigint")))
-    pairs = staged(rows.select("d", "t", "pos", "words", "rank", "next"), "pairs")
-    names = staged(ranked(pairs.select("rank", "next").distinct(), "rank", "next"), "ranks")
+    pairs = kept.staged(rows.select("d", "t", "pos", "words", "rank", "next"), "pairs")
+    names = kept.staged(ranked(pairs.select("rank", "next").distinct(), "rank", "next"), "ranks")
     return pairs.join(names, ["rank", "next"]).select("d", "t", "pos", "words", F.col("place").alias("rank"))
 
 
@@ -166,33 +168,31 @@ def merged_in(rows: pa.Table):
 
 def later_copies(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """(d, t, removed): for each document with lines in later copies, the disjoint spans (first, last exclusive)."""
-    lines = staged(lines_of(docs), "lines")
-    suffixes = staged(repeated_lines(lines), "suffixes")
-    longest = windows(suffixes, least_words).agg(F.max("size")).first()[0] or 0
-    found, h = [], 1
-    while h <= longest:
-        level = windows(suffixes, least_words, (h, 2 * h)).withColumn("level", F.lit(h))
-        found.append(staged(level, "windows"))
-        if 2 * h <= longest:
-            suffixes = staged(doubled(suffixes, h), "suffixes")
-        h *= 2
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    if not found:
-        empty = lines.filter("false").select("d", "t")
-        return empty.withColumn("removed", F.lit(None).cast("array<struct<first: int, last: int>>"))
-    runs = found[0]
-    for more in found[1:]:
-        runs = runs.unionByName(more)
-    place = F.struct("d", "t", "pos")
-    same = ["level", "key", "end_key", "size"]
-    firsts = runs.groupBy(*same).agg(F.min(place).alias("origin"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    firsts = staged(firsts, "origins")  # apart from the join, whose large groups Spark can then split
-    copies = runs.join(firsts, same).filter(F.col("origin") < place).select("d", "t", "pos", "size")
-    order = Window.partitionBy("d", "t").orderBy("pos")
-    begins = F.row_number().over(order) == 1
-    spans = copies.withColumn("begins", begins).select("d", "t", "pos", "size", "begins")
-    schema = f"d {kind}, t bigint, removed array<struct<first: int, last: int>>"
-    return spans.mapInArrow(merged_batches, schema)
+    with scratch(docs.sparkSession) as kept:
+        lines = kept.staged(lines_of(docs), "lines")
+        suffixes = kept.staged(repeated_lines(lines, kept), "suffixes")
+        longest = windows(suffixes, least_words).agg(F.max("size")).first()[0] or 0
+        found, h = [], 1
+        while h <= longest:
+            level = windows(suffixes, least_words, (h, 2 * h)).withColumn("level", F.lit(h))
+            found.append(kept.staged(level, "windows"))
+            h *= 2
+            if h <= longest:
+                suffixes = kept.staged(doubled(suffixes, h // 2, kept), "suffixes")
+        if not found:
+            found.append(windows(suffixes, least_words, (1, 2)).withColumn("level", F.lit(1)))
+        runs = reduce(DataFrame.unionByName, found)
+        place = F.struct("d", "t", "pos")
+        same = ["level", "key", "end_key", "size"]
+        firsts = runs.groupBy(*same).agg(F.min(place).alias("origin"), F.count("*").alias("n"))
+        # written apart from the join, whose large groups Spark can then split
+        firsts = kept.staged(firsts.filter("n > 1").drop("n"), "origins")
+        copies = runs.join(firsts, same).filter(F.col("origin") < place).select("d", "t", "pos", "size")
+        begins = F.row_number().over(Window.partitionBy("d", "t").orderBy("pos")) == 1
+        spans = copies.select("d", "t", "pos", "size", begins.alias("begins"))
+        kind = docs.schema["doc_id"].dataType.simpleString()
+        schema = f"d {kind}, t bigint, removed array<struct<first: int, last: int>>"
+        return staged(spans.mapInArrow(merged_batches, schema), "later-copies")
 
 
 def remaining(text: Column, removed: Column) -> Column:

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from legtrail.session import staged
+from legtrail.session import scratch, staged
 
 #: Rows of a block of queries and of a shard; with them the size of a tile is bounded.
 BLOCK = 512
@@ -105,11 +105,6 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     rows = whole_vectors(vectors)
     queries = rows.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = staged(packs(queries, BLOCK, ("block", "q_ids", "q")), "query-blocks")
-    shards = staged(packs(rows, SHARD, ("shard", "v_ids", "v")), "shards")
-    dealt = shards.withColumn("salt", F.pmod(F.xxhash64("shard"), F.lit(parts)).cast("int"))
-    copies = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    tiles = dealt.join(copies, ["dim", "salt"])
     schema = "query_id bigint, vec_id bigint, score bigint, part bigint"
 
     def run(batches):
@@ -118,9 +113,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
                 yield tile(batch.slice(i, 1), k)
 
     columns = ["dim", "q_ids", "q", "q_largest", "v_ids", "v", "v_largest", "shard"]
-    lists = staged(tiles.select(*columns).mapInArrow(run, schema), "lists")
-    numbered = shards.select("shard").distinct().withColumn("n", F.lit(1))
-    count = numbered.count()
+    with scratch(vectors.sparkSession) as kept:
+        blocks = kept.staged(packs(queries, BLOCK, ("block", "q_ids", "q")), "query-blocks")
+        shards = kept.staged(packs(rows, SHARD, ("shard", "v_ids", "v")), "shards")
+        dealt = shards.withColumn("salt", F.pmod(F.xxhash64("shard"), F.lit(parts)).cast("int"))
+        copies = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        tiles = dealt.join(copies, ["dim", "salt"])
+        lists = staged(tiles.select(*columns).mapInArrow(run, schema), "lists")
+        count = shards.count()
     lists = lists.withColumn("part", F.pmod(F.xxhash64("part"), F.lit(max(1, count))))
     while count > 1:
         count = -(-count // FAN_IN)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from legtrail.llm.common import Kept, labelled_sample, pieces, remainder, texts_of
-from legtrail.session import staged
+from legtrail.session import Scratch, scratch
 
 #: Labelled documents that the language model, the marks and the weights are learned from, at most.
 LABELLED_DOCUMENTS = 12_000
@@ -221,14 +221,14 @@ def letter_model(sample: DataFrame) -> LetterModel | None:
     return LetterModel(dict(zip(counts["letters"], map(float, counts["n"])))) if counts["letters"] else None
 
 
-def find_marks(words: DataFrame) -> dict[str, float]:
+def find_marks(words: DataFrame, kept: Scratch) -> dict[str, float]:
     """Marks and their weights from (label, words): only those frequent in toxic documents are counted in the others."""
     beginnings = [F.when(F.char_length("word") >= n, F.substring("word", 1, n)) for n in BEGINNINGS]
     kinds = F.array_compact(F.array(F.concat("word", F.lit("$")), *beginnings))
     rows = words.select("id", "label", F.explode("words").alias("word"))
     rows = rows.select("id", "label", F.explode(kinds).alias("mark"))
     frequent = rows.filter("label = 1").distinct().groupBy("mark").count().filter(F.col("count") >= LEAST_TOXIC)
-    frequent = staged(frequent.select("mark"), "frequent-marks")
+    frequent = kept.staged(frequent.select("mark"), "frequent-marks")
     counted = rows.join(F.broadcast(frequent), "mark").distinct().groupBy("mark")
     counted = counted.agg(F.sum("label").alias("t"), F.count("*").alias("n")).toArrow().to_pydict()
     total, toxic = words.agg(F.count("*"), F.sum("label")).first()
@@ -250,36 +250,37 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, bound: int = LABELLE
 
     Without labels, or with one class only, there are no marks and every score is the smoothed share of label 1.
     """
-    sample = staged(labelled_sample(docs, labels, "toxic", keep, bound).select("_text", "_label", "doc_id"), "labelled")
-    letters = letter_model(sample)
-
-    def split(batches):
-        words = Words(letters)
-        for part in pieces(batches):
-            texts = part.column(2).to_pylist()
-            found = [sorted({word for token in tokens_of(text) for word in words[token]}) for text in texts]
-            columns = [part.column(0), part.column(1), pa.array(found, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "label", "words"])
-
-    keyed = sample.select(F.xxhash64("doc_id", "_text").alias("id"), F.col("_label").cast("int").alias("label"), "_text")
-    words = staged(keyed.mapInArrow(split, "id bigint, label int, words array<string>"), "restored")
-    marks = find_marks(words)
-
-    def weigh(batches):
-        weights = Weights(Words(None), marks)
-        for part in pieces(batches):
-            rows = [weights.evidence(set(found)) for found in part.column(2).to_pylist()]
-            columns = [part.column(0), part.column(1), pa.array(rows, pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "label", "x"])
-
-    rows = words.mapInArrow(weigh, "id bigint, label int, x array<double>").toArrow()
-    order = np.argsort(rows["id"].to_numpy(), kind="stable")
-    y = rows["label"].to_numpy().astype(float)[order]
-    x = np.array(rows["x"].to_pylist(), float).reshape(-1, 3)[order]
-    if not marks or y.min() == y.max():
-        share = (y.sum() + 1) / (len(y) + 2)
-        return Model(letters, {}, np.array([0.0, 0.0, 0.0, log(share / (1 - share))]))
-    return Model(letters, marks, fit_logistic(x, y))
+    with scratch(docs.sparkSession) as kept:
+        sample = kept.staged(labelled_sample(docs, labels, "toxic", keep, bound), "labelled")
+        letters = letter_model(sample)
+
+        def split(batches):
+            words = Words(letters)
+            for part in pieces(batches):
+                texts = part.column(2).to_pylist()
+                found = [sorted({word for token in tokens_of(text) for word in words[token]}) for text in texts]
+                columns = [part.column(0), part.column(1), pa.array(found, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "label", "words"])
+
+        keyed = sample.select(F.xxhash64("doc_id", "_text").alias("id"), F.col("_label").cast("int").alias("label"), "_text")
+        words = kept.staged(keyed.mapInArrow(split, "id bigint, label int, words array<string>"), "restored")
+        marks = find_marks(words, kept)
+
+        def weigh(batches):
+            weights = Weights(Words(None), marks)
+            for part in pieces(batches):
+                rows = [weights.evidence(set(found)) for found in part.column(2).to_pylist()]
+                columns = [part.column(0), part.column(1), pa.array(rows, pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "label", "x"])
+
+        rows = words.mapInArrow(weigh, "id bigint, label int, x array<double>").toArrow()
+        order = np.argsort(rows["id"].to_numpy(), kind="stable")
+        y = rows["label"].to_numpy().astype(float)[order]
+        x = np.array(rows["x"].to_pylist(), float).reshape(-1, 3)[order]
+        if not marks or y.min() == y.max():
+            share = (y.sum() + 1) / (len(y) + 2)
+            return Model(letters, {}, np.array([0.0, 0.0, 0.0, log(share / (1 - share))]))
+        return Model(letters, marks, fit_logistic(x, y))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """The stages against plain versions, over the smallest given tables."""
 
 import hashlib
+from collections import Counter
 from pathlib import Path
 
 import public_tokenizers
@@ -10,6 +11,7 @@ import tiktoken
 import __spark_entry__ as repo
 import corpus_pipeline
 from legtrail.llm import bpe, quality
+from legtrail.session import staged
 from tests.llm.test_line_runs import plain_removed
 from tests.llm.test_simhash import plain_components, plain_print
 
@@ -22,7 +24,7 @@ def test_stages(spark):
     columns, kept = docs.columns, docs
     results = []
     for name, stage in corpus_pipeline.STAGES:
-        kept = corpus_pipeline.staged(stage(spark, kept, SF_DIR), name)
+        kept = staged(stage(spark, kept, SF_DIR), name)
         results.append([r.asDict() for r in kept.collect()])
         if name != "bpe":
             assert kept.columns == columns
@@ -65,5 +67,13 @@ def test_registered(spark):
 def test_edges(spark, edges):
     docs = edges
     for name, stage in corpus_pipeline.STAGES:
-        docs = corpus_pipeline.staged(stage(spark, docs, SF_DIR), name)
+        docs = staged(stage(spark, docs, SF_DIR), name)
     assert docs.count() >= 3
+
+
+def test_run_gives_the_rows_of_the_stages(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = staged(stage(spark, docs, SF_DIR), name)
+    count = lambda rows: Counter((r.doc_id, r.n_tokens, r.ids_sha256) for r in rows.collect())
+    assert count(corpus_pipeline.run(spark, SF_DIR)) == count(docs)
