@@ -70,6 +70,10 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def remove(self) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Scratch]:
@@ -78,8 +82,7 @@ def scratch(spark: SparkSession) -> Iterator[Scratch]:
     try:
         yield held
     finally:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(held.folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        held.remove()
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
