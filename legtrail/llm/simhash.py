@@ -11,7 +11,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from legtrail.llm.common import pieces, texts_of
 from legtrail.llm.components import components
@@ -45,17 +45,19 @@ def fingerprint(text: str, words_per_shingle: int) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, words_per_shingle: int) -> DataFrame:
-    """(doc_id, print) of every row; print is the fingerprint's bits as a bigint."""
+def fingerprints(docs: DataFrame, words_per_shingle: int, *more: Column) -> DataFrame:
+    """(doc_id, columns asked for, print) of every row; print is the fingerprint's bits as a bigint."""
+    rows = texts_of(docs, "doc_id", *more)
 
     def run(batches):
         for part in pieces(batches):
-            found = [fingerprint(text, words_per_shingle) for text in part.column(1).to_pylist()]
+            *kept, texts = part.columns
+            found = [fingerprint(text, words_per_shingle) for text in texts.to_pylist()]
             signed = np.array(found, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(signed)], ["doc_id", "print"])
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(signed)], [*part.schema.names[:-1], "print"])
 
-    key = docs.schema["doc_id"].dataType.simpleString()
-    return texts_of(docs, "doc_id").mapInArrow(run, f"doc_id {key}, print bigint")
+    kinds = [f"{field.name} {field.dataType.simpleString()}" for field in rows.schema[:-1]]
+    return rows.mapInArrow(run, ", ".join([*kinds, "print bigint"]))
 
 
 def references() -> np.ndarray:
@@ -164,6 +166,13 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
     return ordered.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def with_roots(prints: DataFrame, distance: int) -> DataFrame:
+    """``prints`` (distinct, column ``print``) with ``root``, the smallest fingerprint each can reach; never null."""
+    roots = components(links(prints.select("print"), distance))
+    rooted = prints.join(roots, F.col("print") == F.col("node"), "left").drop("node")
+    return rooted.withColumn("root", F.coalesce("root", "print"))
+
+
 def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, distance: int = 4) -> DataFrame:
     """``doc_id, fingerprint`` (16 hex digits) ``, component_id`` (smallest id it can reach) of every row.
 
@@ -173,9 +182,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, distance: int =
     """
     marks = staged(fingerprints(docs, words_per_shingle), "fingerprints")
     prints = marks.groupBy("print").agg(F.min("doc_id").alias("first_id"))
-    roots = components(links(prints.select("print"), distance))
-    rooted = prints.join(roots, F.col("print") == F.col("node"), "left")
-    rooted = rooted.select("print", "first_id", F.coalesce("root", "print").alias("root"))
+    rooted = with_roots(prints, distance)
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.select("print", "root").join(named, "root").select("print", "component_id")
     hexed = F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint")
@@ -183,18 +190,19 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, distance: int =
 
 
 def one_of_each(docs: DataFrame, words_per_shingle: int = 4, distance: int = 4) -> DataFrame:
-    """``docs``, all columns, without the rows that have a component with another, smaller id.
+    """``docs``, all columns, with one row of each component: the one with the smallest id, nulls last.
 
-    Rows that repeat the smallest id are reduced to one: the one with the smallest text hash. Rows with null ids stay
-    only if their component has no id, then also as one row.
+    Among rows that share this id it is the one with the smallest text hash. Rows are told apart by id and text, so an id
+    that stands for several texts, or a null id, stays with every text that is the first of its component.
     """
-    near = near_duplicates(docs, words_per_shingle, distance)
-    kept = near.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k")).distinct()
-    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
-    keys = rows.groupBy("id", "hash").agg(F.count("*").alias("n"))
-    keys = keys.join(kept, F.col("id").eqNullSafe(F.col("k")), "left_semi")
-    chosen = keys.groupBy("id").agg(F.min(F.struct("hash", "n")).alias("one")).select("id", "one.*")
-    chosen = chosen.select(F.col("id").alias("i"), F.col("hash").alias("h"), "n")
+    # two hashes, so that texts without an id can be told apart however many there are
+    text = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"))
+    marks = staged(fingerprints(docs, words_per_shingle, text.alias("hash")), "fingerprints")
+    keys = marks.groupBy("print", "doc_id", "hash").agg(F.count("*").alias("n"))
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("i"), F.col("hash").alias("h"), "n")
+    rooted = with_roots(keys.groupBy("print").agg(F.min(first).alias("first")), distance)
+    chosen = rooted.groupBy("root").agg(F.min("first").alias("first")).select("root", "first.*")
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), text.alias("hash"))
     found = rows.join(chosen, F.col("id").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("h")))
-    repeated = found.filter("n > 1").dropDuplicates(["id"])
+    repeated = found.filter("n > 1").dropDuplicates(["root"])
     return found.filter("n = 1").select("doc.*").unionByName(repeated.select("doc.*"))

@@ -97,6 +97,22 @@ def test_one_of_each(edges):
     assert sorted(str(r.doc_id) for r in rows.collect()) == ["1", "2", "5", "7", "8", "None"]
 
 
+def test_one_of_each_keeps_every_text_without_an_id(documents):
+    own = [(None, " ".join(f"w{i}x{j}" for j in range(12))) for i in range(40)]
+    near = [(1, "one two three four"), (None, "one two three four")]
+    rows = simhash.one_of_each(documents(own + own[:5] + near)).collect()
+    assert sorted(r.text for r in rows) == sorted([text for _, text in own] + ["one two three four"])
+    assert [r.doc_id for r in rows if r.text == "one two three four"] == [1]
+
+
+def test_one_of_each_with_two_texts_under_one_id(documents):
+    shared = "one two three four five"
+    for i in range(6):  # whichever text has the smaller hash
+        own = f"alone {i} " + " ".join(f"v{i}y{j}" for j in range(9))
+        rows = simhash.one_of_each(documents([(1, shared), (2, shared), (2, own), (2, own), (3, own)])).collect()
+        assert sorted((r.doc_id, r.text) for r in rows) == sorted([(1, shared), (2, own)])
+
+
 def test_no_documents(nothing):
     assert simhash.near_duplicates(nothing).collect() == []
     assert simhash.one_of_each(nothing).collect() == []
