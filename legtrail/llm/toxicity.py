@@ -21,6 +21,10 @@ from legtrail.session import Scratch, scratch
 LABELLED_DOCUMENTS = 12_000
 #: Score from which a document counts as toxic.
 TOXIC = 0.7
+#: Letters and digits of a token that may be a part of a word set apart, at most.
+CHUNK = 4
+#: Single characters in a row that are read as one word, at least.
+SINGLES = 3
 #: Lengths of the beginnings of words that may be marks.
 BEGINNINGS = range(4, 9)
 #: A mark is in so many toxic documents at least, and this much likelier there (log), beyond chance (likelihood ratio).
@@ -118,8 +122,15 @@ def core_of(token: str) -> str:
     return token[start:end]
 
 
+def certain(token: str, core: str) -> bool:
+    """Nothing in the token could be a disguise: letters only, none twice in a row, no look-alike around them."""
+    if not core.isalpha() or any(map(str.__eq__, core, core[1:])):
+        return False
+    return len(core) == len(token) or LOOK_ALIKES.keys().isdisjoint(token)
+
+
 class Words(Kept):
-    """The words behind each token as it is written."""
+    """The words behind each token as it is written: the likeliest reading, and the letters as they stand."""
 
     def __init__(self, model: LetterModel | None):
         super().__init__()
@@ -127,24 +138,40 @@ class Words(Kept):
 
     def made(self, token: str) -> tuple[str, ...]:
         core = core_of(token)
-        if plain(core):
-            return (core,)
-        if not any(map(str.isalpha, token)) or self.model is None:
+        literal = (core,) if plain(core) else ()
+        if self.model is None or certain(token, core):
+            return literal
+        if not any(map(str.isalpha, token)) and LOOK_ALIKES.keys().isdisjoint(token):
             return ()
-        return tuple(restored(token, self.model).split())
+        return tuple(dict.fromkeys((*literal, *restored(token, self.model).split())))
+
+
+def single(token: str) -> str:
+    """The one character of a token, without signs around it; empty if there are more."""
+    if len(token) == 1:
+        return token
+    core = core_of(token) if len(token) <= 2 * CHUNK else ""
+    return core if len(core) == 1 else ""
 
 
 def spaced(tokens: list[str]) -> list[str]:
-    """Rows of four or more single characters, each as one token with spaces."""
+    """Rows of three or more single characters, each as one token with spaces."""
     found = []
-    if sum(len(token) == 1 for token in tokens) >= 4:
-        for single, row in groupby(tokens, lambda token: len(token) == 1):
-            row = list(row) if single else []
-            if len(row) >= 4:
+    if sum(len(token) <= 3 and bool(single(token)) for token in tokens) >= SINGLES:
+        for alone, row in groupby(map(single, tokens), bool):
+            row = list(row) if alone else []
+            if len(row) >= SINGLES:
                 found.append(" ".join(row))
     return found
 
 
+def chunk_of(token: str) -> str:
+    """A token that may be part of a word, without signs around it that stand for no letter; empty if it is too long."""
+    if not 0 < len(core_of(token)) <= CHUNK and token not in LOOK_ALIKES:
+        return ""
+    return token.strip("".join({c for c in token if not c.isalnum() and c not in LOOK_ALIKES}))
+
+
 def tokens_of(text: str) -> set[str]:
     tokens = text.lower().split()
     return {*tokens, *spaced(tokens)}
@@ -155,18 +182,64 @@ def marks_of(word: str) -> list[str]:
     return [f"{word}$", *(word[:n] for n in BEGINNINGS if n <= len(word))]
 
 
+class Starts(Kept):
+    """For each token the beginnings of marked words that it may stand for, as first part of a word set apart."""
+
+    def __init__(self, marks: dict[str, float]):
+        super().__init__()
+        whole = [mark[:-1] for mark in marks if mark.endswith("$")]
+        self.beginnings = {word[:n] for word in whole for n in range(len(word) + 1)}
+
+    def after(self, before: set[str], chunk: str) -> set[str]:
+        for at in range(len(chunk)):
+            letters = [letter for letter, _ in readings(chunk, at) if letter != " "]
+            before = {word + letter for word in before for letter in letters} & self.beginnings
+        return before
+
+    def made(self, token: str) -> set[str]:
+        chunk = chunk_of(token)
+        return self.after({""}, chunk) - {""} if chunk else set()
+
+
 class Weights(Kept):
     """For each token the weight of its strongest mark, 0 without one."""
 
     def __init__(self, words: Words, marks: dict[str, float]):
         super().__init__()
-        self.words, self.marks = words, marks
+        self.words, self.marks, self.starts = words, marks, Starts(marks)
 
     def made(self, token: str) -> float:
         return max([self.marks.get(mark, 0.0) for word in self.words[token] for mark in marks_of(word)], default=0.0)
 
-    def evidence(self, tokens: set[str]) -> list[float]:
-        hits = [weight for weight in map(self.__getitem__, tokens) if weight]
+    def joined(self, tokens: list[str]) -> set[str]:
+        """Marked words set apart over neighbouring short tokens, where the letter model reads them so.
+
+        Beginnings of words do not count here: neighbours that make one by chance are frequent.
+        """
+        found = set()
+        if self.words.model is None or not self.marks:
+            return found
+        starts = self.starts
+        for at, token in enumerate(tokens):
+            reached = starts[token]
+            if not reached:
+                continue
+            row = [chunk_of(token)]
+            for place in range(at + 1, len(tokens)):
+                chunk = chunk_of(tokens[place])
+                reached = starts.after(reached, chunk) - {""} if chunk else None
+                if not reached:
+                    break
+                row.append(chunk)
+                complete = {word for word in reached if f"{word}$" in self.marks}
+                if complete - found:
+                    found |= complete.intersection(self.words[" ".join(row)])
+        return found
+
+    def evidence(self, text: str) -> list[float]:
+        tokens = text.lower().split()
+        hits = [weight for weight in map(self.__getitem__, {*tokens, *spaced(tokens)}) if weight]
+        hits += [self.marks[f"{word}$"] for word in self.joined(tokens)]
         return [max(hits, default=0.0), log(1 + len(hits)), log(1 + sum(hits))]
 
 
@@ -192,7 +265,7 @@ class Model:
         *slopes, constant = self.weights.tolist()
 
         def score(text: str) -> float:
-            found = weights.evidence(tokens_of(text))
+            found = weights.evidence(text)
             margin = constant + sum(a * b for a, b in zip(slopes, found))
             return 1 / (1 + exp(-min(30.0, max(-30.0, margin))))
 
@@ -267,13 +340,13 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, bound: int = LABELLE
         marks = find_marks(words, kept)
 
         def weigh(batches):
-            weights = Weights(Words(None), marks)
+            weights = Weights(Words(letters), marks)
             for part in pieces(batches):
-                rows = [weights.evidence(set(found)) for found in part.column(2).to_pylist()]
+                rows = [weights.evidence(text) for text in part.column(2).to_pylist()]
                 columns = [part.column(0), part.column(1), pa.array(rows, pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "label", "x"])
 
-        rows = words.mapInArrow(weigh, "id bigint, label int, x array<double>").toArrow()
+        rows = keyed.mapInArrow(weigh, "id bigint, label int, x array<double>").toArrow()
         order = np.argsort(rows["id"].to_numpy(), kind="stable")
         y = rows["label"].to_numpy().astype(float)[order]
         x = np.array(rows["x"].to_pylist(), float).reshape(-1, 3)[order]

@@ -35,6 +35,29 @@ def test_disguised_words_are_found(documents, labels_of, rows):
     assert held and all(held)
 
 
+HIDDEN = ["$nivo", "(ronk", "sni+", "grronk", "bllarg", "(05+", "7057", "s n i v o.", "gr onk", "bl arg!", "s ni vo", "gr 0nk", "(g r o n k)"]
+
+
+def test_signs_at_edges_doubled_letters_and_chunks():
+    words = ["gronk", "snivo", "blarg", "cronk", "snit", "scum", "cost", "tost", *WORDS]
+    model = toxicity.LetterModel({t: 5.0 for word in words for t in toxicity.trigrams(word)})
+    marks = {f"{word}$": 5.0 for word in ["gronk", "snivo", "blarg", "cronk", "snit", "scum", "cost", "tost"]}
+    weights = toxicity.Weights(toxicity.Words(model), marks)
+    missed = [t for t in [*HIDDEN, "s c u m.", "$ c u m", "$cum"] if not weights.evidence(f"the house and {t} with water")[0]]
+    assert missed == []
+    clean = ["the (house) and water!", "a letter, 100 + 20", "window $5 (number)", "the morning; is it so?", "!!! --- ..."]
+    assert [t for t in clean if weights.evidence(t)[0]] == []
+
+
+def test_hidden_forms_are_found_by_the_query(documents, labels_of, rows):
+    docs, labels = rows
+    texts = ["$nivo", "grronk", "s n i v o.", "gr onk", "bl arg!"]
+    new = [(1000 + i, f"the house and {word} with water from the river") for i, word in enumerate(texts)]
+    found = {r.doc_id: r for r in toxicity.classify(documents(docs + new), labels_of(labels)).collect()}
+    assert [text for i, text in new if not found[i].predicted] == []
+    assert all(found[i].predicted == toxic for i, _, toxic in labels if found[i].held_out)
+
+
 def test_viterbi_is_the_best_of_all_readings():
     model = toxicity.LetterModel({t: 5.0 for word in ["gronk", "the"] for t in toxicity.trigrams(word)})
 
