@@ -17,8 +17,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from legtrail.llm.common import Kept, labelled_sample, pieces, remainder, texts_of
 from legtrail.session import Scratch, scratch
 
-#: Labelled documents that the language model, the marks and the weights are learned from, at most.
+#: Labelled documents that the marks and the weights are learned from, at most; letters are counted over all texts.
 LABELLED_DOCUMENTS = 12_000
+#: Different tokens that a task holds with their numbers before it counts their letters.
+TOKENS_AT_ONCE = 100_000
 #: Score from which a document counts as toxic.
 TOXIC = 0.7
 #: Letters and digits of a token that may be a part of a word set apart, at most.
@@ -272,24 +274,31 @@ class Model:
         return score
 
 
-def letter_model(sample: DataFrame) -> LetterModel | None:
-    """From the plain words of the sample, each once for every document that has it."""
+def letter_model(texts: DataFrame) -> LetterModel | None:
+    """From the plain words of all texts, each once for every document that has it; labels play no part."""
 
     def run(batches):
         counts: Counter = Counter()
-        for part in pieces(batches):
-            tokens: Counter = Counter()
-            for text in part.column(0).to_pylist():
-                tokens.update(tokens_of(text))
+        tokens: Counter = Counter()
+
+        def add():
             for token, n in tokens.items():
                 core = core_of(token)
                 if len(core) > 1 and plain(core):
                     for letters in trigrams(core):
                         counts[letters] += n
+            tokens.clear()
+
+        for part in pieces(batches):
+            for text in part.column(0).to_pylist():
+                tokens.update(tokens_of(text))
+                if len(tokens) > TOKENS_AT_ONCE:
+                    add()
+        add()
         columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, ["letters", "n"])
 
-    counted = sample.select("_text").mapInArrow(run, "letters string, n bigint")
+    counted = texts.select("_text").mapInArrow(run, "letters string, n bigint")
     counts = counted.groupBy("letters").agg(F.sum("n").alias("n")).toArrow().to_pydict()
     return LetterModel(dict(zip(counts["letters"], map(float, counts["n"])))) if counts["letters"] else None
 
@@ -319,13 +328,13 @@ def find_marks(words: DataFrame, kept: Scratch) -> dict[str, float]:
 
 
 def train(docs: DataFrame, labels: DataFrame, keep: Column, bound: int = LABELLED_DOCUMENTS) -> Model:
-    """Learns from at most ``bound`` labelled documents for which ``keep`` (over labels) holds.
+    """Learns from at most ``bound`` labelled documents for which ``keep`` (over labels) holds, letters from all texts.
 
     Without labels, or with one class only, there are no marks and every score is the smoothed share of label 1.
     """
     with scratch(docs.sparkSession) as kept:
         sample = kept.staged(labelled_sample(docs, labels, "toxic", keep, bound), "labelled")
-        letters = letter_model(sample)
+        letters = letter_model(texts_of(docs))
 
         def split(batches):
             words = Words(letters)

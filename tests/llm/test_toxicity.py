@@ -77,6 +77,14 @@ def test_viterbi_is_the_best_of_all_readings():
         assert toxicity.restored(written, model).strip() == best[1].strip()
 
 
+def test_letters_are_counted_over_all_texts(documents, labels_of, monkeypatch):
+    monkeypatch.setattr(toxicity, "TOKENS_AT_ONCE", 2)
+    docs = documents([(1, "the house"), (2, "the river"), (3, "żółw żółw"), (None, "quartz")])
+    for labels in ([(1, 1, 0)], []):
+        model = toxicity.train(docs, labels_of(labels), toxicity.F.lit(True), bound=1)
+        assert (model.letters.three["the"], model.letters.three["żół"], model.letters.three["qua"]) == (2, 1, 1)
+
+
 def test_long_disguised_text_stays_linear():
     model = toxicity.LetterModel({t: 1.0 for t in toxicity.trigrams("gronk")})
     assert toxicity.restored("gr0nk" * 4000, model).startswith("gronk")
