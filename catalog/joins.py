@@ -9,6 +9,8 @@ from legtrail.functions import times
 from legtrail.operators import enrich, nested, ordinal, quality, trajectory
 
 HOUR = 3600
+#: Records of an aircraft that one list holds at most.
+BLOCK = 1024
 
 
 #: Fields of a line, in the order in which the points of a flight are sorted; ties are whole lines that are equal.
@@ -55,13 +57,16 @@ WITH {adapters.LEGS}
 SELECT ICAO24, row_number() OVER (PARTITION BY ICAO24 ORDER BY leg_id)::INTEGER AS idx, call_sign, departure_time
 FROM legs""")
 def fetch_ordinal(spark, sf_dir):
-    # One list of records per aircraft, in the order of fetching (leg_id); each flight keeps its place in it.
-    legs = adapters.legs(spark, sf_dir)
+    # Lists of records per aircraft, in the order of fetching (leg_id); each flight keeps its place in it. A list
+    # goes on in further blocks, so that none grows with the flights of an aircraft.
+    legs = ordinal.with_ordinal(adapters.legs(spark, sf_dir), by=["ICAO24"], order=["leg_id"], name="place")
+    block = F.floor((F.col("place") - 1) / BLOCK).alias("block")
     fields = [name for name in schemas.RAW_FLIGHT.names if name != "state_vectors"]
     fetched = F.array_sort(F.collect_list(F.struct("leg_id", *fields)))
-    lists = legs.groupBy(F.col("ICAO24").alias("aircraft")).agg(fetched.alias("records"))
-    flights = nested.flatten_lists(lists, "records", adapters.ZONE, idx="idx")
-    return flights.select("ICAO24", "idx", "call_sign", "departure_time")
+    lists = legs.groupBy(F.col("ICAO24").alias("aircraft"), block).agg(fetched.alias("records"))
+    flights = nested.flatten_lists(lists, "records", adapters.ZONE, keep=["block"], idx="idx")
+    place = (F.col("block") * BLOCK + F.col("idx")).cast("int").alias("idx")
+    return flights.select("ICAO24", place, "call_sign", "departure_time")
 
 
 def _numbered_orders(spark, sf_dir):
