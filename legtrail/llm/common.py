@@ -5,7 +5,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from legtrail.session import Scratch
 
 #: Rows of a batch that are turned into Python objects at a time.
 ROWS_AT_ONCE = 256
@@ -78,6 +80,27 @@ def smallest_hashes(rows: DataFrame, key: str, bound: int) -> DataFrame:
     return rows.orderBy(hashed, key).limit(bound)
 
 
+#: Bits of an increasing id below those of its partition.
+PLACE_BITS = 33
+
+
+def numbered(rows: DataFrame, kept: Scratch, name: str, first: int = 0) -> tuple[DataFrame, int]:
+    """``rows`` with the column ``name``, numbers from ``first`` without gaps in their present order, and how many there are.
+
+    The rows are written down with their place in their partition; only one row per partition goes through a running sum.
+    """
+    placed = kept.staged(rows.withColumn("_at", F.monotonically_increasing_id()), name)
+    part = F.shiftright("_at", PLACE_BITS)
+    lengths = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + first
+    begins = kept.staged(lengths.select("_part", "_n", before.alias("_before")), f"{name}-parts")
+    count = begins.agg(F.sum("_n")).first()[0] or 0
+    place = F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)) + F.col("_before")
+    full = placed.withColumn("_part", part).join(F.broadcast(begins), "_part")  # as many rows as partitions
+    return full.select(*rows.columns, place.alias(name)), count
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column, bound: int) -> DataFrame:
     """(doc_id, _text, _label) of at most ``bound`` labelled documents for which ``keep`` holds.
 

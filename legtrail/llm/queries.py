@@ -4,12 +4,20 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from legtrail.llm import bpe, language, line_runs, minhash, mixing, oracles, quality, secret_scan, simhash, topk
-from legtrail.llm import toxicity
+from legtrail.llm import toxicity, urls
 from legtrail.llm.common import table
 from legtrail.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
 
+URL_RULES = [
+    urls.Rule(False, "com", "/"),
+    urls.Rule(True, "example.com", "/en/"),
+    urls.Rule(False, "www.example.com", "/en/"),
+    urls.Rule(True, "net", "/es/"),
+    urls.Rule(True, "net", "/fr/"),
+]
+
 
 @query()
 def op1_byte_bpe(spark, sf_dir):
@@ -71,3 +79,8 @@ def op10_language(spark, sf_dir):
 @query()
 def op7_toxicity(spark, sf_dir):
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op12_url_filter(spark, sf_dir):
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
