@@ -112,3 +112,33 @@ s AS (
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 5
 """
+
+COLLOCATIONS = """
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (
+  SELECT lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w FROM t),
+g AS (
+  SELECT lang, w[i:i + size - 1] AS g, count(*) AS f
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM (SELECT lang, w, unnest([1, 2, 3]) AS size FROM p))
+  GROUP BY ALL),
+c AS (SELECT lang, g, f AS a FROM g WHERE len(g) > 1 AND f >= 10),
+cuts AS (
+  SELECT c.*, k, l.f AS l, r.f AS r, (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, unnest(range(1, len(g))) AS k FROM c) c
+  JOIN g l ON l.lang = c.lang AND l.g = c.g[1:k] JOIN g r ON r.lang = c.lang AND r.g = c.g[k + 1:]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, g[i:i + 1] AS g, max(a) AS f FROM (SELECT *, unnest([1, 2]) AS i FROM c WHERE len(g) = 3)
+  GROUP BY ALL),
+kept AS (
+  SELECT best.*, array_to_string(best.g, ' ') AS phrase
+  FROM best LEFT JOIN longer ON longer.lang = best.lang AND longer.g = best.g
+  WHERE coalesce(100 * longer.f < 50 * a, true)),
+n AS (SELECT lang, sum(f) AS n FROM g WHERE len(g) = 1 GROUP BY lang)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept JOIN n ON n.lang = kept.lang QUALIFY rank <= 2000
+"""

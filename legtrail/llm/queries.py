@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from legtrail.llm import bpe, language, line_runs, minhash, mixing, oracles, quality, secret_scan, simhash, topk
+from legtrail.llm import bpe, collocations, language, line_runs, minhash, mixing, oracles, quality, secret_scan, simhash, topk
 from legtrail.llm import toxicity, urls
 from legtrail.llm.common import table
 from legtrail.llm.registry import ORACLES, QUERIES, query
@@ -81,6 +81,11 @@ def op7_toxicity(spark, sf_dir):
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query(oracles.COLLOCATIONS)
+def op11_collocations(spark, sf_dir):
+    return collocations.phrases(table(spark, sf_dir, "documents"), longest=3, least=10, cover=50, top=2000)
+
+
 @query()
 def op12_url_filter(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
