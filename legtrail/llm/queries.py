@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from legtrail.llm import bpe, collocations, language, line_runs, minhash, mixing, oracles, quality, secret_scan, simhash, topk
-from legtrail.llm import toxicity, urls
+from legtrail.llm import bpe, collocations, language, line_runs, minhash, mixing, negatives, oracles, quality, secret_scan
+from legtrail.llm import simhash, topk, toxicity, urls
 from legtrail.llm.common import table
 from legtrail.llm.registry import ORACLES, QUERIES, query
 
@@ -89,3 +89,10 @@ def op11_collocations(spark, sf_dir):
 @query()
 def op12_url_filter(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query(oracles.NEGATIVES)
+def op13_hard_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, label, positives=5, negatives=10, low=30, high=90)

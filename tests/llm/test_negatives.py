@@ -1,0 +1,116 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from legtrail.llm import negatives
+
+KIND = "vec_id bigint, embedding array<double>, label int, score string, dim int, near string, v int"
+
+
+def plain(rows, positives=5, count=10, low=30, high=90):
+    good = [
+        (i, label, [math.floor(256 * x) for x in v])
+        for i, v, label in rows
+        if i is not None and label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    anchors = {}
+    for i, label, v in good:
+        if i % 10 == 0:
+            anchors[i] = min(anchors.get(i, (label, v)), (label, v))
+    out = []
+    for a, (label, v) in anchors.items():
+        scored = [(-sum(x * y for x, y in zip(v, w)), i, l == label) for i, l, w in good if i != a and len(w) == len(v)]
+        near = sorted((s, i) for s, i, same in scored if same)[:positives]
+        for s, i in near:
+            inside = sorted((t, j) for t, j, same in scored if not same and low * -s <= 100 * -t <= high * -s)[:count]
+            out += [(a, i, rank, j, -s, -t) for rank, (t, j) in enumerate(inside, 1)]
+    return sorted(out)
+
+
+def mined(spark, rows, *args):
+    vectors = spark.createDataFrame([(*row, "x", 1, "y", 2) for row in rows], KIND)
+    got = negatives.hard_negatives(vectors, F.col("vec_id") % 10 == 0, F.col("label"), *args)
+    assert got.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(tuple(r) for r in got.collect())
+
+
+def drawn(seed, n, dim=4):
+    draw = random.Random(seed)
+    rows = [(i, [draw.choice([-1.0, -0.25, 0.001, 0.5, 0.75]) for _ in range(dim)], draw.randint(0, 3)) for i in range(n)]
+    return rows
+
+
+ODD = [
+    (None, [1.0, 1.0, 1.0, 1.0], 1), (600, None, 1), (610, [1.0, None, 1.0, 1.0], 1), (620, [math.inf, 0.0, 0.0, 0.0], 1),
+    (630, [math.nan, 0.0, 0.0, 0.0], 1), (640, [1.0, 1.0, 1.0, 1.0], None), (650, [], 1), (651, [], 1), (652, [], 2),
+    (660, [0.5, 0.5], 0), (661, [0.5, 0.25], 0), (662, [0.25, 0.25], 1), (10, [0.5, 0.5, 0.5, 0.5], 0), (10, [0.5, 0.5, 0.5, 0.5], 1),
+    (7, [0.75, 0.75, 0.75, 0.75], 1), (7, [0.75, 0.75, 0.75, 0.75], 1), (700, [0.0] * 4, 1), (710, [-1.0] * 4, -5), (711, [1.0] * 4, -5),
+]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_against_brute_force(spark, monkeypatch, small):
+    if small:
+        for name, value in {"ROWS": (3, 7), "ANCHORS": (2, 4), "TREE": 2, "FAN_IN": 2, "LABEL_GROUPS": 2}.items():
+            monkeypatch.setattr(negatives, name, value)
+    rows = drawn(3, 120 if small else 400) + ODD
+    got = mined(spark, rows)
+    assert got == plain(rows) and len(got) > 100
+
+
+def test_other_numbers(spark):
+    rows = drawn(8, 150, 3)
+    assert mined(spark, rows, 2, 3, 10, 100) == plain(rows, 2, 3, 10, 100)
+
+
+def test_none_and_few(spark):
+    assert mined(spark, []) == [] and mined(spark, [(0, [1.0], 1)]) == [] and mined(spark, [(1, [1.0], 1)]) == []
+    rows = [(0, [1.0], 1), (1, [1.0], 1), (2, [0.5], 2)]
+    assert mined(spark, rows) == plain(rows) == [(0, 1, 1, 2, 65536, 32768)]
+
+
+def test_a_third_is_one_row(spark):
+    rows = drawn(5, 60) + [(33, [0.5, 0.5, 0.5, 0.5], 2)] * 40
+    assert mined(spark, rows) == plain(rows)
+
+
+def test_large_numbers_stay_exact(spark):
+    rows = [(0, [2.0**22 + 1 / 256, 1.0], 1), (1, [2.0**23, 3.0], 1), (2, [2.0**22, 3 + 1 / 256], 2), (3, [2.0**22, 3.0], 2)]
+    assert mined(spark, rows) == plain(rows) and len(plain(rows)) == 2
+
+
+def test_spanning_tree():
+    draw = np.random.default_rng(2)
+    points = np.floor(draw.normal(size=(40, 3)) * 256)
+    order, parent, length = negatives.spanning_tree(points)
+    assert sorted(order) == list(range(40)) and order[0] == 0
+    gaps = np.sqrt(((points[:, None] - points[None]) ** 2).sum(2))
+    for place, at in enumerate(order[1:], 1):
+        inside, outside = order[:place], order[place:]
+        assert length[at] == gaps[at, parent[at]] == gaps[np.ix_(inside, outside)].min() and parent[at] in inside
+    assert negatives.spanning_tree(np.zeros((3, 0)))[0] == [0, 1, 2]
+
+
+def test_bounds_save_products():
+    """Anchors in tight groups: far fewer scores are computed than there are pairs, and none that counts is missed."""
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(6, 16))
+    near = lambda n: np.floor((centres[draw.integers(0, 6, n)] + draw.normal(size=(n, 16)) * 0.02) * 256)
+    anchors, rows = near(120), near(3000)
+    labels, row_labels = draw.integers(0, 3, 120), draw.integers(0, 3, 3000)
+    ids = np.arange(3000)
+    shard = negatives.Shard(ids, row_labels, rows, 1e9)
+    full = (anchors @ rows.T).astype(int)
+    best = full.max(axis=1)
+    asks = [[{"ask": 1, "low": int(0.3 * b), "high": int(0.9 * b)}] for b in best]
+    found = list(negatives.tree_scan(np.arange(120) + 10**6, labels, anchors, asks, shard, 10, False))
+    computed = found.pop()[1]
+    assert computed < 0.35 * full.size
+    for at, _, places, scores in found:
+        ask = asks[at][0]
+        able = (row_labels != labels[at]) & (full[at] >= ask["low"]) & (full[at] <= ask["high"])
+        wanted = sorted((-full[at][i], i) for i in np.flatnonzero(able))[:10]
+        assert [(-s, i) for s, i in zip(scores.tolist(), places.tolist())] == wanted
