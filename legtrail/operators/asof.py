@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from legtrail.session import staged
+from legtrail.session import Scratch, staged
 
 _STATE = "_state"
 #: Bits of an increasing id below those of its partition.
@@ -40,6 +40,7 @@ def asof(
     tie: str | None = None,
     later: bool = False,
     found_time: str = "found_time",
+    kept: Scratch | None = None,
 ) -> DataFrame:
     """Each probe row with the last state of its key at or before its time (``later``: the first
     at or after). Adds ``found_time`` and ``values``, null if there is no such state. A null key is
@@ -49,7 +50,8 @@ def asof(
     States and probes are sorted together by ranges of key and time, so that a hot key, day or minute
     lies in many partitions, copies too. The sorted rows are written down with their place; each
     partition starts from the last state of the partitions before it, for which one row per key and
-    partition is looked at.
+    partition is looked at. They go to ``kept``, which is to be removed after the result was read, or else to a
+    folder of their own.
     """
     toward = F.desc if later else F.asc
     state = F.struct(F.col(state_time).alias(found_time), *values)
@@ -63,7 +65,8 @@ def asof(
     order = [*key, toward("_time"), "_kind", F.asc_nulls_first("_rank")]
     ranged = together.withColumn("_salt", F.rand(7)).repartitionByRange(*order, "_salt")
     placed = ranged.sortWithinPartitions(*order).drop("_rank", "_time", "_salt")
-    placed = staged(placed.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    write = kept.staged if kept else staged
+    placed = write(placed.withColumn("_at", F.monotonically_increasing_id()), "ordered")
     placed = placed.withColumn("_part", F.shiftright("_at", PLACE_BITS))
 
     earlier = W.partitionBy(*key).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from legtrail.functions import times
 from legtrail.functions.rows import repeat
 from legtrail.operators.asof import asof, one_state_per_time
+from legtrail.session import Scratch
+
 
 def grid(
     flights: DataFrame,
@@ -68,11 +70,12 @@ def sample_asof(
     time: str = "time",
     departure: str = "departure_time",
     arrival: str = "arrival_time",
+    kept: Scratch | None = None,
 ) -> DataFrame:
     """The last state at or before each grid time, with its ``state_micros``, for telemetry that is
     not on the grid.
 
-    A grid time before the aircraft's first state gives no row.
+    A grid time before the aircraft's first state gives no row. ``kept`` as in :func:`legtrail.operators.asof.asof`.
     """
     found = asof(
         grid(flights, step, departure, arrival),
@@ -83,5 +86,6 @@ def sample_asof(
         values=values,
         tie=tie,
         found_time="state_micros",
+        kept=kept,
     )
     return found.filter(F.col("state_micros").isNotNull())

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from legtrail import schemas
 from legtrail.functions import times
 from legtrail.operators import enrich, nested, quality, select, trajectory
-from legtrail.session import scratch
-from legtrail.sources import store
+from legtrail.session import Scratch, scratch
+from legtrail.sources import last_states, store
 
 #: Grid points one task lays out, and most tasks that do; beyond them a task has more points.
 GRID_POINTS_PER_TASK = 500_000
@@ -81,34 +81,53 @@ def extent(flights: DataFrame, step: int) -> Extent:
     return Extent(*row)
 
 
+def flight_days(flights: DataFrame) -> list[date]:
+    """The UTC days that flights touch: one value per day comes to the driver."""
+    ends = flown(flights).select(
+        F.col("departure_time").cast("date").alias("first"), F.col("arrival_time").cast("date").alias("last")
+    )
+    touched = ends.distinct().select(F.explode(times.date_sequence("first", "last")).alias("day")).distinct()
+    return [row.day for row in touched.collect()]
+
+
 def telemetry_for(
-    flights: DataFrame, telemetry: DataFrame, needs: Extent, exact: bool, day: str | None = None
+    flights: DataFrame,
+    telemetry: DataFrame,
+    needs: Extent,
+    exact: bool,
+    day: str | None = None,
+    carried: str | None = None,
 ) -> DataFrame:
     """The telemetry that can matter to flights, thinned out before anything is shuffled.
 
     A state without aircraft matters to none. ``day`` names a partition column with the UTC date of
     ``time``; bounds on it are constants, so other folders are not read. What lies before the first
-    departure is reduced to the last state of each aircraft, within each task first.
+    departure is reduced to the last state of each aircraft, within each task first; with ``carried``, the path of a
+    table of last states (:mod:`legtrail.sources.last_states`), it is not read at all: only the days that flights
+    touch are, and the last states on the eve of each stretch of them.
     """
+    if carried and not day:
+        raise ValueError("carried states need a partition column with the day of the telemetry")
     if needs.aircraft == 0:
-        return telemetry.filter(F.lit(False))
+        return (telemetry.drop(day) if day else telemetry).filter(F.lit(False))
     first, last = times.from_micros(F.lit(needs.first)), times.from_micros(F.lit(needs.last))
+    by_day = bool(carried) and not exact
+    if by_day:
+        telemetry = last_states.telemetry_on(telemetry, carried, flight_days(flights), day)
     telemetry = telemetry.filter((F.col("time") <= last) & F.col("ICAO24").isNotNull())
-    if day:
+    if day and not by_day:
         telemetry = telemetry.filter(F.col(day) <= last.cast("date"))
         telemetry = telemetry.filter(F.col(day) >= first.cast("date")) if exact else telemetry
         telemetry = telemetry.drop(day)
     if needs.aircraft <= MAX_BROADCAST_AIRCRAFT:
         aircraft = flown(flights).select("ICAO24").distinct()
         telemetry = telemetry.join(F.broadcast(aircraft), "ICAO24", "left_semi")
+    if by_day:
+        return telemetry
     during = telemetry.filter(F.col("time") >= first)
     if exact:
         return during
-    others = [name for name in telemetry.columns if name not in ("ICAO24", "time", "tie")]
-    tied = [name for name in telemetry.columns if name == "tie"]
-    latest = F.max(F.struct("time", *tied, *others)).alias("_latest")
-    before = telemetry.filter(F.col("time") < first).groupBy("ICAO24").agg(latest)
-    return during.unionByName(before.select("ICAO24", "_latest.*"))
+    return during.unionByName(last_states.last_of(telemetry.filter(F.col("time") < first)))
 
 
 def sampled(
@@ -118,26 +137,32 @@ def sampled(
     exact: bool = True,
     has_tie: bool = False,
     telemetry_day: str | None = None,
+    carried: str | None = None,
+    kept: Scratch | None = None,
 ) -> DataFrame:
     """Grid points of flights with the flight's columns and ``grid_step``.
 
     ``exact``: telemetry lies on the grid; otherwise the last state before each grid time counts.
     ``telemetry`` has ICAO24, time and state columns, those it lacks become null; with ``has_tie``
     also a number ``tie``, the greatest of which decides between states of one aircraft and time.
-    ``telemetry_day`` names its partition column with the UTC date of ``time``, if there is one.
+    ``telemetry_day`` names its partition column with the UTC date of ``time``, if there is one; then ``carried`` may
+    name a table of last states that is read, and kept up, in place of all history (as-of only). Intermediate tables
+    go to ``kept``, which is to be removed after the result was read, or else to folders of their own.
     """
     needs = extent(flights, step)
     tie = "tie" if has_tie else None
     present = [name for name in schemas.STATE_FIELDS if name in telemetry.columns]
     extra = [name for name in (tie, telemetry_day) if name]
     telemetry = telemetry.select("ICAO24", "time", *present, *extra)
-    telemetry = telemetry_for(flights, telemetry, needs, exact, telemetry_day)
+    telemetry = telemetry_for(flights, telemetry, needs, exact, telemetry_day, carried)
     # A task lays out the grid of its flights: spread them by what they grow to, not by their size.
     tasks = min(MAX_GRID_TASKS, ceil(needs.points / GRID_POINTS_PER_TASK))
     if tasks > 1:
         flights = flights.repartition(tasks, *_POINT_KEYS)
-    sample = trajectory.sample_exact if exact else trajectory.sample_asof
-    points = sample(flights, telemetry, step, present, tie)
+    if exact:
+        points = trajectory.sample_exact(flights, telemetry, step, present, tie)
+    else:
+        points = trajectory.sample_asof(flights, telemetry, step, present, tie, kept=kept)
     absent = {
         name: F.lit(None).cast(schemas.STATE_VECTORS[name].dataType)
         for name in schemas.STATE_FIELDS
@@ -189,7 +214,7 @@ def save(
         ids = once.select("id", F.explode("_rows").alias("_row")).select("id", "_row.family")
         if not quality.orphans(ids, flights, by=[store.FAMILY]).isEmpty():
             raise ValueError("points of unknown flights")
-        points = points_of(once, telemetry, **sampling).withColumn(store.DAY, _day())
+        points = points_of(once, telemetry, kept=kept, **sampling).withColumn(store.DAY, _day())
         family = F.concat(store.FAMILY, F.lit("_SV"))
         points = kept.staged(points.withColumn(store.FAMILY, family), "points")
         of_points = store.upsert_larger(

@@ -57,6 +57,26 @@ def staged(df: DataFrame, purpose: str = "staged") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted(entry.getPath().getName() for entry in files.listStatus(target) if entry.isDirectory())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all that is in it, if it is there."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
 class Scratch:
     """A folder under the shared one for tables that only one run needs."""
 
@@ -71,8 +91,7 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self) -> None:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(self.spark, self.folder)
 
 
 @contextmanager
