@@ -90,6 +90,25 @@ def csv_value_roundtrip(spark, sf_dir):
     return csv_files.scan(spark, path, rows.schema)
 
 
+@query("""
+SELECT event_id, ts, value, event_type || chr(10) || chr(10) || '"' || event_id || '",' AS note FROM events""")
+def scan_ranges_csv(spark, sf_dir):
+    # Files are cut in sixteenths of the largest one, so that most ranges begin inside some record or other.
+    path = new_folder(spark, "ranges")
+    rows = table(spark, sf_dir, "events").select(
+        "event_id",
+        "ts",
+        "value",
+        F.concat("event_type", F.lit('\n\n"'), "event_id", F.lit('",')).alias("note"),
+    )
+    csv_files.write_csv(rows, path)
+    size = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 1
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.files.maxPartitionBytes", size // 16 + 1)
+    apart.conf.set("spark.sql.files.openCostInBytes", size // 16 + 1)
+    return csv_files.scan_same_header(apart, path, rows.schema)
+
+
 _EVENT_DAYS = """
 SELECT event_id, ts, user_id, event_type, value,
        (ts AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Zurich')::DATE AS event_date

@@ -9,35 +9,41 @@ from legtrail.functions import times
 from legtrail.operators import enrich, nested, ordinal, quality, trajectory
 
 HOUR = 3600
-#: Records of an aircraft that one list holds at most.
-BLOCK = 1024
+#: Records of an aircraft that one list holds at most; few, so that aircraft of the given tables have several.
+BLOCK = 16
 
 
 #: Fields of a line, in the order in which the points of a flight are sorted; ties are whole lines that are equal.
 _LINE = ["line", "part", "price"]
+#: Lines of an order in one array; few, so that orders of the given tables have several.
+LINES = 4
 
 
 def _nested_orders(spark, sf_dir):
-    """Orders with all their lines inside."""
+    """Orders with their lines inside, a row for each block of lines."""
     return nested.nest_trajectories(
         adapters.flight_orders(spark, sf_dir).select("id", "day"),
         adapters.point_lines(spark, sf_dir),
         ["id"],
+        block_size=LINES,
         order=_LINE,
         fields=[],
     )
 
 
 @query(f"""
-WITH {adapters.FLIGHT_ORDERS}, {adapters.POINT_LINES}
-SELECT o.id, any_value(o.day) AS day, count(line) AS n_points,
+WITH {adapters.FLIGHT_ORDERS}, {adapters.POINT_LINES},
+blocks AS (SELECT *, (row_number() OVER (PARTITION BY id ORDER BY line, part, price) - 1) // {LINES} AS block
+           FROM point_lines)
+SELECT o.id, block, any_value(o.day) AS day, count(line) AS n_points,
        string_agg(line || ':' || part || ':' || round(p.price * 100)::BIGINT, ',' ORDER BY line, part, p.price) AS points
-FROM flight_orders o LEFT JOIN point_lines p ON o.id = p.id GROUP BY o.id""")
+FROM flight_orders o LEFT JOIN blocks p ON o.id = p.id GROUP BY o.id, block""")
 def nested_trajectories(spark, sf_dir):
     cents = lambda p: F.round(p.price * 100).cast("bigint")
     text = F.transform("state_vectors", lambda p: F.concat_ws(":", p.line, p.part, cents(p)))
     return _nested_orders(spark, sf_dir).select(
         "id",
+        "block",
         "day",
         F.coalesce(F.size("state_vectors"), F.lit(0)).cast("bigint").alias("n_points"),
         F.array_join(text, ",").alias("points"),
@@ -46,10 +52,11 @@ def nested_trajectories(spark, sf_dir):
 
 @query(f"""
 WITH {adapters.FLIGHT_ORDERS}, {adapters.POINT_LINES}
-SELECT id, row_number() OVER (PARTITION BY id ORDER BY line, part, price)::INTEGER AS idx, line, part, price
+SELECT id, row_number() OVER (PARTITION BY id ORDER BY line, part, price) AS idx, line, part, price
 FROM point_lines WHERE id IN (SELECT o_orderkey FROM orders)""")
 def explode_trajectory(spark, sf_dir):
-    return nested.explode_trajectory(_nested_orders(spark, sf_dir), "state_vectors", ["id"], _LINE)
+    orders = _nested_orders(spark, sf_dir)
+    return nested.explode_trajectory(orders, "state_vectors", ["id"], _LINE, block_size=LINES)
 
 
 @query(f"""
@@ -59,14 +66,11 @@ FROM legs""")
 def fetch_ordinal(spark, sf_dir):
     # Lists of records per aircraft, in the order of fetching (leg_id); each flight keeps its place in it. A list
     # goes on in further blocks, so that none grows with the flights of an aircraft.
-    legs = ordinal.with_ordinal(adapters.legs(spark, sf_dir), by=["ICAO24"], order=["leg_id"], name="place")
-    block = F.floor((F.col("place") - 1) / BLOCK).alias("block")
+    legs = adapters.legs(spark, sf_dir).withColumn("aircraft", F.col("ICAO24"))
     fields = [name for name in schemas.RAW_FLIGHT.names if name != "state_vectors"]
-    fetched = F.array_sort(F.collect_list(F.struct("leg_id", *fields)))
-    lists = legs.groupBy(F.col("ICAO24").alias("aircraft"), block).agg(fetched.alias("records"))
-    flights = nested.flatten_lists(lists, "records", adapters.ZONE, keep=["block"], idx="idx")
-    place = (F.col("block") * BLOCK + F.col("idx")).cast("int").alias("idx")
-    return flights.select("ICAO24", place, "call_sign", "departure_time")
+    lists = nested.nest_numbered(legs, ["aircraft"], ["leg_id"], fields, BLOCK, series="records")
+    flights = nested.flatten_lists(lists, "records", adapters.ZONE, keep=["block"], idx="idx", block_size=BLOCK)
+    return flights.select("ICAO24", F.col("idx").cast("int").alias("idx"), "call_sign", "departure_time")
 
 
 def _numbered_orders(spark, sf_dir):

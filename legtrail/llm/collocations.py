@@ -21,12 +21,12 @@ from legtrail.llm.quotient import Layout
 from legtrail.session import Scratch, scratch, staged
 
 #: Characters of text in a chunk, more only for a single long text.
-CHUNK = 8 << 20
+CHUNK = 3 << 20
 #: Bits by which a range of keys is cut at each merge, and filters merged at a time.
 DEPTH = 10
 FAN_IN = 1024
-#: Candidates of a language that are ranked by one task at first.
-RANKED = 100_000
+#: Lists of first candidates that are merged at a time when a language has many.
+LISTS = 4
 
 # Capital letters, and the bytes at which pieces end and words are cut.
 CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -43,14 +43,14 @@ WORD[list(BLANKS)] = False
 def words_of(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
     """All words of the texts in order, and where a piece begins (other than the first)."""
     data = np.frombuffer("\n".join(texts).encode().translate(LOWER), np.uint8)
-    inside = np.concatenate([[False], WORD[data], [False]])
-    starts = np.flatnonzero(inside[1:-1] & ~inside[:-2])
-    ends = np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
-    offsets = np.append(0, np.cumsum(ends - starts)).astype(np.int64)
-    letters = data[inside[1:-1]].tobytes()
-    flat = pa.Array.from_buffers(pa.large_utf8(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
-    piece = np.cumsum(END[data])[starts] if len(starts) else starts
-    return flat.dictionary_encode(), np.flatnonzero(piece[1:] != piece[:-1]) + 1
+    inside = WORD[data]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    offsets = np.append(0, np.cumsum(ends - starts))
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]
+    flat = pa.Array.from_buffers(pa.large_utf8(), len(starts), buffers)
+    pieces_before = np.searchsorted(np.flatnonzero(END[data]), starts)
+    return flat.dictionary_encode(), np.flatnonzero(np.diff(pieces_before)) + 1
 
 
 def chunk_row(lang: str, texts: list[str]) -> pa.RecordBatch:
@@ -97,7 +97,7 @@ def frequent_words(words: DataFrame, least: int, kept: Scratch) -> tuple[DataFra
 def sequences(tokens: np.ndarray, ids: np.ndarray, layout: Layout) -> quotient.Entries:
     """Counts of all sequences of two words or more; ``ids`` has the number of each word (0: rare), a 0 last for -1."""
     numbers = ids[tokens]
-    highs, lows = [], []
+    counts = []
     whole = numbers > 0
     for width in range(2, layout.longest + 1):
         last = len(numbers) - width + 1
@@ -105,12 +105,8 @@ def sequences(tokens: np.ndarray, ids: np.ndarray, layout: Layout) -> quotient.E
             break
         whole = whole[:last] & (numbers[width - 1 :] > 0)
         at = np.flatnonzero(whole)
-        high, low = layout.packed([numbers[at + i] for i in range(width)])
-        highs.append(high)
-        lows.append(low)
-    if not highs:
-        return quotient.merged(layout, [])
-    return layout.counted(*layout.permuted(np.concatenate(highs), np.concatenate(lows)))
+        counts.append(layout.counted(*layout.permuted(*layout.packed([numbers[at + i] for i in range(width)]))))
+    return quotient.merged(layout, counts)
 
 
 def filter_rows(layout: Layout, entries: quotient.Entries, depth: int, group: int) -> pa.Table:
@@ -232,14 +228,17 @@ def covered(rows: DataFrame, cover: int, kept: Scratch) -> DataFrame:
 
 
 def first_of_each(rows: DataFrame, by: str, order: list, top: int) -> DataFrame:
-    """The first ``top`` rows of each group with their ``rank``; large groups are ranked in parts that are merged as a tree."""
+    """The first ``top`` rows of each group with their ``rank``.
+
+    Large groups are ranked in parts that are merged as a tree, so a task sees about ``LISTS * top`` rows of one group.
+    """
     largest = rows.groupBy(by).count().agg(F.max("count")).first()[0] or 0
-    parts = -(-largest // max(RANKED, top))
+    parts = -(-largest // (LISTS * top))
     rows = rows.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(max(1, parts))))
     while parts > 1:
         best = Window.partitionBy(by, "_part").orderBy(*order)
         rows = rows.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top).drop("rank")
-        parts = -(-parts // 16)
+        parts = -(-parts // LISTS)
         rows = rows.withColumn("_part", F.pmod("_part", F.lit(parts)))
     best = Window.partitionBy(by).orderBy(*order)
     return rows.drop("_part").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)

@@ -67,10 +67,10 @@ def test_against_brute_force(spark, documents, monkeypatch, longest, least, fan_
 
 
 def test_top_of_many(spark, documents, monkeypatch):
-    monkeypatch.setattr(collocations, "RANKED", 5)
+    monkeypatch.setattr(collocations, "LISTS", 2)
     rows = drawn(4, 120)
-    got = collocations.phrases(documents(rows), 3, 2, 90, 7).collect()
-    assert {tuple(r) for r in got} == plain(rows, 3, 2, 90, 7)
+    got = collocations.phrases(documents(rows), 3, 2, 90, 3).collect()
+    assert {tuple(r) for r in got} == plain(rows, 3, 2, 90, 3)
 
 
 def test_edges_and_empty(spark, edges, nothing):

@@ -1,3 +1,4 @@
+import random
 from datetime import date, datetime
 
 import pytest
@@ -141,3 +142,24 @@ def test_explode_numbers_points_and_skips_null_series(nested_flights, rows):
 
 def test_only_trajectories(nested_flights):
     assert nested.trajectories(nested_flights, ["id"]).columns == ["id", "block", "state_vectors"]
+
+
+@pytest.mark.parametrize("size", [1, 7, 1024])
+def test_a_key_with_a_third_of_all_points_is_cut_in_blocks(spark, size):
+    """Arrays are bounded, the place goes on from block to block; nulls last, copies count each."""
+    draw = random.Random(size)
+    data = [("hot" if draw.random() < 0.33 else f"k{draw.randrange(60)}", draw.choice([None, *range(50)]), draw.random() < 0.5)
+            for _ in range(1500)]
+    points = spark.createDataFrame(data + [(None, 1, True)], "id string, step int, up boolean").repartition(5)
+    flights = spark.createDataFrame([("hot",), ("k1",), ("none",)], "id string")
+    got = nested.nest_trajectories(flights, points, ["id"], order=["step", "up"], fields=["up"], block_size=size)
+    assert got.selectExpr("max(size(state_vectors)) as n").first().n <= size
+    last = lambda row: (row[0] is None, row[0] or 0, row[1])
+    expected = [
+        (key, n, *row)
+        for key in ("hot", "k1")
+        for n, row in enumerate(sorted([row[1:] for row in data if row[0] == key], key=last), 1)
+    ]
+    flat = nested.explode_trajectory(got, "state_vectors", ["id"], ["step", "up"], block_size=size)
+    assert sorted(map(tuple, flat.collect()), key=lambda row: row[:2]) == expected
+    assert [row.state_vectors for row in got.filter("id = 'none'").collect()] == [None]
