@@ -13,6 +13,7 @@ from catalog.files import union, write_daily_files
 from catalog.registry import query, table
 from legtrail import schemas
 from legtrail.functions import times
+from legtrail.operators import nested
 from legtrail.plans import consolidate, explore, ingest
 from legtrail.session import new_folder
 from legtrail.sources import store
@@ -107,6 +108,58 @@ def _stored_days(spark, folder):
     )
 
 
+_PLACED_FLIGHT = _FLIGHT_TEXT.replace("destination_airport_ICAO", "destination")
+_PLACED_POINT = """concat_ws('|', ICAO24, round(longitude * 1000000)::BIGINT, round(latitude * 1000000)::BIGINT,
+  round(requested_time * 1000000)::BIGINT, round(geo_altitude * 100)::BIGINT, round(velocity * 100)::BIGINT,
+  special_purpose_indicator, origin_country, id, arrival_date, departure_date)"""
+
+#: Consolidated sets from ``flights``, ``point_rows`` and ``recent`` (first and last day of points), summed up by day.
+_POSITIONS = f"""positions AS (
+  SELECT 'bl_dep' AS family, departure_date AS day,
+         row_number() OVER (ORDER BY departure_time, id) AS position, {_PLACED_FLIGHT} AS line
+  FROM (SELECT *, {{destination}} AS destination FROM flights)
+  UNION ALL
+  SELECT 'bl_arr', {{arrival_day}}, row_number() OVER (ORDER BY departure_time, id), {_PLACED_FLIGHT}
+  FROM (SELECT *, destination_airport_ICAO AS destination FROM flights) WHERE destination IS NOT NULL
+  UNION ALL
+  SELECT 'bl_dep_SV', departure_date, row_number() OVER (ORDER BY departure_date, id, requested_time), {_PLACED_POINT}
+  FROM point_rows, recent WHERE departure_date BETWEEN first AND last
+  UNION ALL
+  SELECT 'bl_arr_SV', arrival_date, row_number() OVER (ORDER BY arrival_date, id, requested_time), {_PLACED_POINT}
+  FROM point_rows, recent WHERE arrival_date BETWEEN first AND last)
+SELECT family, day, count(*) AS n, min(position) AS first_position, max(position) AS last_position,
+       {_DIGEST.format("concat_ws('|', position, line)")} AS digest
+FROM positions GROUP BY family, day"""
+
+
+def _placed(spark, paths: dict[str, str], days: dict[str, str]):
+    """Consolidated sets summed up by day, with a digest of every column and the position of every row."""
+    c = F.col
+    parts = lambda name, n: F.round(c(name) * n).cast("bigint")
+    of_flight = [
+        c("ICAO24"), c("call_sign"), times.epoch_micros("departure_time"), c("departure_date"),
+        times.epoch_micros("arrival_time"), c("arrival_date"), c("departure_airport_ICAO"),
+        c("destination_airport_ICAO"), c("id"),
+    ]
+    of_point = [
+        c("ICAO24"), parts("longitude", 1_000_000), parts("latitude", 1_000_000), parts("requested_time", 1_000_000),
+        parts("geo_altitude", 100), parts("velocity", 100), c("special_purpose_indicator"), c("origin_country"),
+        c("id"), c("arrival_date"), c("departure_date"),
+    ]
+    return union(
+        store.with_position(spark, path)
+        .groupBy(c(days[family]).alias("day"))
+        .agg(
+            F.count("*").alias("n"),
+            F.min("position").alias("first_position"),
+            F.max("position").alias("last_position"),
+            F.sum(_row_number(c("position"), *(of_point if family.endswith("SV") else of_flight))).alias("digest"),
+        )
+        .withColumn("family", F.lit(family))
+        for family, path in paths.items()
+    )
+
+
 _ALL_TIME = ("2023-12-01 00:00:00", "2024-02-29 23:59:59")
 _FIRST_DAYS = ("2024-01-01 00:00:00", "2024-01-12 23:59:59")
 _AS_OF = date(2024, 1, 31)
@@ -206,25 +259,8 @@ point_rows AS (SELECT * FROM (
     (departure_date + INTERVAL (ICAO24::BIGINT % 4) MONTH)::DATE AS departure_date,
     (arrival_date + INTERVAL (ICAO24::BIGINT % 4) MONTH)::DATE AS arrival_date) FROM all_points)),
 recent AS (SELECT DATE '2024-03-01' AS first, DATE '2024-07-31' AS last),
-positions AS (
-  SELECT 'bl_dep' AS family, departure_date AS day,
-         row_number() OVER (ORDER BY departure_time, id) AS position,
-         departure_airport_ICAO AS origin,
-         CASE WHEN day(departure_date) <= 20 THEN destination_airport_ICAO END AS destination
-  FROM flights
-  UNION ALL
-  SELECT 'bl_arr', departure_date, row_number() OVER (ORDER BY departure_time, id),
-         departure_airport_ICAO, destination_airport_ICAO
-  FROM flights WHERE destination_airport_ICAO IS NOT NULL
-  UNION ALL
-  SELECT 'bl_dep_SV', departure_date, row_number() OVER (ORDER BY departure_date, id, requested_time),
-         NULL, NULL FROM point_rows, recent WHERE departure_date BETWEEN first AND last
-  UNION ALL
-  SELECT 'bl_arr_SV', arrival_date, row_number() OVER (ORDER BY arrival_date, id, requested_time),
-         NULL, NULL FROM point_rows, recent WHERE arrival_date BETWEEN first AND last)
-SELECT family, day, count(*) AS n, min(position) AS first_position, max(position) AS last_position,
-       count(origin) AS n_origins, count(destination) AS n_destinations
-FROM positions GROUP BY family, day""")
+{_POSITIONS.format(destination="CASE WHEN day(departure_date) <= 20 THEN destination_airport_ICAO END",
+                   arrival_day="departure_date")}""")
 def consolidate_datasets(spark, sf_dir):
     # Points lie in January to April; of the 120 days up to July, the months from March on count.
     raw, out = new_folder(spark, "daily"), new_folder(spark, "consolidated")
@@ -233,26 +269,48 @@ def consolidate_datasets(spark, sf_dir):
         family: consolidate.daily_files(spark, raw, family, date(2024, 7, 5), part="folder")
         for family in schemas.FAMILIES
     }
-    days = {schemas.ARRIVAL_POINTS: "arrival_date"}
-    frames = []
-    for family, path in consolidate.consolidate_datasets(daily, out).items():
-        rows = store.with_position(spark, path)
-        origin, destination = (
-            F.count(name) if name in rows.columns else F.lit(0).cast("bigint")
-            for name in ("departure_airport_ICAO", "destination_airport_ICAO")
-        )
-        frames.append(
-            rows.groupBy(F.col(days.get(family, "departure_date")).alias("day"))
-            .agg(
-                F.count("*").alias("n"),
-                F.min("position").alias("first_position"),
-                F.max("position").alias("last_position"),
-                origin.alias("n_origins"),
-                destination.alias("n_destinations"),
-            )
-            .withColumn("family", F.lit(family))
+    days = consolidate.STORED_DAY | {schemas.ARRIVALS: "departure_date"}
+    return _placed(spark, consolidate.consolidate_datasets(daily, out), days)
+
+
+@query(f"""
+WITH {adapters.FLIGHTS}, {adapters.POINT_ROWS},
+recent AS (SELECT DATE '2024-01-01' AS first, DATE '2024-05-31' AS last),
+{_POSITIONS.format(destination="destination_airport_ICAO", arrival_day="arrival_date")}""")
+def consolidate_changes(spark, sf_dir):
+    # The first run has two thirds of the days, and half of the last of them; the second brings the rest.
+    folder, out = new_folder(spark, "movements"), new_folder(spark, "consolidated")
+    cut = F.lit(date(2024, 1, 20))
+    flights = nested.flatten_flights(adapters.legs(spark, sf_dir), ZONE)
+    reached = flights.filter(F.col("destination_airport_ICAO").isNotNull())
+    points = adapters.point_rows(spark, sf_dir).withColumn("copies", F.lit(1).cast("bigint"))
+    parts = [
+        (flights, schemas.DEPARTURES, "departure_date", "call_sign"),
+        (reached, schemas.ARRIVALS, "arrival_date", "call_sign"),
+        (points, schemas.DEPARTURE_POINTS, "departure_date", "ICAO24"),
+        (points.filter("arrival_date is not null"), schemas.ARRIVAL_POINTS, "arrival_date", "ICAO24"),
+    ]
+    stored = [
+        union(
+            rows.withColumns({"family": F.lit(family), "day": F.col(day), "half": F.crc32(F.col(half).cast("binary")) % 2})
+            for rows, family, day, half in some
         )
-    return union(frames)
+        for some in (parts[:2], parts[2:])
+    ]
+    paths = ingest.flights_path(folder), ingest.points_path(folder)
+
+    def put(rows, path):
+        return store.upsert_larger(rows.drop("half"), path, ingest.PARTITIONS, weight=None)
+
+    early = (F.col("day") < cut) | ((F.col("day") == cut) & (F.col("half") == 0))
+    for rows, path in zip(stored, paths):
+        put(rows.filter(early), path)
+    as_of = date(2024, 5, 1)
+    daily = {f: consolidate.daily_store(spark, folder, f, as_of) for f in schemas.FAMILIES}
+    consolidate.consolidate_ranges(daily, out)
+    decisions = [put(rows.filter(F.col("day") >= cut), path) for rows, path in zip(stored, paths)]
+    consolidate.consolidate_changes(spark, folder, out, union(decisions), as_of)
+    return _placed(spark, {f: f"{out}/{f}_all" for f in schemas.FAMILIES}, consolidate.STORED_DAY)
 
 
 _LATEST = f"""latest AS (

@@ -77,11 +77,13 @@ def latest(rows: DataFrame, column: str, of: DataFrame | None = None, of_column:
     return rows.filter(F.col(column) == newest)
 
 
-def around_now(rows: DataFrame, time: str, now: Column, back: int, ahead: int) -> DataFrame:
-    """Rows from ``back`` seconds before ``now`` to ``ahead`` seconds after it."""
-    return rows.filter(
-        F.col(time).between(times.plus_seconds(now, -back), times.plus_seconds(now, ahead))
-    )
+def around_now(
+    rows: DataFrame, time: str, now: Column, back: int, ahead: int, day: str | None = None
+) -> DataFrame:
+    """Rows from ``back`` seconds before ``now`` to ``ahead`` seconds after it; ``day`` as in :func:`in_local_range`."""
+    first, last = times.plus_seconds(now, -back), times.plus_seconds(now, ahead)
+    inside = rows.filter(F.col(time).between(first, last))
+    return inside.filter(F.col(day).between(first.cast("date"), last.cast("date"))) if day else inside
 
 
 def rolling_months(rows: DataFrame, day: str, as_of: Column, days: int = 120) -> DataFrame:

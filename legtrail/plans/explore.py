@@ -56,6 +56,8 @@ def explore_latest_day(
     code: str = "code",
     details: tuple[str, ...] = (),
     guard: bool = True,
+    departure_day: str | None = None,
+    arrival_day: str | None = None,
     **sampling,
 ) -> LatestDay:
     """Movements of the latest day, plain and with trajectories inside (column ``direction``).
@@ -63,15 +65,16 @@ def explore_latest_day(
     The latest day is the last departure date among recent arrivals. It is fetched, one value, so that
     the scan of that day has constant bounds. ``guard``: raises :class:`NotReady` if there are no recent
     departures or arrivals, or if the last arrival date among departures is another day; without it
-    the result may be empty.
+    the result may be empty. ``departure_day`` and ``arrival_day`` name partition columns of ``records`` with the UTC date
+    of the time, if there are such: then only folders of the recent days, and of the latest day, are read.
     """
     leaving = records.filter(F.col("origin_airport") == airport)
     reaching = records.filter(F.col("destination_airport") == airport)
     recent_departures = nested.flatten_flights(
-        select.around_now(leaving, "departure_time", now, back, ahead), zone
+        select.around_now(leaving, "departure_time", now, back, ahead, departure_day), zone
     )
     recent_arrivals = nested.flatten_flights(
-        select.around_now(reaching, "arrival_time", now, back, ahead), zone
+        select.around_now(reaching, "arrival_time", now, back, ahead, arrival_day), zone
     )
     agreement = quality.latest_day_agreement(recent_departures, recent_arrivals)
     found = agreement.first()
@@ -81,14 +84,16 @@ def explore_latest_day(
         raise NotReady(f"latest days differ: {found.arrivals_latest}, {found.departures_latest}")
     day = F.lit(found.arrivals_latest).cast("date")
 
-    def that_day(time):
-        return F.col(time).between(times.day_start(day, zone), times.day_end(day, zone))
+    def that_day(time, utc_day):
+        first, last = times.day_start(day, zone), times.day_end(day, zone)
+        inside = F.col(time).between(first, last)
+        return inside & F.col(utc_day).between(first.cast("date"), last.cast("date")) if utc_day else inside
 
     chosen = select.movements(
         records,
         {
-            "departure": (F.col("origin_airport") == airport) & that_day("departure_time"),
-            "arrival": (F.col("destination_airport") == airport) & that_day("arrival_time"),
+            "departure": (F.col("origin_airport") == airport) & that_day("departure_time", departure_day),
+            "arrival": (F.col("destination_airport") == airport) & that_day("arrival_time", arrival_day),
         },
         "direction",
     )

@@ -11,15 +11,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from legtrail.session import empty, staged
+from legtrail.session import empty, folder_names, remove, scratch, staged
 from legtrail.sources import csv_files
 
 # Partition columns.
 DAY = "day"
 FAMILY = "family"
+RANGE = "range"
 #: Most files whose row counts are broadcast, about 100 bytes each.
 MAX_BROADCAST_FILES = 200_000
-_PARTITION_TYPES = {DAY: DateType(), FAMILY: StringType()}
+_PARTITION_TYPES = {DAY: DateType(), FAMILY: StringType(), RANGE: DateType()}
 
 
 def write_partitions(
@@ -134,30 +135,91 @@ def compact(df: DataFrame, path: str, order: Sequence[str], fmt: str = "parquet"
         df.sort(*keys).write.format(fmt).mode("overwrite").save(path)
 
 
+def _write_ranges(rows: DataFrame, path: str, order: Sequence[str], mode: str) -> None:
+    """Sorted rows in a folder for each date of the first column of ``order``; null dates come last."""
+    dated = rows.withColumn(RANGE, F.col(order[0]).cast("date"))
+    keys = [F.asc_nulls_last(name) for name in (RANGE, *order)]
+    writer = dated.sort(*keys).write.mode("overwrite").option("partitionOverwriteMode", mode)
+    writer.partitionBy(RANGE).parquet(path)
+
+
+def compact_ranges(df: DataFrame, path: str, order: Sequence[str]) -> None:
+    """Write one dataset sorted by ``order``, nulls last, in folders by the date of its first column.
+
+    As :func:`compact`, but :func:`merge_ranges` can later change some of it and leave the rest as it is.
+    """
+    _write_ranges(df, path, order, "static")
+
+
+def merge_ranges(new: DataFrame, path: str, order: Sequence[str], superseded: Column) -> list:
+    """Put rows into a dataset of :func:`compact_ranges`, in place of its ``superseded`` rows.
+
+    Only the folders that hold a superseded row, or get a new one, are read in full and written again; of the
+    others the columns that ``superseded`` needs are read, as far as the files' statistics do not rule them out. What
+    folders will hold is written down before any is replaced. Gives the dates of the folders written or removed.
+    """
+    spark = new.sparkSession
+    old = read_partitions(spark, path, new.schema, (RANGE,))
+    gone = F.coalesce(superseded, F.lit(False))
+    dated = new.withColumn(RANGE, F.col(order[0]).cast("date"))
+    touched = [row[RANGE] for row in old.filter(gone).select(RANGE).unionAll(dated.select(RANGE)).distinct().collect()]
+    if not touched:
+        return []
+    dates = [date for date in touched if date is not None]
+    in_touched = F.col(RANGE).isin(dates) if dates else F.lit(False)
+    in_touched = in_touched | F.col(RANGE).isNull() if len(dates) < len(touched) else in_touched
+    with scratch(spark) as kept:
+        rows = kept.staged(old.filter(in_touched & ~gone).unionByName(dated), "merged")
+        filled = {row[RANGE] for row in rows.select(RANGE).distinct().collect()}
+        _write_ranges(rows.drop(RANGE), path, order, "dynamic")
+    for date in set(touched) - filled:
+        remove(spark, f"{path}/{RANGE}={date or '__HIVE_DEFAULT_PARTITION__'}")
+    return sorted(touched, key=lambda date: (date is None, date or 0))
+
+
+def drop_ranges(spark: SparkSession, path: str, keep) -> list[str]:
+    """Remove the folders for whose date (ISO text, ``None`` for null) ``keep`` is false; gives their names."""
+    mark = f"{RANGE}="
+    dropped = []
+    for name in folder_names(spark, path):
+        text = name.removeprefix(mark)
+        if name.startswith(mark) and not keep(None if text == "__HIVE_DEFAULT_PARTITION__" else text):
+            remove(spark, f"{path}/{name}")
+            dropped.append(name)
+    return dropped
+
+
 def with_position(spark: SparkSession, path: str, name: str = "position") -> DataFrame:
-    """Rows of a compacted Parquet dataset with their 1-based position in it.
+    """Rows of a compacted Parquet dataset with their 1-based position in it, of :func:`compact` or :func:`compact_ranges`.
 
     The position is the row's place in its file plus the lengths of the files before it; only one
     row per file goes through the running sum, and is broadcast if the files are not too many.
     """
     dataset = spark.read.parquet(path)
+    ranged = [F.asc_nulls_last(RANGE)] if RANGE in dataset.columns else []
     rows = dataset.select(
         "*",
         F.col("_metadata.file_name").alias("_file"),
         F.col("_metadata.row_index").alias("_row"),
     )
     number = lambda pattern: F.regexp_extract("_file", pattern, 1).cast("int")
-    in_order = W.orderBy(number(r"^part-(\d+)"), number(r"-c(\d+)")).rowsBetween(
+    in_order = W.orderBy(*ranged, number(r"^part-(\d+)"), number(r"[-.]c(\d+)")).rowsBetween(
         W.unboundedPreceding, -1
     )
+    parts = [RANGE, "_file"] if ranged else ["_file"]
     before = (
-        rows.groupBy("_file")
+        rows.groupBy(*parts)
         .agg(F.count("*").alias("_n"))
-        .select("_file", F.coalesce(F.sum("_n").over(in_order), F.lit(0)).alias("_before"))
+        .select(
+            *[F.col(part).alias(f"_of{part}") for part in parts],
+            F.coalesce(F.sum("_n").over(in_order), F.lit(0)).alias("_before"),
+        )
     )
     if len(dataset.inputFiles()) <= MAX_BROADCAST_FILES:
         before = F.broadcast(before)
-    return rows.join(before, "_file").select(
-        *[c for c in rows.columns if c not in ("_file", "_row")],
+    # One write may name its files alike in several folders.
+    same = [F.col(part).eqNullSafe(F.col(f"_of{part}")) for part in parts]
+    return rows.join(before, reduce(Column.__and__, same)).select(
+        *[c for c in rows.columns if c not in ("_file", "_row", RANGE)],
         (F.col("_before") + F.col("_row") + 1).alias(name),
     )
