@@ -13,15 +13,18 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from legtrail.llm import quotient
-from legtrail.llm.common import numbered, texts_of
+from legtrail.llm.common import PLACE_BITS, numbered, texts_of
 from legtrail.llm.quotient import Layout
 from legtrail.session import Scratch, scratch, staged
 
 #: Characters of text in a chunk, more only for a single long text.
-CHUNK = 3 << 20
+CHUNK = 8 << 20
+#: Words, and tokens, in one part of a chunk.
+PART = 1 << 15
 #: Bits by which a range of keys is cut at each merge, and filters merged at a time.
 DEPTH = 10
 FAN_IN = 1024
@@ -53,15 +56,28 @@ def words_of(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
     return flat.dictionary_encode(), np.flatnonzero(np.diff(pieces_before)) + 1
 
 
-def chunk_row(lang: str, texts: list[str]) -> pa.RecordBatch:
-    """``lang, words, counts, tokens`` of one chunk; tokens are places in words, -1 between pieces."""
+def chunk_rows(chunk: int, lang: str, texts: list[str]):
+    """Rows of one chunk: ``word`` and ``f`` at each ``place`` of its dictionary, then its ``tokens`` in parts.
+
+    Tokens are places in the dictionary, -1 between pieces. No row grows with the chunk.
+    """
     found, begins = words_of(texts)
     ids = found.indices.to_numpy()
     words = found.dictionary.cast(pa.string())
     counts = np.bincount(ids, minlength=len(words)).astype(np.int64)
     tokens = np.insert(ids, begins, -1).astype("<i4")
-    lists = [pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), part) for part in (words, pa.array(counts))]
-    return pa.RecordBatch.from_arrays([pa.array([lang]), *lists, pa.array([tokens.tobytes()])], ["lang", "words", "counts", "tokens"])
+    parts = [tokens[i : i + PART].tobytes() for i in range(0, len(tokens), PART)]
+    for start in range(0, len(words), PART):
+        some = words[start : start + PART]
+        yield rows_of(chunk, lang, start, len(some), [some, pa.array(counts[start : start + PART]), None])
+    yield rows_of(chunk, lang, 0, len(parts), [None, None, pa.array(parts, pa.binary())])
+
+
+def rows_of(chunk: int, lang: str, first: int, n: int, columns: list) -> pa.RecordBatch:
+    kinds = pa.string(), pa.int64(), pa.binary()
+    columns = [pa.nulls(n, kind) if column is None else column for column, kind in zip(columns, kinds)]
+    head = [pa.array([chunk] * n, pa.int64()), pa.array([lang] * n, pa.string()), pa.array(range(first, first + n), pa.int32())]
+    return pa.RecordBatch.from_arrays([*head, *columns], ["chunk", "lang", "place", "word", "f", "tokens"])
 
 
 def chunks(docs: DataFrame) -> DataFrame:
@@ -69,29 +85,30 @@ def chunks(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         waiting, sizes = defaultdict(list), defaultdict(int)
-        held = 0
+        held, chunk = 0, TaskContext.get().partitionId() << PLACE_BITS
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py()
                 waiting[lang].append(text)
                 sizes[lang] += len(text) + 1
                 held += len(text) + 1
-                if held > 4 * CHUNK or sizes[lang] >= CHUNK:
+                if held > 2 * CHUNK or sizes[lang] >= CHUNK:
                     fullest = max(sizes, key=sizes.get)
                     held -= sizes.pop(fullest)
-                    yield chunk_row(fullest, waiting.pop(fullest))
+                    yield from chunk_rows(chunk, fullest, waiting.pop(fullest))
+                    chunk += 1
         for lang, texts in waiting.items():
-            yield chunk_row(lang, texts)
+            yield from chunk_rows(chunk, lang, texts)
+            chunk += 1
 
     rows = texts_of(docs, F.coalesce("lang", F.lit("und")).alias("lang"))
-    return rows.mapInArrow(run, "lang string, words array<string>, counts array<bigint>, tokens binary")
+    return rows.mapInArrow(run, "chunk bigint, lang string, place int, word string, f bigint, tokens binary")
 
 
 def frequent_words(words: DataFrame, least: int, kept: Scratch) -> tuple[DataFrame, int]:
     """(lang, word, f, id) of words that occur ``least`` times, with ids from 1, and how many they are."""
     often = words.groupBy("lang", "word").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
-    rows, count = numbered(often, kept, "id", first=1)
-    return kept.staged(rows, "words"), count
+    return numbered(often, kept, "id", first=1)
 
 
 def sequences(tokens: np.ndarray, ids: np.ndarray, layout: Layout) -> quotient.Entries:
@@ -122,15 +139,15 @@ def first_filters(texts: DataFrame, words: DataFrame, layout: Layout, groups: in
     depth = depth_at(layout, 1)
 
     def run(chunk: pa.Table, known: pa.Table) -> pa.Table:
-        tokens = np.frombuffer(chunk["tokens"][0].as_py(), "<i4")
+        tokens = np.frombuffer(b"".join(chunk.sort_by("place")["tokens"].to_pylist()), "<i4")
         ids = np.zeros(int(tokens.max(initial=-1)) + 2, np.int64)
         ids[known["place"].to_numpy()] = known["id"].to_numpy()
         return filter_rows(layout, sequences(tokens, ids, layout), depth, chunk["group"][0].as_py())
 
-    own = texts.select("chunk", "lang", F.posexplode("words").alias("place", "word"))
+    own = texts.filter("word is not null").select("chunk", "lang", "place", "word")
     known = kept.staged(own.join(words, ["lang", "word"]).select("chunk", "place", "id"), "numbers")
     group = F.pmod(F.xxhash64("chunk"), F.lit(groups)).alias("group")
-    pairs = texts.select("chunk", "tokens", group).groupBy("chunk").cogroup(known.groupBy("chunk"))
+    pairs = texts.filter("tokens is not null").select("chunk", "place", "tokens", group).groupBy("chunk").cogroup(known.groupBy("chunk"))
     return kept.staged(pairs.applyInArrow(run, "range bigint, group bigint, filter binary"), "filters")
 
 
@@ -171,7 +188,7 @@ def frequent_sequences(filters: DataFrame, layout: Layout, level: int, least: in
 
 
 def counted_sequences(texts: DataFrame, words: DataFrame, layout: Layout, least: int, kept: Scratch) -> DataFrame:
-    groups = -(-texts.count() // FAN_IN) or 1
+    groups = -(-texts.filter("tokens is not null and place = 0").count() // FAN_IN) or 1
     filters, level = first_filters(texts, words, layout, groups, kept), 1
     while groups > 1:
         groups = -(-groups // FAN_IN)
@@ -182,16 +199,14 @@ def counted_sequences(texts: DataFrame, words: DataFrame, layout: Layout, least:
 
 def named(found: DataFrame, words: DataFrame, kept: Scratch) -> DataFrame:
     """(ids, f, lang, words, fs) of sequences, with the text and count of each of their words."""
-    flat = kept.staged(found.select("ids", "f", F.posexplode("ids").alias("place", "id")), "places")
-    one = F.struct("place", "word", F.col("own.f").alias("f"))
-    joined = flat.join(words.alias("own"), "id").select("ids", flat["f"], "lang", one.alias("one"))
-    # written apart from the join, whose large groups Spark can then split
-    joined = kept.staged(joined, "named")
+    flat = found.select("ids", F.col("f").alias("a"), F.posexplode("ids").alias("place", "id"))
+    joined = flat.join(words, "id").select("ids", F.col("a").alias("f"), "lang", F.struct("place", "word", "f").alias("one"))
     rows = joined.groupBy("ids", "f", "lang").agg(F.sort_array(F.collect_list("one")).alias("ones"))
-    return rows.select("ids", "f", "lang", F.col("ones.word").alias("words"), F.col("ones.f").alias("fs"))
+    rows = rows.select("ids", "f", "lang", F.col("ones.word").alias("words"), F.col("ones.f").alias("fs"))
+    return kept.staged(rows, "named")
 
 
-def cut_scores(rows: DataFrame, found: DataFrame, kept: Scratch) -> DataFrame:
+def cut_scores(rows: DataFrame, found: DataFrame) -> DataFrame:
     """(ids, score, k, l, r) of each sequence's weakest cut."""
     cuts = rows.select("ids", "f", "fs", F.explode(F.sequence(F.lit(1), F.size("ids") - 1)).alias("k"))
     left = F.struct(F.lit("l").alias("side"), F.slice("ids", F.lit(1), F.col("k")).alias("part"), F.col("fs")[0].alias("one"))
@@ -202,8 +217,7 @@ def cut_scores(rows: DataFrame, found: DataFrame, kept: Scratch) -> DataFrame:
     single = sides.filter(F.size("part") == 1).select("ids", "f", "k", "side", F.col("one").alias("n"))
     known = found.select(F.col("ids").alias("part"), F.col("f").alias("n"))
     several = sides.filter(F.size("part") > 1).join(known, "part").select("ids", "f", "k", "side", "n")
-    counts = kept.staged(single.unionByName(several), "sides")
-    both = counts.groupBy("ids", "f", "k").agg(
+    both = single.unionByName(several).groupBy("ids", "f", "k").agg(
         F.max(F.when(F.col("side") == "l", F.col("n"))).alias("l"), F.max(F.when(F.col("side") == "r", F.col("n"))).alias("r")
     )
     wide = {name: f"cast({name} as decimal(16, 0))" for name in ("f", "l", "r")}
@@ -212,7 +226,7 @@ def cut_scores(rows: DataFrame, found: DataFrame, kept: Scratch) -> DataFrame:
     return best.select("ids", "cut.*")
 
 
-def covered(rows: DataFrame, cover: int, kept: Scratch) -> DataFrame:
+def covered(rows: DataFrame, cover: int) -> DataFrame:
     """(ids) of sequences inside a longer one that occurs ``cover`` percent as often or more."""
     size = F.size("ids")
     spans = F.flatten(
@@ -222,7 +236,7 @@ def covered(rows: DataFrame, cover: int, kept: Scratch) -> DataFrame:
         )
     )
     parts = rows.filter(size > 2).select(F.explode(spans).alias("ids"), F.col("f").alias("longer"))
-    longest = kept.staged(parts.groupBy("ids").agg(F.max("longer").alias("longer")), "longer")
+    longest = parts.groupBy("ids").agg(F.max("longer").alias("longer"))
     wide = lambda name: F.col(name).cast("decimal(20, 0)")
     return rows.select("ids", "f").join(longest, "ids").filter(wide("longer") * 100 >= wide("f") * cover).select("ids")
 
@@ -260,16 +274,15 @@ def phrases(docs: DataFrame, longest: int = 3, least: int = 10, cover: int = 50,
         raise ValueError("a phrase has two words or more")
     spark = docs.sparkSession
     with scratch(spark) as kept:
-        texts = kept.staged(chunks(docs).withColumn("chunk", F.monotonically_increasing_id()), "chunks")
-        flat = texts.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
-        flat = flat.select("lang", F.col("w.words").alias("word"), F.col("w.counts").alias("f"))
-        words, count = frequent_words(flat, least, kept)
-        sizes = kept.staged(flat.groupBy("lang").agg(F.sum("f").alias("n")), "sizes")
+        texts = kept.staged(chunks(docs), "chunks")
+        own = texts.filter("word is not null").select("lang", "word", "f")
+        words, count = frequent_words(own, least, kept)
+        sizes = own.groupBy("lang").agg(F.sum("f").alias("n"))
         layout = Layout(longest, max(1, count.bit_length()))
         found = counted_sequences(texts, words, layout, least, kept)
-        rows = kept.staged(named(found, words, kept), "named")
-        scored = cut_scores(rows, found, kept).join(rows.select("ids", "f", "lang", "words"), "ids")
-        left = scored.join(covered(rows, cover, kept), "ids", "left_anti")
+        rows = named(found, words, kept)
+        scored = cut_scores(rows, found).join(rows.select("ids", "f", "lang", "words"), "ids")
+        left = scored.join(covered(rows, cover), "ids", "left_anti")
         phrase = F.array_join("words", " ").alias("phrase")
         left = kept.staged(left.select("lang", phrase, F.col("f").alias("a"), "l", "r", "score"), "phrases")
         order = [F.col("score").desc(), F.col("a").desc(), "phrase"]

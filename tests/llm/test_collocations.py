@@ -59,6 +59,7 @@ def test_against_brute_force(spark, documents, monkeypatch, longest, least, fan_
     monkeypatch.setattr(collocations, "FAN_IN", fan_in)
     monkeypatch.setattr(collocations, "DEPTH", depth)
     monkeypatch.setattr(collocations, "CHUNK", chunk)
+    monkeypatch.setattr(collocations, "PART", 1 << 15 if chunk > 1000 else 7)
     rows = drawn(3, 900 if chunk > 1000 else 60)
     got = collocations.phrases(documents(rows), longest, least, 50, 2000)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
@@ -83,8 +84,7 @@ def test_large_counts_score_exactly(spark):
     """a² * 1000000 passes 64 bits."""
     a, l, r = 9_876_543_210, 9_876_543_213, 19_876_543_217
     rows = spark.createDataFrame([([1, 2], a, "en", ["x", "y"], [l, r])], "ids array<bigint>, f bigint, lang string, words array<string>, fs array<bigint>")
-    with collocations.scratch(spark) as kept:
-        got = collocations.cut_scores(rows, rows.select("ids", "f"), kept).first()
+    got = collocations.cut_scores(rows, rows.select("ids", "f")).first()
     assert tuple(got) == ([1, 2], 1000000 * a * a // (l * r), 1, l, r)
 
 
