@@ -6,9 +6,12 @@ path under a character language model is the restored text. Documents are scored
 of words) of the restored text that mark toxic documents among those labelled.
 """
 
+import re
+import string
 from collections import Counter
 from itertools import groupby
 from math import exp, log
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +40,8 @@ LOOK_ALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i",
 }
+# Fixed value: letters of the Latin script, of which look-alikes are written.
+LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u024f]+")
 # Log probabilities of the channel: a look-alike, a repeated letter; a sign within a word and between words; a digit so.
 AS_LOOK_ALIKE, AS_REPEAT = -1.0, -1.0
 AS_NOISE, AS_GAP = -1.5, -3.5
@@ -110,12 +115,20 @@ def restored(written: str, model: LetterModel) -> str:
     return "".join(reversed(letters))
 
 
+TWICE, THRICE = re.compile(r"(.)\1", re.DOTALL), re.compile(r"(.)\1\1", re.DOTALL)
+SIGNS = re.compile("[" + re.escape("".join(LOOK_ALIKES)) + "]")
+
+
 def plain(core: str) -> bool:
     """Letters only, none three times in a row: nothing to restore."""
-    return core.isalpha() and not any(a == b == c for a, b, c in zip(core, core[1:], core[2:]))
+    return core.isalpha() and not THRICE.search(core)
 
 
 def core_of(token: str) -> str:
+    """The token without signs around it."""
+    if token.isalnum():
+        return token
+    token = token.strip(string.punctuation)  # the usual ones at once
     start, end = 0, len(token)
     while start < end and not token[start].isalnum():
         start += 1
@@ -126,9 +139,9 @@ def core_of(token: str) -> str:
 
 def certain(token: str, core: str) -> bool:
     """Nothing in the token could be a disguise: letters only, none twice in a row, no look-alike around them."""
-    if not core.isalpha() or any(map(str.__eq__, core, core[1:])):
+    if not core.isalpha() or TWICE.search(core):
         return False
-    return len(core) == len(token) or LOOK_ALIKES.keys().isdisjoint(token)
+    return len(core) == len(token) or not SIGNS.search(token)
 
 
 class Words(Kept):
@@ -143,7 +156,7 @@ class Words(Kept):
         literal = (core,) if plain(core) else ()
         if self.model is None or certain(token, core):
             return literal
-        if not any(map(str.isalpha, token)) and LOOK_ALIKES.keys().isdisjoint(token):
+        if not SIGNS.search(token) and not any(map(str.isalpha, token)):
             return ()
         return tuple(dict.fromkeys((*literal, *restored(token, self.model).split())))
 
@@ -156,17 +169,22 @@ def single(token: str) -> str:
     return core if len(core) == 1 else ""
 
 
-def spaced(tokens: list[str]) -> list[str]:
-    """Rows of three or more single characters, each as one token with spaces."""
+def spaced(tokens: list[str], alone: dict[str, str]) -> list[str]:
+    """Rows of three or more single characters, each as one token with spaces; ``alone`` has those among the tokens."""
     found = []
-    if sum(len(token) <= 3 and bool(single(token)) for token in tokens) >= SINGLES:
-        for alone, row in groupby(map(single, tokens), bool):
-            row = list(row) if alone else []
+    if alone and sum(len(token) <= 3 for token in tokens if token in alone) >= SINGLES:
+        for is_row, row in groupby((alone.get(token, "") for token in tokens), bool):
+            row = list(row) if is_row else []
             if len(row) >= SINGLES:
                 found.append(" ".join(row))
     return found
 
 
+def singles_in(tokens: set[str]) -> dict[str, str]:
+    """The one character of each token that has but one."""
+    return {token: char for token in tokens if len(token) <= 2 * CHUNK and (char := single(token))}
+
+
 def chunk_of(token: str) -> str:
     """A token that may be part of a word, without signs around it that stand for no letter; empty if it is too long."""
     if not 0 < len(core_of(token)) <= CHUNK and token not in LOOK_ALIKES:
@@ -176,7 +194,8 @@ def chunk_of(token: str) -> str:
 
 def tokens_of(text: str) -> set[str]:
     tokens = text.lower().split()
-    return {*tokens, *spaced(tokens)}
+    kinds = set(tokens)
+    return {*kinds, *spaced(tokens, singles_in(kinds))}
 
 
 def marks_of(word: str) -> list[str]:
@@ -184,6 +203,23 @@ def marks_of(word: str) -> list[str]:
     return [f"{word}$", *(word[:n] for n in BEGINNINGS if n <= len(word))]
 
 
+class Letters(dict):
+    """A bit for each letter that a character may stand for; different letters may share one."""
+
+    def __missing__(self, char: str) -> int:
+        bits = 0
+        for letter in LOOK_ALIKES.get(char, char):
+            bits |= 1 << ord(letter) % 61
+        self[char] = bits
+        return bits
+
+    def of(self, text: str) -> int:
+        bits = 0
+        for char in text:
+            bits |= self[char]
+        return bits
+
+
 class Starts(Kept):
     """For each token the beginnings of marked words that it may stand for, as first part of a word set apart."""
 
@@ -203,30 +239,82 @@ class Starts(Kept):
         return self.after({""}, chunk) - {""} if chunk else set()
 
 
-class Weights(Kept):
-    """For each token the weight of its strongest mark, 0 without one."""
+class Neighbours(Kept):
+    """For each two tokens, with a space between them, what :class:`Starts` gives for the first, gone on with the second."""
+
+    def __init__(self, starts: Starts):
+        super().__init__()
+        self.starts = starts
+
+    def made(self, pair: str) -> set[str]:
+        first, second = pair.split(" ")
+        chunk = chunk_of(second)
+        return self.starts.after(self.starts[first], chunk) - {""} if chunk else set()
+
+
+class Token(NamedTuple):
+    """What a token may mean: the weight of its strongest mark, its one character, what marked words it may begin."""
+
+    weight: float
+    char: str
+    begins: frozenset[str]
+
+
+#: Most tokens: nothing to look at again.
+NOTHING = Token(0.0, "", frozenset())
+
+
+class Tokens(Kept):
+    """What each token means, looked at once by a task."""
 
     def __init__(self, words: Words, marks: dict[str, float]):
         super().__init__()
         self.words, self.marks, self.starts = words, marks, Starts(marks)
+        self.neighbours = Neighbours(self.starts)
+        self.heads = {mark.removesuffix("$")[:3] for mark in marks}
+        self.letters = Letters()
+        needed = {self.letters.of(mark.removesuffix("$")) for mark in marks}
+        self.needed = [bits for bits in needed if not any(bits & other == other != bits for other in needed)]
+
+    def able(self, token: str) -> bool:
+        """False if no reading of the token has all letters of any mark."""
+        there = self.letters.of(token)
+        for bits in self.needed:
+            if there & bits == bits:
+                return True
+        return False
 
-    def made(self, token: str) -> float:
-        return max([self.marks.get(mark, 0.0) for word in self.words[token] for mark in marks_of(word)], default=0.0)
+    def weight(self, token: str, core: str) -> float:
+        if self.words.model is None or certain(token, core):
+            found = (core,) if plain(core) else ()
+        else:
+            found = self.words[token] if self.able(token) else ()
+        marked = [word for word in found if word[:3] in self.heads]
+        return max([self.marks.get(mark, 0.0) for word in marked for mark in marks_of(word)], default=0.0)
 
-    def joined(self, tokens: list[str]) -> set[str]:
+    def made(self, token: str) -> Token:
+        core = core_of(token)
+        char = core if len(core) == 1 and len(token) <= 2 * CHUNK else token if len(token) == 1 else ""
+        begins = frozenset(self.starts.made(token)) if len(core) <= CHUNK else frozenset()
+        found = Token(self.weight(token, core), char, begins)
+        return NOTHING if found == NOTHING else found
+
+    def joined(self, tokens: list[str], first: dict[str, frozenset[str]]) -> set[str]:
         """Marked words set apart over neighbouring short tokens, where the letter model reads them so.
 
         Beginnings of words do not count here: neighbours that make one by chance are frequent.
         """
         found = set()
-        if self.words.model is None or not self.marks:
+        if self.words.model is None or not self.marks or not first:
             return found
-        starts = self.starts
-        for at, token in enumerate(tokens):
-            reached = starts[token]
-            if not reached:
+        starts, neighbours = self.starts, self.neighbours
+        for at, token in enumerate(tokens[:-1]):
+            if token not in first:
+                continue
+            after = tokens[at + 1]
+            if len(after) > CHUNK and after.isalnum() or not neighbours[f"{token} {after}"]:
                 continue
-            row = [chunk_of(token)]
+            reached, row = first[token], [chunk_of(token)]
             for place in range(at + 1, len(tokens)):
                 chunk = chunk_of(tokens[place])
                 reached = starts.after(reached, chunk) - {""} if chunk else None
@@ -240,8 +328,21 @@ class Weights(Kept):
 
     def evidence(self, text: str) -> list[float]:
         tokens = text.lower().split()
-        hits = [weight for weight in map(self.__getitem__, {*tokens, *spaced(tokens)}) if weight]
-        hits += [self.marks[f"{word}$"] for word in self.joined(tokens)]
+        kinds = set(tokens)
+        hits, alone, first = [], {}, {}
+        for token in kinds:
+            known = self[token]
+            if known is not NOTHING:
+                if known.weight:
+                    hits.append(known.weight)
+                if known.char:
+                    alone[token] = known.char
+                if known.begins:
+                    first[token] = known.begins
+        rows = {row for row in spaced(tokens, alone) if row not in kinds}
+        hits += [weight for weight in (self[row].weight for row in rows) if weight]
+        hits += [self.marks[f"{word}$"] for word in self.joined(tokens, first)]
+        hits.sort()  # sums must not depend on the order in a set
         return [max(hits, default=0.0), log(1 + len(hits)), log(1 + sum(hits))]
 
 
@@ -263,35 +364,52 @@ class Model:
         self.letters, self.marks, self.weights = letters, marks, weights
 
     def scorer(self):
-        weights = Weights(Words(self.letters), self.marks)
+        tokens = Tokens(Words(self.letters), self.marks)
         *slopes, constant = self.weights.tolist()
 
         def score(text: str) -> float:
-            found = weights.evidence(text)
+            found = tokens.evidence(text)
             margin = constant + sum(a * b for a, b in zip(slopes, found))
             return 1 / (1 + exp(-min(30.0, max(-30.0, margin))))
 
         return score
 
 
+def triples(words: list[str], n: np.ndarray) -> dict[str, int]:
+    """How often each three letters occur in words of Latin letters, the i-th word counting ``n[i]`` times."""
+    codes = np.frombuffer("".join([f"  {word} " for word in words]).encode("utf-16-le"), "<u2").astype(np.int64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 3
+    inside = np.ones(len(codes), bool)
+    ends = np.cumsum(sizes)
+    inside[ends - 1] = inside[ends - 2] = False  # would go on in the next word
+    found = codes[:-2] << 20 | codes[1:-1] << 10 | codes[2:]
+    kinds, place = np.unique(found[inside[:-2]], return_inverse=True)
+    totals = np.bincount(place, np.repeat(n, sizes)[:-2][inside[:-2]], len(kinds))
+    texts = (chr(kind >> 20) + chr(kind >> 10 & 1023) + chr(kind & 1023) for kind in kinds.tolist())
+    return dict(zip(texts, map(int, totals.tolist())))
+
+
 def letter_model(texts: DataFrame) -> LetterModel | None:
-    """From the plain words of all texts, each once for every document that has it; labels play no part."""
+    """From the plain words of all texts, each once for every document that has it; labels play no part.
+
+    Only words of Latin letters count, as look-alikes stand for no others: so there are at most as many
+    triples as that alphabet has, however large the corpus.
+    """
 
     def run(batches):
         counts: Counter = Counter()
         tokens: Counter = Counter()
 
         def add():
-            for token, n in tokens.items():
-                core = core_of(token)
-                if len(core) > 1 and plain(core):
-                    for letters in trigrams(core):
-                        counts[letters] += n
+            cores = ((core_of(token), n) for token, n in tokens.items())
+            known = [(core, n) for core, n in cores if len(core) > 1 and LATIN.fullmatch(core) and plain(core)]
+            if known:
+                counts.update(triples([core for core, _ in known], np.array([n for _, n in known])))
             tokens.clear()
 
         for part in pieces(batches):
             for text in part.column(0).to_pylist():
-                tokens.update(tokens_of(text))
+                tokens.update(set(text.lower().split()))
                 if len(tokens) > TOKENS_AT_ONCE:
                     add()
         add()
@@ -349,9 +467,9 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, bound: int = LABELLE
         marks = find_marks(words, kept)
 
         def weigh(batches):
-            weights = Weights(Words(letters), marks)
+            tokens = Tokens(Words(letters), marks)
             for part in pieces(batches):
-                rows = [weights.evidence(text) for text in part.column(2).to_pylist()]
+                rows = [tokens.evidence(text) for text in part.column(2).to_pylist()]
                 columns = [part.column(0), part.column(1), pa.array(rows, pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "label", "x"])
 

@@ -42,7 +42,7 @@ def test_signs_at_edges_doubled_letters_and_chunks():
     words = ["gronk", "snivo", "blarg", "cronk", "snit", "scum", "cost", "tost", *WORDS]
     model = toxicity.LetterModel({t: 5.0 for word in words for t in toxicity.trigrams(word)})
     marks = {f"{word}$": 5.0 for word in ["gronk", "snivo", "blarg", "cronk", "snit", "scum", "cost", "tost"]}
-    weights = toxicity.Weights(toxicity.Words(model), marks)
+    weights = toxicity.Tokens(toxicity.Words(model), marks)
     missed = [t for t in [*HIDDEN, "s c u m.", "$ c u m", "$cum"] if not weights.evidence(f"the house and {t} with water")[0]]
     assert missed == []
     clean = ["the (house) and water!", "a letter, 100 + 20", "window $5 (number)", "the morning; is it so?", "!!! --- ..."]
@@ -96,3 +96,32 @@ def test_edges(edges, nothing, labels_of):
     assert toxicity.classify(nothing, labels_of([])).collect() == []
     one = toxicity.classify(edges, labels_of([(1, 1, 0), (2, 1, 0)])).collect()
     assert {r.predicted for r in one} == {0}
+
+
+def test_triples_are_those_of_each_word():
+    words, n = ["the", "żółw", "ab", "the", "naïve"], [3, 1, 2, 4, 1]
+    wanted = {}
+    for word, count in zip(words, n):
+        for letters in toxicity.trigrams(word):
+            wanted[letters] = wanted.get(letters, 0) + count
+    assert toxicity.triples(words, toxicity.np.array(n)) == wanted
+
+
+def test_scripts_without_look_alikes_do_not_fill_the_model(documents, labels_of):
+    docs = documents([(1, "the house"), (2, "漢字仮名交じり文 слово λέξη כלב"), (3, "ab1 漢a")])
+    model = toxicity.train(docs, labels_of([]), toxicity.F.lit(True))
+    assert set(model.letters.three) == {*toxicity.trigrams("the"), *toxicity.trigrams("house")}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_nothing_is_passed_over_by_looking_for_letters_first(seed):
+    """The weight of a token is that of all readings, whether or not they can hold a mark."""
+    draw = random.Random(seed)
+    words = ["gronk", "snivo", "blarg", "cab", "gas", *WORDS]
+    model = toxicity.LetterModel({t: 5.0 for word in words for t in toxicity.trigrams(word)})
+    marks = {"gronk$": 5.0, "sniv": 4.0, "cab$": 3.5, "gas$": 3.0}
+    tokens = toxicity.Tokens(toxicity.Words(model), marks)
+    for _ in range(1500):
+        token = "".join(draw.choice("gronksnivcab0561@$(.-") for _ in range(draw.randint(1, 9)))
+        readings = toxicity.Words(model)[token]
+        assert tokens[token].weight == max([marks.get(m, 0.0) for word in readings for m in toxicity.marks_of(word)], default=0.0)
