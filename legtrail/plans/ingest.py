@@ -258,15 +258,10 @@ def ingest_movements(
 def stored_counts(
     spark, folder: str, first: date, last: date, fmt: str = "parquet"
 ) -> DataFrame:
-    """``(day, family, n)`` of a store from ``first`` to ``last``; other days are not read."""
+    """``(day, family, n)`` of a store from ``first`` to ``last``; of other days, and of Parquet columns, nothing is read."""
+    within = F.col(store.DAY).between(F.lit(first), F.lit(last))
     counts = [
-        quality.family_counts(
-            store.read_partitions(spark, path, schema, PARTITIONS, fmt).filter(
-                F.col(store.DAY).between(F.lit(first), F.lit(last))
-            ),
-            store.DAY,
-            store.FAMILY,
-        )
+        store.stored_counts(spark, path, schema, PARTITIONS, fmt, within).select(store.DAY, store.FAMILY, "n")
         for path, schema in (
             (flights_path(folder), schemas.FLIGHTS),
             (points_path(folder), schemas.STORED_POINTS),

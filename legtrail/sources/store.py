@@ -70,6 +70,43 @@ def row_counts(df: DataFrame, by: Sequence[str] = (DAY,), weight: str | None = N
     return df.groupBy(*by).agg((F.sum(weight) if weight else F.count("*")).alias("n"))
 
 
+def _from_footers(spark: SparkSession) -> SparkSession:
+    """A session whose counts per folder come from the footers of Parquet files, without reading a column."""
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    apart.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return apart
+
+
+def stored_counts(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    by: Sequence[str] = (DAY,),
+    fmt: str = "parquet",
+    where: Column | None = None,
+    weight: str | None = None,
+) -> DataFrame:
+    """As :func:`row_counts`, of a store's folders for which ``where`` (over ``by``) holds.
+
+    In a Parquet store the numbers of rows come from the files' footers. With ``weight``, of whole numbers from 1 up,
+    so does its greatest value; only folders where that is above 1 are read, that column alone.
+    """
+    footers = fmt == "parquet"
+    rows = read_partitions(_from_footers(spark) if footers else spark, path, schema, by, fmt)
+    rows = rows if where is None else rows.filter(where)
+    if not weight or not footers:
+        return row_counts(rows, by, weight)
+    counted = rows.groupBy(*by).agg(F.count("*").alias("n"), F.max(weight).alias("_most"))
+    several = counted.filter("_most > 1").select(*by).collect()  # a row per folder
+    single = counted.filter("_most = 1").select(*by, "n")
+    if not several:
+        return single
+    heavy = [reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(row[c])) for c in by]) for row in several]
+    read = read_partitions(spark, path, schema, by, fmt).filter(reduce(Column.__or__, heavy))
+    return row_counts(read, by, weight).unionByName(single)
+
+
 def keep_larger(n_new, n_old) -> Column:
     """True if new rows replace old ones: strictly more of them; nothing there counts as 0."""
     return F.coalesce(n_new, F.lit(0)) > F.coalesce(n_old, F.lit(0))
@@ -90,7 +127,7 @@ def upsert_larger(
     """Replace each partition of a store for which ``incoming`` has more rows than the store holds.
 
     Incoming rows are written to the shared folder once (``is_staged``: they already are); from the
-    store only counts are read, of the days between the first and the last incoming one. ``weight``
+    store only counts are read (:func:`stored_counts`), of the days between the first and the last incoming one. ``weight``
     names a column that says how many rows a row stands for. The winning partitions are fixed before any is overwritten, so a
     repeated task cannot change its mind, and the store is never source and target of rows at once.
     Gives ``by, n_new, n_old, replaced``, one row per incoming partition.
@@ -98,11 +135,11 @@ def upsert_larger(
     spark = incoming.sparkSession
     incoming = incoming if is_staged else staged(incoming, "incoming")
     schema = StructType([field for field in incoming.schema if field.name not in by])
-    stored = read_partitions(spark, path, schema, by, fmt)
+    within = None
     if DAY in by:
         first, last = incoming.agg(F.min(DAY), F.max(DAY)).first()
-        stored = stored.filter(F.col(DAY).between(F.lit(first), F.lit(last)) | F.col(DAY).isNull())
-    old = row_counts(stored, by, weight).withColumnsRenamed(
+        within = F.col(DAY).between(F.lit(first), F.lit(last)) | F.col(DAY).isNull()
+    old = stored_counts(spark, path, schema, by, fmt, within, weight).withColumnsRenamed(
         {"n": "n_old", **{c: f"old_{c}" for c in by}}
     )
     new = row_counts(incoming, by, weight).withColumnRenamed("n", "n_new")

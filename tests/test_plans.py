@@ -135,7 +135,8 @@ def test_counts_read_only_the_wanted_days(spark, records, telemetry, tmp_path, p
         records, telemetry, str(tmp_path), "HOME", "2022-11-12 00:00:00", "2022-11-15 00:00:00", ZONE
     )
     text = plan(ingest.stored_counts(spark, str(tmp_path), date(2022, 11, 13), date(2022, 11, 14)))
-    assert text.count("(day#") >= 2 and "2022-11-13" in text and "ReadSchema: struct<>" in text
+    assert text.count("(day#") >= 2 and "2022-11-13" in text
+    assert text.count("PushedAggregation: [COUNT(*)]") == 2, "no column is read, only footers"
 
 
 def test_backfill_takes_missing_days_only(spark, records, telemetry, tmp_path):
@@ -257,12 +258,14 @@ def test_copies_are_counted_not_written(spark, telemetry, tmp_path):
     assert [r.copies for r in rows] == [2500] * 5
 
 
-def test_nothing_is_left_of_a_run(spark, records, telemetry, tmp_path, monkeypatch):
+@pytest.mark.parametrize("exact", [True, False])
+def test_nothing_is_left_of_a_run(spark, records, telemetry, tmp_path, monkeypatch, exact):
     from legtrail import session
 
     monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path / "shared"))
     ingest.ingest_movements(
-        records, telemetry, str(tmp_path / "out"), "HOME", "2022-11-12 00:00:00", "2022-11-13 02:00:00", ZONE
+        records, telemetry, str(tmp_path / "out"), "HOME", "2022-11-12 00:00:00", "2022-11-13 02:00:00", ZONE,
+        exact=exact, has_tie=True,
     )
     left = sorted(p.name.rsplit("-", 1)[0] for p in (tmp_path / "shared").iterdir())
     assert left == ["legtrail-decision", "legtrail-decision"]  # the result
@@ -289,3 +292,27 @@ def test_days_are_read_by_folder(spark, records, telemetry, tmp_path, plan):
     needs = ingest.Extent(1, 1, 1_668_210_000_000_000, 1_668_210_900_000_000)
     some = spark.createDataFrame([leg("a", 8, 12, "HOME", "AWAY")], schemas.RAW_FLIGHT)
     assert "PartitionFilters: [isnotnull(utc_day" in plan(ingest.telemetry_for(some, states, needs, True, "utc_day"))
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_the_latest_day_reads_recent_folders(spark, records, telemetry, tmp_path, exact):
+    """Records by UTC day of departure: all other folders are unreadable; the result is that of the whole table."""
+    far = spark.createDataFrame([leg("z", 8, 12, "HOME", "AWAY", day=d) for d in (-40, -20, 30)], schemas.RAW_FLIGHT)
+    agreeing = [leg("a", 8, 12, "HOME", "AWAY"), leg("c", 9, 30, "AWAY", "HOME"), leg("b", 7, 9, "HOME", "HOME", day=-1)]
+    recent = spark.createDataFrame(agreeing, schemas.RAW_FLIGHT)
+    dated = recent.unionByName(far).withColumn("utc_day", F.col("departure_time").cast("date"))
+    dated.write.partitionBy("utc_day").parquet(str(tmp_path / "records"))
+    for folder in (tmp_path / "records").glob("utc_day=*"):
+        if folder.name[8:] not in ("2022-11-11", "2022-11-12"):
+            for file in folder.iterdir():
+                file.unlink() if file.name.startswith(".") else file.write_bytes(b"no Parquet")
+    stored_records = spark.read.schema(dated.schema).parquet(str(tmp_path / "records"))
+    now = F.lit(DAY + timedelta(hours=20)).cast("timestamp_ntz")
+    results = []
+    for rows, day in ((recent, None), (stored_records, "utc_day")):
+        # No flight here is over midnight, so the day of departure bounds arrivals too.
+        found = explore.explore_latest_day(
+            rows, telemetry, "HOME", now, ZONE, exact=exact, has_tie=True, departure_day=day, arrival_day=day
+        )
+        results.append([sorted(map(str, df.collect())) for df in (found.departures, found.arrivals, found.nested)])
+    assert results[0] == results[1] and len(results[0][2]) == 2

@@ -142,3 +142,86 @@ def test_upsert_counts_only_incoming_days(spark, tmp_path):
             file.write_bytes(b"unreadable")
     found = store.upsert_larger(days.filter("n = 6").unionByName(days.filter("n = 6")), path).collect()
     assert [(r.n_new, r.n_old, r.replaced) for r in found] == [(2, 1, True)]
+
+
+def blanked(folder):
+    """Zeroes in place of all column chunks of the Parquet files in a folder; their footers stay."""
+    for file in folder.rglob("*.parquet"):
+        data = file.read_bytes()
+        footer = len(data) - 8 - int.from_bytes(data[-8:-4], "little")
+        file.write_bytes(data[:4] + bytes(footer - 4) + data[footer:])
+    for file in folder.rglob(".*.crc"):
+        file.unlink()
+
+
+def counted(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.mark.parametrize("weight", [None, "copies"])
+def test_counts_come_from_footers(spark, tmp_path, plan, weight):
+    rows = spark.range(3000).selectExpr(
+        "id", "1L as copies", "if(id % 7 = 0, null, date'2024-01-01' + cast(id % 5 as int)) as day", "concat('f', id % 2) as family"
+    )
+    path, by = str(tmp_path / "out"), ["family", "day"]
+    store.write_partitions(rows, path, by)
+    expected = counted(store.row_counts(rows, by, weight))
+    schema = rows.drop(*by).schema
+    got = store.stored_counts(spark, path, schema, by, weight=weight)
+    assert "PushedAggregation: [COUNT(*)" in plan(got) and counted(got) == expected
+    blanked(tmp_path / "out")
+    with pytest.raises(Exception):
+        store.read_partitions(spark, path, schema, by).agg({"id": "sum"}).collect()
+    assert counted(store.stored_counts(spark, path, schema, by, weight=weight)) == expected
+    some = store.stored_counts(spark, path, schema, by, where=store.F.col("day") == store.F.lit("2024-01-02").cast("date"))
+    assert "PartitionFilters: [isnotnull(day" in plan(some) and len(counted(some)) == 2
+
+
+def test_only_folders_with_copies_are_read(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id", "if(id % 10 = 3, id, 1) as copies", "date'2024-01-01' + cast(id % 10 as int) as day")
+    path = str(tmp_path / "out")
+    store.write_partitions(rows, path)
+    expected = counted(store.row_counts(rows, ["day"], "copies"))
+    for folder in (tmp_path / "out").glob("day=*"):
+        if folder.name != "day=2024-01-04":
+            blanked(folder)
+    assert counted(store.stored_counts(spark, path, rows.drop("day").schema, weight="copies")) == expected
+    nothing = store.stored_counts(spark, str(tmp_path / "none"), rows.drop("day").schema, weight="copies")
+    assert nothing.collect() == [] and nothing.columns == ["day", "n"]
+
+
+def ranged(spark, n, shift=0):
+    """Rows with a total order that begins with a time, and the day they are stored by (a day after for some)."""
+    return spark.range(n).selectExpr(
+        f"if(id % 11 = 0, null, timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id % 97 as int))) as t",
+        f"id + {shift} as k", "date'2024-01-01' + cast(id % 97 div 24 + id % 2 as int) as stored_day",
+    )
+
+
+def test_changed_days_are_merged_into_the_ranges_they_touch(spark, tmp_path, rows):
+    """Positions are those of a full run; files of other ranges are not touched; emptied ranges are gone."""
+    F = store.F
+    path, order = str(tmp_path / "merged"), ["t", "k"]
+    old = ranged(spark, 800)
+    store.compact_ranges(old, path, order)
+    assert rows(store.with_position(spark, path)) == rows(with_plain_position(spark, old))
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "merged").rglob("*.parquet")}
+    day = F.lit("2024-01-02").cast("date")
+    new = ranged(spark, 300, 10_000).filter(F.col("stored_day") == day)
+    touched = store.merge_ranges(new, path, order, F.col("stored_day") == day)
+    assert [str(d) for d in touched] == ["2024-01-01", "2024-01-02", "None"]
+    now = old.filter(F.col("stored_day") != day).unionByName(new)
+    assert rows(store.with_position(spark, path)) == rows(with_plain_position(spark, now))
+    kept = {f for f in files if f.exists() and f.stat().st_mtime_ns == files[f]}
+    assert {f.parent.name for f in files} - {f.parent.name for f in kept} == {"range=2024-01-01", "range=2024-01-02", "range=__HIVE_DEFAULT_PARTITION__"}
+    last = F.col("t") >= F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
+    assert [str(d) for d in store.merge_ranges(new.limit(0), path, order, last)] == ["2024-01-05"]
+    assert not (tmp_path / "merged" / "range=2024-01-05").exists()
+    assert rows(store.with_position(spark, path)) == rows(with_plain_position(spark, now.filter(F.coalesce(~last, F.lit(True)))))
+    assert store.merge_ranges(new.limit(0), path, order, F.lit(False)) == []
+    assert store.drop_ranges(spark, path, lambda date: date is None or date > "2024-01-03") == [f"range=2024-01-0{i}" for i in (1, 2, 3)]
+
+
+def with_plain_position(spark, df):
+    order = store.W.orderBy(store.F.asc_nulls_last("t"), store.F.asc_nulls_last("k"))
+    return df.withColumn("position", store.F.row_number().over(order).cast("bigint"))
