@@ -188,13 +188,19 @@ def frequent_sequences(filters: DataFrame, layout: Layout, level: int, least: in
 
 
 def counted_sequences(texts: DataFrame, words: DataFrame, layout: Layout, least: int, kept: Scratch) -> DataFrame:
-    groups = -(-texts.filter("tokens is not null and place = 0").count() // FAN_IN) or 1
-    filters, level = first_filters(texts, words, layout, groups, kept), 1
-    while groups > 1:
-        groups = -(-groups // FAN_IN)
-        filters = kept.staged(merge_level(filters, layout, level, groups), "filters")
-        level += 1
-    return kept.staged(frequent_sequences(filters, layout, level, least), "sequences")
+    """(ids, f) of the frequent sequences; the filters of a level are removed when the next one is written."""
+    groups, level = -(-texts.filter("tokens is not null and place = 0").count() // FAN_IN) or 1, 1
+    held = Scratch(texts.sparkSession)
+    try:
+        filters = first_filters(texts, words, layout, groups, held)
+        while groups > 1:
+            groups, old, held = -(-groups // FAN_IN), held, Scratch(texts.sparkSession)
+            filters = held.staged(merge_level(filters, layout, level, groups), "filters")
+            old.remove()
+            level += 1
+        return kept.staged(frequent_sequences(filters, layout, level, least), "sequences")
+    finally:
+        held.remove()
 
 
 def named(found: DataFrame, words: DataFrame, kept: Scratch) -> DataFrame:
@@ -274,12 +280,13 @@ def phrases(docs: DataFrame, longest: int = 3, least: int = 10, cover: int = 50,
         raise ValueError("a phrase has two words or more")
     spark = docs.sparkSession
     with scratch(spark) as kept:
-        texts = kept.staged(chunks(docs), "chunks")
-        own = texts.filter("word is not null").select("lang", "word", "f")
-        words, count = frequent_words(own, least, kept)
-        sizes = own.groupBy("lang").agg(F.sum("f").alias("n"))
-        layout = Layout(longest, max(1, count.bit_length()))
-        found = counted_sequences(texts, words, layout, least, kept)
+        with scratch(spark) as early:
+            texts = early.staged(chunks(docs), "chunks")
+            own = texts.filter("word is not null").select("lang", "word", "f")
+            words, count = frequent_words(own, least, kept)
+            sizes = kept.staged(own.groupBy("lang").agg(F.sum("f").alias("n")), "sizes")
+            layout = Layout(longest, max(1, count.bit_length()))
+            found = counted_sequences(texts, words, layout, least, kept)
         rows = named(found, words, kept)
         scored = cut_scores(rows, found).join(rows.select("ids", "f", "lang", "words"), "ids")
         left = scored.join(covered(rows, cover), "ids", "left_anti")

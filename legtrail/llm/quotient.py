@@ -4,7 +4,7 @@ A sequence of up to ``longest`` numbers of ``bits`` bits (0: no number) is packe
 Feistel network, which can be undone; the high bits of the permuted key are its quotient, all other bits are kept as
 its remainder. A filter holds the entries of one range of permuted keys (those that begin with the same ``depth`` bits)
 in order: a bit for each quotient that occurs, a bit for each entry that ends its run, the remainders in whole
-bytes, and the counts in bytes, larger ones apart. Equal keys have equal places in all filters, so filters are merged by
+bytes, and a bit for each entry that counts more than once, whose counts follow in bytes, large ones apart. Equal keys have equal places in all filters, so filters are merged by
 merging what is sorted, and nothing is lost: keys come back by undoing the permutation.
 """
 
@@ -155,16 +155,19 @@ def to_bytes(layout: Layout, depth: int, entries: Entries) -> bytes:
     occupied[quotient] = True
     run_end = np.append(quotient[1:] != quotient[:-1], True)[:n]
     parts = [bytes_of(in_range & mask(high_rest), high_rest), bytes_of(entries.low, layout.low_bits)]
-    small = np.minimum(entries.counts, 255).astype(np.uint8)
-    large = entries.counts[entries.counts >= 255].astype("<i8")
-    head = np.array([n, q, len(large)], "<i8").tobytes()
-    return b"".join([head, np.packbits(occupied).tobytes(), np.packbits(run_end).tobytes(), *parts, small.tobytes(), large.tobytes()])
+    often = entries.counts > 1
+    several = entries.counts[often]
+    small = np.minimum(several, 255).astype(np.uint8)
+    large = several[several >= 255].astype("<i8")
+    head = np.array([n, q, len(small), len(large)], "<i8").tobytes()
+    bits = [np.packbits(flags).tobytes() for flags in (occupied, run_end, often)]
+    return b"".join([head, *bits, *parts, small.tobytes(), large.tobytes()])
 
 
 def from_bytes(layout: Layout, depth: int, begin: int, data: bytes) -> Entries:
     """The entries of a filter of the range that begins with ``begin``."""
-    n, q, large = (int(x) for x in np.frombuffer(data, "<i8", 3))
-    at = 24
+    n, q, small, large = (int(x) for x in np.frombuffer(data, "<i8", 4))
+    at = 32
     high_rest = layout.high_bits - depth - q
 
     def take(size: int) -> np.ndarray:
@@ -175,13 +178,16 @@ def from_bytes(layout: Layout, depth: int, begin: int, data: bytes) -> Entries:
 
     occupied = np.flatnonzero(np.unpackbits(take(-(-(2**q) // 8)), count=2**q))
     run_end = np.unpackbits(take(-(-n // 8)), count=n)
+    often = np.unpackbits(take(-(-n // 8)), count=n).astype(bool)
     run = np.cumsum(run_end) - run_end
     quotient = occupied[run].astype(np.uint64)
     rest = numbers_of(take(n * width(high_rest)), high_rest, n)
     low = numbers_of(take(n * width(layout.low_bits)), layout.low_bits, n)
     high = (np.uint64(begin << (layout.high_bits - depth))) | (quotient << np.uint64(high_rest)) | rest
-    counts = take(n).astype(np.int64)
-    counts[counts == 255] = np.frombuffer(data, "<i8", large, at)
+    several = take(small).astype(np.int64)
+    several[several == 255] = np.frombuffer(data, "<i8", large, at)
+    counts = np.ones(n, np.int64)
+    counts[often] = several
     return Entries(high, low, counts)
 
 

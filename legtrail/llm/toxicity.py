@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from legtrail.llm.common import Kept, labelled_sample, pieces, remainder, texts_of
-from legtrail.session import Scratch, scratch
+from legtrail.session import scratch
 
 #: Labelled documents that the marks and the weights are learned from, at most; letters are counted over all texts.
 LABELLED_DOCUMENTS = 12_000
 #: Different tokens that a task holds with their numbers before it counts their letters.
-TOKENS_AT_ONCE = 100_000
+TOKENS_AT_ONCE = 300_000
 #: Score from which a document counts as toxic.
 TOXIC = 0.7
 #: Letters and digits of a token that may be a part of a word set apart, at most.
@@ -117,6 +117,14 @@ def restored(written: str, model: LetterModel) -> str:
 
 TWICE, THRICE = re.compile(r"(.)\1", re.DOTALL), re.compile(r"(.)\1\1", re.DOTALL)
 SIGNS = re.compile("[" + re.escape("".join(LOOK_ALIKES)) + "]")
+#: Letters, then only signs and digits.
+LETTERS_FIRST = re.compile(r"([^\W\d_]+)([\W\d_]*)")
+HEAD = 3
+
+
+def once(text: str) -> str:
+    """The text with every row of one character as that character."""
+    return "".join([char for char, before in zip(text, " " + text) if char != before])
 
 
 def plain(core: str) -> bool:
@@ -271,13 +279,29 @@ class Tokens(Kept):
         super().__init__()
         self.words, self.marks, self.starts = words, marks, Starts(marks)
         self.neighbours = Neighbours(self.starts)
-        self.heads = {mark.removesuffix("$")[:3] for mark in marks}
+        self.heads = {mark.removesuffix("$")[:HEAD] for mark in marks}
+        self.heads_once = {once(head) for head in self.heads}
         self.letters = Letters()
         needed = {self.letters.of(mark.removesuffix("$")) for mark in marks}
         self.needed = [bits for bits in needed if not any(bits & other == other != bits for other in needed)]
 
     def able(self, token: str) -> bool:
-        """False if no reading of the token has all letters of any mark."""
+        """False if no reading of the token can hold a mark.
+
+        What stands before the first sign begins the first word, but for repeats; later words are made of signs alone, if
+        only signs follow. A word that is to hold a mark has all its letters, and begins as it does.
+        """
+        parts = LETTERS_FIRST.fullmatch(token)
+        if parts and parts[1].isalpha():
+            begin = once(parts[1][: 4 * HEAD])
+            if len(begin) >= HEAD or len(parts[1]) < 4 * HEAD and not parts[2]:
+                if any(begin[:n] in self.heads_once for n in range(1, HEAD + 1)):
+                    return True
+                return bool(parts[2]) and self.has_letters(parts[2])
+        return self.has_letters(token)
+
+    def has_letters(self, token: str) -> bool:
+        """Whether all letters of some mark are among those that the characters may stand for."""
         there = self.letters.of(token)
         for bits in self.needed:
             if there & bits == bits:
@@ -289,11 +313,13 @@ class Tokens(Kept):
             found = (core,) if plain(core) else ()
         else:
             found = self.words[token] if self.able(token) else ()
-        marked = [word for word in found if word[:3] in self.heads]
+        marked = [word for word in found if word[:HEAD] in self.heads]
         return max([self.marks.get(mark, 0.0) for word in marked for mark in marks_of(word)], default=0.0)
 
     def made(self, token: str) -> Token:
         core = core_of(token)
+        if len(core) > CHUNK and core[:HEAD] not in self.heads and certain(token, core):
+            return NOTHING  # most words
         char = core if len(core) == 1 and len(token) <= 2 * CHUNK else token if len(token) == 1 else ""
         begins = frozenset(self.starts.made(token)) if len(core) <= CHUNK else frozenset()
         found = Token(self.weight(token, core), char, begins)
@@ -329,16 +355,10 @@ class Tokens(Kept):
     def evidence(self, text: str) -> list[float]:
         tokens = text.lower().split()
         kinds = set(tokens)
-        hits, alone, first = [], {}, {}
-        for token in kinds:
-            known = self[token]
-            if known is not NOTHING:
-                if known.weight:
-                    hits.append(known.weight)
-                if known.char:
-                    alone[token] = known.char
-                if known.begins:
-                    first[token] = known.begins
+        known = [(token, found) for token, found in zip(kinds, map(self.__getitem__, kinds)) if found is not NOTHING]
+        hits = [found.weight for _, found in known if found.weight]
+        alone = {token: found.char for token, found in known if found.char}
+        first = {token: found.begins for token, found in known if found.begins}
         rows = {row for row in spaced(tokens, alone) if row not in kinds}
         hits += [weight for weight in (self[row].weight for row in rows) if weight]
         hits += [self.marks[f"{word}$"] for word in self.joined(tokens, first)]
@@ -421,16 +441,18 @@ def letter_model(texts: DataFrame) -> LetterModel | None:
     return LetterModel(dict(zip(counts["letters"], map(float, counts["n"])))) if counts["letters"] else None
 
 
-def find_marks(words: DataFrame, kept: Scratch) -> dict[str, float]:
-    """Marks and their weights from (label, words): only those frequent in toxic documents are counted in the others."""
-    beginnings = [F.when(F.char_length("word") >= n, F.substring("word", 1, n)) for n in BEGINNINGS]
-    kinds = F.array_compact(F.array(F.concat("word", F.lit("$")), *beginnings))
-    rows = words.select("id", "label", F.explode("words").alias("word"))
-    rows = rows.select("id", "label", F.explode(kinds).alias("mark"))
-    frequent = rows.filter("label = 1").distinct().groupBy("mark").count().filter(F.col("count") >= LEAST_TOXIC)
-    frequent = kept.staged(frequent.select("mark"), "frequent-marks")
-    counted = rows.join(F.broadcast(frequent), "mark").distinct().groupBy("mark")
-    counted = counted.agg(F.sum("label").alias("t"), F.count("*").alias("n")).toArrow().to_pydict()
+def find_marks(words: DataFrame) -> dict[str, float]:
+    """Marks and their weights from (id, label, words), a row for each document; those rare in toxic ones stay where they are.
+
+    Each document gives its different marks, so they are counted in one pass, in part before the shuffle.
+    """
+    cut = lambda n: lambda word: F.when(F.char_length(word) >= n, F.substring(word, 1, n))
+    beginnings = [F.transform("words", cut(n)) for n in BEGINNINGS]
+    whole = F.transform("words", lambda w: F.concat(w, F.lit("$")))
+    kinds = F.array_distinct(F.array_compact(F.concat(whole, *beginnings)))
+    rows = words.dropDuplicates(["id"]).select("label", F.explode(kinds).alias("mark"))
+    counted = rows.groupBy("mark").agg(F.sum("label").alias("t"), F.count("*").alias("n"))
+    counted = counted.filter(F.col("t") >= LEAST_TOXIC).toArrow().to_pydict()
     total, toxic = words.agg(F.count("*"), F.sum("label")).first()
     found = {}
     share = (toxic or 0) / max(1, total)
@@ -464,7 +486,7 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, bound: int = LABELLE
 
         keyed = sample.select(F.xxhash64("doc_id", "_text").alias("id"), F.col("_label").cast("int").alias("label"), "_text")
         words = kept.staged(keyed.mapInArrow(split, "id bigint, label int, words array<string>"), "restored")
-        marks = find_marks(words, kept)
+        marks = find_marks(words)
 
         def weigh(batches):
             tokens = Tokens(Words(letters), marks)
