@@ -9,7 +9,7 @@ of words) of the restored text that mark toxic documents among those labelled.
 import re
 import string
 from collections import Counter
-from itertools import groupby
+from itertools import chain, groupby
 from math import exp, log
 from typing import NamedTuple
 
@@ -17,13 +17,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from legtrail.llm.common import Kept, labelled_sample, pieces, remainder, texts_of
+from legtrail.llm.common import Kept, labelled_sample, pieces, pieces_of_size, remainder, texts_of
 from legtrail.session import scratch
 
 #: Labelled documents that the marks and the weights are learned from, at most; letters are counted over all texts.
 LABELLED_DOCUMENTS = 12_000
 #: Different tokens that a task holds with their numbers before it counts their letters.
 TOKENS_AT_ONCE = 300_000
+#: Bytes of text whose tokens are looked up together, more only for a single long text.
+TEXT_AT_ONCE = 2 << 20
 #: Score from which a document counts as toxic.
 TOXIC = 0.7
 #: Letters and digits of a token that may be a part of a word set apart, at most.
@@ -41,7 +43,7 @@ LOOK_ALIKES = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i",
 }
 # Fixed value: letters of the Latin script, of which look-alikes are written.
-LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u024f]+")
+LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u024f]{2,}")
 # Log probabilities of the channel: a look-alike, a repeated letter; a sign within a word and between words; a digit so.
 AS_LOOK_ALIKE, AS_REPEAT = -1.0, -1.0
 AS_NOISE, AS_GAP = -1.5, -3.5
@@ -119,7 +121,8 @@ TWICE, THRICE = re.compile(r"(.)\1", re.DOTALL), re.compile(r"(.)\1\1", re.DOTAL
 SIGNS = re.compile("[" + re.escape("".join(LOOK_ALIKES)) + "]")
 #: Letters, then only signs and digits.
 LETTERS_FIRST = re.compile(r"([^\W\d_]+)([\W\d_]*)")
-HEAD = 3
+#: Letters by which a word is first compared with all marks.
+HEAD = 4
 
 
 def once(text: str) -> str:
@@ -177,22 +180,18 @@ def single(token: str) -> str:
     return core if len(core) == 1 else ""
 
 
-def spaced(tokens: list[str], alone: dict[str, str]) -> list[str]:
-    """Rows of three or more single characters, each as one token with spaces; ``alone`` has those among the tokens."""
+def spaced(tokens: list[str], chars: dict[int, str]) -> list[str]:
+    """Rows of three or more single characters, each as one token with spaces; ``chars`` has those by their place, in order."""
+    if sum(len(tokens[place]) <= 3 for place in chars) < SINGLES:
+        return []
     found = []
-    if alone and sum(len(token) <= 3 for token in tokens if token in alone) >= SINGLES:
-        for is_row, row in groupby((alone.get(token, "") for token in tokens), bool):
-            row = list(row) if is_row else []
-            if len(row) >= SINGLES:
-                found.append(" ".join(row))
+    for _, row in groupby(enumerate(chars), lambda pair: pair[1] - pair[0]):
+        row = [chars[place] for _, place in row]
+        if len(row) >= SINGLES:
+            found.append(" ".join(row))
     return found
 
 
-def singles_in(tokens: set[str]) -> dict[str, str]:
-    """The one character of each token that has but one."""
-    return {token: char for token in tokens if len(token) <= 2 * CHUNK and (char := single(token))}
-
-
 def chunk_of(token: str) -> str:
     """A token that may be part of a word, without signs around it that stand for no letter; empty if it is too long."""
     if not 0 < len(core_of(token)) <= CHUNK and token not in LOOK_ALIKES:
@@ -202,8 +201,8 @@ def chunk_of(token: str) -> str:
 
 def tokens_of(text: str) -> set[str]:
     tokens = text.lower().split()
-    kinds = set(tokens)
-    return {*kinds, *spaced(tokens, singles_in(kinds))}
+    short = ((place, token) for place, token in enumerate(tokens) if len(token) <= 2 * CHUNK)
+    return {*tokens, *spaced(tokens, {place: char for place, token in short if (char := single(token))})}
 
 
 def marks_of(word: str) -> list[str]:
@@ -247,19 +246,6 @@ class Starts(Kept):
         return self.after({""}, chunk) - {""} if chunk else set()
 
 
-class Neighbours(Kept):
-    """For each two tokens, with a space between them, what :class:`Starts` gives for the first, gone on with the second."""
-
-    def __init__(self, starts: Starts):
-        super().__init__()
-        self.starts = starts
-
-    def made(self, pair: str) -> set[str]:
-        first, second = pair.split(" ")
-        chunk = chunk_of(second)
-        return self.starts.after(self.starts[first], chunk) - {""} if chunk else set()
-
-
 class Token(NamedTuple):
     """What a token may mean: the weight of its strongest mark, its one character, what marked words it may begin."""
 
@@ -268,17 +254,61 @@ class Token(NamedTuple):
     begins: frozenset[str]
 
 
+class Row(NamedTuple):
+    """What neighbouring short tokens may stand for: beginnings of marked words, and marked words that they are read as."""
+
+    reached: set[str]
+    complete: set[str]
+
+
+class Rows(Kept):
+    """What each row of tokens, with spaces between them, may stand for; it goes on from the row without its last token."""
+
+    def __init__(self, starts: "Starts", words: Words, marks: dict[str, float]):
+        super().__init__()
+        self.starts, self.words, self.marks = starts, words, marks
+
+    def made(self, row: str) -> Row:
+        before, _, token = row.rpartition(" ")
+        if not before:
+            return Row(self.starts.made(token), set())
+        chunk = chunk_of(token)
+        reached = self.starts.after(self[before].reached, chunk) - {""} if chunk else set()
+        complete = {word for word in reached if f"{word}$" in self.marks}
+        if complete:
+            complete &= set(self.words[" ".join(map(chunk_of, row.split(" ")))])
+        return Row(reached, complete)
+
+
 #: Most tokens: nothing to look at again.
 NOTHING = Token(0.0, "", frozenset())
 
 
+def packed(codes: list[np.ndarray]) -> np.ndarray:
+    """Code points of up to ``HEAD`` places, each an array, as one number."""
+    whole = np.zeros(len(codes[0]), np.uint64)
+    for code in codes:
+        whole = whole << np.uint64(16) | (code & 0xFFFF).astype(np.uint64)
+    return whole
+
+
+def packed_texts(texts: set[str], size: int) -> np.ndarray:
+    """The texts of one size, packed."""
+    chosen = [text for text in texts if len(text) == size]
+    places = [np.array([ord(text[i]) for text in chosen], np.int64) for i in range(size)]
+    return packed(places) if chosen else np.zeros(0, np.uint64)
+
+
 class Tokens(Kept):
     """What each token means, looked at once by a task."""
 
     def __init__(self, words: Words, marks: dict[str, float]):
         super().__init__()
         self.words, self.marks, self.starts = words, marks, Starts(marks)
-        self.neighbours = Neighbours(self.starts)
+        self.rows = Rows(self.starts, words, marks)
+        self.signs: dict[str, bool] = {}
+        self.whole_heads = packed_texts({mark.removesuffix("$")[:HEAD] for mark in marks}, HEAD)
+        self.once_heads = [packed_texts({once(mark.removesuffix("$")[:HEAD]) for mark in marks}, n + 1) for n in range(HEAD)]
         self.heads = {mark.removesuffix("$")[:HEAD] for mark in marks}
         self.heads_once = {once(head) for head in self.heads}
         self.letters = Letters()
@@ -297,7 +327,10 @@ class Tokens(Kept):
             if len(begin) >= HEAD or len(parts[1]) < 4 * HEAD and not parts[2]:
                 if any(begin[:n] in self.heads_once for n in range(1, HEAD + 1)):
                     return True
-                return bool(parts[2]) and self.has_letters(parts[2])
+                signs = parts[2][:16] if SIGNS.search(parts[2]) else ""
+                if signs not in self.signs:
+                    self.signs[signs] = self.has_letters(parts[2])
+                return self.signs[signs] if signs == parts[2] else bool(signs) and self.has_letters(parts[2])
         return self.has_letters(token)
 
     def has_letters(self, token: str) -> bool:
@@ -308,60 +341,112 @@ class Tokens(Kept):
                 return True
         return False
 
-    def weight(self, token: str, core: str) -> float:
-        if self.words.model is None or certain(token, core):
-            found = (core,) if plain(core) else ()
-        else:
-            found = self.words[token] if self.able(token) else ()
-        marked = [word for word in found if word[:HEAD] in self.heads]
-        return max([self.marks.get(mark, 0.0) for word in marked for mark in marks_of(word)], default=0.0)
+    def nothing(self, tokens: np.ndarray) -> np.ndarray:
+        """True for tokens that :meth:`made` would give ``NOTHING`` for: most words, told in arrays over their letters.
+
+        They are of Latin letters, with a point or comma behind at most, too long to be part of a word set apart, and
+        begin like no marked word: as they stand, or if letters are repeated, with every repeat dropped.
+        """
+        sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        if self.words.model is None or not len(tokens):
+            return np.zeros(len(tokens), bool)
+        codes = np.frombuffer("".join(tokens).encode("utf-32-le"), "<u4").astype(np.int64)
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        latin = (codes >= 97) & (codes <= 122) | (codes >= 0xDF) & (codes <= 0x24F) & (codes != 0xF7)
+        pointed = np.isin(codes[ends - 1], [ord(c) for c in ".,;:"])
+        others = np.add.reduceat(~latin, starts, dtype=np.int64)
+        able = (others == pointed) & (sizes - pointed > CHUNK)
+        new = np.append(True, codes[1:] != codes[:-1])
+        new[starts] = True
+        repeated = np.add.reduceat(~new, starts, dtype=np.int64) > 0
+        places = [codes[np.minimum(starts + i, len(codes) - 1)] for i in range(HEAD)]
+        marked = np.isin(packed(places), self.whole_heads)
+        # the first places at which letters stand with every repeat dropped
+        kept = np.flatnonzero(new)
+        first = np.searchsorted(kept, starts)
+        enough = np.append(first[1:], len(kept)) - first - pointed >= HEAD
+        once_places = [codes[kept[np.minimum(first + i, len(kept) - 1)]] for i in range(HEAD)]
+        marked_once = np.zeros(len(tokens), bool)
+        for n in range(HEAD):
+            marked_once |= np.isin(packed(once_places[: n + 1]), self.once_heads[n])
+        return able & np.where(repeated, enough & ~marked_once, ~marked)
+
+    def mark(self, word: str) -> float:
+        """The weight of the strongest mark of a word."""
+        if word[:HEAD] not in self.heads:
+            return 0.0
+        return max([self.marks.get(mark, 0.0) for mark in marks_of(word)])
 
     def made(self, token: str) -> Token:
         core = core_of(token)
-        if len(core) > CHUNK and core[:HEAD] not in self.heads and certain(token, core):
-            return NOTHING  # most words
+        if self.words.model is None:
+            words = (core,) if plain(core) else ()
+        elif certain(token, core):
+            if len(core) > CHUNK and core[:HEAD] not in self.heads:
+                return NOTHING  # most words
+            words = (core,)
+        else:
+            words = self.words[token] if self.able(token) else ()
+        weight = max(map(self.mark, words), default=0.0)
         char = core if len(core) == 1 and len(token) <= 2 * CHUNK else token if len(token) == 1 else ""
-        begins = frozenset(self.starts.made(token)) if len(core) <= CHUNK else frozenset()
-        found = Token(self.weight(token, core), char, begins)
-        return NOTHING if found == NOTHING else found
+        begins = self.starts.made(token) if len(core) <= CHUNK else None
+        return Token(weight, char, frozenset(begins or ())) if weight or char or begins else NOTHING
 
-    def joined(self, tokens: list[str], first: dict[str, frozenset[str]]) -> set[str]:
+    def joined(self, tokens: list[str], places: list[int]) -> set[str]:
         """Marked words set apart over neighbouring short tokens, where the letter model reads them so.
 
-        Beginnings of words do not count here: neighbours that make one by chance are frequent.
+        Rows begin at ``places``. Beginnings of words do not count here: neighbours that make one by chance are frequent.
         """
         found = set()
-        if self.words.model is None or not self.marks or not first:
+        if self.words.model is None or not self.marks:
             return found
-        starts, neighbours = self.starts, self.neighbours
-        for at, token in enumerate(tokens[:-1]):
-            if token not in first:
-                continue
-            after = tokens[at + 1]
-            if len(after) > CHUNK and after.isalnum() or not neighbours[f"{token} {after}"]:
-                continue
-            reached, row = first[token], [chunk_of(token)]
-            for place in range(at + 1, len(tokens)):
-                chunk = chunk_of(tokens[place])
-                reached = starts.after(reached, chunk) - {""} if chunk else None
-                if not reached:
+        for place in places:
+            row = tokens[place]
+            for at in range(place + 1, len(tokens)):
+                after = tokens[at]
+                if len(after) > CHUNK and after.isalnum():
+                    break
+                row = f"{row} {after}"
+                known = self.rows[row]
+                if known.complete:
+                    found |= known.complete
+                if not known.reached:
                     break
-                row.append(chunk)
-                complete = {word for word in reached if f"{word}$" in self.marks}
-                if complete - found:
-                    found |= complete.intersection(self.words[" ".join(row)])
         return found
 
     def evidence(self, text: str) -> list[float]:
-        tokens = text.lower().split()
-        kinds = set(tokens)
-        known = [(token, found) for token, found in zip(kinds, map(self.__getitem__, kinds)) if found is not NOTHING]
-        hits = [found.weight for _, found in known if found.weight]
-        alone = {token: found.char for token, found in known if found.char}
-        first = {token: found.begins for token, found in known if found.begins}
-        rows = {row for row in spaced(tokens, alone) if row not in kinds}
-        hits += [weight for weight in (self[row].weight for row in rows) if weight]
-        hits += [self.marks[f"{word}$"] for word in self.joined(tokens, first)]
+        return self.evidences([text])[0]
+
+    def evidences(self, texts: list[str]) -> list[list[float]]:
+        """For each text: its strongest mark, how many there are, and what they weigh together.
+
+        Tokens are encoded for all texts at once, so that each is looked up once, and only places of tokens that may
+        tell something are gone through.
+        """
+        rows = [text.lower().split() for text in texts]
+        coded = pa.array(chain.from_iterable(rows), pa.large_string()).dictionary_encode()
+        kinds = coded.dictionary.to_numpy(zero_copy_only=False)
+        known = [NOTHING if nothing else self[token] for token, nothing in zip(kinds, self.nothing(kinds).tolist())]
+        telling = np.fromiter((found is not NOTHING for found in known), bool, len(known))
+        codes = coded.indices.to_numpy()
+        places = np.flatnonzero(telling[codes])
+        begins = np.append(0, np.cumsum([len(row) for row in rows], dtype=np.int64))
+        cuts = np.searchsorted(places, begins)
+        found = []
+        for row, begin, first, last in zip(rows, begins.tolist(), cuts[:-1], cuts[1:]):
+            some = places[first:last]
+            tokens = {place - begin: known[code] for place, code in zip(some.tolist(), codes[some].tolist())}
+            found.append(self.weighed(row, tokens) if tokens else [0.0, 0.0, 0.0])
+        return found
+
+    def weighed(self, row: list[str], tokens: dict[int, Token]) -> list[float]:
+        """The evidence of a row of tokens, of which those that may tell something are known by their places."""
+        hits = [weight for weight in {row[place]: token.weight for place, token in tokens.items()}.values() if weight]
+        apart = spaced(row, {place: token.char for place, token in tokens.items() if token.char})
+        hits += [weight for weight in (self[text].weight for text in set(apart)) if weight]
+        words = self.joined(row, [place for place, token in tokens.items() if token.begins])
+        hits += [self.marks[f"{word}$"] for word in words]
         hits.sort()  # sums must not depend on the order in a set
         return [max(hits, default=0.0), log(1 + len(hits)), log(1 + sum(hits))]
 
@@ -387,21 +472,26 @@ class Model:
         tokens = Tokens(Words(self.letters), self.marks)
         *slopes, constant = self.weights.tolist()
 
-        def score(text: str) -> float:
-            found = tokens.evidence(text)
-            margin = constant + sum(a * b for a, b in zip(slopes, found))
-            return 1 / (1 + exp(-min(30.0, max(-30.0, margin))))
+        def scores(texts: list[str]) -> list[float]:
+            margins = [constant + sum(a * b for a, b in zip(slopes, found)) for found in tokens.evidences(texts)]
+            return [1 / (1 + exp(-min(30.0, max(-30.0, margin)))) for margin in margins]
 
-        return score
+        return scores
 
 
 def triples(words: list[str], n: np.ndarray) -> dict[str, int]:
-    """How often each three letters occur in words of Latin letters, the i-th word counting ``n[i]`` times."""
+    """How often each three letters occur in words of Latin letters, the i-th word counting ``n[i]`` times.
+
+    Words with one letter three times in a row are left out.
+    """
     codes = np.frombuffer("".join([f"  {word} " for word in words]).encode("utf-16-le"), "<u2").astype(np.int64)
     sizes = np.fromiter(map(len, words), np.int64, len(words)) + 3
     inside = np.ones(len(codes), bool)
     ends = np.cumsum(sizes)
     inside[ends - 1] = inside[ends - 2] = False  # would go on in the next word
+    rows = np.flatnonzero((codes[:-2] == codes[1:-1]) & (codes[1:-1] == codes[2:]) & (codes[:-2] != ord(" ")))
+    for word in np.unique(np.searchsorted(ends, rows, side="right")):
+        inside[ends[word] - sizes[word] : ends[word]] = False
     found = codes[:-2] << 20 | codes[1:-1] << 10 | codes[2:]
     kinds, place = np.unique(found[inside[:-2]], return_inverse=True)
     totals = np.bincount(place, np.repeat(n, sizes)[:-2][inside[:-2]], len(kinds))
@@ -422,7 +512,7 @@ def letter_model(texts: DataFrame) -> LetterModel | None:
 
         def add():
             cores = ((core_of(token), n) for token, n in tokens.items())
-            known = [(core, n) for core, n in cores if len(core) > 1 and LATIN.fullmatch(core) and plain(core)]
+            known = [(core, n) for core, n in cores if LATIN.fullmatch(core)]
             if known:
                 counts.update(triples([core for core, _ in known], np.array([n for _, n in known])))
             tokens.clear()
@@ -490,8 +580,8 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, bound: int = LABELLE
 
         def weigh(batches):
             tokens = Tokens(Words(letters), marks)
-            for part in pieces(batches):
-                rows = [tokens.evidence(text) for text in part.column(2).to_pylist()]
+            for part in pieces_of_size(batches, 2, TEXT_AT_ONCE):
+                rows = tokens.evidences(part.column(2).to_pylist())
                 columns = [part.column(0), part.column(1), pa.array(rows, pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "label", "x"])
 
@@ -515,10 +605,10 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = train(docs, labels, ~out)
 
     def run(batches):
-        score = model.scorer()
-        for part in pieces(batches):
-            scores = pa.array([score(text) for text in part.column(2).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), scores], ["doc_id", "held_out", "score"])
+        scores = model.scorer()
+        for part in pieces_of_size(batches, 2, TEXT_AT_ONCE):
+            column = pa.array(scores(part.column(2).to_pylist()), pa.float64())
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), column], ["doc_id", "held_out", "score"])
 
     key = docs.schema["doc_id"].dataType.simpleString()
     rows = texts_of(docs, "doc_id", F.coalesce(out, F.lit(False)).alias("held_out"))

@@ -99,9 +99,9 @@ def test_edges(edges, nothing, labels_of):
 
 
 def test_triples_are_those_of_each_word():
-    words, n = ["the", "żółw", "ab", "the", "naïve"], [3, 1, 2, 4, 1]
+    words, n = ["sooo", "the", "żółw", "ab", "the", "bbbaaa", "naïve", "aaa"], [9, 3, 1, 2, 4, 9, 1, 9]
     wanted = {}
-    for word, count in zip(words, n):
+    for word, count in [(word, count) for word, count in zip(words, n) if toxicity.plain(word)]:
         for letters in toxicity.trigrams(word):
             wanted[letters] = wanted.get(letters, 0) + count
     assert toxicity.triples(words, toxicity.np.array(n)) == wanted
@@ -125,3 +125,17 @@ def test_nothing_is_passed_over_by_looking_for_letters_first(seed):
         token = "".join(draw.choice("gronksnivcab0561@$(.-") for _ in range(draw.randint(1, 9)))
         readings = toxicity.Words(model)[token]
         assert tokens[token].weight == max([marks.get(m, 0.0) for word in readings for m in toxicity.marks_of(word)], default=0.0)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_words_told_in_arrays_are_those_that_mean_nothing(seed):
+    draw = random.Random(seed)
+    model = toxicity.LetterModel({t: 5.0 for word in ["gronk", "offen", *WORDS] for t in toxicity.trigrams(word)})
+    tokens = toxicity.Tokens(toxicity.Words(model), {"gronk$": 5.0, "offe": 4.0, "ööl$": 3.0, "blar": 3.5, "aaab$": 3.0})
+    letters = ["g", "r", "o", "n", "k", "f", "f", "e", "b", "l", "a", "ö", "é", "漢", ".", ",", "$", "0", "-", "x", "²"]
+    some = ["".join(draw.choice(letters) for _ in range(draw.randint(1, 9))) for _ in range(4000)]
+    some += [word + end for word in ["gronk", "ggronkk", "offenbar", "oofen", "house", "balloon", "blarrg"] for end in ("", ",", "..", "!")]
+    told = tokens.nothing(toxicity.np.array(some, object))
+    assert [w for w, nothing in zip(some, told) if nothing and tokens.made(w) is not toxicity.NOTHING] == []
+    missed = [w for w, nothing in zip(some, told) if not nothing and toxicity.LATIN.fullmatch(w) and len(w) > 4 and tokens.made(w) is toxicity.NOTHING]
+    assert len(missed) < 0.2 * told.sum() and told.sum() > 50
