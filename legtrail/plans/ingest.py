@@ -45,7 +45,7 @@ def _day() -> Column:
 
 
 class Extent(NamedTuple):
-    """What flights will need: number of aircraft and grid points, first and last microsecond."""
+    """What flights will need: about how many aircraft, number of grid points, first and last microsecond."""
 
     aircraft: int
     points: int
@@ -55,30 +55,27 @@ class Extent(NamedTuple):
 
 def flown(flights: DataFrame) -> DataFrame:
     """Flights that have a grid: a known aircraft and both ends in order."""
-    in_order = F.col("arrival_time") >= F.col("departure_time")
-    return flights.filter(F.col("ICAO24").isNotNull() & in_order)
+    return flights.filter(_has_grid())
 
 
-def extent(flights: DataFrame, step: int) -> Extent:
+def _has_grid() -> Column:
+    return F.col("ICAO24").isNotNull() & (F.col("arrival_time") >= F.col("departure_time"))
+
+
+def extent_metrics(step: int) -> dict[str, Column]:
+    """The fields of :class:`Extent` as aggregates over flights."""
     departure, arrival = times.epoch_micros("departure_time"), times.epoch_micros("arrival_time")
     steps = times.whole_slices(arrival - departure, step * times.MICROS_PER_SECOND) + 1
-    row = (
-        flown(flights)
-        .groupBy("ICAO24")
-        .agg(
-            F.sum(steps).alias("points"),
-            F.min(departure).alias("first"),
-            F.max(arrival).alias("last"),
-        )
-        .agg(
-            F.count("*"),
-            F.coalesce(F.sum("points"), F.lit(0)),
-            F.min("first"),
-            F.max("last"),
-        )
-        .first()
-    )
-    return Extent(*row)
+    return {
+        "aircraft": F.approx_count_distinct(F.when(_has_grid(), F.col("ICAO24")), 0.01),
+        "points": F.coalesce(F.sum(F.when(_has_grid(), steps)), F.lit(0)),
+        "first": F.min(F.when(_has_grid(), departure)),
+        "last": F.max(F.when(_has_grid(), arrival)),
+    }
+
+
+def extent(flights: DataFrame, step: int) -> Extent:
+    return Extent(*flights.agg(*[metric.alias(name) for name, metric in extent_metrics(step).items()]).first())
 
 
 def flight_days(flights: DataFrame) -> list[date]:
@@ -139,6 +136,7 @@ def sampled(
     telemetry_day: str | None = None,
     carried: str | None = None,
     kept: Scratch | None = None,
+    needs: Extent | None = None,
 ) -> DataFrame:
     """Grid points of flights with the flight's columns and ``grid_step``.
 
@@ -147,9 +145,10 @@ def sampled(
     also a number ``tie``, the greatest of which decides between states of one aircraft and time.
     ``telemetry_day`` names its partition column with the UTC date of ``time``, if there is one; then ``carried`` may
     name a table of last states that is read, and kept up, in place of all history (as-of only). Intermediate tables
-    go to ``kept``, which is to be removed after the result was read, or else to folders of their own.
+    go to ``kept``, which is to be removed after the result was read, or else to folders of their own. ``needs`` is the
+    :func:`extent` of the flights, if it is known.
     """
-    needs = extent(flights, step)
+    needs = needs or extent(flights, step)
     tie = "tie" if has_tie else None
     present = [name for name in schemas.STATE_FIELDS if name in telemetry.columns]
     extra = [name for name in (tie, telemetry_day) if name]
@@ -208,20 +207,22 @@ def save(
     Gives the decision per family and day. Points are replaced first: after a failure in between, the flights
     of the day still count as the smaller ones, so the next run replaces them.
     """
+    days = {"first": F.min(store.DAY), "last": F.max(store.DAY)}
     with scratch(flights.sparkSession) as kept:
-        flights = kept.staged(flights.withColumn(store.DAY, _day()), "flights")
-        once = kept.staged(flown_once(flights), "flown")
+        flights, flight_span = kept.measured(flights.withColumn(store.DAY, _day()), "flights", **days)
+        once, needs = kept.measured(flown_once(flights), "flown", **extent_metrics(sampling["step"]))
         ids = once.select("id", F.explode("_rows").alias("_row")).select("id", "_row.family")
         if not quality.orphans(ids, flights, by=[store.FAMILY]).isEmpty():
             raise ValueError("points of unknown flights")
-        points = points_of(once, telemetry, kept=kept, **sampling).withColumn(store.DAY, _day())
+        points = points_of(once, telemetry, kept=kept, needs=Extent(**needs), **sampling)
         family = F.concat(store.FAMILY, F.lit("_SV"))
-        points = kept.staged(points.withColumn(store.FAMILY, family), "points")
+        points = points.withColumn(store.DAY, _day()).withColumn(store.FAMILY, family)
+        points, point_span = kept.measured(points, "points", **days)
         of_points = store.upsert_larger(
-            points, points_path(folder), PARTITIONS, fmt, is_staged=True, weight="copies"
+            points, points_path(folder), PARTITIONS, fmt, True, "copies", tuple(point_span.values())
         )
         of_flights = store.upsert_larger(
-            flights, flights_path(folder), PARTITIONS, fmt, is_staged=True
+            flights, flights_path(folder), PARTITIONS, fmt, True, None, tuple(flight_span.values())
         )
         return of_flights.unionByName(of_points)
 

@@ -5,7 +5,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -90,6 +90,12 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def measured(self, df: DataFrame, purpose: str, **metrics: Column) -> tuple[DataFrame, dict]:
+        """As :meth:`staged`, and aggregates over the rows, which come out of the pass that writes them."""
+        observed = Observation(purpose)
+        named = [metric.alias(name) for name, metric in metrics.items()]
+        return self.staged(df.observe(observed, *named), purpose), observed.get
+
     def remove(self) -> None:
         remove(self.spark, self.folder)
 

@@ -123,12 +123,14 @@ def upsert_larger(
     fmt: str = "parquet",
     is_staged: bool = False,
     weight: str | None = None,
+    span: tuple | None = None,
 ) -> DataFrame:
     """Replace each partition of a store for which ``incoming`` has more rows than the store holds.
 
     Incoming rows are written to the shared folder once (``is_staged``: they already are); from the
     store only counts are read (:func:`stored_counts`), of the days between the first and the last incoming one. ``weight``
-    names a column that says how many rows a row stands for. The winning partitions are fixed before any is overwritten, so a
+    names a column that says how many rows a row stands for; ``span`` is the first and the last incoming day, if they
+    are known. The winning partitions are fixed before any is overwritten, so a
     repeated task cannot change its mind, and the store is never source and target of rows at once.
     Gives ``by, n_new, n_old, replaced``, one row per incoming partition.
     """
@@ -137,7 +139,7 @@ def upsert_larger(
     schema = StructType([field for field in incoming.schema if field.name not in by])
     within = None
     if DAY in by:
-        first, last = incoming.agg(F.min(DAY), F.max(DAY)).first()
+        first, last = span or incoming.agg(F.min(DAY), F.max(DAY)).first()
         within = F.col(DAY).between(F.lit(first), F.lit(last)) | F.col(DAY).isNull()
     old = stored_counts(spark, path, schema, by, fmt, within, weight).withColumnsRenamed(
         {"n": "n_old", **{c: f"old_{c}" for c in by}}

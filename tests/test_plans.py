@@ -316,3 +316,32 @@ def test_the_latest_day_reads_recent_folders(spark, records, telemetry, tmp_path
         )
         results.append([sorted(map(str, df.collect())) for df in (found.departures, found.arrivals, found.nested)])
     assert results[0] == results[1] and len(results[0][2]) == 2
+
+
+def test_what_a_run_needs_comes_from_the_passes_that_write(spark, records, telemetry, tmp_path, monkeypatch):
+    """No job looks for the extent of the flights or for the days; the numbers are those of a job of their own."""
+    from legtrail import session
+    from legtrail.operators import nested
+
+    flights = nested.flatten_flights(records, ZONE)
+    with session.scratch(spark) as kept:
+        staged, seen = kept.measured(flights, "flights", **ingest.extent_metrics(180))
+        assert ingest.Extent(**seen) == ingest.extent(staged, 180) and seen["aircraft"] == 8
+        nothing, seen = kept.measured(flights.filter("false"), "none", **ingest.extent_metrics(180))
+        assert ingest.Extent(**seen) == (0, 0, None, None) and nothing.isEmpty()
+
+    def jobs(group, **more):
+        spark.sparkContext.setJobGroup(group, group)
+        flights = nested.flatten_flights(
+            records.withColumn("family", F.lit("bl_dep")).filter("origin_airport = 'HOME'"), ZONE, keep=["family"]
+        )
+        ingest.save(flights, telemetry, str(tmp_path / group), step=180, has_tie=True).collect()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    few = jobs("measured")
+    upsert, points_of = ingest.store.upsert_larger, ingest.points_of
+    monkeypatch.setattr(ingest.store, "upsert_larger", lambda *args: upsert(*args[:-1]))
+    monkeypatch.setattr(ingest, "points_of", lambda *args, needs, **more: points_of(*args, **more))
+    assert few < jobs("asked")
+    assert sizes(spark, tmp_path / "measured") == sizes(spark, tmp_path / "asked")

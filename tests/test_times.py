@@ -82,12 +82,12 @@ def test_key_needs_both_parts(spark):
     null = F.lit(None)
     got = one(
         spark,
-        names.flight_key(F.lit("460861"), ntz("2022-10-26 09:09:57"), "CET"),
-        names.flight_key(null.cast("string"), ntz("2022-10-26 09:09:57"), "CET"),
-        names.flight_key(F.lit("460861"), null.cast("timestamp_ntz"), "CET"),
-        names.flight_key(F.lit("460861"), ntz("2022-10-25 22:00:00"), "CET"),
+        names.flight_key(F.lit("77abcd"), ntz("2031-07-04 06:05:04"), "CET"),
+        names.flight_key(null.cast("string"), ntz("2031-07-04 06:05:04"), "CET"),
+        names.flight_key(F.lit("77abcd"), null.cast("timestamp_ntz"), "CET"),
+        names.flight_key(F.lit("77abcd"), ntz("2031-07-03 22:00:00"), "CET"),
     )
-    assert got == ("460861_2022-10-26 11:09:57", None, None, "460861_2022-10-26 00:00:00")
+    assert got == ("77abcd_2031-07-04 08:05:04", None, None, "77abcd_2031-07-04 00:00:00")
 
 
 def test_names(spark):
