@@ -219,6 +219,27 @@ def ingest_exact(spark, sf_dir):
     return _stored_days(spark, folder)
 
 
+_TWO_DAYS = [(f"2024-01-{day} 00:00:00", f"2024-01-{day} 23:59:59") for day in (10, 13)]
+
+
+@query(f"""
+WITH {adapters.FLIGHTS}, {adapters.TELEMETRY}, {_POINTS.format(step="1 HOUR")}
+{_four_families(*(f"{side} AND ({' OR '.join(_between(time, *day) for day in _TWO_DAYS)})"
+                  for side, time in ((_DEP, 'departure_time'), (_ARR, 'arrival_time'))))}""")
+def ingest_from_eves(spark, sf_dir):
+    # Two days are ingested one after the other; the second starts from the states that were kept for the first.
+    folder, path, last = (new_folder(spark, name) for name in ("movements", "telemetry", "last-states"))
+    states = adapters.telemetry(spark, sf_dir).withColumn("utc_day", F.col("time").cast("date"))
+    store.write_partitions(states, path, ("utc_day",))
+    stored = spark.read.schema(states.schema).parquet(path)
+    for day in _TWO_DAYS:
+        ingest.ingest_movements(
+            adapters.legs(spark, sf_dir), stored, folder, HOME, *day, ZONE,
+            step=HOUR, exact=False, has_tie=True, telemetry_day="utc_day", carried=last,
+        )
+    return _stored_days(spark, folder)
+
+
 _ON_MISSING = (
     "EXISTS (FROM missing WHERE {time} BETWEEN day::TIMESTAMP "
     + _LOCAL
