@@ -22,7 +22,7 @@ from legtrail.llm.quotient import Layout
 from legtrail.session import Scratch, scratch, staged
 
 #: Characters of text in a chunk, more only for a single long text.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Words, and tokens, in one part of a chunk.
 PART = 1 << 15
 #: Bits by which a range of keys is cut at each merge, and filters merged at a time.
@@ -141,13 +141,15 @@ def first_filters(texts: DataFrame, words: DataFrame, layout: Layout, groups: in
     def run(chunk: pa.Table, known: pa.Table) -> pa.Table:
         tokens = np.frombuffer(b"".join(chunk.sort_by("place")["tokens"].to_pylist()), "<i4")
         ids = np.zeros(int(tokens.max(initial=-1)) + 2, np.int64)
-        ids[known["place"].to_numpy()] = known["id"].to_numpy()
+        ids[known["at"].to_numpy()] = known["id"].to_numpy()
         return filter_rows(layout, sequences(tokens, ids, layout), depth, chunk["group"][0].as_py())
 
     own = texts.filter("word is not null").select("chunk", "lang", "place", "word")
-    known = kept.staged(own.join(words, ["lang", "word"]).select("chunk", "place", "id"), "numbers")
+    # the dictionary has each word once; hashing its part of a partition spares the sort of all rows
+    known = own.join(words.hint("shuffle_hash"), ["lang", "word"])
+    known = known.select(F.col("chunk").alias("of"), F.col("place").alias("at"), "id")
     group = F.pmod(F.xxhash64("chunk"), F.lit(groups)).alias("group")
-    pairs = texts.filter("tokens is not null").select("chunk", "place", "tokens", group).groupBy("chunk").cogroup(known.groupBy("chunk"))
+    pairs = texts.filter("tokens is not null").select("chunk", "place", "tokens", group).groupBy("chunk").cogroup(known.groupBy("of"))
     return kept.staged(pairs.applyInArrow(run, "range bigint, group bigint, filter binary"), "filters")
 
 
@@ -206,7 +208,7 @@ def counted_sequences(texts: DataFrame, words: DataFrame, layout: Layout, least:
 def named(found: DataFrame, words: DataFrame, kept: Scratch) -> DataFrame:
     """(ids, f, lang, words, fs) of sequences, with the text and count of each of their words."""
     flat = found.select("ids", F.col("f").alias("a"), F.posexplode("ids").alias("place", "id"))
-    joined = flat.join(words, "id").select("ids", F.col("a").alias("f"), "lang", F.struct("place", "word", "f").alias("one"))
+    joined = flat.join(words.hint("shuffle_hash"), "id").select("ids", F.col("a").alias("f"), "lang", F.struct("place", "word", "f").alias("one"))
     rows = joined.groupBy("ids", "f", "lang").agg(F.sort_array(F.collect_list("one")).alias("ones"))
     rows = rows.select("ids", "f", "lang", F.col("ones.word").alias("words"), F.col("ones.f").alias("fs"))
     return kept.staged(rows, "named")
