@@ -22,7 +22,7 @@ from legtrail.llm.quotient import Layout
 from legtrail.session import Scratch, scratch, staged
 
 #: Characters of text in a chunk, more only for a single long text.
-CHUNK = 4 << 20
+CHUNK = 8 << 20
 #: Words, and tokens, in one part of a chunk.
 PART = 1 << 15
 #: Bits by which a range of keys is cut at each merge, and filters merged at a time.
