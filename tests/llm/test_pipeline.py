@@ -60,7 +60,7 @@ def test_stages(spark):
 
 def test_registered(spark):
     names = repo.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and set(repo.oracle_sql()) <= set(names)
 
 
