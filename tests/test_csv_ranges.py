@@ -130,3 +130,21 @@ def test_split_size(spark, text, size):
     apart = spark.newSession()
     apart.conf.set("spark.sql.files.maxPartitionBytes", text)
     assert csv_files.split_size(apart) == size
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_blocks_are_put_in_order_in_parts(cut, spark, tmp_path, monkeypatch, end):
+    """Blocks of many lines are cut in parts, alike in both passes, whatever other files are read with them."""
+    monkeypatch.setattr(csv_ranges, "LINES_PER_PART", 5)
+    for i in range(3):
+        written(tmp_path / f"f{i}.csv", 70 + i, 300, end=end)
+    (tmp_path / "plain.csv").write_text(f"n,s,t,z{end}" + f"1,a,2024-01-01T00:00:00Z,q{end}" * 5000, newline="")
+    files = [str(tmp_path / name) for name in ("f0.csv", "f1.csv", "f2.csv", "plain.csv")]
+    schema = whole(cut, files[0], KIND).schema
+    blocks = csv_ranges._blocks(csv_ranges._lines(cut, files))
+    assert blocks.groupBy("file", "block").count().agg(F.max("count")).first()[0] > 10
+    assert blocks.filter("n_before % 2 = 1 and part > 0").count() > 0, "some parts begin inside a record"
+    got = csv_files.scan_same_header(cut, str(tmp_path), schema)
+    same(got, whole(cut, tmp_path, schema))
+    # in one block each
+    same(csv_files.scan_same_header(spark, str(tmp_path), schema, split_over=0), whole(cut, tmp_path, schema))
