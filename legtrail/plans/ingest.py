@@ -154,14 +154,10 @@ def sampled(
     extra = [name for name in (tie, telemetry_day) if name]
     telemetry = telemetry.select("ICAO24", "time", *present, *extra)
     telemetry = telemetry_for(flights, telemetry, needs, exact, telemetry_day, carried)
-    # A task lays out the grid of its flights: spread them by what they grow to, not by their size.
+    # Tasks lay out grids: as many as what their rows grow to asks for, not their size.
     tasks = min(MAX_GRID_TASKS, ceil(needs.points / GRID_POINTS_PER_TASK))
-    if tasks > 1:
-        flights = flights.repartition(tasks, *_POINT_KEYS)
-    if exact:
-        points = trajectory.sample_exact(flights, telemetry, step, present, tie)
-    else:
-        points = trajectory.sample_asof(flights, telemetry, step, present, tie, kept=kept)
+    sample = trajectory.sample_exact if exact else trajectory.sample_asof
+    points = sample(flights, telemetry, step, present, tie, kept=kept, tasks=tasks)
     absent = {
         name: F.lit(None).cast(schemas.STATE_VECTORS[name].dataType)
         for name in schemas.STATE_FIELDS

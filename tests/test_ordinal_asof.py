@@ -1,5 +1,6 @@
 """Numbering and as-of search against brute force, with a third of the rows in one group."""
 
+import random
 from bisect import bisect_left, bisect_right
 from datetime import datetime, timedelta
 from itertools import groupby
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from legtrail.functions import times
 from legtrail.operators import ordinal, trajectory
 from legtrail.operators.asof import asof
+from legtrail.session import folder_names, scratch
 
 
 @pytest.fixture(scope="module")
@@ -218,3 +220,46 @@ def test_a_state_stays_whole_with_null_and_equal_ties(spark, rows):
     probes = spark.createDataFrame([("a", 2), ("b", 2), (None, 2)], "k string, at long")
     got = asof(probes, states, ["k"], "at", "t", ["v", "w"], "tie")
     assert rows(got, "k", "found_time", "v", "w") == [(None, None, None, None), ("a", 1, 2.0, None), ("b", 1, 3.0, None)]
+
+
+def _brute_force(flights, states, step, exact):
+    found = []
+    for aircraft, name, start, end in flights:
+        for at in range(start, end + 1, step) if end is not None else ():
+            own = [(t, v) for a, t, v in states if a == aircraft is not None and t is not None and (t == at if exact else t <= at)]
+            found += [(name, (at - start) // step, max(own)[1])] if own else []
+    return sorted(found)
+
+
+@pytest.mark.parametrize("exact", [True, False])
+@pytest.mark.parametrize("n_states", [40, 4000])  # fewer, then more than grid points
+def test_sampling_by_states_or_by_points_is_whole(spark, rows, exact, n_states):
+    draw = random.Random(n_states)
+    aircraft = ["a"] * 8 + ["b", "c", None]
+    flights = [(draw.choice(aircraft), f"f{i}", s := draw.randrange(2000), s + draw.randrange(900)) for i in range(30)]
+    flights += [("a", "never", 50, None), ("z", "stateless", 0, 100), ("a", "backwards", 90, 20), ("a", "short", 7, 7)]
+    times_ = draw.sample([(a, t) for a in (*"abc", None) for t in range(3000)], n_states)
+    states = [(a, t, float(t)) for a, t in times_] + [("a", None, 1.0)]
+    at = lambda s: None if s is None else START + timedelta(seconds=s)
+    table = spark.createDataFrame(
+        [(a, n, at(s), at(e)) for a, n, s, e in flights],
+        "ICAO24 string, id string, departure_time timestamp_ntz, arrival_time timestamp_ntz",
+    )
+    telemetry = spark.createDataFrame([(a, at(t), v) for a, t, v in states], "ICAO24 string, time timestamp_ntz, v double")
+    sample = trajectory.sample_exact if exact else trajectory.sample_asof
+    for tasks in (1, 3):
+        got = sample(table, telemetry, 60, ["v"], tasks=tasks)
+        assert rows(got, "id", "grid_step", "v") == _brute_force(flights, states, 60, exact)
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_a_long_grid_with_few_states_is_not_sorted(spark, exact):
+    telemetry = spark.createDataFrame(
+        [("a", START + timedelta(seconds=s), float(s)) for s in (0, 5000, 9000)], "ICAO24 string, time timestamp_ntz, v double"
+    )
+    with scratch(spark) as kept:
+        sample = trajectory.sample_exact if exact else trajectory.sample_asof
+        got = sample(flights_of(spark, flight("a", 10_000)), telemetry, 1, ["v"], kept=kept)
+        assert got.agg(F.count("*"), F.sum("v")).first() == ((3, 14_000) if exact else (10_001, 4000 * 5000 + 1001 * 9000))
+        tables = [f"{kept.folder}/{name}" for name in folder_names(spark, kept.folder)]
+        assert sum(spark.read.parquet(table).count() for table in tables) < 30
