@@ -25,6 +25,10 @@ from legtrail.session import Scratch, scratch, staged
 CHUNK = 8 << 20
 #: Words, and tokens, in one part of a chunk.
 PART = 1 << 15
+#: Characters of a chunk that are split in words at a time, more only for a single long text, and tokens whose sequences
+#: are counted at a time; what a task holds for one of them on the way is many times its own size.
+SPLIT_AT_ONCE = 1 << 20
+COUNTED_AT_ONCE = 1 << 18
 #: Bits by which a range of keys is cut at each merge, and filters merged at a time.
 DEPTH = 10
 FAN_IN = 1024
@@ -43,8 +47,13 @@ WORD = ~END
 WORD[list(BLANKS)] = False
 
 
-def words_of(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """All words of the texts in order, and where a piece begins (other than the first)."""
+def released() -> None:
+    """Gives memory that Arrow holds for later back to the system: workers wait for their next task with what they hold."""
+    pa.default_memory_pool().release_unused()
+
+
+def split(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """All words of a few texts in order, and where a piece begins (other than the first)."""
     data = np.frombuffer("\n".join(texts).encode().translate(LOWER), np.uint8)
     inside = WORD[data]
     edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
@@ -53,7 +62,37 @@ def words_of(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
     buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]
     flat = pa.Array.from_buffers(pa.large_utf8(), len(starts), buffers)
     pieces_before = np.searchsorted(np.flatnonzero(END[data]), starts)
-    return flat.dictionary_encode(), np.flatnonzero(np.diff(pieces_before)) + 1
+    return flat, np.flatnonzero(np.diff(pieces_before)) + 1
+
+
+def words_of(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different words of the texts as they first come, which of them each word is, and where a piece begins (other
+    than the first)."""
+    words, begins, n, start, size = [], [], 0, 0, 0
+    for i, text in enumerate(texts, 1):
+        size += len(text) + 1
+        if size < SPLIT_AT_ONCE and i < len(texts):
+            continue
+        some, at = split(texts[start:i])
+        if len(some):
+            words.append(some)
+            begins += [at + n] if n == 0 else [np.array([n]), at + n]
+            n += len(some)
+        start, size = i, 0
+    if not words:
+        return pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(0, np.int64)
+    coded = pa.chunked_array(words).dictionary_encode()
+    ids = np.concatenate([part.indices.to_numpy() for part in coded.chunks])
+    return coded.chunk(coded.num_chunks - 1).dictionary.cast(pa.string()), ids, np.concatenate(begins)
+
+
+def packed(tokens: np.ndarray) -> bytes:
+    """First the low bytes of all tokens, then the next ones: high bytes are nearly all alike, so files and shuffles shrink."""
+    return tokens.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<i4").reshape(-1)
 
 
 def chunk_rows(chunk: int, lang: str, texts: list[str]):
@@ -61,12 +100,11 @@ def chunk_rows(chunk: int, lang: str, texts: list[str]):
 
     Tokens are places in the dictionary, -1 between pieces. No row grows with the chunk.
     """
-    found, begins = words_of(texts)
-    ids = found.indices.to_numpy()
-    words = found.dictionary.cast(pa.string())
+    words, ids, begins = words_of(texts)
+    del texts
     counts = np.bincount(ids, minlength=len(words)).astype(np.int64)
     tokens = np.insert(ids, begins, -1).astype("<i4")
-    parts = [tokens[i : i + PART].tobytes() for i in range(0, len(tokens), PART)]
+    parts = [packed(tokens[i : i + PART]) for i in range(0, len(tokens), PART)]
     for start in range(0, len(words), PART):
         some = words[start : start + PART]
         yield rows_of(chunk, lang, start, len(some), [some, pa.array(counts[start : start + PART]), None])
@@ -97,9 +135,10 @@ def chunks(docs: DataFrame) -> DataFrame:
                     held -= sizes.pop(fullest)
                     yield from chunk_rows(chunk, fullest, waiting.pop(fullest))
                     chunk += 1
-        for lang, texts in waiting.items():
-            yield from chunk_rows(chunk, lang, texts)
+        while waiting:
+            yield from chunk_rows(chunk, *waiting.popitem())
             chunk += 1
+        released()
 
     rows = texts_of(docs, F.coalesce("lang", F.lit("und")).alias("lang"))
     return rows.mapInArrow(run, "chunk bigint, lang string, place int, word string, f bigint, tokens binary")
@@ -113,16 +152,18 @@ def frequent_words(words: DataFrame, least: int, kept: Scratch) -> tuple[DataFra
 
 def sequences(tokens: np.ndarray, ids: np.ndarray, layout: Layout) -> quotient.Entries:
     """Counts of all sequences of two words or more; ``ids`` has the number of each word (0: rare), a 0 last for -1."""
-    numbers = ids[tokens]
     counts = []
-    whole = numbers > 0
-    for width in range(2, layout.longest + 1):
-        last = len(numbers) - width + 1
-        if last < 1:
-            break
-        whole = whole[:last] & (numbers[width - 1 :] > 0)
-        at = np.flatnonzero(whole)
-        counts.append(layout.counted(*layout.permuted(*layout.packed([numbers[at + i] for i in range(width)]))))
+    for start in range(0, len(tokens), COUNTED_AT_ONCE):
+        # those that begin in this stretch may end after it
+        numbers = ids[tokens[start : start + COUNTED_AT_ONCE + layout.longest - 1]]
+        whole = numbers > 0
+        for width in range(2, layout.longest + 1):
+            last = len(numbers) - width + 1
+            if last < 1:
+                break
+            whole = whole[:last] & (numbers[width - 1 :] > 0)
+            at = np.flatnonzero(whole[:COUNTED_AT_ONCE])
+            counts.append(layout.counted(*layout.permuted(*layout.packed([numbers[at + i] for i in range(width)]))))
     return quotient.merged(layout, counts)
 
 
@@ -139,10 +180,13 @@ def first_filters(texts: DataFrame, words: DataFrame, layout: Layout, groups: in
     depth = depth_at(layout, 1)
 
     def run(chunk: pa.Table, known: pa.Table) -> pa.Table:
-        tokens = np.frombuffer(b"".join(chunk.sort_by("place")["tokens"].to_pylist()), "<i4")
+        parts = [unpacked(part) for part in chunk.sort_by("place")["tokens"].to_pylist()]
+        tokens = np.concatenate(parts) if parts else np.zeros(0, "<i4")
         ids = np.zeros(int(tokens.max(initial=-1)) + 2, np.int64)
         ids[known["at"].to_numpy()] = known["id"].to_numpy()
-        return filter_rows(layout, sequences(tokens, ids, layout), depth, chunk["group"][0].as_py())
+        rows = filter_rows(layout, sequences(tokens, ids, layout), depth, chunk["group"][0].as_py())
+        released()
+        return rows
 
     own = texts.filter("word is not null").select("chunk", "lang", "place", "word")
     # the dictionary has each word once; hashing its part of a partition spares the sort of all rows

@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from legtrail.llm import collocations, quotient
@@ -128,3 +130,47 @@ def test_filters_are_compact():
     entries = layout.counted(*layout.permuted(*layout.packed([draw.integers(1, 2**18, 200_000) for _ in range(3)])))
     sizes = [len(quotient.to_bytes(layout, 10, part)) for _, part in layout.ranges(entries, 10)]
     assert sum(sizes) < 7.5 * len(entries)
+
+
+def test_chunks_are_split_and_counted_in_slices(monkeypatch):
+    draw = random.Random(5)
+    texts = ["".join(draw.choice("aB cd é.,\n\t") for _ in range(draw.choice([0, 1, 5, 60]))) for _ in range(400)] + ["", " . "]
+    layout = Layout(3, 10)
+    found = []
+    for size in (1 << 20, 50, 1):
+        monkeypatch.setattr(collocations, "SPLIT_AT_ONCE", size)
+        monkeypatch.setattr(collocations, "COUNTED_AT_ONCE", size)
+        words, ids, begins = collocations.words_of(texts)
+        tokens = np.insert(ids, begins, -1)
+        known = np.append(np.arange(len(words)) % 3 * np.arange(len(words)), 0)  # some are rare
+        entries = collocations.sequences(tokens, known, layout)
+        found.append([x.tolist() for x in (ids, begins, entries.high, entries.low, entries.counts)] + [words.to_pylist()])
+    assert found[0] == found[1] == found[2]
+    expected = [words for text in texts for words in pieces(text) if words]
+    starts = [0, *found[0][1], len(found[0][0])]
+    assert [[found[0][5][i] for i in found[0][0][a:b]] for a, b in zip(starts, starts[1:])] == expected
+    assert collocations.words_of([])[1].tolist() == collocations.words_of(["", "."])[1].tolist() == []
+
+
+def test_a_chunk_of_short_words_takes_little_memory_on_the_way():
+    texts = ["ab cd. ef gh " * 80] * 4000  # 4 million characters, 1.3 million words
+    layout, ids = Layout(3, 15), np.array([1, 2, 3, 4, 0])
+    tracemalloc.start()
+    try:
+        for batch in collocations.chunk_rows(0, "x", texts):
+            parts = [collocations.unpacked(part) for part in batch.column("tokens").drop_null().to_pylist()]
+        tokens = np.concatenate(parts)
+        of_split = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        collocations.sequences(tokens, ids, layout)
+        of_counts = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert of_split < 45e6 and of_counts < 60e6
+
+
+def test_tokens_shrink_to_about_two_bytes_each():
+    tokens = np.append(np.random.default_rng(3).integers(0, 30_000, 50_000), -1).astype("<i4")
+    data = collocations.packed(tokens)
+    assert collocations.unpacked(data).tolist() == tokens.tolist() and collocations.unpacked(b"").tolist() == []
+    assert pa.compress(data, "lz4", asbytes=True).__len__() < 2.2 * len(tokens) < 0.7 * len(pa.compress(tokens.tobytes(), "lz4", asbytes=True))
