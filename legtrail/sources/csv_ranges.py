@@ -136,7 +136,7 @@ def scan_ranges(
     read = lambda names, multi: spark.read.schema(schema).options(**{**options, "multiLine": multi}).csv(names)
     found = [read(names, multi) for names, multi in ((whole, True), (plain, False)) if names]
     if spanned:
-        numbers = spark.createDataFrame(list(enumerate(spanned)), "number int, file string")
+        numbers = staged(spark.createDataFrame(list(enumerate(spanned)), "number int, file string"), "csv-files")
         numbered = lambda rows: rows.join(F.broadcast(numbers), "file").drop("file").withColumnRenamed("number", "file")
         tasks = -(-sum(t.length for t in totals if t.file in set(spanned)) // TEXT_PER_TASK)
         records = _records(numbered(_lines(spark, spanned)), numbered(blocks), tasks)
