@@ -175,7 +175,7 @@ def filter_rows(layout: Layout, entries: quotient.Entries, depth: int, group: in
     return pa.table([*arrays, pa.array(data, pa.binary())], ["range", "group", "filter"])
 
 
-def first_filters(texts: DataFrame, words: DataFrame, layout: Layout, groups: int, kept: Scratch) -> DataFrame:
+def first_filters(texts: DataFrame, words: DataFrame, layout: Layout, groups: int) -> DataFrame:
     """(range, group, filter) of every chunk: its own words get their numbers, its sequences are counted."""
     depth = depth_at(layout, 1)
 
@@ -194,7 +194,7 @@ def first_filters(texts: DataFrame, words: DataFrame, layout: Layout, groups: in
     known = known.select(F.col("chunk").alias("of"), F.col("place").alias("at"), "id")
     group = F.pmod(F.xxhash64("chunk"), F.lit(groups)).alias("group")
     pairs = texts.filter("tokens is not null").select("chunk", "place", "tokens", group).groupBy("chunk").cogroup(known.groupBy("of"))
-    return kept.staged(pairs.applyInArrow(run, "range bigint, group bigint, filter binary"), "filters")
+    return pairs.applyInArrow(run, "range bigint, group bigint, filter binary")
 
 
 def depth_at(layout: Layout, level: int) -> int:
@@ -234,19 +234,14 @@ def frequent_sequences(filters: DataFrame, layout: Layout, level: int, least: in
 
 
 def counted_sequences(texts: DataFrame, words: DataFrame, layout: Layout, least: int, kept: Scratch) -> DataFrame:
-    """(ids, f) of the frequent sequences; the filters of a level are removed when the next one is written."""
+    """(ids, f) of the frequent sequences; filters go from level to level by shuffles alone, a written copy would be as large again."""
     groups, level = -(-texts.filter("tokens is not null and place = 0").count() // FAN_IN) or 1, 1
-    held = Scratch(texts.sparkSession)
-    try:
-        filters = first_filters(texts, words, layout, groups, held)
-        while groups > 1:
-            groups, old, held = -(-groups // FAN_IN), held, Scratch(texts.sparkSession)
-            filters = held.staged(merge_level(filters, layout, level, groups), "filters")
-            old.remove()
-            level += 1
-        return kept.staged(frequent_sequences(filters, layout, level, least), "sequences")
-    finally:
-        held.remove()
+    filters = first_filters(texts, words, layout, groups)
+    while groups > 1:
+        groups = -(-groups // FAN_IN)
+        filters = merge_level(filters, layout, level, groups)
+        level += 1
+    return kept.staged(frequent_sequences(filters, layout, level, least), "sequences")
 
 
 def named(found: DataFrame, words: DataFrame, kept: Scratch) -> DataFrame:

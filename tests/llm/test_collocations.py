@@ -8,6 +8,7 @@ import pytest
 
 from legtrail.llm import collocations, quotient
 from legtrail.llm.quotient import Layout
+from legtrail.session import Scratch
 
 
 def pieces(text):
@@ -69,6 +70,24 @@ def test_against_brute_force(spark, documents, monkeypatch, longest, least, fan_
     assert len(got) == len(set(got)) and set(got) == plain(rows, longest, least, 50, 2000) and len(got) > 8
 
 
+@pytest.mark.parametrize("fan_in", [1024, 3])
+def test_filters_are_not_written_down(spark, documents, monkeypatch, fan_in):
+    """Shuffles hold all filters, so another copy of them takes as much disk again."""
+    monkeypatch.setattr(collocations, "FAN_IN", fan_in)
+    monkeypatch.setattr(collocations, "CHUNK", 400)
+    written, write = [], Scratch.staged
+
+    def noted(self, df, purpose):
+        written.append(df.columns)
+        return write(self, df, purpose)
+
+    monkeypatch.setattr(Scratch, "staged", noted)
+    rows = drawn(6, 60)
+    got = {tuple(r) for r in collocations.phrases(documents(rows), 3, 5, 50, 2000).collect()}
+    assert got == plain(rows, 3, 5, 50, 2000) and len(got) > 8
+    assert ["ids", "f"] in written and not any("filter" in columns for columns in written)
+
+
 def test_top_of_many(spark, documents, monkeypatch):
     monkeypatch.setattr(collocations, "LISTS", 2)
     rows = drawn(4, 120)
