@@ -29,7 +29,7 @@ PART = 1 << 15
 #: are counted at a time; what a task holds for one of them on the way is many times its own size.
 SPLIT_AT_ONCE = 1 << 20
 COUNTED_AT_ONCE = 1 << 18
-#: Bits by which a range of keys is cut at each merge, and filters merged at a time.
+#: Bits by which a range of keys is cut at each merge, fewer if fewer filters are left, and filters merged at a time.
 DEPTH = 10
 FAN_IN = 1024
 #: Lists of first candidates that are merged at a time when a language has many.
@@ -175,9 +175,8 @@ def filter_rows(layout: Layout, entries: quotient.Entries, depth: int, group: in
     return pa.table([*arrays, pa.array(data, pa.binary())], ["range", "group", "filter"])
 
 
-def first_filters(texts: DataFrame, words: DataFrame, layout: Layout, groups: int) -> DataFrame:
+def first_filters(texts: DataFrame, words: DataFrame, layout: Layout, depth: int, groups: int) -> DataFrame:
     """(range, group, filter) of every chunk: its own words get their numbers, its sequences are counted."""
-    depth = depth_at(layout, 1)
 
     def run(chunk: pa.Table, known: pa.Table) -> pa.Table:
         parts = [unpacked(part) for part in chunk.sort_by("place")["tokens"].to_pylist()]
@@ -197,13 +196,8 @@ def first_filters(texts: DataFrame, words: DataFrame, layout: Layout, groups: in
     return pairs.applyInArrow(run, "range bigint, group bigint, filter binary")
 
 
-def depth_at(layout: Layout, level: int) -> int:
-    return min(DEPTH * level, layout.high_bits)
-
-
-def merge_level(filters: DataFrame, layout: Layout, level: int, groups: int) -> DataFrame:
-    """Filters of one range and group as one, cut in ranges of the next depth; there are ``groups`` groups after it."""
-    depth, finer = depth_at(layout, level), depth_at(layout, level + 1)
+def merge_level(filters: DataFrame, layout: Layout, depth: int, finer: int, groups: int) -> DataFrame:
+    """Filters of one range and group as one, cut in ranges of ``finer`` bits; there are ``groups`` groups after it."""
 
     def run(rows: pa.Table) -> pa.Table:
         entries = read(rows, layout, depth)
@@ -217,9 +211,8 @@ def read(rows: pa.Table, layout: Layout, depth: int) -> quotient.Entries:
     return quotient.merged(layout, [quotient.from_bytes(layout, depth, begin, data) for begin, data in pairs])
 
 
-def frequent_sequences(filters: DataFrame, layout: Layout, level: int, least: int) -> DataFrame:
+def frequent_sequences(filters: DataFrame, layout: Layout, depth: int, least: int) -> DataFrame:
     """(ids, f) of sequences that occur ``least`` times, from filters of which each range is one group."""
-    depth = depth_at(layout, level)
 
     def run(rows: pa.Table) -> pa.Table:
         entries = read(rows, layout, depth)
@@ -235,13 +228,15 @@ def frequent_sequences(filters: DataFrame, layout: Layout, level: int, least: in
 
 def counted_sequences(texts: DataFrame, words: DataFrame, layout: Layout, least: int, kept: Scratch) -> DataFrame:
     """(ids, f) of the frequent sequences; filters go from level to level by shuffles alone, a written copy would be as large again."""
-    groups, level = -(-texts.filter("tokens is not null and place = 0").count() // FAN_IN) or 1, 1
-    filters = first_filters(texts, words, layout, groups)
+    groups, depth = -(-texts.filter("tokens is not null and place = 0").count() // FAN_IN) or 1, min(DEPTH, layout.high_bits)
+    filters = first_filters(texts, words, layout, depth, groups)
     while groups > 1:
+        # as many new ranges as filters that meet next: more of them would be many small filters, which take more room
+        finer = min(depth + min(DEPTH, (min(groups, FAN_IN) - 1).bit_length()), layout.high_bits)
         groups = -(-groups // FAN_IN)
-        filters = merge_level(filters, layout, level, groups)
-        level += 1
-    return kept.staged(frequent_sequences(filters, layout, level, least), "sequences")
+        filters = merge_level(filters, layout, depth, finer, groups)
+        depth = finer
+    return kept.staged(frequent_sequences(filters, layout, depth, least), "sequences")
 
 
 def named(found: DataFrame, words: DataFrame, kept: Scratch) -> DataFrame:

@@ -3,8 +3,9 @@
 A sequence of up to ``longest`` numbers of ``bits`` bits (0: no number) is packed in one key. The key is permuted by a
 Feistel network, which can be undone; the high bits of the permuted key are its quotient, all other bits are kept as
 its remainder. A filter holds the entries of one range of permuted keys (those that begin with the same ``depth`` bits)
-in order: a bit for each quotient that occurs, a bit for each entry that ends its run, the remainders in whole
-bytes, and a bit for each entry that counts more than once, whose counts follow in bytes, large ones apart. Equal keys have equal places in all filters, so filters are merged by
+in order: a bit for each quotient that occurs, a bit for each entry that ends its run, the remainders in their whole
+bytes and then the bits beyond them, and a bit for each entry that counts more than once, whose counts follow in bytes, large ones
+apart. Equal keys have equal places in all filters, so filters are merged by
 merging what is sorted, and nothing is lost: keys come back by undoing the permutation.
 """
 
@@ -132,16 +133,14 @@ class Layout:
         return [(int(begin[a]), entries[a:b]) for a, b in zip(starts, ends)]
 
 
-def width(bits: int) -> int:
-    """Bytes for so many bits."""
-    return -(-bits // 8)
+def size_of(bits: int, n: int) -> int:
+    """Bytes for ``n`` numbers of so many bits."""
+    return n * (bits // 8) + -(-n * (bits % 8) // 8)
 
 
 def quotient_bits(layout: Layout, depth: int, entries: int) -> int:
-    """Bits of the quotient below the range: at most one quotient for each entry, so that whole bytes remain."""
-    left = layout.high_bits - depth
-    wanted = min(left, max(0, entries - 1).bit_length())
-    return max(0, left - 8 * width(left - wanted))
+    """Bits of the quotient below the range: about one quotient for each entry."""
+    return min(layout.high_bits - depth, max(0, entries - 1).bit_length())
 
 
 def to_bytes(layout: Layout, depth: int, entries: Entries) -> bytes:
@@ -181,8 +180,8 @@ def from_bytes(layout: Layout, depth: int, begin: int, data: bytes) -> Entries:
     often = np.unpackbits(take(-(-n // 8)), count=n).astype(bool)
     run = np.cumsum(run_end) - run_end
     quotient = occupied[run].astype(np.uint64)
-    rest = numbers_of(take(n * width(high_rest)), high_rest, n)
-    low = numbers_of(take(n * width(layout.low_bits)), layout.low_bits, n)
+    rest = numbers_of(take(size_of(high_rest, n)), high_rest, n)
+    low = numbers_of(take(size_of(layout.low_bits, n)), layout.low_bits, n)
     high = (np.uint64(begin << (layout.high_bits - depth))) | (quotient << np.uint64(high_rest)) | rest
     several = take(small).astype(np.int64)
     several[several == 255] = np.frombuffer(data, "<i8", large, at)
@@ -192,13 +191,22 @@ def from_bytes(layout: Layout, depth: int, begin: int, data: bytes) -> Entries:
 
 
 def bytes_of(values: np.ndarray, bits: int) -> bytes:
-    """The low bytes of each value that ``bits`` bits need."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : width(bits)].tobytes()
+    """The low ``bits`` bits of each value: first their whole bytes, then the bits beyond them of all values together."""
+    whole, over = divmod(bits, 8)
+    data = values.astype("<u8").view(np.uint8).reshape(-1, 8)
+    if not over:
+        return data[:, :whole].tobytes()
+    beyond = np.unpackbits(np.ascontiguousarray(data[:, whole]), bitorder="little").reshape(-1, 8)[:, :over]
+    return data[:, :whole].tobytes() + np.packbits(beyond, bitorder="little").tobytes()
 
 
 def numbers_of(data: np.ndarray, bits: int, n: int) -> np.ndarray:
+    whole, over = divmod(bits, 8)
     full = np.zeros((n, 8), np.uint8)
-    full[:, : width(bits)] = data.reshape(n, width(bits))
+    full[:, :whole] = data[: n * whole].reshape(n, whole)
+    if over:
+        beyond = np.unpackbits(data[n * whole :], count=n * over, bitorder="little").reshape(n, over)
+        full[:, whole] = np.packbits(beyond, axis=1, bitorder="little")[:, 0]
     return full.reshape(-1).view("<u8")
 
 

@@ -151,6 +151,45 @@ def test_filters_are_compact():
     assert sum(sizes) < 7.5 * len(entries)
 
 
+@pytest.mark.parametrize("bits", [18, 19, 20, 21])
+def test_filters_waste_no_bits(bits):
+    """A remainder takes its own bits only; in whole bytes it took several more, but where they happened to fit."""
+    layout, n = Layout(3, bits), 100_000
+    draw = np.random.default_rng(bits)
+    entries = layout.counted(*layout.permuted(*layout.packed([draw.integers(1, 2**bits, n) for _ in range(3)])))
+    for depth in (0, 4, 8, 10):
+        sizes = [len(quotient.to_bytes(layout, depth, part)) for _, part in layout.ranges(entries, depth)]
+        needed = layout.total - depth - np.log2(n / 2**depth)
+        assert sum(sizes) * 8 < n * (needed + 5) + 40 * 8 * len(sizes)
+
+
+@pytest.mark.parametrize("bits", [0, 1, 7, 8, 9, 27, 32, 63])
+@pytest.mark.parametrize("n", [0, 1, 3, 8, 100])
+def test_numbers_of_any_width_come_back(bits, n):
+    values = np.random.default_rng(n).integers(0, 2**63, n, dtype=np.uint64)
+    data = np.frombuffer(quotient.bytes_of(values, bits), np.uint8)
+    assert len(data) == quotient.size_of(bits, n)
+    assert quotient.numbers_of(data, bits, n).tolist() == (values & quotient.mask(bits)).tolist()
+
+
+def test_ranges_are_no_finer_than_the_filters_left(spark, documents, monkeypatch):
+    """Few groups after the first merge are not cut in 2 ** DEPTH ranges each."""
+    monkeypatch.setattr(collocations, "FAN_IN", 8)
+    monkeypatch.setattr(collocations, "CHUNK", 400)
+    depths, last = [], collocations.frequent_sequences
+
+    def noted(filters, layout, depth, least):
+        depths.append(depth)
+        return last(filters, layout, depth, least)
+
+    monkeypatch.setattr(collocations, "frequent_sequences", noted)
+    monkeypatch.setattr(collocations, "DEPTH", 4)
+    rows = drawn(7, 40)
+    got = {tuple(r) for r in collocations.phrases(documents(rows), 3, 5, 50, 2000).collect()}
+    assert got == plain(rows, 3, 5, 50, 2000) and len(got) > 8
+    assert len(depths) == 1 and 4 < depths[0] < 8
+
+
 def test_chunks_are_split_and_counted_in_slices(monkeypatch):
     draw = random.Random(5)
     texts = ["".join(draw.choice("aB cd é.,\n\t") for _ in range(draw.choice([0, 1, 5, 60]))) for _ in range(400)] + ["", " . "]
