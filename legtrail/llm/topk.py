@@ -1,23 +1,37 @@
-"""Exact top-k search by inner product, in tiles.
+"""Exact top-k search by inner product, in cells of queries and vectors.
 
-Queries are packed in blocks and vectors in shards, each a matrix of whole numbers. Every pair of block and shard is
-one tile: a matrix product and a partial selection. Shards are dealt out to tasks once; blocks, of which there are far
-fewer, are sent to every task. The short lists of a query are merged as a tree, a few shards
-at a time, so no task sees more than a bounded number of lists of one query.
+Queries are packed in blocks and vectors in shards, each a matrix of whole numbers. Blocks are dealt out to a few groups
+and shards to columns; every pair of a group and a column is one cell, the work of one task, which gets its blocks once, keeps
+the best rows of its queries, and takes its shards as a stream. So a matrix goes to a task once, not once per product, and a
+task gives out k rows a query, not k rows a query and shard. The lists of the columns are merged as a tree, so no
+task sees more than a bounded number of lists of one query.
 """
 
+from math import isqrt
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from legtrail.llm.common import PLACE_BITS
 from legtrail.session import scratch, staged
 
-#: Rows of a block of queries and of a shard; with them the size of a tile is bounded.
+#: Rows of a block of queries and of a shard; with them the size of a product is bounded.
 BLOCK = 512
-SHARD = 1024
-#: Lists that are merged at a time.
-FAN_IN = 16
+SHARD = 512
+#: Lists that are given out at a time, and that are merged at a time.
+LISTS = 4096
+FAN_IN = 64
+#: Products of a cell once there are more cells than the cores need.
+PRODUCTS = 1 << 34
+#: Groups of queries, which are copies of each shard, and queries that each has at least; more only if their matrices
+#: would have more numbers than this.
+GROUPS = 4
+QUERIES = 4096
+NUMBERS = 1 << 24
 SCALE = 256.0
+NO_ROW = np.iinfo(np.int64).max
 
 
 def whole_vectors(vectors: DataFrame) -> DataFrame:
@@ -27,71 +41,178 @@ def whole_vectors(vectors: DataFrame) -> DataFrame:
     return vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & good).select("vec_id", v.alias("v"))
 
 
-def packs(rows: DataFrame, size: int, names: tuple[str, str, str]) -> DataFrame:
-    """Rows packed in matrices of at most ``size`` rows of one length: (number, dim, ids, bytes, largest)."""
-    number, ids, data = names
+PACKS = "dim int, n int, ids array<bigint>, first bigint, kind string, numbers binary, largest double"
+
+
+def packs(rows: DataFrame, size: int, scale: float) -> DataFrame:
+    """Rows of id and numbers packed in matrices of at most ``size`` rows of one length, with ids, smallest id and largest
+    number; numbered.
+
+    The matrices hold floor(scale x), in two bytes where all of a matrix fit, else as doubles. Vectors that hold nulls or numbers
+    that are not finite are left out.
+    """
 
     def run(batches):
-        kept: dict[int, tuple[list, list]] = {}
+        kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            for vec_id, v in zip(batch.column(0).to_pylist(), batch.column(1)):
-                values = v.values.to_numpy(zero_copy_only=False)
-                held = kept.setdefault(len(values), ([], []))
-                held[0].append(vec_id)
-                held[1].append(values)
-                if len(held[0]) == size:
-                    yield one(len(values), *kept.pop(len(values)))
+            ids, lists = batch.column(0).cast(pa.int64()).to_numpy(zero_copy_only=False), batch.column(1)
+            lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            for dim in map(int, np.unique(lengths)):
+                at = np.flatnonzero(lengths == dim)
+                values = lists.take(pa.array(at)).flatten().cast(pa.float64(), safe=False)
+                values = values.to_numpy(zero_copy_only=False).reshape(len(at), dim)
+                finite = np.isfinite(values).all(axis=1)  # a null is NaN here
+                held = ids[at[finite]], np.clip(np.floor(values[finite] * scale), -(2.0**63), 2.0**63)  # as Spark's floor
+                if dim in kept:
+                    held = tuple(np.concatenate(pair) for pair in zip(kept.pop(dim), held))
+                full = len(held[0]) // size * size
+                for start in range(0, full, size):
+                    yield one(dim, *(part[start : start + size] for part in held))
+                if full < len(held[0]):
+                    kept[dim] = tuple(part[full:].copy() for part in held)
         for dim, held in kept.items():
             yield one(dim, *held)
 
-    def one(dim, held_ids, held):
-        matrix = np.array(held, np.float64).reshape(len(held), dim)
+    def one(dim, ids, matrix):
         largest = float(np.abs(matrix).max()) if matrix.size else 0.0
-        arrays = [pa.array([dim], pa.int32()), pa.array([held_ids], pa.list_(pa.int64()))]
-        arrays += [pa.array([matrix.tobytes()]), pa.array([largest])]
-        return pa.RecordBatch.from_arrays(arrays, ["dim", ids, data, f"{data}_largest"])
-
-    packed = rows.mapInArrow(run, f"dim int, {ids} array<bigint>, {data} binary, {data}_largest double")
-    return packed.withColumn(number, F.monotonically_increasing_id())
-
-
-def products(queries: np.ndarray, rows: np.ndarray, bound: float) -> np.ndarray:
-    """Exact inner products: in doubles while they stay whole, else in Python's integers."""
-    if bound < 2.0**53:
-        return (queries @ rows.T).astype(np.int64)
-    exact = queries.astype(object) if not queries.size else np.vectorize(int, otypes=[object])(queries)
-    return exact @ (np.vectorize(int, otypes=[object])(rows) if rows.size else rows.astype(object)).T
-
-
-def tile(batch: pa.RecordBatch, k: int):
-    """Top lists of every query of one block over one shard."""
-    row = batch.to_pylist()[0]
-    dim = row["dim"]
-    q_ids, v_ids = np.array(row["q_ids"]), np.array(row["v_ids"])
-    q = np.frombuffer(row["q"]).reshape(len(q_ids), dim)
-    v = np.frombuffer(row["v"]).reshape(len(v_ids), dim)
-    scores = products(q, v, row["q_largest"] * row["v_largest"] * max(1, dim))
-    order = np.argsort(v_ids, kind="stable")  # so that ties go to the smaller id
-    v_ids, scores = v_ids[order], scores[:, order]
-    out_q, out_v, out_s = [], [], []
-    for i, query in enumerate(q_ids):
-        line = scores[i]
-        at = np.flatnonzero(v_ids != query)
-        if len(at) > k:
-            if line.dtype == object:
-                at = np.array(sorted(at, key=lambda j: (-line[j], j))[:k])
-            else:
-                least = np.partition(line[at], len(at) - k)[len(at) - k]
-                at = at[line[at] >= least]
-                at = at[np.argsort(-line[at], kind="stable")[:k]]
-        out_q.append(np.full(len(at), query))
-        out_v.append(v_ids[at])
-        out_s.append(line[at])
-    columns = [np.concatenate(x) for x in (out_q, out_v, out_s)]
-    columns[2] = columns[2].tolist()  # may hold Python's integers
-    columns.append(np.full(len(columns[0]), row["shard"]))
-    names = ["query_id", "vec_id", "score", "part"]
-    return pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in columns], names)
+        kind = "<i2" if largest < 2**15 else "<f8"
+        columns = [[dim], [len(ids)], [ids], [ids.min()], [kind], [matrix.astype(kind).tobytes()], [largest]]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], names)
+
+    names = ["dim", "n", "ids", "first", "kind", "numbers", "largest"]
+    types = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.string(), pa.binary(), pa.float64()]
+    return rows.mapInArrow(run, PACKS).withColumn("number", F.monotonically_increasing_id())
+
+
+def exact(matrix: np.ndarray, kind: type) -> np.ndarray:
+    """Whole numbers as floats, or as Python's integers."""
+    if kind is not object:
+        return matrix.astype(kind)
+    return np.vectorize(int, otypes=[object])(matrix) if matrix.size else matrix.astype(object)
+
+
+class Asked:
+    """Queries of one length, in order of id, with the best rows that they have met so far.
+
+    ``scores`` and ``found`` are the lists, best first; a free place has the score -inf and the id ``NO_ROW``.
+    """
+
+    def __init__(self, blocks: list[tuple[np.ndarray, np.ndarray, float]], k: int, block: int):
+        ids = np.concatenate([ids for ids, _, _ in blocks])
+        order = np.argsort(ids)
+        self.ids, self.k, self.block = ids[order], k, block
+        self.matrix = np.concatenate([matrix for _, matrix, _ in blocks])[order]
+        self.largest = max(largest for _, _, largest in blocks)
+        self.forms: dict[type, np.ndarray] = {}
+        self.scores = np.full((len(ids), k), -np.inf)
+        self.found = np.full((len(ids), k), NO_ROW)
+
+    def meet(self, ids: np.ndarray, rows: np.ndarray, largest: float) -> None:
+        """Products of all queries with the rows, in the smallest numbers that keep every sum whole."""
+        bound = max(1.0, self.largest) * max(1.0, largest) * max(1, rows.shape[1])
+        kind = np.float32 if bound < 2.0**24 else np.float64 if bound < 2.0**53 else object
+        if kind is object:
+            self.scores = self.scores.astype(object)
+        if kind not in self.forms:
+            self.forms[kind] = exact(self.matrix, kind)
+        queries, rows = self.forms[kind], exact(rows, kind)
+        last = self.scores[:, -1]
+        # a row that ties with the last of a list gets in with a smaller id only; all scores are whole
+        least = (last + (self.found[:, -1] < ids.min())).astype(kind)
+        short = last == -np.inf
+        if short.any():
+            at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
+            own = np.flatnonzero(self.ids[at] == ids)
+            at = at[own]
+        products = np.empty((min(self.block, len(queries)), len(rows)), kind)  # new memory each time would cost a good part of the product
+        hits = []
+        for start in range(0, len(queries), self.block):
+            block = queries[start : start + self.block]
+            scores = np.matmul(block, rows.T, out=products[: len(block)])
+            bar = least[start : start + self.block]
+            if short.any():
+                here = (at >= start) & (at < start + self.block)
+                scores[at[here] - start, own[here]] = -np.inf
+                new = np.flatnonzero(bar == -np.inf)
+                if len(new) and len(rows) >= self.k:
+                    bar[new] = np.partition(scores[new], -self.k, axis=1)[:, -self.k]
+            hit = np.flatnonzero(scores.max(axis=1) >= bar)
+            if len(hit):
+                near = scores[hit]
+                place = np.flatnonzero(near >= bar[hit, None])
+                line, row = np.divmod(place, len(rows))
+                hits.append((hit[line] + start, row, near.ravel()[place]))
+        if hits:
+            query, row, score = (np.concatenate(x) for x in zip(*hits))
+            self.take(query, ids[row], score.astype(self.scores.dtype))
+
+    def take(self, query: np.ndarray, row: np.ndarray, score: np.ndarray) -> None:
+        """The rows are merged into the lists of the queries that they scored for, but for rows of the query's own id."""
+        last = self.scores[query, -1]
+        better = (score > last) | (score == last) & (row < self.found[query, -1])
+        better &= (row != self.ids[query]) & (score > -np.inf)
+        if not better.any():
+            return
+        query, row, score = query[better], row[better], score[better]
+        changed = np.unique(query)
+        query = np.concatenate([query, np.repeat(changed, self.k)])
+        row = np.concatenate([row, self.found[changed].ravel()])
+        score = np.concatenate([score, self.scores[changed].ravel()])
+        if score.dtype == object:
+            order = np.array(sorted(range(len(query)), key=lambda i: (query[i], -score[i], row[i])))
+        else:
+            order = np.lexsort((row, -score, query))
+        best = order[np.searchsorted(query[order], changed)[:, None] + np.arange(self.k)]
+        self.scores[changed], self.found[changed] = score[best], row[best]
+
+    def lists(self, part: int):
+        for start in range(0, len(self.ids), LISTS):
+            score = self.scores[start : start + LISTS]
+            at, column = np.nonzero(score > -np.inf)
+            score, at = score[at, column], at + start
+            whole = list(map(int, score)) if score.dtype == object else score.astype(np.int64)  # beyond 64 bits is an error
+            columns = [self.ids[at], self.found[at, column], whole, np.full(len(at), part)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["query_id", "vec_id", "score", "part"])
+
+
+def cell_lists(batches, k: int, block: int):
+    """Lists of the queries of one cell; its blocks come first, then its shards."""
+    blocks: dict[int, list] = {}
+    asked: dict[int, Asked] = {}
+    part = 0
+    for batch in batches:
+        column = {name: batch.column(name) for name in batch.schema.names}
+        for i in range(batch.num_rows):
+            ids, dim = column["ids"][i].values.to_numpy(), column["dim"][i].as_py()
+            numbers = np.frombuffer(column["numbers"][i].as_buffer(), column["kind"][i].as_py())
+            pack = ids, numbers.reshape(len(ids), dim), column["largest"][i].as_py()
+            if not column["shard"][i].as_py():
+                blocks.setdefault(dim, []).append(pack)
+                continue
+            part = column["part"][i].as_py()
+            if dim in blocks:
+                asked[dim] = Asked(blocks.pop(dim), k, block)
+            if dim in asked:
+                asked[dim].meet(*pack)
+    for queries in asked.values():
+        yield from queries.lists(part)
+
+
+def layout(queries: int, numbers: int, rows: int, partitions: int, cores: int) -> tuple[int, int]:
+    """Groups of queries and columns of vectors.
+
+    There are three cells a core, more if they would have over ``PRODUCTS`` products, but not more than partitions. More groups
+    cost copies of the vectors, more columns cost lists.
+    """
+    cells = max(1, min(partitions, max(3 * cores, queries * rows // PRODUCTS)))
+    groups = max(1, min(GROUPS, isqrt(cells // 2), queries // QUERIES), -(-numbers // NUMBERS))
+    return groups, max(1, cells // groups)
+
+
+def dealt(count: int) -> Column:
+    """Packs in turn, from another beginning in each partition that they were made in."""
+    place = F.col("number").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return F.pmod(F.xxhash64(F.shiftright("number", PLACE_BITS)) + place, F.lit(count)).cast("int")
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
@@ -102,31 +223,29 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     without id. Vectors are compared with those of their own length only. Rows that repeat a query's id are one
     query, that of the smallest vector; as candidates all repeated rows count. Scores beyond 64 bits are an error.
     """
-    rows = whole_vectors(vectors)
-    queries = rows.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
-    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    schema = "query_id bigint, vec_id bigint, score bigint, part bigint"
-
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                yield tile(batch.slice(i, 1), k)
-
-    columns = ["dim", "q_ids", "q", "q_largest", "v_ids", "v", "v_largest", "shard"]
-    with scratch(vectors.sparkSession) as kept:
-        blocks = kept.staged(packs(queries, BLOCK, ("block", "q_ids", "q")), "query-blocks")
-        shards = kept.staged(packs(rows, SHARD, ("shard", "v_ids", "v")), "shards")
-        dealt = shards.withColumn("salt", F.pmod(F.xxhash64("shard"), F.lit(parts)).cast("int"))
-        copies = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        tiles = dealt.join(copies, ["dim", "salt"])
-        lists = staged(tiles.select(*columns).mapInArrow(run, schema), "lists")
-        count = shards.count()
-    lists = lists.withColumn("part", F.pmod(F.xxhash64("part"), F.lit(max(1, count))))
-    while count > 1:
-        count = -(-count // FAN_IN)
-        lists = lists.withColumn("part", F.pmod("part", F.lit(count)))
-        best = Window.partitionBy("query_id", "part").orderBy(F.col("score").desc(), "vec_id")
-        lists = lists.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).drop("rank")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    ranked = lists.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    spark = vectors.sparkSession
+    rows = vectors.filter("vec_id IS NOT NULL AND embedding IS NOT NULL").select("vec_id", "embedding")
+    queries = whole_vectors(vectors.filter(is_query)).groupBy("vec_id").agg(F.min("v").alias("v"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    schema, block = "query_id bigint, vec_id bigint, score bigint, part bigint", BLOCK
+    with scratch(spark) as kept:
+        blocks = kept.staged(packs(queries, BLOCK, 1.0), "query-blocks")
+        shards = kept.staged(packs(rows, SHARD, SCALE), "shards")
+        asked, numbers = blocks.agg(F.sum("n"), F.sum(F.col("n").cast("bigint") * F.col("dim"))).first()
+        count = shards.agg(F.sum("n")).first()[0]
+        groups, columns = layout(asked or 0, numbers or 0, count or 0, partitions, spark.sparkContext.defaultParallelism)
+        copies = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        blocks = blocks.withColumn("group", dealt(groups)).withColumn("part", copies(columns))
+        shards = shards.withColumn("part", dealt(columns)).withColumn("group", copies(groups))
+        packed = blocks.withColumn("shard", F.lit(False)).unionByName(shards.withColumn("shard", F.lit(True)))
+        cells = packed.repartitionById(groups * columns, F.col("group") * columns + F.col("part"))
+        cells = cells.sortWithinPartitions("shard", "first").drop("group", "number", "n", "first")
+        lists = cells.mapInArrow(lambda batches: cell_lists(batches, k, block), schema)
+        while columns > FAN_IN:
+            columns = -(-columns // FAN_IN)
+            lists = lists.withColumn("part", F.pmod("part", F.lit(columns)))
+            best = Window.partitionBy("query_id", "part").orderBy(F.col("score").desc(), "vec_id")
+            lists = lists.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).drop("rank")
+        best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        ranked = lists.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+        return staged(ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "ranked")
